@@ -3,7 +3,8 @@
 Plain identifiers are matched on the text as it stands. Then three transducers
 rewrite a text (look-alike characters, "at"/"dot" disguises, spelled digits)
 while every output character keeps the source range it stands for; what is
-detected only in the rewritten text is mapped back to that range.
+detected only in the rewritten text is mapped back to that range. Plain matches
+stay; what the transducers add is apart from those of its kind, or holds them.
 """
 
 from __future__ import annotations
@@ -187,7 +188,7 @@ def find_spans(text: str | None) -> list[tuple[int, int, int, bool]]:
     if start is not None:
         for k, a, b in plain_spans(now):
             x, y = start[a], end[b - 1]
-            if text[x:y] != now[a:b] and not any(k == q and x < f and s < y for q, s, f in base):
+            if text[x:y] != now[a:b] and all(k != q or f <= x or y <= s or x <= s and f <= y and (x, y) != (s, f) for q, s, f in base):
                 out.append((k, x, y, False))
     return sorted(out)
 

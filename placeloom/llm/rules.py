@@ -20,11 +20,11 @@ from placeloom.llm.common import SPACE, let, text_of
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
 #: Thresholds tried for each measure; conditions in a rule; rules; share of bad rows a rule must catch among all it catches.
 BINS, CONDITIONS, RULES, PRECISION, LEAST_CAUGHT = 8, 3, 12, 0.9, 8
-MEASURES = ("words", "word_length", "symbols", "same_lines", "repeated")
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
-    """id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of every whole text; a null text has no words."""
+    """id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_stutters (words equal to the
+    one before) of every whole text; a null text has no words."""
     blank = " \t\n\x0b\f\r"
     text = text_of(text_col)
     rows = docs.select(F.col(id_col), *keep, text.alias("_text")).withColumn("_trim", F.btrim("_text", F.lit(blank)))
@@ -34,11 +34,11 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     return rows.select(
         F.col(id_col),
         *keep,
-        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated(w).alias("r"))).alias("_w"),
+        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated(w).alias("r"), F.size(F.filter(w, lambda x, k: F.coalesce(F.get(w, k - 1) == x, F.lit(False)))).cast("long").alias("s"))).alias("_w"),
         n(F.regexp_replace("_text", SPACE, "")).alias("word_chars"),
         (n("_text") - n(F.translate("_text", "#*$%&|<>", ""))).alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select(F.col(id_col), *keep, F.col("_w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_w.r").alias("n_repeat_words"))
+    ).select(F.col(id_col), *keep, F.col("_w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_w.r").alias("n_repeat_words"), F.col("_w.s").alias("n_stutters"))
 
 
 def _repeated(words: Column) -> Column:
@@ -58,7 +58,7 @@ def _repeated(words: Column) -> Column:
 def scaled(measured: DataFrame) -> dict[str, Column]:
     """The measures that rules speak of, free of the text's length but for the first."""
     per = lambda c, k: F.coalesce(F.try_divide(F.col(c) * k, F.col("n_words").cast("double")), F.lit(0.0))
-    return {"words": F.col("n_words").cast("double"), "word_length": per("word_chars", 1), "symbols": per("n_symbols", 100), "same_lines": per("n_dup_lines", 100), "repeated": per("n_repeat_words", 100)}
+    return {"words": F.col("n_words").cast("double"), "word_length": per("word_chars", 1), "symbols": per("n_symbols", 100), "same_lines": per("n_dup_lines", 100), "repeated": per("n_repeat_words", 100), "stutters": per("n_stutters", 100)}
 
 
 def base_failed() -> Column:
@@ -83,12 +83,12 @@ Rule = tuple[Condition, ...]
 
 
 def statistics(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", bins: int = BINS) -> tuple[dict[str, list[float]], list[tuple]]:
-    """Thresholds of each measure, and (vector of bins, held out?, bad rows, good rows).
+    """Thresholds of each measure, and (vector of bins, held out?, bad rows, good rows) of what the base rules let pass.
 
     At most 2 * (bins + 1) ** measures rows come to the driver, whatever the number of labelled rows.
     """
     cols = scaled(measured)
-    labelled = measured.join(labels.where(F.col(label_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("_label")), id_col).select(*[c.alias(k) for k, c in cols.items()], "_label", (F.pmod(F.xxhash64(id_col), F.lit(3)) == 0).alias("_held"))
+    labelled = measured.where(~base_failed()).join(labels.where(F.col(label_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("_label")), id_col).select(*[c.alias(k) for k, c in cols.items()], "_label", (F.pmod(F.xxhash64(id_col), F.lit(3)) == 0).alias("_held"))
     cuts = labelled.agg(*[F.percentile_approx(k, [i / bins for i in range(1, bins)], 10_000).alias(k) for k in cols]).first()
     thresholds = {k: sorted(set(cuts[k] or [])) for k in cols}
     number = lambda k: sum(((F.col(k) > t).cast("int") for t in thresholds[k]), F.lit(0))
@@ -133,7 +133,7 @@ def learn(thresholds: dict[str, list[float]], counts: list[tuple], conditions: i
             rule = rule[:-1]
         bad, good = tally(rest, rule)
         held_bad, held_good = tally(held, rule)
-        if not rule or bad < least or bad < precision * (bad + good) or held_bad < precision * (held_bad + held_good):
+        if not rule or bad < least or bad < precision * (bad + good) or held_bad < max(1, precision * (held_bad + held_good)):
             break
         out.append(tuple(Condition(names[j], above, thresholds[names[j]][i]) for j, above, i in rule))
         rest = [r for r in rest if not holds(rule, r[0])]
@@ -152,5 +152,6 @@ def verdict(rules: list[Rule], cols: dict[str, Column]) -> Column:
 
 
 def judged(measured: DataFrame, rules: list[Rule]) -> DataFrame:
-    """measured with base_failed and kept."""
-    return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules, scaled(measured)))
+    """measured with base_failed and kept, n_stutters last."""
+    judged_ = measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules, scaled(measured)))
+    return judged_.select(*[c for c in judged_.columns if c != "n_stutters"], "n_stutters")

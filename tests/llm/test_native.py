@@ -30,7 +30,7 @@ def brute_measures(text):
     seen = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
     covered = {i + k for i in range(len(w) - 4) if seen[tuple(w[i : i + 5])] > 1 for k in range(5)}
     lines = [x for x in (text or "").split("\n") if x.strip(BLANK)]
-    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered), sum(a == b for a, b in zip(w, w[1:]))
 
 
 def test_measures(spark, sf, awkward, nothing):
@@ -45,14 +45,14 @@ def test_measures(spark, sf, awkward, nothing):
 def test_rules_hold_on_labels_not_learnt_from(spark):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
-    measured = rules.measures(docs).cache()
+    measured = rules.measures(docs).where(~rules.base_failed()).cache()
     half = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("half")), F.lit(2)) == 0
     learnt = queries.learnt_rules(measured, labels.where(half))
-    r = rules.judged(measured, learnt).join(labels.where(~half), "doc_id").agg(F.count_if("quality = 1 and kept").alias("good_kept"), F.count_if("quality = 1").alias("good"), F.count_if("quality = 0 and not kept").alias("bad_gone"), F.count_if("quality = 0").alias("bad")).first()
+    r = rules.judged(measured, learnt).join(labels.where(~half), "doc_id").agg(F.count_if(F.expr("quality = 1 and kept")).alias("good_kept"), F.count_if(F.expr("quality = 1")).alias("good"), F.count_if(F.expr("quality = 0 and not kept")).alias("bad_gone"), F.count_if(F.expr("quality = 0")).alias("bad")).first()
     print(*map(str, learnt), r)
     assert learnt
-    assert r.good_kept >= 0.97 * r.good
-    assert r.bad_gone >= 0.5 * r.bad
+    assert r.good_kept >= 0.995 * r.good
+    assert r.bad_gone >= 0.9 * r.bad
 
 
 def test_rules_without_labels(spark, awkward):
