@@ -98,10 +98,11 @@ _D = "(?:" + "|".join(sorted(_DIGITS, key=len, reverse=True)) + ")"
 _SEP = rf"(?:[ \t,\n-]{{1,3}}|[ \t]*[\[({{<]?[ \t]*(?:{_DOT_NAMES}|\.)[ \t]*[\])}}>]?[ \t]*)"
 _SPELLED = re.compile(rf"{_D}{_SEP}(?:{_D}|[0-9]+)(?:{_SEP}(?:{_D}|[0-9]+))+(?!\w)", re.I)
 _TOKEN = re.compile(rf"(?P<d>{_D})|(?P<n>[0-9]+)|(?P<p>{_DOT_NAMES}|\.)", re.I)
+_WORDS, _BETWEEN = re.compile(r"\w+"), frozenset(_DOT_NAMES.split("|"))
 _PLUS = re.compile(r"(?:\bplus|\+)[ \t]{0,3}$", re.I)
 
 _OPEN, _CLOSE = r"[ \t]{0,3}[\[({<][ \t]{0,3}", r"[ \t]{0,3}[\])}>][ \t]{0,3}"
-_AT = re.compile(rf"{_OPEN}(?:{_AT_NAMES}|@){_CLOSE}|[ \t]{{1,3}}(?:{_AT_NAMES})[ \t]{{1,3}}|@", re.I)
+_AT = re.compile(rf"[\[({{<][ \t]{{0,3}}(?:{_AT_NAMES}|@){_CLOSE}|[ \t](?:{_AT_NAMES})[ \t]{{1,3}}|@", re.I)
 _DOT = rf"(?:{_OPEN}(?:{_DOT_NAMES}|\.){_CLOSE}|[ \t]{{1,3}}(?:{_DOT_NAMES})[ \t]{{1,3}}|\.)"
 _HOST = re.compile(rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+", re.I)
 _NAME = re.compile(rf"[A-Za-z0-9_%+-]+(?:{_DOT}[A-Za-z0-9_%+-]+)*$", re.I)
@@ -130,20 +131,31 @@ def _mails(text: str) -> list[tuple[int, int, str]]:
         host = _HOST.match(text, m.end())
         if not host:
             continue
-        low = max(m.start() - NAME_CHARS, out[-1][1] if out else 0)
-        name = _NAME.search(text[low : m.start()])
+        start = m.start()
+        while m[0] != "@" and start and m.start() - start < 3 and text[start - 1] in " \t":
+            start -= 1
+        low = max(start - NAME_CHARS, out[-1][1] if out else 0)
+        name = _NAME.search(text[low:start])
         dots = [(d, d[0] != ".") for d in _DOTS.finditer(text, host.start(), host.end())]
         if not name or m[0].strip()[0].isalpha() and not any(odd for _, odd in dots):
             continue
         out += [(low + name.start() + d.start(), low + name.start() + d.end(), ".") for d in _DOTS.finditer(name[0]) if d[0] != "."]
         if m[0] != "@":
-            out.append((m.start(), m.end(), "@"))
+            out.append((start, m.end(), "@"))
         out += [(d.start(), d.end(), ".") for d, odd in dots if odd]
     return out
 
 
 def _spelled(text: str) -> list[tuple[int, int, str]]:
     """Edits of runs of four or more named digits."""
+    words = _WORDS.findall(text.lower())
+    named = [i for i, w in enumerate(words) if w in _DIGITS]
+    run = most = min(len(named), 1)
+    for i, j in zip(named, named[1:], strict=False):
+        run = run + 1 if j == i + 1 or all(w in _BETWEEN or w.isdecimal() for w in words[i + 1 : j]) else 1
+        most = max(most, run)
+    if most < 4:
+        return []
     out = []
     for m in _SPELLED.finditer(text):
         if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_"):
