@@ -1,8 +1,8 @@
 """Documents linked by the Jaccard similarity of their word shingles, and what these links connect.
 
-Equal shingle sets are one node. Nodes that share a band of minimal hashes are
-similar with near certainty; each band's nodes are first compared with its
-least one. Where a band still holds more than one component, its nodes are
+Equal shingle sets are one node. Similar nodes share a band of minimal hashes
+with near certainty; each band's nodes are first compared with its most central
+one, that which meets most nodes in all its bands. Where a band still holds more than one component, its nodes are
 partitioned into groups of similar ones and each group's token union is stored
 (a row of the token-group matrix). A node's overlap with a union bounds its
 similarity to every member; only groups that can qualify are opened, and their
@@ -29,37 +29,52 @@ from placeloom.llm.shingles import mix, shingle_sets
 PERCENT = 75
 #: A pair at the threshold shares no band once in 4 million times: (1 - 0.75 ** 4) ** 40.
 BANDS, ROWS = 40, 4
+#: Minimal hashes that agree, of all, in a pair worth comparing exactly. A pair at the threshold has fewer once in 500 million times.
+ALIKE = 0.55
 #: Nodes in a group, about.
 GROUP = 64
 
-_SIGNED = pa.struct([("n", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_SIGNED = pa.struct([("n", pa.int64()), ("set", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
 
 def _factors() -> np.ndarray:
     return mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def _bands(tokens: np.ndarray, factors: np.ndarray) -> list[int]:
+def _bands(tokens: np.ndarray, factors: np.ndarray) -> tuple[list[int], bytes]:
+    """Keys of the bands, and a byte of each minimal hash."""
     least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for low in range(0, len(tokens), 4096):
         part = tokens[low : low + 4096]
         for at in range(0, len(factors), 40):  # small enough for the processor's cache
             np.minimum(least[at : at + 40], (part[:, None] * factors[None, at : at + 40]).min(axis=0), out=least[at : at + 40])
-    keys = mix(least).reshape(BANDS, ROWS)
+    least = mix(least)
+    keys = least.reshape(BANDS, ROWS)
     out = np.arange(BANDS, dtype=np.uint64)
     for r in range(ROWS):
         out = mix(out * np.uint64(0xD1B54A32D192ED03) + keys[:, r])
-    return out.view(np.int64).tolist()
+    return out.view(np.int64).tolist(), least.astype(np.uint8).tobytes()
 
 
 @F.arrow_udf(from_arrow_type(_SIGNED))
 def _signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     factors = _factors()
     for texts in batches:
-        rows = [{"n": len(t), "node": hashlib.blake2b(t.tobytes(), digest_size=16).digest() if len(t) else None, "bands": _bands(t, factors) if len(t) else []} for t in shingle_sets(texts)]
+        rows = []
+        for t in shingle_sets(texts):
+            bands, sketch = _bands(t, factors) if len(t) else ([], None)
+            rows.append({"n": len(t), "set": hashlib.blake2b(t.tobytes(), digest_size=16).digest() if len(t) else None, "bands": bands, "sketch": sketch})
         yield pa.array(rows, _SIGNED)
 
 
+@F.arrow_udf(BooleanType())
+def _alike(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Whether two sketches agree often enough for the pair to be worth an exact comparison."""
+    for left, right in batches:
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for x in (left, right))
+        yield pa.array((a == b).mean(axis=1) >= ALIKE, pa.bool_())
+
+
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
     """How many numbers two sorted arrays without repeats share."""
     if len(a) > len(b):
@@ -129,30 +144,42 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     its own text; a null id stays null and is nobody's smallest. Further columns are not read. No rows give no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = stage(rows.select("id", _key(F.col("text")).alias("key"), _signatures(F.col("text")).alias("s")).select("id", "key", "s.n", "s.node", "s.bands"), "signatures")
-    nodes = signed.where("node is not null").groupBy("node").agg(F.min("key").alias("key"), F.min("bands").alias("bands"))
+    signed = rows.select("id", _key(F.col("text")).alias("key"), _signatures(F.col("text")).alias("s")).select("id", "key", "s.*")
+    signed = stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    nodes = signed.where("set is not null").groupBy("set").agg(F.min(F.struct("row", "key", "bands", "sketch")).alias("m")).select("set", F.col("m.row").alias("node"), "m.key", "m.bands", "m.sketch")
+    nodes = stage(nodes, "nodes")
 
     each = nodes.select("node", F.explode("bands").alias("band"))
-    heads = each.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    shared = stage(each.join(heads, "band"), "bands")
-
-    wanted = shared.select("node").distinct().join(nodes.select("node", "key"), "node")
-    texts = rows.withColumn("key", _key(F.col("text"))).join(wanted, "key").groupBy("node").agg(F.min("text").alias("text"))
-    texts = stage(texts, "texts")
-    first = stage(_verified(shared.where("node <> head").select("node", F.col("head")).distinct(), texts, "node", "head"), "links")
+    met = stage(each.join(each.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "band"), "met")
+    ranked = met.join(met.groupBy("node").agg(F.sum("n").alias("meets")), "node").select("band", "node", "meets")
+    heads = ranked.groupBy("band").agg(F.max(F.struct("meets", "node")).alias("h")).select("band", F.col("h.node").alias("head"))
+    shared = stage(ranked.join(heads, "band").select("band", "node", "head"), "shared")
+
+    sketches = nodes.select("node", "sketch")
+    pairs = shared.where("node <> head").select("node", "head").distinct()
+    near = pairs.join(sketches, "node").join(sketches.select(F.col("node").alias("head"), F.col("sketch").alias("_h")), "head").where(_alike(F.col("sketch"), F.col("_h"))).select("node", "head")
+    near = stage(near, "near")
+    first = stage(_verified(near, _texts(rows, nodes, near.select("node").union(near.select("head")).distinct()), "node", "head"), "links")
     edges = first.select(F.col("node").alias("a"), F.col("head").alias("b"))
     found = components(edges, "a", "b")
 
-    more = stage(_between(shared, found, texts), "more")
+    more = stage(_between(shared, found, rows, nodes), "more")
     if not more.isEmpty():
         found = components(edges.union(more), "a", "b")
 
-    named = signed.select("id", "n", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = signed.select("id", "n", "set").join(nodes.select("set", "node"), "set", "left").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
     return named.join(least, "component", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
 
 
-def _between(shared: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+def _texts(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of the wanted nodes."""
+    keys = wanted.join(nodes.select("node", "key"), "node")
+    # rows of one key have one text; a copy of it is dropped where it is met, before and after the exchange
+    return rows.select(_key(F.col("text")).alias("key"), "text").join(keys, "key").select("node", "text").dropDuplicates(["node"])
+
+
+def _between(shared: DataFrame, found: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links between different components (a, b: nodes) of nodes that share a band."""
     placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band")
@@ -166,6 +193,7 @@ def _between(shared: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame
     group = F.xxhash64("near", F.pmod(F.xxhash64("component"), parts(F.col("n_near"))), F.pmod(F.xxhash64("node"), parts(F.col("n_component"))))
     grouped = stage(grouped.select("node", "component", "n_component", group.alias("group")), "groups")
 
+    texts = stage(_texts(rows, nodes, grouped.select("node")), "texts")
     unions = grouped.join(texts, "node").groupBy("group").agg(F.collect_list("text").alias("all")).select("group", _union_of(F.col("all")).alias("u"))
     unions = stage(unions.select("group", "u.tokens", "u.least"), "unions")
     in_band = placed.select("band", "node").join(grouped, "node")
