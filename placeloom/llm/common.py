@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +51,15 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 200) -> Iterator[None]:
+    """Rows with several texts go to Python by few at a time: bounds a task's memory. For what is staged inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

@@ -4,9 +4,10 @@ Equal shingle sets are one node. Similar nodes share a band of minimal hashes
 with near certainty; each band's nodes are first compared with its most central
 one, that which meets most nodes in all its bands. Where a band still holds more than one component, its nodes are
 partitioned into groups of similar ones and each group's token union is stored
-(a row of the token-group matrix). A node's overlap with a union bounds its
-similarity to every member; only groups that can qualify are opened, and their
-members compared exactly.
+(a row of the token-group matrix); tokens here are the minimal hashes, as many
+for each node. A node's overlap with a union bounds how alike it is to every
+member; only groups that can qualify are opened, and their members compared,
+exactly in the end.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BinaryType, BooleanType
 
-from placeloom.llm.common import stage
+from placeloom.llm.common import small_batches, stage
 from placeloom.llm.graph import components
 from placeloom.llm.shingles import mix, shingle_sets
 
@@ -100,28 +101,29 @@ def _linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.bool_())
 
 
-_UNION = pa.struct([("tokens", pa.list_(pa.int64())), ("least", pa.int64())])
-
-
-@F.arrow_udf(from_arrow_type(_UNION))
+@F.arrow_udf(BinaryType())
 def _union_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Of arrays of texts: the union of their shingles, and the size of the smallest set."""
+    """Of arrays of sketches: for each place, which of the 256 byte values the members have, a bit each."""
     for groups in batches:
         out = []
-        for texts in groups:
-            sets = list(shingle_sets(pa.array(texts.as_py(), pa.string())))
-            out.append({"tokens": np.unique(np.concatenate(sets)).view(np.int64), "least": min(map(len, sets))})
-        yield pa.array(out, _UNION)
+        for g in groups:
+            sketches = np.frombuffer(b"".join(g.as_py()), np.uint8).reshape(-1, BANDS * ROWS)
+            has = np.zeros((BANDS * ROWS, 256), bool)
+            has[np.arange(BANDS * ROWS)[None, :], sketches] = True
+            out.append(np.packbits(has, axis=1).tobytes())
+        yield pa.array(out, pa.binary())
 
 
 @F.arrow_udf(BooleanType())
-def _may_qualify(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Whether a text shares enough with a group's union to be linked with any of its members."""
-    for texts, unions, least in batches:
+def _may_qualify(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Whether a sketch shares enough with a group's union to be alike to any of its members."""
+    places = np.arange(BANDS * ROWS)
+    for sketches, unions in batches:
         out = []
-        for t, u, m in zip(shingle_sets(texts), unions, least.to_pylist(), strict=True):
-            shared, n = _shared(t, np.sort(np.array(u.values).view(np.uint64))), len(t)
-            out.append(100 * shared >= PERCENT * n and (100 + PERCENT) * shared >= PERCENT * (n + m))
+        for x, u in zip(sketches, unions, strict=True):
+            byte = np.frombuffer(x.as_py(), np.uint8)
+            bits = np.frombuffer(u.as_py(), np.uint8).reshape(BANDS * ROWS, 32)[places, byte >> 3] >> (7 - (byte & 7)) & 1
+            out.append(bool(bits.mean() >= ALIKE))
         yield pa.array(out, pa.bool_())
 
 
@@ -129,10 +131,12 @@ def _key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, a: str, b: str) -> DataFrame:
-    """The pairs (a, b: nodes) whose sets are similar enough. texts: node, text."""
+def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, a: str, b: str) -> DataFrame:
+    """The pairs (a, b: nodes) whose sets are similar enough."""
+    texts = _texts(rows, nodes, pairs.select(a).union(pairs.select(b)).distinct().withColumnRenamed(a, "node"))
     left, right = texts.select(F.col("node").alias(a), F.col("text").alias("_l")), texts.select(F.col("node").alias(b), F.col("text").alias("_r"))
-    return pairs.select(a, b).join(left, a).join(right, b).where(_linked(F.col("_l"), F.col("_r"))).select(a, b)
+    with small_batches(rows.sparkSession):
+        return stage(pairs.select(a, b).join(left, a).join(right, b).where(_linked(F.col("_l"), F.col("_r"))).select(a, b), "links")
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,11 +163,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     pairs = shared.where("node <> head").select("node", "head").distinct()
     near = pairs.join(sketches, "node").join(sketches.select(F.col("node").alias("head"), F.col("sketch").alias("_h")), "head").where(_alike(F.col("sketch"), F.col("_h"))).select("node", "head")
     near = stage(near, "near")
-    first = stage(_verified(near, _texts(rows, nodes, near.select("node").union(near.select("head")).distinct()), "node", "head"), "links")
+    first = _verified(near, rows, nodes, "node", "head")
     edges = first.select(F.col("node").alias("a"), F.col("head").alias("b"))
     found = components(edges, "a", "b")
 
-    more = stage(_between(shared, found, rows, nodes), "more")
+    more = _between(shared, found, rows, nodes)
     if not more.isEmpty():
         found = components(edges.union(more), "a", "b")
 
@@ -191,20 +195,17 @@ def _between(shared: DataFrame, found: DataFrame, rows: DataFrame, nodes: DataFr
     by_component = of_node.groupBy("component").agg(F.count(F.lit(1)).alias("n_component"))
     grouped = of_node.join(by_near, "near").join(by_component, "component")
     group = F.xxhash64("near", F.pmod(F.xxhash64("component"), parts(F.col("n_near"))), F.pmod(F.xxhash64("node"), parts(F.col("n_component"))))
-    grouped = stage(grouped.select("node", "component", "n_component", group.alias("group")), "groups")
-
-    texts = stage(_texts(rows, nodes, grouped.select("node")), "texts")
-    unions = grouped.join(texts, "node").groupBy("group").agg(F.collect_list("text").alias("all")).select("group", _union_of(F.col("all")).alias("u"))
-    unions = stage(unions.select("group", "u.tokens", "u.least"), "unions")
-    in_band = placed.select("band", "node").join(grouped, "node")
-    to_open = in_band.select("band", F.col("group"), F.col("component").alias("c2"), F.col("n_component").alias("n2")).distinct()
-    # Of two components the smaller one asks.
-    asks = (F.col("n_component") < F.col("n2")) | ((F.col("n_component") == F.col("n2")) & (F.col("component") < F.col("c2")))
-    asked = in_band.select("band", "node", "component", "n_component").join(to_open, "band").where((F.col("component") != F.col("c2")) & asks).select("node", "group").distinct()
-    opened = asked.join(unions, "group").join(texts, "node").where(_may_qualify(F.col("text"), F.col("tokens"), F.col("least"))).select("node", "group")
-    members = grouped.select("group", F.col("node").alias("member"), F.col("component").alias("c2"))
-    pairs = opened.join(members, "group").join(grouped.select("node", "component"), "node").where("component <> c2").select(F.col("node").alias("a"), F.col("member").alias("b")).distinct()
-    return _verified(pairs, texts, "a", "b")
+    sketches = nodes.select("node", "sketch")
+    members = stage(grouped.select("node", "component", group.alias("group")).join(sketches, "node"), "members")
+    unions = members.groupBy("group").agg(F.collect_list("sketch").alias("all")).select("group", _union_of(F.col("all")).alias("union"))
+
+    in_band = placed.select("band", "node").join(members.select("node", "group"), "node")
+    asked = in_band.select("band", "node").join(in_band.select("band", "group").distinct(), "band").select("node", "group").distinct()
+    asks = members.select("node", "component", F.col("sketch").alias("asks"))
+    opened = asked.join(asks, "node").join(unions, "group").where(_may_qualify(F.col("asks"), F.col("union"))).select("node", "component", "asks", "group")
+    held = members.select("group", F.col("node").alias("member"), F.col("component").alias("other"), "sketch")
+    pairs = opened.join(held, "group").where("component <> other and node < member").where(_alike(F.col("asks"), F.col("sketch"))).select(F.col("node").alias("a"), F.col("member").alias("b"))
+    return _verified(stage(pairs, "near"), rows, nodes, "a", "b")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
