@@ -30,8 +30,10 @@ from placeloom.llm.shingles import mix, shingle_sets
 PERCENT = 75
 #: A pair at the threshold shares no band once in 4 million times: (1 - 0.75 ** 4) ** 40.
 BANDS, ROWS = 40, 4
-#: Minimal hashes that agree, of all, in a pair worth comparing exactly. A pair at the threshold has fewer once in 500 million times.
-ALIKE = 0.55
+#: Minimal hashes that agree, of all, in a pair worth comparing exactly. A pair at the threshold has fewer once in 3 million times.
+ALIKE = 0.58
+#: Values of a sketch's numbers.
+VALUES = 512
 #: Nodes in a group, about.
 GROUP = 64
 
@@ -43,7 +45,7 @@ def _factors() -> np.ndarray:
 
 
 def _bands(tokens: np.ndarray, factors: np.ndarray) -> tuple[list[int], bytes]:
-    """Keys of the bands, and a byte of each minimal hash."""
+    """Keys of the bands, and the low bits of each minimal hash."""
     least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for low in range(0, len(tokens), 4096):
         part = tokens[low : low + 4096]
@@ -54,7 +56,7 @@ def _bands(tokens: np.ndarray, factors: np.ndarray) -> tuple[list[int], bytes]:
     out = np.arange(BANDS, dtype=np.uint64)
     for r in range(ROWS):
         out = mix(out * np.uint64(0xD1B54A32D192ED03) + keys[:, r])
-    return out.view(np.int64).tolist(), least.astype(np.uint8).tobytes()
+    return out.view(np.int64).tolist(), (least % np.uint64(VALUES)).astype(np.uint16).tobytes()
 
 
 @F.arrow_udf(from_arrow_type(_SIGNED))
@@ -72,7 +74,7 @@ def _signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def _alike(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """Whether two sketches agree often enough for the pair to be worth an exact comparison."""
     for left, right in batches:
-        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for x in (left, right))
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, BANDS * ROWS) for x in (left, right))
         yield pa.array((a == b).mean(axis=1) >= ALIKE, pa.bool_())
 
 
@@ -103,12 +105,12 @@ def _linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 @F.arrow_udf(BinaryType())
 def _union_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Of arrays of sketches: for each place, which of the 256 byte values the members have, a bit each."""
+    """Of arrays of sketches: for each place, which of the values the members have, a bit each."""
     for groups in batches:
         out = []
         for g in groups:
-            sketches = np.frombuffer(b"".join(g.as_py()), np.uint8).reshape(-1, BANDS * ROWS)
-            has = np.zeros((BANDS * ROWS, 256), bool)
+            sketches = np.frombuffer(b"".join(g.as_py()), np.uint16).reshape(-1, BANDS * ROWS)
+            has = np.zeros((BANDS * ROWS, VALUES), bool)
             has[np.arange(BANDS * ROWS)[None, :], sketches] = True
             out.append(np.packbits(has, axis=1).tobytes())
         yield pa.array(out, pa.binary())
@@ -121,8 +123,8 @@ def _may_qualify(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Ar
     for sketches, unions in batches:
         out = []
         for x, u in zip(sketches, unions, strict=True):
-            byte = np.frombuffer(x.as_py(), np.uint8)
-            bits = np.frombuffer(u.as_py(), np.uint8).reshape(BANDS * ROWS, 32)[places, byte >> 3] >> (7 - (byte & 7)) & 1
+            value = np.frombuffer(x.as_py(), np.uint16)
+            bits = np.frombuffer(u.as_py(), np.uint8).reshape(BANDS * ROWS, VALUES // 8)[places, value >> 3] >> (7 - (value & 7)) & 1
             out.append(bool(bits.mean() >= ALIKE))
         yield pa.array(out, pa.bool_())
 
