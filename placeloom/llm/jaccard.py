@@ -201,8 +201,10 @@ def _between(shared: DataFrame, found: DataFrame, rows: DataFrame, nodes: DataFr
     members = stage(grouped.select("node", "component", group.alias("group")).join(sketches, "node"), "members")
     unions = members.groupBy("group").agg(F.collect_list("sketch").alias("all")).select("group", _union_of(F.col("all")).alias("union"))
 
-    in_band = placed.select("band", "node").join(members.select("node", "group"), "node")
-    asked = in_band.select("band", "node").join(in_band.select("band", "group").distinct(), "band").select("node", "group").distinct()
+    in_band = placed.select("band", "node", "component").join(members.select("node", "group"), "node")
+    # a node asks only groups that have, in this band, a later node of another component
+    has = in_band.groupBy("band", "group").agg(F.max("node").alias("latest"), F.min("component").alias("x"), F.max("component").alias("y"))
+    asked = in_band.select("band", "node", "component").join(has, "band").where("node < latest and (component <> x or component <> y)").select("node", "group").distinct()
     asks = members.select("node", "component", F.col("sketch").alias("asks"))
     opened = asked.join(asks, "node").join(unions, "group").where(_may_qualify(F.col("asks"), F.col("union"))).select("node", "component", "asks", "group")
     held = members.select("group", F.col("node").alias("member"), F.col("component").alias("other"), "sketch")
