@@ -22,7 +22,7 @@ from pyspark.sql.types import BinaryType
 
 BLOCK, RATE = 1024, 8000
 #: Frames worked on at once: bounds a task's memory whatever the length of a text.
-FRAMES = 4096
+FRAMES = 1536
 PAD = 64
 
 
