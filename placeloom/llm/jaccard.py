@@ -6,8 +6,9 @@ one, that which meets most nodes in all its bands. Where a band still holds more
 partitioned into groups of similar ones and each group's token union is stored
 (a row of the token-group matrix); tokens here are the minimal hashes, as many
 for each node. A node's overlap with a union bounds how alike it is to every
-member; only groups that can qualify are opened, and their members compared,
-exactly in the end.
+member; only groups that can qualify are opened: a node's shingles meet the
+matrix of the members' in one step, and no row is made for a pair that differs.
+What is left is compared exactly.
 """
 
 from __future__ import annotations
@@ -34,11 +35,16 @@ BANDS, ROWS = 40, 4
 ALIKE = 0.58
 #: Values of a sketch's numbers.
 VALUES = 512
-#: Nodes in a group, about.
-GROUP = 64
+#: Nodes in a group, and those that ask it in one step, about.
+GROUP, ASKING = 64, 256
+#: Least shingle hashes kept of a node in a group: all of most texts. Of longer ones a pair at the threshold seems less
+#: alike than SEEMS_LONG once in 10 million times; of shorter ones only by hashes that are equal by chance.
+KEPT, SEEMS, SEEMS_LONG = 1024, 0.74, 0.68
 
 _SIGNED = pa.struct([("n", pa.int64()), ("set", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
+_FOUND = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
 
 def _factors() -> np.ndarray:
     return mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -129,6 +135,57 @@ def _may_qualify(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Ar
         yield pa.array(out, pa.bool_())
 
 
+@F.arrow_udf(BinaryType())
+def _tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Each text's least KEPT shingle hashes as sorted 32-bit numbers, after the number of all."""
+    for texts in batches:
+        out = []
+        for t in shingle_sets(texts):
+            least = np.unique((t >> np.uint64(32)).astype(np.uint32))
+            out.append(np.concatenate([np.array([len(least)], np.uint32), least[:KEPT]]).tobytes())
+        yield pa.array(out, pa.binary())
+
+
+def _seem_alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Of two token arrays, either longer than what is kept: compared as far as both are known."""
+    known = min(x[-1] for x in (a, b) if x[0] > KEPT)
+    a, b = (x[1 : 1 + np.searchsorted(x[1:], known, side="right")] for x in (a, b))
+    shared = _shared(a, b)
+    return shared >= SEEMS_LONG * (len(a) + len(b) - shared)
+
+
+@F.arrow_udf(from_arrow_type(_FOUND))
+def _opened(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Pairs (a of those that ask, b of a group's members, a < b) of different components that seem similar enough."""
+    for asking, held in batches:
+        out = []
+        for some, members in zip(asking, held, strict=True):
+            some, members = ({k: x.values.field(k) for k in ("node", "component", "tokens")} for x in (some, members))
+            sets = [np.frombuffer(x, np.uint32) for x in members["tokens"].to_pylist()]
+            node, component = members["node"].to_numpy(), members["component"].to_numpy()
+            n, kept = np.array([x[0] for x in sets], np.int64), np.array([len(x) - 1 for x in sets])
+            # the matrix: a row for each token of any member, a column for each member
+            union, at = np.unique(np.concatenate([x[1:] for x in sets]), return_inverse=True)
+            has = np.zeros((len(union), len(sets)), bool)
+            has[at, np.repeat(np.arange(len(sets)), kept)] = True
+            found = []
+            for q, c, x in zip(some["node"].to_pylist(), some["component"].to_pylist(), some["tokens"].to_pylist(), strict=True):
+                x = np.frombuffer(x, np.uint32)
+                other = (node > q) & (component != c) & (100 * np.minimum(n, x[0]) >= (PERCENT - 1) * np.maximum(n, x[0]))
+                if not other.any():
+                    continue
+                where = np.searchsorted(union, x[1:])
+                where[where == len(union)] = 0
+                shared = has[where[union[where] == x[1:]]].sum(axis=0)
+                long = (n > KEPT) | (x[0] > KEPT)
+                alike = other & ~long & (shared >= SEEMS * (n + x[0] - shared))
+                for k in np.flatnonzero(other & long):
+                    alike[k] = _seem_alike(x, sets[k])
+                found += [{"a": q, "b": int(b)} for b in node[alike]]
+            out.append(found)
+        yield pa.array(out, _FOUND)
+
+
 def _key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
@@ -205,11 +262,21 @@ def _between(shared: DataFrame, found: DataFrame, rows: DataFrame, nodes: DataFr
     # a node asks only groups that have, in this band, a later node of another component
     has = in_band.groupBy("band", "group").agg(F.max("node").alias("latest"), F.min("component").alias("x"), F.max("component").alias("y"))
     asked = in_band.select("band", "node", "component").join(has, "band").where("node < latest and (component <> x or component <> y)").select("node", "group").distinct()
-    asks = members.select("node", "component", F.col("sketch").alias("asks"))
-    opened = asked.join(asks, "node").join(unions, "group").where(_may_qualify(F.col("asks"), F.col("union"))).select("node", "component", "asks", "group")
-    held = members.select("group", F.col("node").alias("member"), F.col("component").alias("other"), "sketch")
-    pairs = opened.join(held, "group").where("component <> other and node < member").where(_alike(F.col("asks"), F.col("sketch"))).select(F.col("node").alias("a"), F.col("member").alias("b"))
-    return _verified(stage(pairs, "near"), rows, nodes, "a", "b")
+    asks = members.select("node", F.col("sketch").alias("asks"))
+    opened = stage(asked.join(asks, "node").join(unions, "group").where(_may_qualify(F.col("asks"), F.col("union"))).select("node", "group"), "opened")
+
+    wanted = opened.select("node").union(members.join(opened.select("group").distinct(), "group", "left_semi").select("node")).distinct()
+    with small_batches(rows.sparkSession):
+        tokens = stage(_texts(rows, nodes, wanted).select("node", _tokens(F.col("text")).alias("tokens")), "tokens")
+    whole = members.select("node", "component", "group").join(tokens, "node")
+    each_of = F.struct("node", "component", "tokens")
+    held = whole.groupBy("group").agg(F.collect_list(each_of).alias("held"))
+    steps = opened.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / ASKING).alias("steps"))
+    asking = opened.join(steps, "group").join(whole.select("node", "component", "tokens"), "node")
+    asking = asking.groupBy("group", F.pmod(F.xxhash64("node"), "steps").alias("step")).agg(F.collect_list(each_of).alias("asking"))
+    with small_batches(rows.sparkSession, 8):
+        pairs = stage(asking.join(held, "group").select(F.explode(_opened(F.col("asking"), F.col("held"))).alias("p")).select("p.*"), "near")
+    return _verified(pairs, rows, nodes, "a", "b")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
