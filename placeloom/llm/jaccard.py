@@ -36,7 +36,7 @@ ALIKE = 0.58
 #: Values of a sketch's numbers.
 VALUES = 512
 #: Nodes in a group, and those that ask it in one step, about.
-GROUP, ASKING = 64, 256
+GROUP, ASKING = 256, 256
 #: Least shingle hashes kept of a node in a group: all of most texts. Of longer ones a pair at the threshold seems less
 #: alike than SEEMS_LONG once in 10 million times; of shorter ones only by hashes that are equal by chance.
 KEPT, SEEMS, SEEMS_LONG = 1024, 0.74, 0.68
@@ -156,7 +156,7 @@ def _seem_alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 @F.arrow_udf(from_arrow_type(_FOUND))
 def _opened(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Pairs (a of those that ask, b of a group's members, a < b) of different components that seem similar enough."""
+    """Pairs (a of those that ask, b of a group's members) of different components that seem similar enough."""
     for asking, held in batches:
         out = []
         for some, members in zip(asking, held, strict=True):
@@ -171,7 +171,8 @@ def _opened(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             found = []
             for q, c, x in zip(some["node"].to_pylist(), some["component"].to_pylist(), some["tokens"].to_pylist(), strict=True):
                 x = np.frombuffer(x, np.uint32)
-                other = (node > q) & (component != c) & (100 * np.minimum(n, x[0]) >= (PERCENT - 1) * np.maximum(n, x[0]))
+                # members of the group itself ask it too: each pair once
+                other = ((node > q) | ~(node == q).any()) & (component != c) & (100 * np.minimum(n, x[0]) >= (PERCENT - 1) * np.maximum(n, x[0]))
                 if not other.any():
                     continue
                 where = np.searchsorted(union, x[1:])
@@ -258,10 +259,14 @@ def _between(shared: DataFrame, found: DataFrame, rows: DataFrame, nodes: DataFr
     members = stage(grouped.select("node", "component", group.alias("group")).join(sketches, "node"), "members")
     unions = members.groupBy("group").agg(F.collect_list("sketch").alias("all")).select("group", _union_of(F.col("all")).alias("union"))
 
+    # Groups that meet in a band, with nodes of different components there: the smaller one's nodes ask the larger.
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
     in_band = placed.select("band", "node", "component").join(members.select("node", "group"), "node")
-    # a node asks only groups that have, in this band, a later node of another component
-    has = in_band.groupBy("band", "group").agg(F.max("node").alias("latest"), F.min("component").alias("x"), F.max("component").alias("y"))
-    asked = in_band.select("band", "node", "component").join(has, "band").where("node < latest and (component <> x or component <> y)").select("node", "group").distinct()
+    has = in_band.groupBy("band", "group").agg(F.min("component").alias("x"), F.max("component").alias("y")).join(sizes, "group")
+    has = has.select("band", F.struct("size", "group").alias("g"), "x", "y")
+    meets = has.join(has.select("band", F.col("g").alias("h"), F.col("x").alias("hx"), F.col("y").alias("hy")), "band").where("g <= h and (x <> y or x <> hx or x <> hy)")
+    meets = meets.select(F.col("g.group").alias("asker"), F.col("h.group").alias("group")).distinct()
+    asked = members.select("node", F.col("group").alias("asker")).join(meets, "asker").select("node", "group")
     asks = members.select("node", F.col("sketch").alias("asks"))
     opened = stage(asked.join(asks, "node").join(unions, "group").where(_may_qualify(F.col("asks"), F.col("union"))).select("node", "group"), "opened")
 
