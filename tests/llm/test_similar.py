@@ -88,6 +88,36 @@ def test_chains_and_templates(spark):
     assert got == {i: (len(sets[i]), find(i)) for i in docs}
 
 
+def test_long_texts_are_compared_by_their_least_hashes(spark):
+    """A chain of texts with more shingles than are kept of each; its ends are too different to link directly."""
+    rng = random.Random(2)
+    base, docs = [f"w{rng.randrange(10**6)}" for _ in range(3000)], {}
+    for i in range(12):
+        base = base[:]
+        for _ in range(60):
+            base[rng.randrange(3000)] = f"w{rng.randrange(10**6)}"
+        docs[i] = " ".join(base)
+    docs[50] = " ".join(f"w{rng.randrange(10**6)}" for _ in range(3000))
+    df = spark.createDataFrame([*docs.items()], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.link(df).collect()}
+    assert got == {i: 0 for i in range(12)} | {50: 50}
+
+
+def test_tokens_of_two_texts():
+    """Alike as far as both are known: all of a short text's hashes, the least KEPT of a long one's."""
+    rng = np.random.default_rng(0)
+
+    def tokens(x):
+        x = np.unique(x)
+        return np.concatenate([np.array([len(x)], np.uint32), x[: jaccard.KEPT]])
+
+    whole = rng.integers(0, 1 << 32, 6000, dtype=np.uint32)
+    assert jaccard._seem_alike(tokens(whole), tokens(whole[: 6000 * 80 // 100]))
+    assert jaccard._seem_alike(tokens(whole[:1200]), tokens(whole[:960]))
+    assert not jaccard._seem_alike(tokens(whole), tokens(whole[: 6000 * 60 // 100]))
+    assert not jaccard._seem_alike(tokens(whole[:3000]), tokens(whole[3000:]))
+
+
 def test_shingles_are_those_of_the_words():
     texts = ["a b c d e f", "A b C d e F", "a  b\tc\nd e f ", "", "x", "x y", "é\xa0ü b c d e", "ab c", "a bc", "\x1cq r s t u v", "a\x1cb"]
     lists = shingles.shingle_lists([t.encode() for t in texts])
