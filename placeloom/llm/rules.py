@@ -3,7 +3,8 @@
 Measures of every text are worked out by array functions. Labelled rows are
 counted by their vector of bins, so what reaches the driver is bounded by the
 number of vectors, not of rows. Sequential covering then grows a conjunction of
-thresholds, prunes it on held-out counts, takes out what it covers, and so on.
+thresholds, prunes it on held-out counts, takes out what it covers, and so on;
+one that fails on the counts is set aside, and the next best begins elsewhere.
 The list becomes one conditional expression.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from placeloom.llm.common import SPACE, let, text_of
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
 #: Thresholds tried for each measure; conditions in a rule; rules; share of bad rows a rule must catch among all it catches.
 BINS, CONDITIONS, RULES, PRECISION, LEAST_CAUGHT = 8, 3, 12, 0.9, 8
+#: Shares of all rows at which thresholds lie besides, for kinds that are rare; shares of the bad and of the good rows likewise.
+TAILS, OF_BAD, OF_GOOD = (0.01, 0.9, 0.99), (0.1, 0.25, 0.5, 0.75, 0.9), (0.001, 0.999, 1.0)
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
@@ -85,12 +89,15 @@ Rule = tuple[Condition, ...]
 def statistics(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", bins: int = BINS) -> tuple[dict[str, list[float]], list[tuple]]:
     """Thresholds of each measure, and (vector of bins, held out?, bad rows, good rows) of what the base rules let pass.
 
-    At most 2 * (bins + 1) ** measures rows come to the driver, whatever the number of labelled rows.
+    Thresholds are quantiles of all rows, of the bad ones, and the ends of the good ones. At most 2 * (thresholds + 1) ** measures rows
+    come to the driver, whatever the number of labelled rows.
     """
     cols = scaled(measured)
     labelled = measured.where(~base_failed()).join(labels.where(F.col(label_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("_label")), id_col).select(*[c.alias(k) for k, c in cols.items()], "_label", (F.pmod(F.xxhash64(id_col), F.lit(3)) == 0).alias("_held"))
-    cuts = labelled.agg(*[F.percentile_approx(k, [i / bins for i in range(1, bins)], 10_000).alias(k) for k in cols]).first()
-    thresholds = {k: sorted(set(cuts[k] or [])) for k in cols}
+    at = sorted({*(i / bins for i in range(1, bins)), *TAILS})
+    shares = {"": (F.lit(True), at), "bad_": (F.col("_label") == 0, list(OF_BAD)), "good_": (F.col("_label") != 0, list(OF_GOOD))}
+    cuts = labelled.agg(*[F.percentile_approx(F.when(of, F.col(k)), q, 10_000).alias(p + k) for p, (of, q) in shares.items() for k in cols]).first()
+    thresholds = {k: sorted({x for p in shares for x in cuts[p + k] or []}) for k in cols}
     number = lambda k: sum(((F.col(k) > t).cast("int") for t in thresholds[k]), F.lit(0))
     counted = labelled.groupBy(*[number(k).alias(f"b_{k}") for k in cols], "_held").agg(F.count_if(F.col("_label") == 0).alias("bad"), F.count_if(F.col("_label") != 0).alias("good"))
     return thresholds, sorted((tuple(r[f"b_{k}"] for k in cols), r["_held"], r["bad"], r["good"]) for r in counted.collect())
@@ -99,24 +106,34 @@ def statistics(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", l
 def learn(thresholds: dict[str, list[float]], counts: list[tuple], conditions: int = CONDITIONS, rules: int = RULES, precision: float = PRECISION, least: int = LEAST_CAUGHT) -> list[Rule]:
     """The decision list: each rule rejects; what no rule catches is kept. Empty without labelled rows."""
     names = list(thresholds)
-    holds = lambda rule, v: all((v[j] > i) == above for j, above, i in rule)
+    bins = np.array([r[0] for r in counts], np.int64).reshape(-1, len(names))
+    held = np.array([r[1] for r in counts], bool)
+    tallies = np.array([r[2:] for r in counts], np.int64).reshape(-1, 2)
+
+    def holds(rule) -> np.ndarray:
+        out = np.ones(len(bins), bool)
+        for j, above, i in rule:
+            out &= (bins[:, j] > i) == above
+        return out
 
     def tally(rows, rule) -> tuple[int, int]:
-        caught = [r for r in rows if holds(rule, r[0])]
-        return sum(r[2] for r in caught), sum(r[3] for r in caught)
+        bad, good = tallies[rows & holds(rule)].sum(axis=0).tolist()
+        return bad, good
 
     pure = lambda bad, good: (bad + 1) / (bad + good + 2)
 
-    def grown(rows) -> list:
+    def grown(rows, failed) -> list:
         rule: list = []
         while len(rule) < conditions:
-            bad, good = tally(rows, rule)
+            caught = rows & holds(rule)
+            bad, good = tallies[caught].sum(axis=0).tolist()
             options = []
             for j, k in enumerate(names):
+                below = [np.cumsum(np.bincount(bins[caught, j], tallies[caught, c], len(thresholds[k]) + 1)).astype(int).tolist() for c in (0, 1)]
                 for i in range(len(thresholds[k])):
                     for above in (True, False):
-                        b, g = tally(rows, [*rule, (j, above, i)])
-                        if b >= least:
+                        b, g = (bad - below[0][i], good - below[1][i]) if above else (below[0][i], below[1][i])
+                        if b >= least and (rule or (j, above, i) not in failed):
                             options.append((b * (pure(b, g) - pure(bad, good)), (j, above, i)))
             best = max(options, default=(0, None))
             if best[0] <= 0 or good == 0:
@@ -125,18 +142,24 @@ def learn(thresholds: dict[str, list[float]], counts: list[tuple], conditions: i
         return rule
 
     out: list[Rule] = []
-    rest = list(counts)
+    rest = np.ones(len(bins), bool)
+    # First conditions whose rules failed; tried again once a rule has taken rows away.
+    failed: set = set()
     while len(out) < rules:
-        rule = grown([r for r in rest if not r[1]])
-        held = [r for r in rest if r[1]]
-        while len(rule) > 1 and pure(*tally(held, rule[:-1])) >= pure(*tally(held, rule)):
+        rule = grown(rest & ~held, failed)
+        if not rule:
+            break
+        first = rule[0]
+        while len(rule) > 1 and pure(*tally(rest & held, rule[:-1])) >= pure(*tally(rest & held, rule)):
             rule = rule[:-1]
         bad, good = tally(rest, rule)
-        held_bad, held_good = tally(held, rule)
-        if not rule or bad < least or bad < precision * (bad + good) or held_bad < max(1, precision * (held_bad + held_good)):
-            break
+        held_bad, held_good = tally(rest & held, rule)
+        if bad < least or bad < precision * (bad + good) or held_bad < max(1, precision * (held_bad + held_good)):
+            failed.add(first)
+            continue
         out.append(tuple(Condition(names[j], above, thresholds[names[j]][i]) for j, above, i in rule))
-        rest = [r for r in rest if not holds(rule, r[0])]
+        rest &= ~holds(rule)
+        failed.clear()
     return out
 
 

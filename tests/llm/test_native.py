@@ -55,6 +55,25 @@ def test_rules_hold_on_labels_not_learnt_from(spark):
     assert r.bad_gone >= 0.9 * r.bad
 
 
+def test_a_rare_kind_of_bad_text_is_learnt(spark):
+    """Good texts stutter now and then, more often than an octile tells; 2 in 100 are nothing but stutter."""
+    n = 3000
+    stutter = lambda i: 60 + i % 7 if i % 50 == 0 else i % 10 if i % 3 == 0 else 0
+    rows = [(i, 100 + i % 97, 500 + i % 89, i % 5, 0, 0, stutter(i)) for i in range(n)]
+    measured = spark.createDataFrame(rows, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_stutters long")
+    labels = spark.createDataFrame([(i, int(i % 50 != 0)) for i in range(n)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in rules.judged(measured, queries.learnt_rules(measured, labels)).collect()}
+    assert not any(kept[i] for i in range(0, n, 50))
+    assert all(kept[i] for i in range(n) if i % 50)
+
+
+def test_a_failing_rule_is_set_aside():
+    """Most bad rows lie where three times as many good ones do; ten lie alone, found only after that rule failed."""
+    counts = [((1, 0), held, 90, 270) for held in (False, True)] + [((0, 1), held, 10, 0) for held in (False, True)] + [((0, 0), held, 0, 2000) for held in (False, True)]
+    learnt = rules.learn({"a": [0.5], "b": [0.5]}, counts)
+    assert [str(c) for c in learnt[0]] == ["b > 0.5"] and len(learnt) == 1
+
+
 def test_rules_without_labels(spark, awkward):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert queries.learnt_rules(rules.measures(awkward), labels) == []
