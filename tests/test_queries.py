@@ -1,10 +1,12 @@
 """Every query with SQL against DuckDB, and the shape of the joins' plans."""
 
 import duckdb
+import numpy as np
 import pytest
 
 from placeloom.queries import QUERIES, SQL
 from placeloom.plans.sites import events, sites
+from placeloom.operators import vectors
 from placeloom.operators.spatial import nearest_uncapped, radius_join
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages".split()
@@ -45,3 +47,16 @@ def test_nearest_uncapped_finds_k_for_all(spark, sf):
     s = sites(spark, sf).limit(20)
     found = nearest_uncapped(s, events(spark, sf), 3, 200, "event_id", rounds=3)
     assert found.groupBy("site_id").count().where("count = 3").count() == 20
+
+
+def test_cosine_works_in_slices_and_keeps_ties(spark, monkeypatch):
+    """No product of a block with a block as a whole, blocks by the number of rows; equal rows go by id."""
+    rows = [(i, [float(i % 7 + 1), float(i % 3), 1.0]) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    monkeypatch.setattr(vectors, "SLICE", 5)
+    got = vectors.top_cosine(df, df, 3)
+    v = {i: np.array(x) / np.linalg.norm(x) for i, x in rows}
+    want = {(i, rank, j) for i in v for rank, j in enumerate(sorted((j for j in v if j != i), key=lambda j: (-round(float(v[i] @ v[j]), 9), j))[:3], 1)}
+    assert {(r.id, r["rank"], r.neighbour) for r in got.collect()} == want
+    assert "array(0, 1, 2, 3, 4, 5, 6)" in got._jdf.queryExecution().analyzed().toString()
