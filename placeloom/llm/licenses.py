@@ -39,6 +39,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -75,8 +76,9 @@ def _words(passage: Column) -> Column:
     return F.split(F.btrim(F.regexp_replace(F.lower(passage), r"[^\p{L}\p{N}]+", " ")), " ")
 
 
-def _compared(passage: Column, templates, dice: float) -> Column:
-    """array<struct<dice,name>> of the templates that passage comes within dice of."""
+def _compared(passage: Column, templates, dice: float, best_only: bool) -> Column:
+    """array<struct<dice,name>> of the templates that passage comes within dice of; or of the nearest, ties all, without
+    those that name another version than the passage does."""
     known = [(name, _bigrams(text)) for name, text in templates]
     least, most = min(len(b) for _, b in known) * dice / (2 - dice), max(len(b) for _, b in known) * (2 - dice) / dice
 
@@ -86,8 +88,12 @@ def _compared(passage: Column, templates, dice: float) -> Column:
         for name, b in known:
             score = 2 * F.size(F.array_intersect(grams, F.array(*map(F.lit, b)))) / (n + len(b))
             fits = (n * (2 - dice) >= len(b) * dice) & (n * dice <= len(b) * (2 - dice))
+            if best_only and (version := [x for x in b if re.fullmatch(r"version \d+", x)]):
+                fits = fits & ~F.exists(grams, lambda g: g.rlike(r"^version \d+$") & ~g.isin(version))
             each.append(F.when(fits, score).otherwise(F.lit(0.0)))
         scored = F.array(*[F.struct(s.alias("dice"), F.lit(name).alias("name")) for s, (name, _) in zip(each, known, strict=True)])
+        if best_only:
+            return let(scored, lambda all_: F.filter(all_, lambda x: (x["dice"] >= dice) & (x["dice"] == F.array_max(all_)["dice"])))
         return F.filter(scored, lambda x: x["dice"] >= dice)
 
     def bigrams(w: Column) -> Column:
@@ -98,8 +104,9 @@ def _compared(passage: Column, templates, dice: float) -> Column:
     return let(_words(passage), lambda w: F.when(F.size(w) - 1 < least, nothing).otherwise(let(bigrams(w), lambda g: F.when((F.size(g) < least) | (F.size(g) > most), nothing).otherwise(against(g)))))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, dice: float = DICE) -> DataFrame:
-    """One row for each row of docs: id_col and notices, array<struct<dice,name>>, the best score of each licence found.
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, dice: float = DICE, best_only: bool = False) -> DataFrame:
+    """One row for each row of docs: id_col and notices, array<struct<dice,name>>, the best score of each licence found:
+    all that a passage comes near, or with best_only the nearest for each passage.
 
     Notices are sorted by name. Null and empty texts have none; whole texts are read, whatever their length; repeated
     rows stay repeated; null ids stay; further columns are not read; an empty table gives an empty one.
@@ -110,7 +117,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     paragraphs = F.filter(F.split("_t", r"\n[ \t\r]*\n"), lambda x: x.contains("\n") & x.rlike(hint))
     passages = F.array_distinct(F.concat(lines, paragraphs, F.array("_t")))
     nothing = F.array().cast("array<struct<dice:double,name:string>>")
-    found = F.when(F.col("_t").rlike(hint), F.flatten(F.transform(passages, lambda p: _compared(p, templates, dice)))).otherwise(nothing)
+    found = F.when(F.col("_t").rlike(hint), F.flatten(F.transform(passages, lambda p: _compared(p, templates, dice, best_only)))).otherwise(nothing)
     best = let(found, lambda f: F.transform(F.array_sort(F.array_distinct(F.transform(f, lambda x: x["name"]))), lambda n: F.struct(F.array_max(F.filter(f, lambda x: x["name"] == n))["dice"].alias("dice"), n.alias("name"))))
     return docs.select(F.col(id_col), text.alias("_t")).select(id_col, best.alias("notices"))
 

@@ -65,7 +65,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), best_only=True))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

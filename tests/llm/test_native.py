@@ -170,3 +170,22 @@ def test_licences(spark, sf, awkward, nothing):
     assert no_python(licenses.scan(awkward))
     assert licenses.summary(licenses.scan(awkward)).count() == 10
     assert licenses.summary(licenses.scan(nothing)).count() == 0
+
+
+def test_a_passage_has_its_nearest_licence_only(spark):
+    t = dict(enumerate(x for _, x in licenses.TEMPLATES))
+    header = next(x for n, x in licenses.TEMPLATES if n == "GPL-3.0" and "redistribute" in x)
+    texts = {
+        "a\nThis work is licensed under the GNU General Public License, version 3.\nb": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        header.replace("version 3", "version 2"): "GPL-2.0",
+        header: "GPL-3.0",
+        header.replace("version 3", "version 1"): "",
+        t[2]: "BSD-2-Clause",
+        t[3]: "BSD-3-Clause",
+        "Released under the MIT License.\nLicensed under CC BY 4.0.": "CC-BY-4.0,MIT",
+    }
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = licenses.scan(docs, best_only=True)
+    assert no_python(found)
+    assert [r.licences for r in licenses.summary(found).orderBy("doc_id").collect()] == [*texts.values()]
