@@ -27,9 +27,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Deletes the files of staged tables that nothing reads any more."""
+    for df in staged:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

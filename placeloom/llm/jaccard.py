@@ -1,87 +1,161 @@
 """Documents linked by the Jaccard similarity of their word shingles, and what these links connect.
 
-Equal shingle sets are one node. Similar nodes share a band of minimal hashes
-with near certainty; each band's nodes are first compared with its most central
-one, that which meets most nodes in all its bands. Where a band still holds more than one component, its nodes are
-partitioned into groups of similar ones and each group's token union is stored
-(a row of the token-group matrix); tokens here are the minimal hashes, as many
-for each node. A node's overlap with a union bounds how alike it is to every
-member; only groups that can qualify are opened: a node's shingles meet the
-matrix of the members' in one step, and no row is made for a pair that differs.
-What is left is compared exactly.
+Equal shingle sets are one node. Tokens are shingle hashes, ordered from rare to
+common: two similar sets share a token among their first ones (the prefix of
+size - ceil(0.75 size) + 1), whatever the order is, so long as it is the same
+for all. Nodes that share such a token are partitioned into groups of similar
+ones, and each group's token union is stored (a row of the token-group matrix
+for each token). A node meets the matrix by its prefix, sizes and the overlap
+with a group's whole union bound how alike it can be to any member, and only
+groups that qualify are opened: the node is then compared exactly with all of
+the members in one step, and no row is made for a pair that differs.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 from pyspark.sql.types import BinaryType, BooleanType
 
-from placeloom.llm.common import small_batches, stage
+from placeloom.llm.common import small_batches, stage, unstage
 from placeloom.llm.graph import components
-from placeloom.llm.shingles import mix, shingle_sets
+from placeloom.llm.shingles import chunks, shingle_lists
 
 #: Linked if 100 * shared >= PERCENT * together.
 PERCENT = 75
-#: A pair at the threshold shares no band once in 4 million times: (1 - 0.75 ** 4) ** 40.
-BANDS, ROWS = 40, 4
-#: Minimal hashes that agree, of all, in a pair worth comparing exactly. A pair at the threshold has fewer once in 3 million times.
-ALIKE = 0.58
-#: Values of a sketch's numbers.
-VALUES = 512
-#: Nodes in a group, and those that ask it in one step, about.
-GROUP, ASKING = 256, 256
-#: Least shingle hashes kept of a node in a group: all of most texts. Of longer ones a pair at the threshold seems less
-#: alike than SEEMS_LONG once in 10 million times; of shorter ones only by hashes that are equal by chance.
-KEPT, SEEMS, SEEMS_LONG = 1024, 0.74, 0.68
-
-_SIGNED = pa.struct([("n", pa.int64()), ("set", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
-
+#: Tokens counted together in a task, and how often one must come there for its count to go on.
+BLOCK, SEEN = 1 << 22, 4
+#: A token that comes so often in all blocks is common. The table of common ones has at most MOST_COMMON rows, the least
+#: common left out: it only orders tokens, so results do not depend on it.
+COMMON, MOST_COMMON = 16, 1 << 20
+#: Parts into which a common token's nodes are dealt.
+LANES = 64
+#: Nodes, and tokens of all of them, in a group or in what asks it in one step, about.
+GROUP, GROUP_TOKENS = 256, 400_000
+
+_PREFIX = pa.struct([("node", pa.int64()), ("tokens", pa.list_(pa.struct([("token", pa.int64()), ("lane", pa.int8())])))])
 _FOUND = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
-def _factors() -> np.ndarray:
-    return mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-
-
-def _bands(tokens: np.ndarray, factors: np.ndarray) -> tuple[list[int], bytes]:
-    """Keys of the bands, and the low bits of each minimal hash."""
-    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for low in range(0, len(tokens), 4096):
-        part = tokens[low : low + 4096]
-        for at in range(0, len(factors), 40):  # small enough for the processor's cache
-            np.minimum(least[at : at + 40], (part[:, None] * factors[None, at : at + 40]).min(axis=0), out=least[at : at + 40])
-    least = mix(least)
-    keys = least.reshape(BANDS, ROWS)
-    out = np.arange(BANDS, dtype=np.uint64)
-    for r in range(ROWS):
-        out = mix(out * np.uint64(0xD1B54A32D192ED03) + keys[:, r])
-    return out.view(np.int64).tolist(), (least % np.uint64(VALUES)).astype(np.uint16).tobytes()
+def _sets(texts: pa.Array) -> Iterator[list[np.ndarray]]:
+    for some in chunks(texts):
+        yield [np.unique(x) for x in shingle_lists(some)]
+
+
+def _digest(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
+def _node(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def _signer(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For batches of (id, text): rows of id, key, n, set, node; and rows of token, times: what comes often in a block of sets."""
+
+    def rows(columns: dict) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    def often(block: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+        tokens, times = np.unique(np.concatenate(list(block.values())), return_counts=True)
+        often = times >= SEEN
+        return rows({"token": pa.array(tokens[often].view(np.int64)), "times": pa.array(times[often])})
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: dict[bytes, np.ndarray] = {}
+        held = 0
+        for batch in batches:
+            keys, n, sets = [], [], []
+            for some in chunks(batch.column(1)):
+                keys += [hashlib.md5(t).digest() for t in some]
+                for tokens in map(np.unique, shingle_lists(some)):
+                    digest = _digest(tokens) if len(tokens) else None
+                    n.append(len(tokens))
+                    sets.append(digest)
+                    if digest and digest not in block:
+                        block[digest] = tokens
+                        held += len(tokens)
+                if held >= BLOCK:
+                    yield often(block)
+                    block, held = {}, 0
+            yield rows({"id": batch.column(0), "key": pa.array(keys, pa.binary()), "n": pa.array(n, pa.int64()), "set": pa.array(sets, pa.binary()), "node": pa.array([s and _node(s) for s in sets], pa.int64())})
+        if block:
+            yield often(block)
+
+    return sign
+
+
+def _common(spark: SparkSession, counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The common tokens, sorted, and of each the logarithm of its count: MOST_COMMON at most."""
+    known = stage(counted.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).where(f"times >= {COMMON}").select("token", F.log2("times").cast("byte").alias("level")), "common")
+    levels, least, total = sorted(((r["level"], r["count"]) for r in known.groupBy("level").count().collect()), reverse=True), 127, 0
+    for level, count in levels:
+        if (total := total + count) > MOST_COMMON:
+            break
+        least = level
+    found = known.where(F.col("level") >= least).toArrow()
+    unstage(known)
+    tokens, level = found.column("token").to_numpy().view(np.uint64), found.column("level").to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], level[order]
+
+
+def prefix_size(n: int) -> int:
+    """How many of n ordered tokens a set must show to share one with any similar set."""
+    return n + (-PERCENT * n) // 100 + 1
+
+
+def _prefixes(table):
+    """A UDF: each text's node and the first tokens of its set, from rare to common. lane: -1 for one that is not common."""
+
+    @F.arrow_udf(from_arrow_type(_PREFIX))
+    def prefixes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        common, level = table.value
+        for texts in batches:
+            nodes, sizes, tokens, lanes = [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int8)]
+            for sets in _sets(texts):
+                all_ = np.concatenate(sets)
+                levels = np.zeros(len(all_), np.int8)
+                if len(common):
+                    at = np.searchsorted(common, all_)
+                    at[at == len(common)] = 0
+                    levels = np.where(common[at] == all_, level[at], 0)
+                low = 0
+                for x in sets:
+                    mine, low = levels[low : low + len(x)], low + len(x)
+                    if not len(x):
+                        nodes.append(None)
+                        sizes.append(0)
+                        continue
+                    node, p = _node(_digest(x)), prefix_size(len(x))
+                    nodes.append(node)
+                    sizes.append(p)
+                    if mine.any():
+                        order = np.argsort(mine, kind="stable")[:p]
+                        x, lane = x[order], np.where(mine[order] > 0, np.int8(node % LANES), np.int8(-1))
+                    else:
+                        x, lane = x[:p], np.full(p, -1, np.int8)
+                    tokens.append(x)
+                    lanes.append(lane)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            each = pa.StructArray.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(lanes))], ["token", "lane"])
+            yield pa.StructArray.from_arrays([pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(offsets, each)], ["node", "tokens"])
+
+    return prefixes
 
 
-@F.arrow_udf(from_arrow_type(_SIGNED))
-def _signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    factors = _factors()
+@F.arrow_udf(BinaryType())
+def _tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Each text's whole set, sorted, as bytes."""
     for texts in batches:
-        rows = []
-        for t in shingle_sets(texts):
-            bands, sketch = _bands(t, factors) if len(t) else ([], None)
-            rows.append({"n": len(t), "set": hashlib.blake2b(t.tobytes(), digest_size=16).digest() if len(t) else None, "bands": bands, "sketch": sketch})
-        yield pa.array(rows, _SIGNED)
-
-
-@F.arrow_udf(BooleanType())
-def _alike(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Whether two sketches agree often enough for the pair to be worth an exact comparison."""
-    for left, right in batches:
-        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, BANDS * ROWS) for x in (left, right))
-        yield pa.array((a == b).mean(axis=1) >= ALIKE, pa.bool_())
+        yield pa.array([x.tobytes() for sets in _sets(texts) for x in sets], pa.binary())
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -98,105 +172,127 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
 @F.arrow_udf(BooleanType())
 def _linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for left, right in batches:
-        coded = pa.chunked_array([left, right]).combine_chunks().dictionary_encode()
-        sets, index, n = list(shingle_sets(coded.dictionary)), coded.indices.to_pylist(), len(left)
         out = []
-        for i, j in zip(index[:n], index[n:], strict=True):
-            a, b = sets[i], sets[j]
-            # sizes alone rule out many pairs
+        for x, y in zip(left, right, strict=True):
+            a, b = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
             shared = _shared(a, b) if 100 * min(len(a), len(b)) >= PERCENT * max(len(a), len(b)) else 0
             out.append(shared > 0 and 100 * shared >= PERCENT * (len(a) + len(b) - shared))
         yield pa.array(out, pa.bool_())
 
 
-@F.arrow_udf(BinaryType())
-def _union_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Of arrays of sketches: for each place, which of the values the members have, a bit each."""
-    for groups in batches:
-        out = []
-        for g in groups:
-            sketches = np.frombuffer(b"".join(g.as_py()), np.uint16).reshape(-1, BANDS * ROWS)
-            has = np.zeros((BANDS * ROWS, VALUES), bool)
-            has[np.arange(BANDS * ROWS)[None, :], sketches] = True
-            out.append(np.packbits(has, axis=1).tobytes())
-        yield pa.array(out, pa.binary())
-
-
-@F.arrow_udf(BooleanType())
-def _may_qualify(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Whether a sketch shares enough with a group's union to be alike to any of its members."""
-    places = np.arange(BANDS * ROWS)
-    for sketches, unions in batches:
-        out = []
-        for x, u in zip(sketches, unions, strict=True):
-            value = np.frombuffer(x.as_py(), np.uint16)
-            bits = np.frombuffer(u.as_py(), np.uint8).reshape(BANDS * ROWS, VALUES // 8)[places, value >> 3] >> (7 - (value & 7)) & 1
-            out.append(bool(bits.mean() >= ALIKE))
-        yield pa.array(out, pa.bool_())
-
-
-@F.arrow_udf(BinaryType())
-def _tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Each text's least KEPT shingle hashes as sorted 32-bit numbers, after the number of all."""
-    for texts in batches:
-        out = []
-        for t in shingle_sets(texts):
-            least = np.unique((t >> np.uint64(32)).astype(np.uint32))
-            out.append(np.concatenate([np.array([len(least)], np.uint32), least[:KEPT]]).tobytes())
-        yield pa.array(out, pa.binary())
-
-
-def _seem_alike(a: np.ndarray, b: np.ndarray) -> bool:
-    """Of two token arrays, either longer than what is kept: compared as far as both are known."""
-    known = min(x[-1] for x in (a, b) if x[0] > KEPT)
-    a, b = (x[1 : 1 + np.searchsorted(x[1:], known, side="right")] for x in (a, b))
-    shared = _shared(a, b)
-    return shared >= SEEMS_LONG * (len(a) + len(b) - shared)
+def _links(some: list[tuple[int, int, np.ndarray]], members: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple[int, int]]:
+    """Pairs of similar sets of different components, one of those that ask and one of a group's members: (node, component, tokens)."""
+    node, component = (np.array([m[k] for m in members]) for k in (0, 1))
+    n = np.array([len(m[2]) for m in members])
+    tokens, whose = np.concatenate([m[2] for m in members]), np.repeat(np.arange(len(members)), n)
+    order = np.argsort(tokens, kind="stable")
+    tokens, whose = tokens[order], whose[order]
+    union, first = np.unique(tokens, return_index=True)
+    held = np.diff(np.append(first, len(tokens)))
+    inside = set(node.tolist())
+    for q, c, x in some:
+        # a member that asks its own group meets each pair once
+        other = (component != c) & (100 * np.minimum(n, len(x)) >= PERCENT * np.maximum(n, len(x)))
+        if q in inside:
+            other &= node > q
+        if not other.any():
+            continue
+        at = np.searchsorted(union, x)
+        at[at == len(union)] = 0
+        at = at[union[at] == x]
+        # the overlap with the union bounds that with any member
+        if 100 * len(at) < PERCENT * max(len(x), int(n[other].min())):
+            continue
+        starts, counts = first[at], held[at]
+        rows = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        shared = np.bincount(whose[rows], minlength=len(members))
+        for k in np.flatnonzero(other & (100 * shared >= PERCENT * (n + len(x) - shared))):
+            yield q, int(node[k])
 
 
 @F.arrow_udf(from_arrow_type(_FOUND))
 def _opened(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Pairs (a of those that ask, b of a group's members) of different components that seem similar enough."""
+    def listed(x) -> list[tuple[int, int, np.ndarray]]:
+        node, component, tokens = (x.values.field(k) for k in ("v", "component", "tokens"))
+        return list(zip(node.to_pylist(), component.to_pylist(), (np.frombuffer(t.as_buffer(), np.uint64) for t in tokens), strict=True))
+
     for asking, held in batches:
-        out = []
-        for some, members in zip(asking, held, strict=True):
-            some, members = ({k: x.values.field(k) for k in ("node", "component", "tokens")} for x in (some, members))
-            sets = [np.frombuffer(x, np.uint32) for x in members["tokens"].to_pylist()]
-            node, component = members["node"].to_numpy(), members["component"].to_numpy()
-            n, kept = np.array([x[0] for x in sets], np.int64), np.array([len(x) - 1 for x in sets])
-            # the matrix: a row for each token of any member, a column for each member
-            union, at = np.unique(np.concatenate([x[1:] for x in sets]), return_inverse=True)
-            has = np.zeros((len(union), len(sets)), bool)
-            has[at, np.repeat(np.arange(len(sets)), kept)] = True
-            found = []
-            for q, c, x in zip(some["node"].to_pylist(), some["component"].to_pylist(), some["tokens"].to_pylist(), strict=True):
-                x = np.frombuffer(x, np.uint32)
-                # members of the group itself ask it too: each pair once
-                other = ((node > q) | ~(node == q).any()) & (component != c) & (100 * np.minimum(n, x[0]) >= (PERCENT - 1) * np.maximum(n, x[0]))
-                if not other.any():
-                    continue
-                where = np.searchsorted(union, x[1:])
-                where[where == len(union)] = 0
-                shared = has[where[union[where] == x[1:]]].sum(axis=0)
-                long = (n > KEPT) | (x[0] > KEPT)
-                alike = other & ~long & (shared >= SEEMS * (n + x[0] - shared))
-                for k in np.flatnonzero(other & long):
-                    alike[k] = _seem_alike(x, sets[k])
-                found += [{"a": q, "b": int(b)} for b in node[alike]]
-            out.append(found)
-        yield pa.array(out, _FOUND)
+        yield pa.array([[{"a": a, "b": b} for a, b in _links(listed(some), listed(members))] for some, members in zip(asking, held, strict=True)], _FOUND)
 
 
 def _key(text: Column) -> Column:
-    return F.unhex(F.md5(text))
+    """The MD5 of a text, null being the empty text."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, a: str, b: str) -> DataFrame:
-    """The pairs (a, b: nodes) whose sets are similar enough."""
-    texts = _texts(rows, nodes, pairs.select(a).union(pairs.select(b)).distinct().withColumnRenamed(a, "node"))
-    left, right = texts.select(F.col("node").alias(a), F.col("text").alias("_l")), texts.select(F.col("node").alias(b), F.col("text").alias("_r"))
-    with small_batches(rows.sparkSession):
-        return stage(pairs.select(a, b).join(left, a).join(right, b).where(_linked(F.col("_l"), F.col("_r"))).select(a, b), "links")
+def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, key, n, set, node, row of every row of docs, then token, times of tokens that come often; staged."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, key binary, n bigint, set binary, node bigint, token bigint, times bigint"
+    arrow = pa.schema([("id", to_arrow_type(rows.schema["id"].dataType)), ("key", pa.binary()), ("n", pa.int64()), ("set", pa.binary()), ("node", pa.int64()), ("token", pa.int64()), ("times", pa.int64())])
+    return stage(rows.mapInArrow(_signer(arrow), schema).withColumn("row", F.monotonically_increasing_id()), "signed")
+
+
+def _components(docs: DataFrame, signed: DataFrame, text_col: str) -> DataFrame:
+    """(set, component) of the sets that links reach."""
+    spark = docs.sparkSession
+    table = spark.sparkContext.broadcast(_common(spark, signed))
+    each = docs.select(_prefixes(table)(F.col(text_col)).alias("p")).select("p.node", F.explode("p.tokens").alias("t")).select("node", "t.token", "t.lane")
+    # A token matters if another node has it too: next to it, in the order of nodes. A common one needs no look, and its nodes are dealt into lanes.
+    by = Window.partitionBy("token", "lane").orderBy("node")
+    near = each.withColumn("before", F.lag("node").over(by)).withColumn("after", F.lead("node").over(by)).where("lane >= 0 or before <> node or after <> node")
+    shared = stage(near.select("token", "node", (F.col("lane") >= 0).alias("common")).distinct(), "shared")
+
+    sets = signed.where("set is not null").select("node", "set", "row", "key", "n").join(shared.select("node").distinct(), "node")
+    sets = stage(sets.groupBy("node", "set").agg(F.min(F.struct("row", "key", "n")).alias("m")).select("node", "set", F.col("m.row").alias("v"), "m.key", "m.n"), "sets")
+    texts = docs.select(_key(F.col(text_col)).alias("key"), F.col(text_col).alias("_t")).join(sets.select("key", "v"), "key").select("v", "_t").dropDuplicates(["v"])
+    with small_batches(spark, 2000):
+        tokens = stage(texts.select("v", _tokens(F.col("_t")).alias("tokens")), "tokens")
+
+    # Groups of similar nodes: those with the same first common token, else the same first token; large ones are split.
+    tokened = shared.join(sets.select("node", "v", "n"), "node").select("token", "common", "v", "n")
+    placed = tokened.groupBy("v", "n").agg(F.coalesce(F.min(F.when(F.col("common"), F.col("token"))), F.min("token")).alias("near"))
+    of_near = placed.groupBy("near").agg(F.min("v").alias("head"), F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("parts"))
+    placed = stage(placed.join(of_near, "near").select("v", "n", "head", F.xxhash64("near", F.pmod(F.xxhash64("v"), "parts")).alias("group")), "placed")
+
+    # First each node and the first one near it: what this links needs no comparison any more.
+    pairs = placed.where("v <> head").select("v", "head")
+    left, right = tokens.select("v", F.col("tokens").alias("_l")), tokens.select(F.col("v").alias("head"), F.col("tokens").alias("_r"))
+    with small_batches(spark):
+        first = stage(pairs.join(left, "v").join(right, "head").where(_linked(F.col("_l"), F.col("_r"))).select(F.col("v").alias("a"), F.col("head").alias("b")), "links")
+    found = components(first, "a", "b")
+
+    members = placed.join(found.withColumnRenamed("node", "v"), "v", "left").select("v", "n", "group", F.coalesce("component", "v").alias("component"))
+    members = stage(members, "members")
+    rows = tokened.select("token", "v").join(members, "v")
+    matrix = rows.groupBy("token", "group").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("n").alias("least"), F.max("n").alias("most"))
+    asks = rows.withColumnRenamed("group", "own").join(matrix, "token").where("own >= group and not (x = component and y = component)").where(f"100 * n >= {PERCENT} * least and 100 * most >= {PERCENT} * n")
+    asks = stage(asks.select("v", "group").distinct(), "asks")
+
+    whole = members.join(tokens, "v").select("v", "n", "group", "component", "tokens")
+    one = F.struct("v", "component", "tokens")
+    held = whole.join(asks.select("group").distinct(), "group", "left_semi").groupBy("group").agg(F.collect_list(one).alias("held"))
+    asking = asks.join(whole.drop("group"), "v")
+    steps = asks.join(members.select("v", "n"), "v").groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("steps"))
+    asking = asking.join(steps, "group").groupBy("group", F.pmod(F.xxhash64("v"), "steps").alias("step")).agg(F.collect_list(one).alias("asking"))
+    with small_batches(spark, 8):
+        more = stage(asking.join(held, "group").select(F.explode(_opened(F.col("asking"), F.col("held"))).alias("p")).select("p.*"), "links")
+    if not more.isEmpty():
+        found = components(first.union(more), "a", "b")
+    out = stage(sets.select("set", F.col("v").alias("node")).join(found, "node").select("set", "component"), "found")
+    unstage(shared, sets, tokens, placed, first, members, asks, more)
+    return out
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """signed, and (set, name, component): the least id that a set reaches."""
+    signed = _signed(docs, id_col, text_col)
+    found = _components(docs, signed, text_col)
+    rows = signed.where("set is not null").groupBy("set").agg(F.min("id").alias("least"))
+    rows = rows.join(found, "set", "left")
+    names = rows.where("component is not null").groupBy("component").agg(F.min("least").alias("name"))
+    return signed, stage(rows.join(names, "component", "left").select("set", F.coalesce("name", "least").alias("name"), "component"), "names")
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -204,89 +300,30 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     component_id is the smallest id that links reach, the row's own included. Texts without words, and null ones, have
     no shingles and are linked with nothing. Copies of any number are one node; no group of similar documents comes
-    together in one task, and no pairs of all its members are made. Rows that repeat an id stay, and each row follows
-    its own text; a null id stays null and is nobody's smallest. Further columns are not read. No rows give no rows.
+    together in one task, and no pairs of all its members are made. Links are exact: none is lost, whatever the length
+    of the texts. Rows that repeat an id stay, and each row follows its own text; a null id stays null and is nobody's
+    smallest. Further columns are not read. No rows give no rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = rows.select("id", _key(F.col("text")).alias("key"), _signatures(F.col("text")).alias("s")).select("id", "key", "s.*")
-    signed = stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
-    nodes = signed.where("set is not null").groupBy("set").agg(F.min(F.struct("row", "key", "bands", "sketch")).alias("m")).select("set", F.col("m.row").alias("node"), "m.key", "m.bands", "m.sketch")
-    nodes = stage(nodes, "nodes")
-
-    each = nodes.select("node", F.explode("bands").alias("band"))
-    met = stage(each.join(each.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "band"), "met")
-    ranked = met.join(met.groupBy("node").agg(F.sum("n").alias("meets")), "node").select("band", "node", "meets")
-    heads = ranked.groupBy("band").agg(F.max(F.struct("meets", "node")).alias("h")).select("band", F.col("h.node").alias("head"))
-    shared = stage(ranked.join(heads, "band").select("band", "node", "head"), "shared")
-
-    sketches = nodes.select("node", "sketch")
-    pairs = shared.where("node <> head").select("node", "head").distinct()
-    near = pairs.join(sketches, "node").join(sketches.select(F.col("node").alias("head"), F.col("sketch").alias("_h")), "head").where(_alike(F.col("sketch"), F.col("_h"))).select("node", "head")
-    near = stage(near, "near")
-    first = _verified(near, rows, nodes, "node", "head")
-    edges = first.select(F.col("node").alias("a"), F.col("head").alias("b"))
-    found = components(edges, "a", "b")
-
-    more = _between(shared, found, rows, nodes)
-    if not more.isEmpty():
-        found = components(edges.union(more), "a", "b")
-
-    named = signed.select("id", "n", "set").join(nodes.select("set", "node"), "set", "left").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
-    return named.join(least, "component", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
-
-
-def _texts(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, text of the wanted nodes."""
-    keys = wanted.join(nodes.select("node", "key"), "node")
-    # rows of one key have one text; a copy of it is dropped where it is met, before and after the exchange
-    return rows.select(_key(F.col("text")).alias("key"), "text").join(keys, "key").select("node", "text").dropDuplicates(["node"])
-
-
-def _between(shared: DataFrame, found: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links between different components (a, b: nodes) of nodes that share a band."""
-    placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band")
-    placed = placed.join(mixed, "band")
-    # Groups of similar nodes: near the same head, of few components, split where there are many.
-    of_node = placed.groupBy("node", "component").agg(F.min("head").alias("near"))
-    parts = lambda n: F.ceil(n / GROUP).cast("int")
-    by_near = of_node.groupBy("near").agg(F.count(F.lit(1)).alias("n_near"))
-    by_component = of_node.groupBy("component").agg(F.count(F.lit(1)).alias("n_component"))
-    grouped = of_node.join(by_near, "near").join(by_component, "component")
-    group = F.xxhash64("near", F.pmod(F.xxhash64("component"), parts(F.col("n_near"))), F.pmod(F.xxhash64("node"), parts(F.col("n_component"))))
-    sketches = nodes.select("node", "sketch")
-    members = stage(grouped.select("node", "component", group.alias("group")).join(sketches, "node"), "members")
-    unions = members.groupBy("group").agg(F.collect_list("sketch").alias("all")).select("group", _union_of(F.col("all")).alias("union"))
-
-    # Groups that meet in a band, with nodes of different components there: the smaller one's nodes ask the larger.
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    in_band = placed.select("band", "node", "component").join(members.select("node", "group"), "node")
-    has = in_band.groupBy("band", "group").agg(F.min("component").alias("x"), F.max("component").alias("y")).join(sizes, "group")
-    has = has.select("band", F.struct("size", "group").alias("g"), "x", "y")
-    meets = has.join(has.select("band", F.col("g").alias("h"), F.col("x").alias("hx"), F.col("y").alias("hy")), "band").where("g <= h and (x <> y or x <> hx or x <> hy)")
-    meets = meets.select(F.col("g.group").alias("asker"), F.col("h.group").alias("group")).distinct()
-    asked = members.select("node", F.col("group").alias("asker")).join(meets, "asker").select("node", "group")
-    asks = members.select("node", F.col("sketch").alias("asks"))
-    opened = stage(asked.join(asks, "node").join(unions, "group").where(_may_qualify(F.col("asks"), F.col("union"))).select("node", "group"), "opened")
-
-    wanted = opened.select("node").union(members.join(opened.select("group").distinct(), "group", "left_semi").select("node")).distinct()
-    with small_batches(rows.sparkSession):
-        tokens = stage(_texts(rows, nodes, wanted).select("node", _tokens(F.col("text")).alias("tokens")), "tokens")
-    whole = members.select("node", "component", "group").join(tokens, "node")
-    each_of = F.struct("node", "component", "tokens")
-    held = whole.groupBy("group").agg(F.collect_list(each_of).alias("held"))
-    steps = opened.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / ASKING).alias("steps"))
-    asking = opened.join(steps, "group").join(whole.select("node", "component", "tokens"), "node")
-    asking = asking.groupBy("group", F.pmod(F.xxhash64("node"), "steps").alias("step")).agg(F.collect_list(each_of).alias("asking"))
-    with small_batches(rows.sparkSession, 8):
-        pairs = stage(asking.join(held, "group").select(F.explode(_opened(F.col("asking"), F.col("held"))).alias("p")).select("p.*"), "near")
-    return _verified(pairs, rows, nodes, "a", "b")
+    signed, names = _named(docs, id_col, text_col)
+    return signed.where("n is not null").join(names, "set", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("name", "id").alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without those whose component has a smaller id; rows with a null id stay."""
-    names = docs.columns
-    kept = link(docs, id_col, text_col).where((F.col("component_id") == F.col(id_col))).select(F.col(id_col).alias("_kept")).distinct()
-    with_id = docs.join(kept, F.col(id_col) == F.col("_kept"), "left_semi").select(*names)
-    return with_id.union(docs.where(F.col(id_col).isNull()).select(*names))
+    """docs with one row of each component: that with the smallest id, null last, and of those with the least hash of its text.
+
+    Of rows that repeat the id and the text one stays. Rows without words, null texts among them, all stay. All columns
+    are kept, whatever their names. An empty table gives an empty one.
+    """
+    signed, names = _named(docs, id_col, text_col)
+    group = F.coalesce(F.concat(F.lit("c"), F.col("component").cast("string")), F.hex("set"))
+    rows = signed.where("set is not null").join(names, "set").groupBy(group.alias("group"), "id", "key").agg(F.count(F.lit(1)).alias("times"))
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "times")).alias("m"))
+    first = stage(first.select(F.col("m.id").alias("_id"), F.col("m.key").alias("_key"), "m.times"), "first")
+    text = F.col(text_col)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), _key(text).alias("key"), F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("has_words"))
+    same = (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))
+    out = whole.join(first.where("times = 1"), same, "left_semi").select("row").union(whole.where("not has_words").select("row"))
+    often = first.where("times > 1")
+    if not often.isEmpty():
+        out = out.union(whole.join(often, same, "left_semi").dropDuplicates(["id", "key"]).select("row"))
+    return out.select("row.*")
