@@ -29,6 +29,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    # what the plan shuffled is not needed any more: its files go when the driver's JVM collects its garbage
+    spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out

@@ -1,14 +1,14 @@
 """Documents linked by the Jaccard similarity of their word shingles, and what these links connect.
 
 Equal shingle sets are one node. Tokens are shingle hashes, ordered from rare to
-common: two similar sets share a token among their first ones (the prefix of
-size - ceil(0.75 size) + 1), whatever the order is, so long as it is the same
-for all. Nodes that share such a token are partitioned into groups of similar
-ones, and each group's token union is stored (a row of the token-group matrix
-for each token). A node meets the matrix by its prefix, sizes and the overlap
-with a group's whole union bound how alike it can be to any member, and only
-groups that qualify are opened: the node is then compared exactly with all of
-the members in one step, and no row is made for a pair that differs.
+common: two similar sets share k tokens among their first ones (the prefix of
+size - ceil(0.75 size) + k), whatever the order is, so long as it is the same
+for all. Nodes whose prefix holds enough tokens that others have are partitioned
+into groups of similar ones, and each group's token union is stored (a row of
+the token-group matrix for each token). A node meets the matrix by its prefix:
+sizes and the overlap with a group's union bound how alike it can be to any
+member, and only groups that qualify are opened. The node is then compared
+exactly with all of the members in one step; no row is made for a pair that differs.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from placeloom.llm.shingles import chunks, shingle_lists
 
 #: Linked if 100 * shared >= PERCENT * together.
 PERCENT = 75
+#: A prefix is longer than it must be by one token in as many; similar sets share as many more in their prefixes.
+LONGER = 8
 #: Tokens counted together in a task, and how often one must come there for its count to go on.
 BLOCK, SEEN = 1 << 22, 4
 #: A token that comes so often in all blocks is common. The table of common ones has at most MOST_COMMON rows, the least
@@ -108,8 +110,13 @@ def _common(spark: SparkSession, counted: DataFrame) -> tuple[np.ndarray, np.nda
 
 
 def prefix_size(n: int) -> int:
-    """How many of n ordered tokens a set must show to share one with any similar set."""
-    return n + (-PERCENT * n) // 100 + 1
+    """How many of n ordered tokens a set shows, to share n // LONGER + 1 with any similar set that shows as many of its own."""
+    return min(n, n + (-PERCENT * n) // 100 + n // LONGER + 1)
+
+
+def shared_least(n: Column) -> Column:
+    """Tokens in the prefix of a set of n that any similar set has in its own: the smaller of the two has PERCENT of n at least."""
+    return F.floor(F.ceil(n * PERCENT / 100) / LONGER) + 1
 
 
 def _prefixes(table):
@@ -244,7 +251,8 @@ def _components(docs: DataFrame, signed: DataFrame, text_col: str) -> DataFrame:
     near = each.withColumn("before", F.lag("node").over(by)).withColumn("after", F.lead("node").over(by)).where("lane >= 0 or before <> node or after <> node")
     shared = stage(near.select("token", "node", (F.col("lane") >= 0).alias("common")).distinct(), "shared")
 
-    sets = signed.where("set is not null").select("node", "set", "row", "key", "n").join(shared.select("node").distinct(), "node")
+    held = shared.groupBy("node").agg(F.count(F.lit(1)).alias("held"))
+    sets = signed.where("set is not null").select("node", "set", "row", "key", "n").join(held, "node").where(F.col("held") >= shared_least(F.col("n")))
     sets = stage(sets.groupBy("node", "set").agg(F.min(F.struct("row", "key", "n")).alias("m")).select("node", "set", F.col("m.row").alias("v"), "m.key", "m.n"), "sets")
     texts = docs.select(_key(F.col(text_col)).alias("key"), F.col(text_col).alias("_t")).join(sets.select("key", "v"), "key").select("v", "_t").dropDuplicates(["v"])
     with small_batches(spark, 2000):
@@ -267,8 +275,9 @@ def _components(docs: DataFrame, signed: DataFrame, text_col: str) -> DataFrame:
     members = stage(members, "members")
     rows = tokened.select("token", "v").join(members, "v")
     matrix = rows.groupBy("token", "group").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("n").alias("least"), F.max("n").alias("most"))
-    asks = rows.withColumnRenamed("group", "own").join(matrix, "token").where("own >= group and not (x = component and y = component)").where(f"100 * n >= {PERCENT} * least and 100 * most >= {PERCENT} * n")
-    asks = stage(asks.select("v", "group").distinct(), "asks")
+    asks = rows.select("token", "v", "n", "component", F.col("group").alias("own")).join(matrix, "token").where("own >= group and not (x = component and y = component)").where(f"100 * n >= {PERCENT} * least and 100 * most >= {PERCENT} * n")
+    asks = asks.groupBy("v", "n", "group").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= shared_least(F.col("n")))
+    asks = stage(asks.select("v", "group"), "asks")
 
     whole = members.join(tokens, "v").select("v", "n", "group", "component", "tokens")
     one = F.struct("v", "component", "tokens")
