@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeloom.llm import bpe, jaccard, mixing, pii, rules
-from placeloom.llm.common import shared_dir, table
+from placeloom.llm.common import shared_dir, stage, table
 from placeloom.llm.queries import learnt_rules, tokenizer
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the base rules nor the learnt list rejects. The list is learnt from the labelled ones."""
-    labels = table(spark, sf_dir, "labels")
-    labelled = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
-    learnt = learnt_rules(rules.measures(labelled), labels)
+    """Documents that neither the base rules nor the learnt list rejects. The list is learnt from the labelled ones.
+
+    Each text is measured once: rows and measures are staged, and both the learning and the verdict read them. Repeated
+    rows are judged alike; null and empty texts fail the base rules and go; null ids are judged but not learnt from; an
+    empty table gives an empty one.
+    """
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    return rules.judged(rules.measures(rows, keep=("_row",)), learnt).where("kept").select("_row.*")
+    measured = stage(rules.measures(rows, keep=("_row",)), "measured")
+    learnt = learnt_rules(measured, table(spark, sf_dir, "labels"))
+    return rules.judged(measured, learnt).where("kept").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
