@@ -1,4 +1,4 @@
-"""Scores, rates and bands."""
+"""Scores, rates and bands. The weights and steps are fixed values."""
 
 from __future__ import annotations
 
@@ -56,3 +56,19 @@ def capped_share(c: Column, most: float) -> Column:
 def rate(n: Column, of: Column, per: float, places: int = 2) -> Column:
     """n per `per` of `of`; null where there is none."""
     return F.round(F.try_divide(n * F.lit(float(per)), of.cast("double")), places)
+
+
+def access_by_rail(n500: Column, n1000: Column, underground: Column, suburban: Column) -> Column:
+    """As access_by_density, with a bonus for each of the two rail modes by its nearest stop."""
+    return F.least(F.lit(100), F.least(5 * n500, F.lit(30)) + F.least(2 * n1000, F.lit(20)) + steps(underground, [(500, 25), (1000, 15)]) + steps(suburban, [(500, 25), (1000, 15)]))
+
+
+def rail_bonus(rail: Column, tram: Column) -> Column:
+    """One bonus: 25 for rail within 500 m, 15 within 1000; else 20 for a tram within 300, 10 within 500."""
+    by_rail = steps(rail, [(500, 25), (1000, 15)])
+    return F.when(by_rail > 0, by_rail).otherwise(steps(tram, [(300, 20), (500, 10)]))
+
+
+def small_area(city_rate: Column, index: Column, population: Column, per: float = 100_000.0) -> Column:
+    """Expected count of a district: the city's rate times the district's index, for the district's population."""
+    return F.round(city_rate * index * population / per)

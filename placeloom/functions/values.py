@@ -6,10 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-# What stands for no value, and for a suppressed one.
+# What stands for no value, and for a suppressed one; umlauts folded.
 NULL_TOKENS = ("", "nan", "none", "n/a", "-")
 SUPPRESSED = ("–", ".", "...", "x", "/", "<5")
+UMLAUTS = (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("ß", "ss"))
 
 
 def blank_to_null(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
@@ -17,10 +19,16 @@ def blank_to_null(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
 
 
 def parse_number(c: Column, comma: bool = True) -> Column:
-    """A double from text with null tokens, suppression marks and, if comma, a decimal comma; else null."""
-    text = blank_to_null(c, NULL_TOKENS + SUPPRESSED)
+    """A double from text, null for null tokens, suppression marks and what is no number.
+
+    Blanks, apostrophes and a per cent sign go. If comma, a comma is the decimal mark and dots group digits; where both
+    come, the last of the two is the decimal mark and the other groups digits.
+    """
+    text = F.regexp_replace(blank_to_null(c, NULL_TOKENS + SUPPRESSED), "[\\s\u00a0'%]", "")
     if comma:
-        text = F.when(text.contains(","), F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).otherwise(text)
+        dot, mark = F.lit("."), F.lit(",")
+        english = text.contains(",") & text.contains(".") & (F.length(text) - F.locate(".", F.reverse(text)) > F.length(text) - F.locate(",", F.reverse(text)))
+        text = F.when(english, F.replace(text, mark, F.lit(""))).when(text.contains(","), F.replace(F.replace(text, dot, F.lit("")), mark, dot)).otherwise(text)
     return text.try_cast("double")
 
 
@@ -45,8 +53,9 @@ def pad_code(c: Column, width: int) -> Column:
 
 
 def canonical_id(c: Column) -> Column:
-    """Numbers as integer text, other ids trimmed and upper-case."""
-    return F.coalesce(c.try_cast("double").try_cast("bigint").cast("string"), F.upper(F.trim(c)))
+    """Digits without zeros in front and ".0" behind; other ids trimmed and upper-case. Text throughout, so no digit is lost."""
+    text = F.trim(c)
+    return F.when(text.rlike(r"^[0-9]+(\.0+)?$"), F.regexp_replace(F.regexp_replace(text, r"\.0+$", ""), r"^0+(?=[0-9])", "")).otherwise(F.upper(text))
 
 
 def postcode(c: Column) -> Column:
@@ -108,7 +117,7 @@ def largest_family(families: dict[str, Sequence[str]], default: str | None = Non
 def canonical_name(c: Column, stop: Sequence[str] = ()) -> Column:
     """Lower case, umlauts folded, no parentheses, punctuation or stop words, single spaces."""
     name = F.regexp_replace(F.lower(c), r"\([^)]*\)", " ")
-    for a, b in (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("ß", "ss")):
+    for a, b in UMLAUTS:
         name = F.replace(name, F.lit(a), F.lit(b))
     name = F.regexp_replace(F.translate(name, "éèêáàâóòôíìîúùûñç", "eeeaaaoooiiiuuunc"), r"[^a-z0-9]+", " ")
     if stop:
@@ -172,7 +181,10 @@ def coming_days(days: Column, today: Column, kind: str = "date") -> Column:
 
 
 def parsed_json(c: Column, schema: str, default: Column) -> Column:
-    return F.coalesce(F.from_json(c, schema, {"mode": "PERMISSIVE"}), default)
+    """The record in JSON text; default for null, empty and malformed text. Fields the text lacks are null."""
+    read = F.from_json(c, f"{schema}, _malformed string", {"columnNameOfCorruptRecord": "_malformed"})
+    record = F.struct(*[read[f].alias(f) for f in StructType.fromDDL(schema).names])
+    return F.when(read.isNull() | read["_malformed"].isNotNull() | (F.trim(c) == ""), default).otherwise(record)
 
 
 def merged_arrays(old: Column, new: Column, fields: Sequence[str]) -> Column:
@@ -193,3 +205,39 @@ def valid_brackets(m: Column, keys: Sequence[str]) -> Column:
 
 def is_flat(m: Column) -> Column:
     return F.size(F.array_distinct(F.map_values(m))) == 1
+
+
+def refined_status(status: Column, *payload: Column) -> Column:
+    """status, but "empty" where all of the payload (arrays or text) is missing, empty or blank."""
+    missing = F.lit(True)
+    for p in payload:
+        missing = missing & F.coalesce(p.cast("string").isin("", "[]", "{}") | (F.trim(p.cast("string")) == ""), F.lit(True))
+    return F.when(missing, F.lit("empty")).otherwise(status)
+
+
+def fee_text(amount: Column, summary: Column, flags: dict[str, Column], private: Column) -> Column:
+    """The amount, else the summary, with the names of the flags that hold; else what the ownership suggests."""
+    first = F.coalesce(F.when(amount > 0, F.concat(F.format_string("%.2f", amount.cast("double")), F.lit(" a month"))), F.nullif(F.trim(summary), F.lit("")))
+    text = F.concat_ws(" | ", first, *[F.when(c, F.lit(name)) for name, c in flags.items()])
+    return F.coalesce(F.nullif(text, F.lit("")), F.when(private, F.lit("on request")).otherwise(F.lit("free")))
+
+
+def modes(labels: dict[str, Column], fallback: Column) -> Column:
+    """All labels whose condition holds, as an array; where none does, the fallback alone, if it has a value."""
+    found = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in labels.items()]))
+    return F.when(F.size(found) > 0, found).otherwise(F.array_compact(F.array(fallback)))
+
+
+def by_id_prefix(c: Column, width: int, codes: dict[str, str], default: str | None = None) -> Column:
+    """The value that the first characters of an id stand for."""
+    return decode(F.substring(F.trim(c), 1, width), codes, default)
+
+
+def by_id_character(c: Column, at: int, codes: dict[str, str], fallback: Column) -> Column:
+    """The value of one upper-case character of an id; where it has none, the fallback."""
+    return F.coalesce(decode(F.substring(F.upper(F.trim(c)), at, 1), codes), fallback)
+
+
+def item_count(*columns: Column, sep: str = "[,;]") -> Column:
+    """Distinct items of several columns of delimited text together."""
+    return F.size(F.array_distinct(F.flatten(F.array(*[F.coalesce(items(c, sep, ordered=False), F.array().cast("array<string>")) for c in columns]))))

@@ -4,17 +4,90 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placeloom.functions.scores import bands
+
+
+# Named characters of HTML; the ampersand last, so that nothing is read twice.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"), ("&euro;", "€"), ("&amp;", "&"))
+
+
+def unescaped(text: Column) -> Column:
+    """Numbers up to 255 and the named characters in ENTITIES as themselves."""
+    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,3});"), F.lit(1)))
+    small = F.filter(numbers, lambda n: n.cast("int").between(32, 255) & (n.cast("int") != 38))
+    text = F.aggregate(small, text, lambda t, n: F.replace(t, F.concat(F.lit("&#"), n, F.lit(";")), F.char(n.cast("int"))))
+    for name, c in (("&#38;", "&amp;"), *ENTITIES):
+        text = F.replace(text, F.lit(name), F.lit(c))
+    return text
+
 
 def html_to_text(html: Column, most: int | None = None) -> Column:
-    """Without scripts, styles and tags, single spaces, at most so many characters if the sink asks for it."""
-    text = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
-    text = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?s)<[^>]*>", " "), r"\s+", " "))
+    """Without comments, scripts, styles and tags, entities read, single spaces, at most so many characters if the sink asks for it."""
+    text = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
+    text = F.regexp_replace(text, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>", " ")
+    text = F.trim(F.regexp_replace(unescaped(F.regexp_replace(text, r"(?s)<[^>]*>", " ")), r"[\s\u00a0]+", " "))
     return F.substring(text, 1, most) if most else text
 
 
+def page_document(title: Column, markdown: Column, cleaned: Column, tables: Column, least: int = 1) -> Column:
+    """Title, the markdown or where that is blank the cleaned text, and the tables as text."""
+    filled = lambda c: F.when(F.length(F.trim(c)) >= least, F.trim(c))
+    rows = F.array_join(F.transform(tables, table_text), "\n\n")
+    return assembled([("# ", title), ("", F.coalesce(filled(markdown), filled(cleaned))), ("Tables:\n", rows)])
+
+
+def element_documents(df: DataFrame, key: str, elements: str, url: str, text: str) -> DataFrame:
+    """One document for each struct of an array: id from the last part of its URL, else the key and the position; content from its text."""
+    each = df.select(key, F.posexplode(elements).alias("_at", "_e"))
+    slug = F.nullif(F.regexp_extract(F.col(f"_e.{url}"), r"([^/?#]+)/?(?:[?#].*)?$", 1), F.lit(""))
+    return each.select(F.coalesce(slug, F.concat_ws("_", F.col(key).cast("string"), F.col("_at"))).alias("id"), F.col(f"_e.{url}").alias("url"), F.trim(F.col(f"_e.{text}")).alias("content")).where(F.length("content") > 0)
+
+
+def metric_narrative(name: Column, values: Sequence[tuple[str, Column, Column]]) -> Column:
+    """"name: label now (+x.x %); ..." from (label, now, change in per cent); a value without a change stands alone."""
+    sign = lambda p: F.concat(F.lit(" ("), F.when(p >= 0, "+").otherwise(""), F.format_string("%.1f", p), F.lit(" %)"))
+    parts = [F.when(now.isNotNull(), F.concat(F.lit(f"{label} "), now.cast("bigint").cast("string"), F.when(p.isNotNull(), sign(p)).otherwise(""))) for label, now, p in values]
+    return F.concat(name, F.lit(": "), F.concat_ws("; ", *parts))
+
+
+def station_document(name: Column, place: Column, counts: Sequence[tuple[str, Column]]) -> Column:
+    """What a counting station is, where, and its mean counts, whole numbers; measures without a value go."""
+    said = F.concat_ws(", ", *[F.when(c.isNotNull(), F.concat(F.round(c).cast("bigint").cast("string"), F.lit(f" {label}"))) for label, c in counts])
+    return F.concat_ws(" ", F.concat(F.lit("Counting station "), name, F.lit(".")), F.when(F.trim(place) != "", F.concat(F.lit("It is in "), place, F.lit("."))), F.when(said != "", F.concat(F.lit("On average: "), said, F.lit(" an hour."))))
+
+
+def description(sentences: Sequence[Column]) -> Column:
+    """Those sentences that have a value, one after the other."""
+    return F.concat_ws(" ", *sentences)
+
+
+def size_phrase(n: Column, bounds: Sequence[tuple[float, str]], above: str) -> Column:
+    return bands(n, bounds, above)
+
+
+def ratio_sentence(name: Column, pupils: Column, teachers: Column) -> Column:
+    """"name has p pupils and t teachers, a ratio of r to 1."; what is unknown is left out."""
+    ratio = F.try_divide(pupils.cast("double"), teachers.cast("double"))
+    both = F.when(ratio.isNotNull(), F.concat(F.lit(", a ratio of "), F.format_string("%.1f", ratio), F.lit(" to 1")))
+    has = F.concat_ws(" and ", F.concat(pupils.cast("string"), F.lit(" pupils")), F.concat(teachers.cast("string"), F.lit(" teachers")))
+    return F.when(has != "", F.concat(name, F.lit(" has "), has, F.coalesce(both, F.lit("")), F.lit(".")))
+
+
+def address_of(text: Column) -> Column:
+    """The first "Street 12a, 12345 Town" of a page's text, else the first postcode with the word after it."""
+    full = F.regexp_extract(text, r"([A-ZÄÖÜ][A-Za-zäöüß.-]+ [0-9]+[a-z]?, [0-9]{5} [A-ZÄÖÜ][A-Za-zäöüß-]+)", 1)
+    short = F.regexp_extract(text, r"\b([0-9]{5} [A-ZÄÖÜ][A-Za-zäöüß-]+)", 1)
+    return F.coalesce(F.nullif(full, F.lit("")), F.nullif(short, F.lit("")))
+
+
+def website_of(text: Column) -> Column:
+    """The first address with a scheme, else the first that begins with www."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in (r"(https?://[A-Za-z0-9./_-]*[A-Za-z0-9/])", r"\b(www\.[A-Za-z0-9./_-]*[A-Za-z0-9/])")])
+
+
 def assembled(parts: Sequence[tuple[str, Column]], sep: str = "\n\n") -> Column:
     """The non-empty parts, each after its label."""
     return F.concat_ws(sep, *[F.when(F.trim(c) != "", F.concat(F.lit(label), c)) for label, c in parts])
@@ -29,14 +102,18 @@ def trend_sentence(name: Column, pct: Column) -> Column:
     return F.concat(name, F.lit(" "), way)
 
 
-def fenced_json(text: Column, schema: str) -> Column:
-    """The record in the first fenced block of JSON; trailing commas are repaired."""
+def fenced_json(text: Column, schema: str, defaults: dict[str, object] | None = None) -> Column:
+    """The record in the first fenced block of JSON; trailing commas are repaired, missing keys take their defaults."""
     body = F.regexp_extract(text, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
-    return F.from_json(F.nullif(F.regexp_replace(body, r",\s*([}\]])", "$1"), F.lit("")), schema)
+    record = F.from_json(F.nullif(F.regexp_replace(body, r",\s*([}\]])", "$1"), F.lit("")), schema)
+    for k, x in (defaults or {}).items():
+        record = F.when(record.isNotNull(), record.withField(k, F.coalesce(record[k], F.lit(x))))
+    return record
 
 
-def ranked_list(text: Column) -> Column:
-    """array<struct<rank,name,grade>> of "1. Name 1,9" items in running text."""
+def ranked_list(text: Column, low: float = 1.0, high: float = 6.0) -> Column:
+    """array<struct<rank,name,grade>> of "1. Name 1,9" items in running text, grades in range only."""
     p = r"([0-9]{1,3})\. ([^0-9]+?) ([0-9][.,][0-9]{1,2})"
     parts = F.arrays_zip(F.regexp_extract_all(text, F.lit(p), F.lit(1)).alias("rank"), F.regexp_extract_all(text, F.lit(p), F.lit(2)).alias("name"), F.regexp_extract_all(text, F.lit(p), F.lit(3)).alias("grade"))
-    return F.transform(parts, lambda x: F.struct(x["rank"].cast("int").alias("rank"), x["name"].alias("name"), F.replace(x["grade"], F.lit(","), F.lit(".")).cast("double").alias("grade")))
+    rows = F.transform(parts, lambda x: F.struct(x["rank"].cast("int").alias("rank"), x["name"].alias("name"), F.replace(x["grade"], F.lit(","), F.lit(".")).cast("double").alias("grade")))
+    return F.filter(rows, lambda x: x["grade"].between(low, high))

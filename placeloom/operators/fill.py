@@ -14,26 +14,64 @@ def is_empty(c: Column) -> Column:
     return c.isNull() | F.lower(F.trim(c.cast("string"))).isin(*NULL_TOKENS)
 
 
-def fill_gaps(base: DataFrame, source: DataFrame, key: str, fields: Sequence[str], name: str) -> DataFrame:
-    """Empty cells from source; filled_from names it and the fields it filled. Non-empty cells never change."""
-    right = source.select(key, *[F.col(f).alias(f"_{f}") for f in fields])
+def one_row(source: DataFrame, key: str, fields: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """key and fields under "_" names, one row for each key: the first by order, and by the fields."""
+    cells = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(f).alias(f"_{f}") for f in fields])
+    return source.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(cells).alias("_r")).select(key, *[F.col(f"_r._{f}").alias(f"_{f}") for f in fields])
+
+
+def fill_gaps(base: DataFrame, source: DataFrame, key: str, fields: Sequence[str], name: str, order: Sequence[str] = ()) -> DataFrame:
+    """Empty cells from source; filled_from names it and the fields it filled, added to what base has there.
+
+    Non-empty cells never change. Of source rows that repeat a key the first by order counts, so base rows never multiply.
+    Several sources: one call after the other.
+    """
+    right = one_row(source, key, fields, order)
     taken = {f: is_empty(F.col(f)) & ~is_empty(F.col(f"_{f}")) for f in fields}
     joined = base.join(right, key, "left")
-    note = F.concat_ws(",", *[F.when(t, F.lit(f"{name}:{f}")) for f, t in taken.items()])
-    return joined.select(*[F.when(taken[c], F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in taken else F.col(c) for c in base.columns], note.alias("filled_from"))
+    before = [F.nullif(F.col("filled_from"), F.lit(""))] if "filled_from" in base.columns else []
+    note = F.concat_ws(",", *before, *[F.when(t, F.lit(f"{name}:{f}")) for f, t in taken.items()])
+    return joined.select(*[F.when(taken[c], F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in taken else F.col(c) for c in base.columns if c != "filled_from"], note.alias("filled_from"))
+
+
+def fill_counts(filled: DataFrame) -> DataFrame:
+    """source, field, n: how many cells each source filled."""
+    each = filled.select(F.explode(F.split("filled_from", ",")).alias("x")).where("x <> ''")
+    return each.groupBy(F.split_part("x", F.lit(":"), F.lit(1)).alias("source"), F.split_part("x", F.lit(":"), F.lit(2)).alias("field")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def consolidated(df: DataFrame, pairs: dict[str, Sequence[str]]) -> DataFrame:
+    """For each target its first non-empty column, in place of all of them."""
+    gone = {c for cs in pairs.values() for c in cs} - set(pairs)
+    return df.withColumns({t: F.coalesce(*[F.when(~is_empty(F.col(c)), F.col(c)) for c in cs]) for t, cs in pairs.items()}).drop(*gone)
+
+
+def own_or_area(df: DataFrame, areas: DataFrame, area: str, own: str, proxy: str, out: str) -> DataFrame:
+    """A row's own value, else its area's (one row for each area), as column out, with out_source: "own", "area" or null."""
+    right = one_row(areas, area, [proxy])
+    joined = df.join(right, area, "left")
+    return joined.select(*df.columns, F.coalesce(own, f"_{proxy}").alias(out), F.when(F.col(own).isNotNull(), "own").when(F.col(f"_{proxy}").isNotNull(), "area").alias(f"{out}_source"))
+
+
+def updated_columns(table: DataFrame, news: DataFrame, key: str, fields: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """table with the fields of news wherever that has a value; all other columns, vectors too, as they are."""
+    right = one_row(news, key, fields, order)
+    return table.join(right, key, "left").select(*[F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in table.columns])
 
 
 def overwrite(base: DataFrame, source: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """Cells from source wherever it has a value."""
-    right = source.select(key, *[F.col(f).alias(f"_{f}") for f in fields])
-    return base.join(right, key, "left").select(*[F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in base.columns])
+    return updated_columns(base, source, key, fields)
 
 
 def upsert_plan(target: DataFrame, local: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """(key, field, value) for each cell that target lacks and local has: a change set, the same when made again."""
-    right = local.select(key, *[F.col(f).cast("string").alias(f"_{f}") for f in fields])
+    """(key, field, value) for each cell that target lacks and local has: a change set, the same when made again.
+
+    Of local rows that repeat a key the first by the fields counts; a target that repeats a key gets each change once.
+    """
+    right = one_row(local.select(key, *[F.col(f).cast("string").alias(f) for f in fields]), key, fields)
     cells = F.array(*[F.struct(F.lit(f).alias("field"), F.when(is_empty(F.col(f)) & ~is_empty(F.col(f"_{f}")), F.col(f"_{f}")).alias("value")) for f in fields])
-    return target.join(right, key).select(key, F.explode(F.filter(cells, lambda c: c["value"].isNotNull())).alias("c")).select(key, "c.field", "c.value")
+    return target.join(right, key).select(key, F.explode(F.filter(cells, lambda c: c["value"].isNotNull())).alias("c")).select(key, "c.field", "c.value").distinct()
 
 
 def newest_pass(cache: DataFrame, key: str, passes: Sequence[str], schema: str) -> DataFrame:
@@ -42,5 +80,14 @@ def newest_pass(cache: DataFrame, key: str, passes: Sequence[str], schema: str)
     return cache.select(key, parsed.alias("_p")).select(key, "_p.*")
 
 
+def untouched(target: DataFrame, local: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """Whole-record variant: local rows for targets that have no value in any of the fields."""
+    none = F.lit(True)
+    for f in fields:
+        none = none & is_empty(F.col(f))
+    bare = target.groupBy(key).agg(F.min(none).alias("_bare")).where("_bare").select(key)
+    return local.join(bare, key, "left_semi")
+
+
 def rich_or_generated(text: Column, generated: Column, least: int = 200) -> Column:
     return F.when(F.length(text) > least, text).otherwise(generated)

@@ -20,22 +20,113 @@ def replacing(base: DataFrame, other: DataFrame, keys: Sequence[str], prefix: st
 
 
 def by_either_key(base: DataFrame, other: DataFrame, first: tuple[str, str], second: tuple[str, str], values: Sequence[str]) -> DataFrame:
-    """Left join by the first (base, other) pair of columns; rows without a match by the second."""
-    a = other.select(F.col(first[1]).alias("_k1"), F.struct(*values).alias("_v1")).where("_k1 is not null").dropDuplicates(["_k1"])
-    b = other.select(F.col(second[1]).alias("_k2"), F.struct(*values).alias("_v2")).where("_k2 is not null").dropDuplicates(["_k2"])
+    """Left join by the first (base, other) pair of columns; rows without a match by the second.
+
+    Of rows of other with one key the first by the values counts.
+    """
+    one = lambda c, k, v: other.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(k)).agg(F.min(F.struct(*values)).alias(v))
+    a, b = one(first[1], "_k1", "_v1"), one(second[1], "_k2", "_v2")
     both = base.join(a, base[first[0]] == F.col("_k1"), "left").join(b, base[second[0]] == F.col("_k2"), "left")
     return both.select(*base.columns, F.coalesce("_v1", "_v2").alias("_v")).select(*base.columns, *[F.col(f"_v.{v}").alias(v) for v in values])
 
 
+def better_key(base: DataFrame, other: DataFrame, first: tuple[str, str], second: tuple[str, str], values: Sequence[str], least: float = 0.5) -> DataFrame:
+    """Left join of the whole table by one pair of columns: the first, unless it matches under `least` of base's rows and the second more.
+
+    One aggregate counts the matches of both; the choice is made by the plan, row by row alike.
+    """
+    one = lambda c, k, v: other.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(k)).agg(F.min(F.struct(*values)).alias(v))
+    joined = base.join(one(first[1], "_k1", "_v1"), base[first[0]] == F.col("_k1"), "left").join(one(second[1], "_k2", "_v2"), base[second[0]] == F.col("_k2"), "left")
+    chosen = joined.agg(F.count("_k1").alias("a"), F.count("_k2").alias("b"), F.count(F.lit(1)).alias("n")).select(((F.col("a") < F.lit(least) * F.col("n")) & (F.col("b") > F.col("a"))).alias("_second"))
+    both = joined.crossJoin(F.broadcast(chosen)).withColumn("_v", F.when(F.col("_second"), F.col("_v2")).otherwise(F.col("_v1")))
+    return both.select(*base.columns, *[F.col(f"_v.{v}").alias(v) for v in values])
+
+
+def full_periods(tables: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Full outer join of one aggregate for each period; their other columns get the period as suffix."""
+    out = None
+    for period, t in tables.items():
+        t = t.select(*keys, *[F.col(c).alias(f"{c}_{period}") for c in t.columns if c not in keys])
+        out = t if out is None else out.join(t, list(keys), "full")
+    return out
+
+
+def dual_grain(base: DataFrame, fine: DataFrame, fine_keys: Sequence[str], coarse: DataFrame, coarse_keys: Sequence[str], prefix: str = "area_") -> DataFrame:
+    """Left joins with a fine table, whose figures may be missing, and a coarse one for context, under a prefix; both stay."""
+    context = coarse.select(*coarse_keys, *[F.col(c).alias(prefix + c) for c in coarse.columns if c not in coarse_keys])
+    return base.join(fine, list(fine_keys), "left").join(context, list(coarse_keys), "left").withColumn("has_fine", F.coalesce(*[F.col(c).isNotNull() for c in fine.columns if c not in fine_keys][:1]))
+
+
+def with_constants(base: DataFrame, row: DataFrame, prefix: str = "") -> DataFrame:
+    """base with the columns of a table of one row; nulls if it has none, an error if it has several."""
+    return base.crossJoin(F.broadcast(_only(row, "_v"))).select(*base.columns, *[F.col(f"_v.{c}").alias(prefix + c) for c in row.columns])
+
+
+def _only(row: DataFrame, name: str) -> DataFrame:
+    """One row always: the struct of a table's only row, null without rows; more than one fail the job."""
+    found = row.select(F.struct(*row.columns).alias("_s")).agg(F.first("_s").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    return found.select(F.when(F.col("_n") > 1, F.raise_error(F.lit("a table of constants has more than one row"))).otherwise(F.col("_s")).alias(name))
+
+
+def aligned(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Left joins of grid attributes onto the table with the most cells (of equals the first)."""
+    sizes = [t.count() for t in tables]
+    first = sizes.index(max(sizes))
+    out = tables[first]
+    for i, t in enumerate(tables):
+        if i != first:
+            out = out.join(t, list(keys), "left")
+    return out
+
+
+def known_in_all(base: DataFrame, others: Sequence[DataFrame], key: str) -> DataFrame:
+    """Rows of base whose key all the others have."""
+    for t in others:
+        base = base.join(t.select(key), key, "left_semi")
+    return base
+
+
+def stop_routes(stop_times: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
+    """Distinct stop and route, with the route's columns: trips of a route at a stop count once, before the routes are joined."""
+    served = stop_times.select("stop_id", "trip_id").join(trips.select("trip_id", "route_id"), "trip_id").select("stop_id", "route_id").distinct()
+    return served.join(routes, "route_id")
+
+
+def change_on(df: DataFrame, keys: Sequence[str], period: str, value: str) -> DataFrame:
+    """df with the value one period before (that very period, gaps have none), the change, and per cent where the base is above 0."""
+    before = df.select(*keys, (F.col(period) + 1).alias(period), F.col(value).alias("before"))
+    out = df.join(before, [*keys, period], "left")
+    return out.withColumn("change", F.col(value) - F.col("before")).withColumn("change_pct", F.when(F.col("before") > 0, (F.col(value) - F.col("before")) / F.col("before") * 100))
+
+
+def append_unlike(base: DataFrame, more: DataFrame, name: str, least: int = 5) -> DataFrame:
+    """base and those rows of more whose name neither contains a name of base nor is part of one; names under `least` characters only match as a whole.
+
+    Candidates share a block of `least` characters at a word's start, so this is an equi-join: a name inside another one
+    that does not begin at a word is not looked for.
+    """
+    clean = lambda c: F.lower(F.trim(c))
+    heads = lambda c: F.array_distinct(F.transform(F.filter(F.split(c, " "), lambda w: F.length(w) > 0), lambda w: F.substring(w, 1, least)))
+    a = base.select(clean(F.col(name)).alias("_a")).distinct().withColumn("_h", F.explode(F.slice(heads(F.col("_a")), 1, 1)))
+    whole = base.select(clean(F.col(name)).alias("_a")).distinct()
+    keyed = more.withColumn("_b", clean(F.col(name)))
+    b = keyed.select("_b").distinct()
+    part_of_b = a.join(b.withColumn("_h", F.explode(heads(F.col("_b")))), "_h").where(F.col("_b").contains(F.col("_a")) & (F.length("_a") >= least)).select("_b")
+    part_of_a = whole.withColumn("_h", F.explode(heads(F.col("_a")))).join(b.withColumn("_h", F.explode(F.slice(heads(F.col("_b")), 1, 1))), "_h").where(F.col("_a").contains(F.col("_b")) & (F.length("_b") >= least)).select("_b")
+    known = part_of_a.union(part_of_b).union(b.join(whole, b["_b"] == whole["_a"], "left_semi")).distinct()
+    return base.unionByName(keyed.join(known, "_b", "left_anti").drop("_b"), allowMissingColumns=True)
+
+
 def cascade(base: DataFrame, levels: Sequence[tuple[str, DataFrame, Sequence[str]]], values: Sequence[str]) -> DataFrame:
     """Values from the first level that has the row's key, and data_source, that level's name.
 
-    levels: (name, table, keys); a table without keys has one row and holds for all.
+    levels: (name, table, keys); a table without keys has one row and holds for all; without rows it holds for none,
+    and more than one fail the job.
     """
     out = base
     for i, (_, t, keys) in enumerate(levels):
-        right = t.select(*keys, F.struct(*values).alias(f"_v{i}"))
-        out = out.join(right, list(keys), "left") if keys else out.crossJoin(F.broadcast(right.limit(1)))
+        right = t.select(*keys, F.struct(*values).alias(f"_v{i}")) if keys else _only(t.select(*values), f"_v{i}")
+        out = out.join(right, list(keys), "left") if keys else out.crossJoin(F.broadcast(right))
     found = F.coalesce(*[F.col(f"_v{i}") for i in range(len(levels))])
     source = F.coalesce(*[F.when(F.col(f"_v{i}").isNotNull(), name) for i, (name, _, _) in enumerate(levels)])
     return out.select(*base.columns, found.alias("_v"), source.alias("data_source")).select(*base.columns, *[F.col(f"_v.{v}").alias(v) for v in values], "data_source")
@@ -50,18 +141,18 @@ def similarity(a: Column, b: Column) -> Column:
     return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
-def best_match(left: DataFrame, right: DataFrame, block: Sequence[str], a: str, b: str, key: str, tie: str, least: float) -> DataFrame:
-    """For each key of left the most similar row of right in the same block, from `least` on."""
-    scored = left.join(right, list(block)).withColumn("score", similarity(F.col(a), F.col(b))).where(F.col("score") >= least)
+def best_match(left: DataFrame, right: DataFrame, block: Sequence[str], a: str, b: str, key: str, tie: str, least: float, where: Column | None = None) -> DataFrame:
+    """For each key of left the most similar row of right in the same block, from `least` on, where a condition on both holds."""
+    scored = left.join(right, list(block)).where(F.lit(True) if where is None else where).withColumn("score", similarity(F.col(a), F.col(b))).where(F.col("score") >= least)
     return scored.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), tie))).where("_n = 1").drop("_n")
 
 
-def token_match(left: DataFrame, right: DataFrame, block: Sequence[str], a: str, b: str, key: str, tie: str, least: float = 0.7) -> DataFrame:
+def token_match(left: DataFrame, right: DataFrame, block: Sequence[str], a: str, b: str, key: str, tie: str, least: float = 0.7, where: Column | None = None) -> DataFrame:
     """As best_match, by containment or by the share of the shorter one's words that both have."""
     x, y = F.split(F.col(a), " "), F.split(F.col(b), " ")
     share = F.size(F.array_intersect(x, y)) / F.least(F.size(F.array_distinct(x)), F.size(F.array_distinct(y)))
     score = F.when(F.contains(F.col(a), F.col(b)) | F.contains(F.col(b), F.col(a)), 1.0).otherwise(share)
-    scored = left.join(right, list(block)).withColumn("score", score).where(F.col("score") >= least)
+    scored = left.join(right, list(block)).where(F.lit(True) if where is None else where).withColumn("score", score).where(F.col("score") >= least)
     return scored.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), tie))).where("_n = 1").drop("_n")
 
 

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def standardised(df: DataFrame, features: Sequence[str], least: int = 5) -> tuple[DataFrame, list[str]]:
-    """Features with at least `least` values and some spread: gaps get the median, then z-scores within 10."""
-    s = df.agg(*[f(F.col(c)).alias(f"{n}_{c}") for c in features for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop), ("q", F.median))]).first()
+def standardised(df: DataFrame, features: Sequence[str], least: int = 5, reference: Column | None = None) -> tuple[DataFrame, list[str]]:
+    """Features with at least `least` values and some spread: gaps get the median, then z-scores within 10.
+
+    What holds for all is worked out over the reference rows (all, unless a condition is given). The median is an
+    approximate one, within a ten-thousandth of the ranks: an exact one would hold all distinct values at once.
+    """
+    median = lambda c: F.percentile_approx(c, 0.5, 10_000)
+    rows = df if reference is None else df.where(reference)
+    s = rows.agg(*[f(F.col(c)).alias(f"{n}_{c}") for c in features for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop), ("q", median))]).first()
     used = [c for c in features if s[f"n_{c}"] >= least and (s[f"s_{c}"] or 0) >= 1e-9]
     z = {c: F.greatest(F.least((F.coalesce(F.col(c), F.lit(s[f"q_{c}"])) - s[f"m_{c}"]) / s[f"s_{c}"], F.lit(10.0)), F.lit(-10.0)) for c in used}
     return df.withColumns(z), used
@@ -22,12 +30,22 @@ def gram(df: DataFrame, features: Sequence[str], label: str, fold: Column | None
     """For each fold the sums of products of (1, features, label): p x p numbers, whatever the number of rows."""
     names = ["_one", *features, label]
     rows = df.where(F.col(label).isNotNull()).withColumn("_one", F.lit(1.0)).withColumn("_fold", F.lit(0) if fold is None else fold)
-    cells = [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
-    out = {}
-    for r in rows.groupBy("_fold").agg(*cells).collect():
-        g = np.array([[r[f"{min(i, j)}_{max(i, j)}"] for j in range(len(names))] for i in range(len(names))], float)
-        out[r["_fold"]] = g
-    return out
+    fields = ", ".join(f"{c} double" for c in ("_fold", *(f"g{i}" for i in range(len(names) ** 2))))
+
+    def sums(batches):
+        """Of each task: the products of its rows' matrix with itself, by fold."""
+        total: dict = {}
+        for b in batches:
+            x = b[names].to_numpy(float)
+            for f in np.unique(b["_fold"]):
+                part = x[b["_fold"] == f]
+                total[f] = total.get(f, 0) + part.T @ part
+        if total:
+            yield pd.DataFrame([[f, *g.ravel()] for f, g in total.items()], columns=fields.replace(" double", "").split(", "))
+
+    cast = rows.select(F.col("_fold").cast("double").alias("_fold"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names])
+    parts = cast.mapInPandas(sums, fields).groupBy("_fold").agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(len(names) ** 2)])
+    return {int(r["_fold"]): np.array(r[1:], float).reshape(len(names), -1) for r in parts.collect()}
 
 
 @dataclass
@@ -50,11 +68,10 @@ class Ridge:
 
     def half_width(self, z: float = 1.2816) -> Column:
         """Half of the prediction interval: z * sqrt(s2 * (1 + x' W x))."""
-        x = [F.col(f) - float(m) for f, m in zip(self.features, self.means, strict=True)]
-        quad = F.lit(1.0 + 1.0 / self.n)
-        for i, a in enumerate(x):
-            for j, b in enumerate(x):
-                quad = quad + a * b * float(self.inverse[i, j])
+        x = F.array(*[F.col(f) - float(m) for f, m in zip(self.features, self.means, strict=True)])
+        dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+        rows = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in self.inverse])
+        quad = 1.0 + 1.0 / self.n + dot(x, F.transform(rows, lambda row: dot(row, x)))
         s2 = self.rmse**2 * self.n / max(1.0, self.n - self.freedom)
         return z * F.sqrt(F.greatest(quad, F.lit(0.0)) * float(s2))
 
@@ -72,15 +89,20 @@ def solve(g: np.ndarray, features: Sequence[str], alpha: float = 50.0) -> Ridge:
 
 
 def cross_validated(df: DataFrame, features: Sequence[str], label: str, key: str, k: int = 5, alpha: float = 50.0) -> list[tuple[int, float, float]]:
-    """(fold, R2, RMSE) from the folds' sums alone: what trains on the others is the total less the fold."""
-    grams = gram(df, features, label, F.pmod(F.xxhash64(key), F.lit(k)))
+    """(fold, R2, RMSE) from the folds' sums alone: what trains on the others is the total less the fold.
+
+    With fewer than k rows each is a fold of its own.
+    """
+    n = df.where(F.col(label).isNotNull()).count()
+    fold = F.pmod(F.xxhash64(key), F.lit(k)) if n >= k else F.dense_rank().over(Window.orderBy(key))
+    grams = gram(df.where(F.col(label).isNotNull()).withColumn("_k", fold), features, label, F.col("_k"))
     total, out, p = sum(grams.values()), [], len(features)
     for f, g in sorted(grams.items()):
         m = solve(total - g, features, alpha)
         w = np.concatenate([[m.intercept], m.coefficients, [-1.0]])
         rss, n = float(w @ g @ w), g[0, 0]
         tss = g[p + 1, p + 1] - g[0, p + 1] ** 2 / n
-        out.append((f, 1 - rss / tss if tss > 0 else 0.0, float(np.sqrt(max(rss, 0) / n))))
+        out.append((f, float(1 - rss / tss) if tss > 0 else 0.0, float(np.sqrt(max(rss, 0) / n))))
     return out
 
 
@@ -93,7 +115,7 @@ def importance(m: Ridge, g: np.ndarray) -> list[tuple[str, float]]:
 def rebased(df: DataFrame, targets: DataFrame, by: Sequence[str], prediction: str = "prediction") -> DataFrame:
     """Predictions shifted so that each group's mean is its official value; groups without one stay."""
     shift = df.groupBy(*by).agg(F.avg(prediction).alias("_mean")).join(targets, list(by)).select(*by, (F.col("official") - F.col("_mean")).alias("shift"))
-    return df.join(F.broadcast(shift), list(by), "left").fillna(0.0, ["shift"]).withColumn("rebased", F.col(prediction) + F.col("shift"))
+    return df.join(shift, list(by), "left").fillna(0.0, ["shift"]).withColumn("rebased", F.col(prediction) + F.col("shift"))
 
 
 def impute(df: DataFrame, target: str, features: Sequence[str], least: int = 20, r2: float = 0.10, low: float = 1.0, high: float = 5.0) -> DataFrame:
@@ -103,3 +125,125 @@ def impute(df: DataFrame, target: str, features: Sequence[str], least: int = 20,
     if not g or g[0][0, 0] < least or (m := solve(g[0], features, 1e-9)).r2 < r2:
         return df
     return df.withColumn(target, F.coalesce(F.col(target), F.greatest(F.least(m.prediction(), F.lit(high)), F.lit(low))))
+
+
+def feature_rows(tables: dict[str, tuple[DataFrame, str, dict[str, Column]]], dimensions: Sequence[str]) -> DataFrame:
+    """id, source and one double for each dimension, null where a source has none: (table, key, {dimension: column}) for each source."""
+    out = None
+    for source, (t, key, columns) in tables.items():
+        rows = t.select(F.concat_ws("_", F.lit(source), F.trim(F.col(key).cast("string"))).alias("id"), F.lit(source).alias("source"), *[columns.get(d, F.lit(None)).cast("double").alias(d) for d in dimensions])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def confidence(features: Sequence[str]) -> Column:
+    """1 for a row at the means, 0 from a mean distance of five deviations on."""
+    far = sum((F.abs(F.coalesce(F.col(f), F.lit(0.0))) for f in features), F.lit(0.0)) / len(features)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - far / 5))
+
+
+def partial_r2(g: np.ndarray, features: Sequence[str], alpha: float = 50.0) -> list[tuple[str, float, float]]:
+    """(feature, R2 lost without it, approximate p-value) from the sums alone: each refit takes a part of the matrix."""
+    whole = solve(g, features, alpha)
+    n, p = g[0, 0], len(features)
+    s2 = whole.rmse**2 * n / max(1.0, n - whole.freedom)
+    mean = g[0, 1 : p + 1] / n
+    xx = g[1 : p + 1, 1 : p + 1] - n * np.outer(mean, mean)
+    spread = np.sqrt(np.maximum(np.diag(whole.inverse @ xx @ whole.inverse) * s2, 1e-300))
+    out = []
+    for j, f in enumerate(features):
+        rest = [0, *(1 + i for i in range(p) if i != j), p + 1]
+        without = solve(g[np.ix_(rest, rest)], [x for x in features if x != f], alpha)
+        out.append((f, float(whole.r2 - without.r2), math.erfc(abs(whole.coefficients[j]) / spread[j] / math.sqrt(2))))
+    return out
+
+
+def fit_figures(df: DataFrame, label: str, prediction: str, n_features: int) -> DataFrame:
+    """n, r2, adjusted_r2, rmse, mae of predictions over the labelled rows, in one pass."""
+    y, e = F.col(label).cast("double"), F.col(label).cast("double") - F.col(prediction)
+    sums = df.where(F.col(label).isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("rss"), (F.var_pop(y) * F.count(F.lit(1))).alias("tss"), F.avg(F.abs(e)).alias("mae"))
+    r2 = F.when(F.col("tss") > 0, 1 - F.col("rss") / F.col("tss")).otherwise(0.0)
+    free = F.col("n") - n_features - 1
+    return sums.select("n", r2.alias("r2"), F.when(free > 0, 1 - (1 - r2) * (F.col("n") - 1) / free).alias("adjusted_r2"), F.sqrt(F.col("rss") / F.col("n")).alias("rmse"), "mae")
+
+
+def is_reliable(folds: Sequence[tuple[int, float, float]]) -> bool:
+    """Whether the folds' R2 is above 0.3 on average and deviates by less than 0.3."""
+    r2 = np.array([f[1] for f in folds])
+    return bool(len(r2) and r2.mean() > 0.3 and r2.std() < 0.3)
+
+
+def official_shift(df: DataFrame, targets: DataFrame, trained: DataFrame, prediction: str = "prediction", city: str = "city", kind: str = "type") -> DataFrame:
+    """df with shift and rebased: each city's official value less its mean prediction.
+
+    targets(city, type or null, official): where a city has values by type, each type is shifted to its own, else the
+    city as a whole. Cities in trained(city) are not shifted, nor are those without a value.
+    """
+    typed = targets.where(F.col(kind).isNotNull()).groupBy(city, kind).agg(F.max("official").alias("_typed"))
+    whole = targets.where(F.col(kind).isNull()).groupBy(city).agg(F.max("official").alias("_whole"))
+    has = targets.groupBy(city).agg(F.max(F.col(kind).isNotNull()).alias("_by_type"))
+    means = df.groupBy(city, kind).agg(F.sum(prediction).alias("s"), F.count(prediction).alias("n"))
+    of_city = means.groupBy(city).agg((F.sum("s") / F.sum("n")).alias("_city_mean"))
+    table = means.select(city, kind, (F.col("s") / F.col("n")).alias("_mean")).join(of_city, city).join(has, city, "left").join(typed, [city, kind], "left").join(whole, city, "left")
+    table = table.join(trained.select(city, F.lit(True).alias("_trained")).distinct(), city, "left")
+    shift = F.when(F.col("_trained"), 0.0).when(F.col("_by_type"), F.col("_typed") - F.col("_mean")).otherwise(F.col("_whole") - F.col("_city_mean"))
+    table = table.select(city, kind, F.coalesce(shift, F.lit(0.0)).alias("shift"))
+    return df.join(table, [city, kind], "left").withColumn("rebased", F.col(prediction) + F.col("shift"))
+
+
+def back_test(df: DataFrame, actual: str, columns: Sequence[str], half_width: str | None = None) -> DataFrame:
+    """measure, n, mae, bias of each column where the actual value is known, and the intervals' mean width."""
+    known = df.where(F.col(actual).isNotNull())
+    cells = known.agg(F.count(F.lit(1)).alias("n"), *[f.alias(f"{k}_{c}") for c in columns for k, f in (("m", F.avg(F.abs(F.col(c) - F.col(actual)))), ("b", F.avg(F.col(c) - F.col(actual))))], (F.avg(F.col(half_width) * 2) if half_width else F.lit(None).cast("double")).alias("width"))
+    rows = F.array(*[F.struct(F.lit(c).alias("measure"), F.col("n"), F.col(f"m_{c}").alias("mae"), F.col(f"b_{c}").alias("bias"), F.col("width")) for c in columns])
+    return cells.select(F.explode(rows).alias("x")).select("x.*")
+
+
+def fold_correlations(df: DataFrame, vector: str, label: str, key: str, k: int = 5) -> DataFrame:
+    """fold, dim, r: the correlation of each dimension with the label over all rows but those of the fold.
+
+    One pass gives the sums of each fold and dimension; those of the others are the total less these.
+    """
+    each = df.where(F.col(label).isNotNull()).select(F.pmod(F.xxhash64(key), F.lit(k)).cast("int").alias("fold"), F.posexplode(vector).alias("dim", "x"), F.col(label).cast("double").alias("y"))
+    x, y = F.col("x").cast("double"), F.col("y")
+    parts = {"n": F.count(F.lit(1)), "x": F.sum(x), "y": F.sum(y), "xx": F.sum(x * x), "yy": F.sum(y * y), "xy": F.sum(x * y)}
+    sums = each.groupBy("fold", "dim").agg(*[f.alias(f"s_{c}") for c, f in parts.items()])
+    by = Window.partitionBy("dim")
+    rest = sums.select("fold", "dim", *[(F.sum(f"s_{c}").over(by) - F.col(f"s_{c}")).cast("double").alias(c) for c in parts])
+    n, a, b = F.col("n"), F.col("x"), F.col("y")
+    r = F.try_divide(n * F.col("xy") - a * b, F.sqrt(F.greatest((n * F.col("xx") - a * a) * (n * F.col("yy") - b * b), F.lit(0.0))))
+    return rest.select("fold", "dim", r.alias("r"))
+
+
+def selected_dimensions(correlations: DataFrame, n: int) -> DataFrame:
+    """fold, dim, r of the n dimensions that correlate most in each fold, ties by number."""
+    w = Window.partitionBy("fold").orderBy(F.abs("r").desc_nulls_last(), "dim")
+    return correlations.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+
+
+def stable_dimensions(selected: DataFrame, least: int = 2) -> DataFrame:
+    """dim, n_folds, mean_abs_r of dimensions selected in at least so many folds."""
+    return selected.groupBy("dim").agg(F.count(F.lit(1)).alias("n_folds"), F.avg(F.abs("r")).alias("mean_abs_r")).where(F.col("n_folds") >= least)
+
+
+def cross_validated_selection(df: DataFrame, vector: str, label: str, key: str, n: int, k: int = 5, alpha: float = 50.0) -> list[tuple[int, list[int], float, float]]:
+    """(fold, dimensions, R2, RMSE): in each fold the n dimensions are chosen, and the model fitted, without that fold.
+
+    Two passes: the correlations by fold, then the sums of products of all dimensions that any fold chose.
+    """
+    chosen: dict[int, list[int]] = {}
+    for r in selected_dimensions(fold_correlations(df, vector, label, key, k), n).select("fold", "dim").collect():
+        chosen.setdefault(r["fold"], []).append(r["dim"])
+    dims = sorted({d for ds in chosen.values() for d in ds})
+    rows = df.select(key, label, *[F.get(vector, F.lit(d)).cast("double").alias(f"d{d}") for d in dims])
+    grams = gram(rows, [f"d{d}" for d in dims], label, F.pmod(F.xxhash64(key), F.lit(k)))
+    total, out = sum(grams.values()), []
+    for fold, g in sorted(grams.items()):
+        mine = sorted(chosen[fold])
+        at = [0, *(1 + dims.index(d) for d in mine), len(dims) + 1]
+        m = solve((total - g)[np.ix_(at, at)], [f"d{d}" for d in mine], alpha)
+        test, w = g[np.ix_(at, at)], np.concatenate([[m.intercept], m.coefficients, [-1.0]])
+        rss, count = float(w @ test @ w), test[0, 0]
+        tss = test[-1, -1] - test[0, -1] ** 2 / count
+        out.append((fold, mine, float(1 - rss / tss) if tss > 0 else 0.0, float(np.sqrt(max(rss, 0) / count))))
+    return out

@@ -2,32 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeloom.functions import scores, values
-from placeloom.operators import conform, documents, fill, joins, model, ranks, spatial, vectors
+from placeloom.operators import aggregates, conform, documents, fill, joins, model, ranks, rows, spatial, vectors
+from placeloom.registry import QUERIES, SQL, query
 from placeloom.plans.sites import events, latitude, longitude, read, safety, sites
 from placeloom.sources.files import read_in_box
 from placeloom.streaming.rolling import hourly
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return register
-
-
 def _at(k: str) -> str:
     return f"52.3 + (({k}::BIGINT * 7919) % 10007) / 10007.0::DOUBLE * 0.4 AS lat, 13.0 + (({k}::BIGINT * 104729) % 10009) / 10009.0::DOUBLE * 0.7 AS lon"
 
@@ -150,12 +133,12 @@ def j05(spark, sf_dir):
     return joins.by_either_key(c, read(spark, sf_dir, "nation"), ("k1", "n_nationkey"), ("k2", "n_nationkey"), ["n_name"]).select("c_custkey", "n_name")
 
 
-@query("j07_best_match", "WITH p AS (SELECT p_partkey, p_brand, p_name FROM part WHERE p_size <= 10), m AS (SELECT a.p_partkey, b.p_partkey AS match_key, 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1)::DOUBLE AS score FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey), r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, match_key) AS n FROM m WHERE score >= 0.4) SELECT p_partkey, match_key, round(score, 6) AS score FROM r WHERE n = 1")
+@query("j07_best_match", "WITH p AS (SELECT p_partkey, p_brand, p_name FROM part), m AS (SELECT a.p_partkey, b.p_partkey AS match_key, 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name), 1)::DOUBLE AS score FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey), r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, match_key) AS n FROM m WHERE score >= 0.4) SELECT p_partkey, match_key, round(score, 6) AS score FROM r WHERE n = 1")
 def j07(spark, sf_dir):
-    p = read(spark, sf_dir, "part").where("p_size <= 10").select("p_partkey", "p_brand", "p_name")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
     other = p.select("p_brand", F.col("p_partkey").alias("match_key"), F.col("p_name").alias("match_name"))
-    scored = p.join(other, "p_brand").where("p_partkey <> match_key").withColumn("score", joins.similarity(F.col("p_name"), F.col("match_name"))).where("score >= 0.4")
-    return ranks.keep_first(scored, ["p_partkey"], [F.desc("score"), F.col("match_key")]).select("p_partkey", "match_key", F.round("score", 6).alias("score"))
+    found = joins.best_match(p, other, ["p_brand"], "p_name", "match_name", "p_partkey", "match_key", 0.4, where=F.col("p_partkey") != F.col("match_key"))
+    return found.select("p_partkey", "match_key", F.round("score", 6).alias("score"))
 
 
 _CASCADE = "WITH n AS (SELECT c_nationkey, round(avg(c_acctbal), 6) AS v FROM customer WHERE c_nationkey % 3 = 0 GROUP BY 1), r AS (SELECT n_regionkey, round(avg(c_acctbal), 6) AS v FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey < 3 GROUP BY 1), g AS (SELECT round(avg(c_acctbal), 6) AS v FROM customer) SELECT s_suppkey, coalesce(n.v, r.v, g.v) AS mean_balance, CASE WHEN n.v IS NOT NULL THEN 'nation' WHEN r.v IS NOT NULL THEN 'region' ELSE 'all' END AS data_source FROM supplier JOIN nation k ON s_nationkey = k.n_nationkey LEFT JOIN n ON n.c_nationkey = s_nationkey LEFT JOIN r ON r.n_regionkey = k.n_regionkey CROSS JOIN g"
@@ -202,7 +185,7 @@ def a04(spark, sf_dir):
 
 @query("a05_lists", "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY 1")
 def a05(spark, sf_dir):
-    return read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("priorities"))
+    return aggregates.sorted_lists(read(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority").withColumnRenamed("o_orderpriority", "priorities")
 
 
 @query("a08_pivot", "SELECT year(o_orderdate) AS y, count(*) FILTER (o_orderstatus = 'F') AS filled, count(*) FILTER (o_orderstatus = 'O') AS open FROM orders GROUP BY 1")
@@ -219,8 +202,8 @@ def a12(spark, sf_dir):
 
 @query("u02_both_lists", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'both' WHEN b.k IS NULL THEN 'customer' ELSE 'supplier' END AS kind FROM (SELECT DISTINCT c_custkey AS k FROM customer) a FULL JOIN (SELECT DISTINCT s_suppkey * 2 AS k FROM supplier) b ON a.k = b.k")
 def u02(spark, sf_dir):
-    a, b = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.lit(1).alias("a")).distinct(), read(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 2).alias("k"), F.lit(1).alias("b")).distinct()
-    return a.join(b, "k", "full").select("k", F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), "both").when(F.col("b").isNull(), "customer").otherwise("supplier").alias("kind"))
+    a, b = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), read(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 2).alias("k"))
+    return rows.both_lists(a, b, "k", ("customer", "supplier"), "both")
 
 
 @query("x10_bands", "SELECT p_partkey, CASE WHEN p_size <= 10 THEN 'small' WHEN p_size <= 30 THEN 'medium' ELSE 'large' END AS band FROM part")
@@ -291,3 +274,7 @@ def d02(spark, sf_dir):
 @query("r01_hourly", "SELECT date_trunc('hour', ts) AS hour, event_type, round(avg(value), 6) AS mean_value, count(*) AS n FROM events GROUP BY 1, 2")
 def r01(spark, sf_dir):
     return hourly(read(spark, sf_dir, "events"), "ts", "event_type", "value").select(F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", F.round("mean_value", 6).alias("mean_value"), "n")
+
+
+# the other queries register themselves
+from placeloom import queries_places, queries_tables, queries_values  # noqa: E402, F401

@@ -17,10 +17,21 @@ def hourly(events: DataFrame, ts: str, key: str, value: str, late: str = "2 hour
     return rows.groupBy(F.window(ts, "1 hour").alias("w"), key).agg(F.avg(value).alias("mean_value"), F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("hour"), key, "mean_value", "n")
 
 
-def upsert_stream(updates: DataFrame, target: DataFrame, key: str, fields: Sequence[str], path: str, checkpoint: str) -> StreamingQuery:
-    """Writes each batch's change set under its number: a batch that runs again replaces what it wrote."""
+def upsert_stream(updates: DataFrame, target: DataFrame, key: str, fields: Sequence[str], path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Writes each batch's change set under its number: a batch that runs again replaces what it wrote.
 
-    def write(batch: DataFrame, number: int) -> None:
-        upsert_plan(target, batch, key, fields).write.mode("overwrite").parquet(f"{path}/batch={number}")
+    A cell that an earlier batch filled is not filled again: what batches before this one wrote counts as the target's.
+    once: all that is there, then the stream ends.
+    """
 
-    return updates.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+    def write(batch: DataFrame, number: int) -> None:
+        changes = upsert_plan(target, batch, key, fields)
+        if number:
+            spark = batch.sparkSession
+            schema = changes.select(key, "field").schema.add("batch", "long")
+            done = spark.read.option("basePath", path).schema(schema).parquet(path).where(F.col("batch") < number)
+            changes = changes.join(done, [key, "field"], "left_anti")
+        changes.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = updates.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()

@@ -6,10 +6,10 @@ import pytest
 
 from placeloom.queries import QUERIES, SQL
 from placeloom.plans.sites import events, sites
-from placeloom.operators import vectors
+from placeloom.operators import conform, joins, model, ranks, vectors
 from placeloom.operators.spatial import nearest_uncapped, radius_join
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def norm(rows):
@@ -43,9 +43,61 @@ def test_radius_joins_are_equi_joins(spark, sf):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_ranks_have_no_window_over_all_rows(spark, sf):
+    """Only one row of each range meets in one task."""
+    plan = ranks.ranked(sites(spark, sf), "lat")._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "partition" not in line]
+    assert plan.count("SinglePartition") <= 3 and all("_range" in w for w in windows)
+
+
+def test_ridge_equals_numpy(spark, sf):
+    """Sums by blocks, solution, intervals and folds against the closed form in one process."""
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_quantity x", "l_discount * 100 z", "l_extendedprice y", "l_orderkey * 10 + l_linenumber k")
+    df = rows.toPandas()
+    x = df[["x", "z"]].to_numpy(float)
+    y = df["y"].to_numpy(float)
+    g = model.gram(rows, ["x", "z"], "y")[0]
+    m = model.solve(g, ["x", "z"])
+    c = x - x.mean(axis=0)
+    b = np.linalg.solve(c.T @ c + 50 * np.eye(2), c.T @ (y - y.mean()))
+    assert np.allclose(m.coefficients, b) and np.isclose(m.intercept, y.mean() - b @ x.mean(axis=0))
+    inverse = np.linalg.inv(c.T @ c + 50 * np.eye(2))
+    s2 = ((y - y.mean() - c @ b) ** 2).sum() / (len(y) - np.trace(inverse @ c.T @ c) - 1)
+    width = 1.2816 * np.sqrt(s2 * (1 + 1 / len(y) + np.einsum("ij,jk,ik->i", c, inverse, c)))
+    got = rows.select("k", m.half_width().alias("w")).toPandas().set_index("k")["w"]
+    assert np.allclose(got.loc[df["k"]], width)
+    lost = dict((f, r) for f, r, _ in model.partial_r2(g, ["x", "z"]))
+    without = model.solve(model.gram(rows, ["x"], "y")[0], ["x"])
+    assert np.isclose(lost["z"], m.r2 - without.r2)
+    few = rows.limit(4)
+    assert len(model.cross_validated(few, ["x"], "y", "k")) == few.count()
+
+
+def test_fold_correlations_leave_the_fold_out(spark, sf):
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    got = {(r.fold, r.dim): r.r for r in model.fold_correlations(e, "embedding", "label", "vec_id").collect()}
+    pdf = e.selectExpr("vec_id", "embedding", "label", "int(pmod(xxhash64(vec_id), 5)) fold").toPandas()
+    for fold, dim in ((0, 0), (3, 17), (4, 63)):
+        rest = pdf[pdf.fold != fold]
+        assert np.isclose(got[fold, dim], np.corrcoef([v[dim] for v in rest.embedding], rest.label)[0, 1], atol=1e-6)
+
+
+def test_constants_of_several_rows_fail(spark, sf):
+    n = spark.read.parquet(f"{sf}/nation.parquet")
+    with pytest.raises(Exception, match="more than one row"):
+        joins.with_constants(n, n.select("n_name")).collect()
+
+
+def test_strict_types(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "kind string")
+    assert conform.strict(df.where("kind = 'a'"), "kind", ["a"]).count() == 1
+    with pytest.raises(Exception, match="kind"):
+        conform.strict(df, "kind", ["a", "b"]).collect()
+
+
 def test_nearest_uncapped_finds_k_for_all(spark, sf):
     s = sites(spark, sf).limit(20)
-    found = nearest_uncapped(s, events(spark, sf), 3, 200, "event_id", rounds=3)
+    found = nearest_uncapped(s, events(spark, sf), 3, 200, "event_id")
     assert found.groupBy("site_id").count().where("count = 3").count() == 20
 
 
