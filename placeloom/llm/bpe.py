@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-#: Distinct pieces that a task remembers; beyond it starts afresh, which costs time only.
-REMEMBERED = 400_000
+from placeloom.llm.common import bounded_batches
+
+#: Distinct pieces that a task remembers, twice: beyond it those not seen again since the last time are forgotten, which costs time only.
+REMEMBERED = 64_000
 #: Pieces over as many bytes are merged by a heap instead of by looking through all pairs.
 LONG = 64
-#: Bytes of text, and ids, that go out in one batch.
+#: Characters of the White_Space property.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 
 
@@ -98,12 +100,16 @@ class _Known(dict):
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.before = ranks, {}
 
     def __missing__(self, piece: str) -> str:
-        if len(self) > REMEMBERED:
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
-        ids = self[piece] = " ".join(map(str, fold(piece.encode(), self.ranks)))
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = " ".join(map(str, fold(piece.encode(), self.ranks)))
+        self[piece] = ids
         return ids
 
 
@@ -154,6 +160,7 @@ def encode_table(docs: DataFrame, tokenizer: Tokenizer, id_col: str = "doc_id",
     Whole texts; repeated rows stay repeated; null ids stay; further columns are not read; an empty table gives an
     empty one.
     """
+    bounded_batches(docs.sparkSession)
     encoded = docs.select(F.col(id_col), tokenizer.encode(F.col(text_col)).alias("ids"))
     return encoded.select(id_col, "ids", tokenizer.decode(F.col("ids")).alias("decoded"))
 

@@ -13,12 +13,17 @@ from pyspark.sql import functions as F
 #: The word of all operators here: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+#: Bytes of text that go to Python at once.
+BATCH = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one if Spark runs
+    in this process alone, as in tests; on a cluster that is an error, since executors would not see the driver's folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -28,6 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    bounded_batches(spark)
     df.write.option("compression", "zstd").parquet(path)
     # what the plan shuffled is not needed any more: its files go when the driver's JVM collects its garbage
     spark._jvm.System.gc()
@@ -65,6 +71,14 @@ def spans_text(spans: Column) -> Column:
     )
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH bytes at most, or of one row, whatever the length of the texts; a smaller bound that is set stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = spark.conf.get(name).lower().removesuffix("b")
+    if not found.isdigit() or not 0 < int(found) <= BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 200) -> Iterator[None]:
     """Rows with several texts go to Python by few at a time: bounds a task's memory. For what is staged inside."""

@@ -32,7 +32,7 @@ PERCENT = 75
 #: A prefix is longer than it must be by one token in as many; similar sets share as many more in their prefixes.
 LONGER = 8
 #: Tokens counted together in a task, and how often one must come there for its count to go on.
-BLOCK, SEEN = 1 << 22, 4
+BLOCK, SEEN = 1 << 21, 4
 #: A token that comes so often in all blocks is common. The table of common ones has at most MOST_COMMON rows, the least
 #: common left out: it only orders tokens, so results do not depend on it.
 COMMON, MOST_COMMON = 16, 1 << 20
