@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import StringType
 
-from placeloom.llm.common import spans_text, text_of
+from placeloom.llm.common import bounded_batches, spans_text, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -95,20 +95,21 @@ _DIGITS = {
 }
 _AT_NAMES, _DOT_NAMES = "at|arobase|arroba|ät", "dot|punkt|point|punto"
 _D = "(?:" + "|".join(sorted(_DIGITS, key=len, reverse=True)) + ")"
-_SEP = rf"(?:[ \t,\n-]{{1,3}}|[ \t]*[\[({{<]?[ \t]*(?:{_DOT_NAMES}|\.)[ \t]*[\])}}>]?[ \t]*)"
-_SPELLED = re.compile(rf"{_D}{_SEP}(?:{_D}|[0-9]+)(?:{_SEP}(?:{_D}|[0-9]+))+(?!\w)", re.I)
+_SEP = rf"(?:[ \t,\n-]+|[ \t]*[\[({{<]?[ \t]*(?:{_DOT_NAMES}|\.)[ \t]*[\])}}>]?[ \t]*)"
+_SPELLED = re.compile(rf"(?:{_D}|[0-9]+)(?:{_SEP}(?:{_D}|[0-9]+))+(?!\w)", re.I)
 _TOKEN = re.compile(rf"(?P<d>{_D})|(?P<n>[0-9]+)|(?P<p>{_DOT_NAMES}|\.)", re.I)
 _WORDS, _BETWEEN = re.compile(r"\w+"), frozenset(_DOT_NAMES.split("|"))
-_PLUS = re.compile(r"(?:\bplus|\+)[ \t]{0,3}$", re.I)
+_PLUS = re.compile(r"(?:\bplus|\+)[ \t]*$", re.I)
 
-_OPEN, _CLOSE = r"[ \t]{0,3}[\[({<][ \t]{0,3}", r"[ \t]{0,3}[\])}>][ \t]{0,3}"
-_AT = re.compile(rf"[\[({{<][ \t]{{0,3}}(?:{_AT_NAMES}|@){_CLOSE}|[ \t](?:{_AT_NAMES})[ \t]{{1,3}}|@", re.I)
-_DOT = rf"(?:{_OPEN}(?:{_DOT_NAMES}|\.){_CLOSE}|[ \t]{{1,3}}(?:{_DOT_NAMES})[ \t]{{1,3}}|\.)"
+# Blanks only count from the first of a run on, so that a run of any length is looked at once.
+_OPEN, _CLOSE = r"(?<![ \t])[ \t]*+[\[({<][ \t]*+", r"[ \t]*+[\])}>][ \t]*+"
+_AT = re.compile(rf"[\[({{<][ \t]*+(?:{_AT_NAMES}|@){_CLOSE}|[ \t](?:{_AT_NAMES})[ \t]++|@", re.I)
+_DOT = rf"(?:{_OPEN}(?:{_DOT_NAMES}|\.){_CLOSE}|(?<![ \t])[ \t]++(?:{_DOT_NAMES})[ \t]++|\.)"
 _HOST = re.compile(rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+", re.I)
-_NAME = re.compile(rf"[A-Za-z0-9_%+-]+(?:{_DOT}[A-Za-z0-9_%+-]+)*$", re.I)
 _DOTS = re.compile(_DOT, re.I)
-#: Characters of a mail address before the @, at most, disguises included.
-NAME_CHARS = 120
+_NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
+_BLANK, _OPENING, _CLOSING = frozenset(" \t"), frozenset("[({<"), frozenset("])}>")
+_DOT_WORDS = tuple(sorted(_DOT_NAMES.split("|"), key=len, reverse=True))
 
 
 def _alike(text: str) -> list[tuple[int, int, str]]:
@@ -124,6 +125,57 @@ def _alike(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _dot_before(text: str, end: int, low: int) -> int:
+    """Where a dot, plain or disguised, that ends at `end` starts; -1 if there is none after `low`."""
+    i = end
+    if i > low and text[i - 1] == "." and not (i - 1 > low and text[i - 2] in _BLANK):
+        return i - 1
+    while i > low and text[i - 1] in _BLANK:
+        i -= 1
+    closed = i > low and text[i - 1] in _CLOSING
+    if closed:
+        i -= 1
+        while i > low and text[i - 1] in _BLANK:
+            i -= 1
+    elif i == end:
+        return -1  # a bare word needs blanks on both sides
+    tail = text[max(low, i - len(_DOT_WORDS[0])) : i].lower()
+    if closed and tail.endswith("."):
+        i -= 1
+    elif word := next((w for w in _DOT_WORDS if tail.endswith(w)), None):
+        i -= len(word)
+    else:
+        return -1
+    j = i
+    while i > low and text[i - 1] in _BLANK:
+        i -= 1
+    if not closed:
+        return i if i < j else -1
+    if i == low or text[i - 1] not in _OPENING:
+        return -1
+    i -= 1
+    while i > low and text[i - 1] in _BLANK:
+        i -= 1
+    return i
+
+
+def _name_before(text: str, end: int, low: int) -> tuple[int, list[tuple[int, int, str]]]:
+    """Where the name of a mail address that ends at `end` starts, after `low`, and the edits of its disguised dots."""
+    start, edits = end, []
+    while True:
+        i = start
+        while i > low and text[i - 1] in _NAME_CHARS:
+            i -= 1
+        if i == start:
+            return (end, []) if start == end else (edits[-1][1], edits[:-1]) if edits and edits[-1][1] == start else (start, edits)
+        start, dot = i, _dot_before(text, i, low)
+        if dot <= low or text[dot - 1] not in _NAME_CHARS:
+            return start, edits
+        if text[dot:start] != ".":
+            edits.append((dot, start, "."))
+        start = dot
+
+
 def _mails(text: str) -> list[tuple[int, int, str]]:
     """Edits of "at" and "dot" disguises: a plain word " at " counts only before a disguised dot."""
     out: list[tuple[int, int, str]] = []
@@ -132,14 +184,14 @@ def _mails(text: str) -> list[tuple[int, int, str]]:
         if not host:
             continue
         start = m.start()
-        while m[0] != "@" and start and m.start() - start < 3 and text[start - 1] in " \t":
+        low = max((x[1] for x in out[-1:]), default=0)
+        while m[0] != "@" and start > low and text[start - 1] in " \t":
             start -= 1
-        low = max(start - NAME_CHARS, out[-1][1] if out else 0)
-        name = _NAME.search(text[low:start])
+        name, edits = _name_before(text, start, low)
         dots = [(d, d[0] != ".") for d in _DOTS.finditer(text, host.start(), host.end())]
-        if not name or m[0].strip()[0].isalpha() and not any(odd for _, odd in dots):
+        if name == start or m[0].strip()[0].isalpha() and not any(odd for _, odd in dots):
             continue
-        out += [(low + name.start() + d.start(), low + name.start() + d.end(), ".") for d in _DOTS.finditer(name[0]) if d[0] != "."]
+        out += reversed(edits)
         if m[0] != "@":
             out.append((start, m.end(), "@"))
         out += [(d.start(), d.end(), ".") for d, odd in dots if odd]
@@ -147,25 +199,28 @@ def _mails(text: str) -> list[tuple[int, int, str]]:
 
 
 def _spelled(text: str) -> list[tuple[int, int, str]]:
-    """Edits of runs of four or more named digits."""
+    """Edits of runs of named digits: four or more, or fewer beside figures or after a plus."""
     words = _WORDS.findall(text.lower())
     named = [i for i, w in enumerate(words) if w in _DIGITS]
     run = most = min(len(named), 1)
     for i, j in zip(named, named[1:], strict=False):
         run = run + 1 if j == i + 1 or all(w in _BETWEEN or w.isdecimal() for w in words[i + 1 : j]) else 1
         most = max(most, run)
-    if most < 4:
+    beside = any((i and words[i - 1].isdecimal()) or (i + 1 < len(words) and words[i + 1].isdecimal()) or (i and words[i - 1] == "plus") for i in named)
+    if most < 4 and not beside and not ("+" in text and named):
         return []
     out = []
     for m in _SPELLED.finditer(text):
         if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_"):
             continue
         parts = [(t.lastgroup, t[0].lower()) for t in _TOKEN.finditer(m[0])]
-        if sum(g == "d" for g, _ in parts) < 4:
+        n_named = sum(g == "d" for g, _ in parts)
+        low = max(0, m.start() - 8)
+        plus = _PLUS.search(text[low : m.start()])
+        if not n_named or n_named < 4 and not plus and not any(g == "n" for g, _ in parts):
             continue
         digits = "".join(_DIGITS[t] if g == "d" else t if g == "n" else "." for g, t in parts)
-        low = max(0, m.start() - 8)
-        if plus := _PLUS.search(text[low : m.start()]):
+        if plus:
             out.append((low + plus.start(), m.end(), f"+{digits}"))
         else:
             out.append((m.start(), m.end(), digits))
@@ -247,11 +302,13 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     Repeated rows stay repeated, a null id stays null, further columns are not read; an empty table gives an empty one.
     """
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col), pii_spans(F.col(text_col)).alias("pii"))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with each span in text_col replaced by its kind in brackets; a null text stays null."""
+    bounded_batches(docs.sparkSession)
     text = F.col(text_col)
     return docs.withColumn(text_col, _redacted(text, pii_spans(text)))
 
