@@ -64,24 +64,39 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
 
 def parse_chats(formatted: Column) -> Column:
-    """array<struct<role,text>> of all turns in a formatted text, as they were."""
+    """array<struct<role,text,head_chars,text_chars>> of all turns in a formatted text, as they were; and how many
+    characters of it the head before a turn and its escaped text take."""
     blocks = F.filter(F.split(formatted, r"<\|start\|>"), lambda b: b != "")
 
-    def turns(block: Column) -> Column:
+    def turns(block: Column, k: Column) -> Column:
         raw = F.substring_index(block, "\n", 1)
         role = unescape(F.replace(raw, F.lit("~n"), F.lit("\n")))
         body = F.substr(block, F.length(raw) + 2, F.length(block) - F.length(raw) - 1 - len(END))
-        return F.transform(F.split(body, r"<\|next\|>"), lambda t: F.struct(role.alias("role"), unescape(t).alias("text")))
+        head = F.length(raw) + len(START) + 1 + F.when(k > 0, len(END)).otherwise(0)
+        return F.transform(F.split(body, r"<\|next\|>"), lambda t, i: F.struct(role.alias("role"), unescape(t).alias("text"), F.when(i > 0, len(NEXT)).otherwise(head).alias("head_chars"), F.length(t).alias("text_chars")))
 
     return F.flatten(F.transform(blocks, turns))
 
 
+def under_mask(formatted: Column, mask: Column, turns: Column) -> Column:
+    """What of formatted is under the mask, unescaped.
+
+    Where every run is as long as the head or text that stands there, the texts are what the runs cut out. Where one
+    is not, formatted is cut by the running sum of the runs, piece by piece.
+    """
+    fits = lambda t, k: (F.get(mask, 2 * k)["n_chars"] == t["head_chars"]) & ~F.get(mask, 2 * k)["loss"] & (F.get(mask, 2 * k + 1)["n_chars"] == t["text_chars"])
+    aligned = (F.size(mask) == 2 * F.size(turns) + 1) & ~F.element_at(mask, -1)["loss"] & F.forall(F.transform(turns, fits), lambda x: F.coalesce(x, F.lit(False)))
+    texts = F.array_join(F.transform(F.filter(turns, lambda t, k: F.get(mask, 2 * k + 1)["loss"]), lambda t: t["text"]), "")
+    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("cut"))
+    cut = F.aggregate(mask, start, lambda a, m: F.struct((a["at"] + m["n_chars"]).alias("at"), F.when(m["loss"], F.concat(a["cut"], unescape(F.substr(formatted, a["at"], m["n_chars"])))).otherwise(a["cut"]).alias("cut")))["cut"]
+    return F.when(aligned, texts).otherwise(cut)
+
+
 def summary(chats: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """What is read back from formatted: turns and their digest, the texts under the loss mask and their digest."""
     read = chats.select(conv_col, "formatted", "mask", parse_chats(F.col("formatted")).alias("back"))
     all_turns = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    # Pieces of the formatted text alternate head, text, head, text, ..., as mask does: a text's run is the odd one.
-    learnt = F.array_join(F.transform(F.filter("back", lambda t, k: F.get("mask", 2 * k + 1)["loss"]), lambda t: t["text"]), "")
+    learnt = under_mask(F.col("formatted"), F.col("mask"), F.col("back"))
     return read.select(conv_col, "formatted", "back", all_turns.alias("all_turns"), learnt.alias("learnt")).select(
         conv_col,
         F.size("back").cast("long").alias("n_turns"),
