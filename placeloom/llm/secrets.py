@@ -29,7 +29,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 # Prefixes of well-known credentials.
 _TOKEN = re.compile(r"(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|AIza|npm_|hf_)[A-Za-z0-9_-]{16,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]{0,24}PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----")
 
 
 def find_spans(text: str | None) -> list[tuple[int, int, int, str]]:
@@ -59,19 +59,22 @@ def secret_spans(text: Column) -> Column:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """key, n_repos, n_owners over candidates(key, owner, repo); nulls count as one owner or repository.
+    """key, n_repos, n_owners over candidates(key, owner, repo): distinct ones; nulls count as one owner or repository.
 
     Each step groups by more than the key first, so a value that a third of all rows hold is counted in parts.
     """
-    each = candidates.groupBy("key", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
-    by_owner = each.groupBy("key", "owner").agg(F.count(F.lit(1)).alias("repos"))
-    return by_owner.groupBy("key").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+    distinct = lambda c: candidates.select("key", c).distinct().groupBy("key").agg(F.count(F.lit(1)).alias(f"n_{c}s"))
+    return distinct("repo").join(distinct("owner"), "key")
 
 
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id", many_owners: int = MANY_OWNERS
 ) -> DataFrame:
-    """One row for each row of docs: id_col, found (spans), live and copied (how many of the spans).
+    """One row for each row of docs: id_col, found (spans), live and copied (how many of the spans), and the most
+    repositories and owners that any of them has.
+
+    A span is copied if as many owners as many_owners have its value, in as many repositories at least; else it looks
+    live. By default a document is a repository of its own, and its source is the owner: repositories are then documents.
 
     Repeated rows stay repeated and count as one repository; null ids, owners and texts are allowed; further columns
     are not read; an empty table gives an empty one. The texts are scanned once: spans are staged in the shared folder.
@@ -83,10 +86,10 @@ def scan(
         "secrets",
     )
     each = found.where(F.size("found") > 0).select("row", "owner", "repo", F.explode("found.key").alias("key"))
-    verdicts = ownership(each).select("key", (F.col("n_owners") >= many_owners).alias("is_copied"))
-    counted = each.select("row", "key").join(verdicts, "key").groupBy("row").agg(F.count_if("is_copied").alias("copied"), F.count_if(~F.col("is_copied")).alias("live"))
+    verdicts = ownership(each).select("key", "n_repos", "n_owners", (F.least("n_owners", "n_repos") >= many_owners).alias("is_copied"))
+    counted = each.select("row", "key").join(verdicts, "key").groupBy("row").agg(F.count_if("is_copied").alias("copied"), F.count_if(~F.col("is_copied")).alias("live"), F.max("n_repos").alias("n_repos"), F.max("n_owners").alias("n_owners"))
     return found.join(counted, "row", "left").select(
-        F.col("id").alias(id_col), "found", F.coalesce("live", F.lit(0)).alias("live"), F.coalesce("copied", F.lit(0)).alias("copied")
+        F.col("id").alias(id_col), "found", F.coalesce("live", F.lit(0)).alias("live"), F.coalesce("copied", F.lit(0)).alias("copied"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_repos", "n_owners")]
     )
 
 
@@ -101,4 +104,6 @@ def summary(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         spans_text(F.col("found")).alias("spans"),
         F.col("live").cast("long").alias("n_live"),
         F.col("copied").cast("long").alias("n_copied"),
+        "n_repos",
+        "n_owners",
     )
