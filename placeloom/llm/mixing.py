@@ -8,6 +8,8 @@ the document's training position. The mix is sorted by position, by range.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +19,8 @@ from placeloom.llm.common import WORD, let, text_of
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Weight schedules, repeating likewise: (training time from 0 to 1, weight), linear in between. The first fades, the last grows.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 0.5), (1.0, 2.5)))
-#: Hexadecimal digits of the hash that deal a source's documents into parts, so that no part of a large source is large.
-DIGITS = 3
+#: Documents in a part, about, if a source had them all: what is sorted in one task.
+PART = 4096
 
 
 def n_words(text_col: str = "text") -> Column:
@@ -52,9 +54,9 @@ def training_time(x: Column, rank: Column, schedules=SCHEDULES) -> Column:
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """sizes(source, source_size) with rank, weight and target.
 
-    Sources go by code point, null last. A target is weight times one common level, at most `most` times the source's
+    One row for each source comes together here, after aggregation, and nothing else. Sources go by code point, null last. A target is weight times one common level, at most `most` times the source's
     size; the level that spends `share` of all words is the greatest of the levels with the first k sources held at
-    their most, by size over weight. One row for each source comes together here, after aggregation.
+    their most, by size over weight.
     """
     ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
     ranked = ranked.withColumn("weight", F.get(F.array(*map(F.lit, weights)), F.col("rank") % len(weights)))
@@ -72,26 +74,24 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     positions are the training times, from 0 to 1, at which the mix takes the document; at most `most`. Within a source
     documents come by a hash of their id, once for each pass over the source; a document is taken where at least half
     of it lies before the target. Repeated rows are documents of their own; a null text has no words; null ids and
-    sources are allowed; a document without words costs nothing. An empty table gives an empty one. `keep` names
-    further columns to carry.
+    sources are allowed; a document without words costs nothing. Documents of equal id and size go by the hash of their
+    text, so reruns agree; what is equal in all of this is taken in any order, with equal results. An empty table gives
+    an empty one. `keep` names further columns to carry. A source is dealt into parts by the hash, more of them the more
+    rows there are; running totals go over its parts first, and then inside each.
     """
+    digits = max(1, math.ceil(math.log(max(docs.count(), 1) / PART + 1, 16)))
     id_ = F.col(id_col)
     rows = docs.select(
-        id_.alias("_id"), F.col(source_col).alias("_source"), n_words(text_col).alias("size"), F.md5(F.coalesce(id_.cast("string"), F.lit(""))).alias("_order"), F.struct(*map(F.col, keep)).alias("_keep") if keep else F.lit(None).alias("_keep")
+        id_.alias("_id"), F.col(source_col).alias("_source"), n_words(text_col).alias("size"), F.md5(F.coalesce(id_.cast("string"), F.lit(""))).alias("_order"), F.xxhash64(text_col).alias("_tie"), F.struct(*map(F.col, keep)).alias("_keep") if keep else F.lit(None).alias("_keep")
     )
-    rows = rows.withColumn("_none", F.col("_source").isNull()).withColumn("_name", F.coalesce("_source", F.lit(""))).withColumn("_part", F.substring("_order", 1, DIGITS))
+    rows = rows.withColumn("_none", F.col("_source").isNull()).withColumn("_name", F.coalesce("_source", F.lit(""))).withColumn("_part", F.substring("_order", 1, digits))
     parts = rows.groupBy("_none", "_name", "_part").agg(F.sum("size").alias("words"))
-    # A source's parts as one array: running totals without sorting the source's documents together.
-    by_source = parts.groupBy("_none", "_name").agg(F.sum("words").alias("source_size"), F.sort_array(F.collect_list(F.struct("_part", "words"))).alias("parts"))
-    goal = targets(by_source.withColumn("source", F.when(~F.col("_none"), F.col("_name"))), weights, share, most)
-    sums = F.aggregate(
-        "parts",
-        F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<struct<part:string,before:bigint>>").alias("all")),
-        lambda a, p: F.struct((a["total"] + p["words"]).alias("total"), F.concat(a["all"], F.array(F.struct(p["_part"].alias("part"), a["total"].alias("before")))).alias("all")),
-    )["all"]
-    goal = goal.select("_none", "_name", "source_size", "rank", "target", F.explode(sums).alias("p")).select("*", F.col("p.part").alias("_part"), "p.before").drop("p")
-    inside = Window.partitionBy("_none", "_name", "_part").orderBy("_order", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(goal, ["_none", "_name", "_part"])
+    sizes = parts.groupBy("_none", "_name").agg(F.sum("words").alias("source_size"))
+    goal = targets(sizes.withColumn("source", F.when(~F.col("_none"), F.col("_name"))), weights, share, most).select("_none", "_name", "source_size", "rank", "target")
+    earlier = Window.partitionBy("_none", "_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_none", "_name", "_part", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before")).join(goal, ["_none", "_name"])
+    inside = Window.partitionBy("_none", "_name", "_part").orderBy("_order", "_id", "size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["_none", "_name", "_part"])
     start = F.col("before") + F.col("_inside")
     offsets = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda k: start + k * F.col("source_size")), lambda o: o + F.col("size") / 2 <= F.col("target"))
     placed = placed.withColumn("offsets", offsets)
@@ -103,12 +103,14 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
 
 def by_position(mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The plan's rows sorted by their first position, those that are not taken last."""
+    """The plan's rows sorted by their first position, then by id; those that are not taken last. Null ids first among equals."""
     return mix.withColumn("first_position", F.get("positions", F.lit(0))).orderBy(F.col("first_position").asc_nulls_last(), id_col)
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **more) -> DataFrame:
-    """The mix itself: docs' columns, a row for each time that a document is taken, sorted by training position."""
+    """The mix itself: docs' columns, a row for each time that a document is taken, sorted by training position, then by id.
+
+    Nulls, ties and repeated rows as in plan; column names may be any. An empty table gives an empty one."""
     names = docs.columns
     rows = plan(docs, id_col, text_col, source_col, keep=tuple(names), **more)
     out = rows.select("_keep", F.explode("positions").alias("_position")).orderBy("_position", F.col(f"_keep.{id_col}"))
