@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import BinaryType
 
+from placeloom.llm.common import bounded_batches
+
 BLOCK, RATE = 1024, 8000
 #: Frames worked on at once: bounds a task's memory whatever the length of a text.
 FRAMES = 1536
 PAD = 64
+#: A linear predictor that suits the bytes of text: coefficients in 512ths, of the last sample first. It is fixed, so that equal
+#: texts give equal streams; a frame takes it where its residuals are smaller than those of the format's own predictors.
+TEXT_LPC = ((186, 48, 133), 9)
 
 
 def _crc_table(poly: int, bits: int) -> np.ndarray:
@@ -84,19 +89,20 @@ def _residual(x: np.ndarray, order: int, lpc) -> np.ndarray:
     return x[:, order:] - (predicted >> shift)
 
 
-def _frames(x: np.ndarray, numbers: np.ndarray, lpc=None) -> list[bytes]:
-    """Encoded frames of the rows of x, signed samples, all of one length."""
+def _frames(x: np.ndarray, numbers: np.ndarray, predictor=TEXT_LPC) -> list[bytes]:
+    """Encoded frames of the rows of x, signed samples, all of one length. predictor None: only the format's own ones."""
     f, n = x.shape
     x = x.astype(np.int32)
     same = (x == x[:, :1]).all(axis=1)
-    if lpc is None:
-        sums = np.stack([np.abs(_residual(x, o, None)[:, 4 - o :] if o < 4 else _residual(x, 4, None)).sum(axis=1) for o in range(5)])
-        orders = sums.argmin(axis=0)
-    else:
-        orders = np.full(f, len(lpc[0]))
+    sums = [np.abs(_residual(x, o, None)[:, 4 - o :] if o < 4 else _residual(x, 4, None)).sum(axis=1) for o in range(5)]
+    if predictor and n > 4 + len(predictor[0]):
+        sums.append(np.abs(_residual(x, len(predictor[0]), predictor)[:, 4 - len(predictor[0]) :]).sum(axis=1))
+    choice = np.stack(sums).argmin(axis=0)
     out: list[bytes] = [b""] * f
-    for order in np.unique(orders):
-        rows = np.flatnonzero(orders == order)
+    for chosen in np.unique(choice):
+        lpc = predictor if chosen == 5 else None
+        order = len(lpc[0]) if lpc else int(chosen)
+        rows = np.flatnonzero(choice == chosen)
         r = _residual(x[rows], int(order), lpc)
         u = ((r << 1) ^ (r >> 31)).astype(np.int64)
         m = u.shape[1]
@@ -125,7 +131,7 @@ def _frames(x: np.ndarray, numbers: np.ndarray, lpc=None) -> list[bytes]:
         for j, row in enumerate(rows):
             if same[row]:
                 sub = bytes([0x00, int(x[row, 0]) & 255])
-            elif lpc is None and size[j] + order >= n:
+            elif size[j] + order + (0 if lpc is None else 2 * order + 2) >= n:
                 sub = b"\x02" + x[row].astype(np.int8).tobytes()
             elif lpc is None:
                 sub = bytes([(8 | int(order)) << 1]) + warm[j].tobytes() + data[base[j] : base[j] + size[j]].tobytes()
@@ -148,7 +154,7 @@ def _lpc_bits(lpc, residual: bytes, bits: int) -> bytes:
     return (value << -n % 8).to_bytes((n + 7) // 8, "big")
 
 
-def encode_all(payloads: list[bytes], lpc=None) -> list[bytes]:
+def encode_all(payloads: list[bytes], lpc=TEXT_LPC) -> list[bytes]:
     """A FLAC stream for each payload, whose bytes are 8-bit samples as in WAV: 128 is silence."""
     where = [(d, i) for d, p in enumerate(payloads) for i in range(0, len(p), BLOCK)]
     frames: list[bytes] = [b""] * len(where)
@@ -185,6 +191,8 @@ def _open(stream: bytes) -> tuple[int, bytes, list[tuple[int, int, int]]]:
         raise Broken("no FLAC stream")
     at, last, total, digest, points = 4, False, 0, b"", []
     while not last:
+        if at + 4 > len(stream):
+            raise Broken("short metadata")
         kind, size = stream[at], int.from_bytes(stream[at + 1 : at + 4], "big")
         last, body = bool(kind & 0x80), stream[at + 4 : at + 4 + size]
         if len(body) < size:
@@ -305,27 +313,48 @@ def _decode_coded(data: np.ndarray, raw: bytes, coded: list[tuple], out: list) -
             residuals[j].append(row[:count])
     groups: dict = {}
     for j, (f, n, order, lpc, warm, *_) in enumerate(coded):
-        groups.setdefault((n, order, None if lpc is None else (tuple(lpc[0]), lpc[1])), []).append((f, j, warm))
+        groups.setdefault((n if lpc is None else 0, order, None if lpc is None else (tuple(lpc[0]), lpc[1])), []).append((f, j, warm))
     for (n, order, lpc), members in groups.items():
+        if lpc is not None:
+            _predicted(raw, coded, residuals, members, order, lpc, out)
+            continue
         r = np.stack([np.concatenate(residuals[j]) for _, j, _ in members]).astype(np.int64)
         w = np.stack([np.frombuffer(raw, np.int8, order, at) for *_, at in members]).astype(np.int64) if order else np.zeros((len(members), 0), np.int64)
-        if lpc is None:
-            for level in range(order - 1, -1, -1):
-                first = np.diff(w, level, axis=1)[:, :1]
-                r = np.cumsum(np.concatenate([first, r], axis=1), axis=1)
-                # r now holds differences of this level from the first on; those before the warm-up's end are dropped below
-            x = r[:, -n:] if order else r
-        else:
-            x = np.concatenate([w, r], axis=1)
-            coefficients, shift = lpc
-            for i in range(order, n):
-                x[:, i] += sum(c * x[:, i - 1 - j] for j, c in enumerate(coefficients)) >> shift
+        for level in range(order - 1, -1, -1):
+            first = np.diff(w, level, axis=1)[:, :1]
+            r = np.cumsum(np.concatenate([first, r], axis=1), axis=1)
+            # r now holds differences of this level from the first on; those before the warm-up's end are dropped below
+        x = r[:, -n:] if order else r
         for (f, *_), row in zip(members, x, strict=True):
             out[f] = row
 
 
-def decode_all(streams: list[bytes]) -> list[tuple[bytes, list[int]]]:
-    """(samples as unsigned bytes, first sample of each block) of each stream; raises Broken where a check fails."""
+def _predicted(raw: bytes, coded: list[tuple], residuals: list, members: list[tuple], order: int, lpc, out: list) -> None:
+    """Samples of the frames that one linear predictor gives: all frames step by step, the short ones padded."""
+    coefficients, shift = lpc
+    sizes = [coded[j][1] for _, j, _ in members]
+    x = np.zeros((max(sizes), len(members)), np.int32)
+    for k, (_, j, at) in enumerate(members):
+        x[:order, k] = np.frombuffer(raw, np.int8, order, at)
+        x[order : sizes[k], k] = np.concatenate(residuals[j])
+    for i in range(order, len(x)):
+        total = coefficients[0] * x[i - 1]
+        for j in range(1, order):
+            total += coefficients[j] * x[i - 1 - j]
+        x[i] += total >> shift
+    for (f, *_), column, n in zip(members, x.T, sizes, strict=True):
+        out[f] = column[:n]
+
+
+def decode_all(streams: list[bytes]) -> list[list[tuple[int, bytes]]]:
+    """(first sample, samples as unsigned bytes) of each block of each stream; raises Broken where a check fails, or the stream ends too soon."""
+    try:
+        return _decode_all(streams)
+    except (IndexError, struct.error) as e:
+        raise Broken("a short stream") from e
+
+
+def _decode_all(streams: list[bytes]) -> list[list[tuple[int, bytes]]]:
     opened = [_open(s) for s in streams]
     jobs = [(d, s, a, (points[i + 1][1] if i + 1 < len(points) else len(streams[d])), n) for d, (_, _, points) in enumerate(opened) for i, (s, a, n) in enumerate(points)]
     parts: list[list[bytes]] = [[] for _ in streams]
@@ -343,7 +372,7 @@ def decode_all(streams: list[bytes]) -> list[tuple[bytes, list[int]]]:
         pcm = b"".join(mine)
         if len(pcm) != total or hashlib.md5((np.frombuffer(pcm, np.uint8) ^ 0x80).tobytes()).digest() != digest:
             raise Broken("the stream's length or sum")
-        out.append((pcm, [s for s, *_ in points]))
+        out.append([(s, block) for (s, *_), block in zip(points, mine, strict=True)])
     return out
 
 
@@ -366,14 +395,15 @@ def _feature(pcm: bytes) -> str:
     return f"mean_square={int((x * x).sum()) // len(x)};crossings={crossings};peak={int(np.abs(x).max())}"
 
 
-_PCM = pa.struct([("pcm", pa.binary()), ("offsets", pa.list_(pa.int64())), ("feature", pa.string())])
+_PCM = pa.struct([("blocks", pa.list_(pa.struct([("sample_offset", pa.int64()), ("pcm", pa.binary())]))), ("feature", pa.string())])
 
 
 @F.arrow_udf(from_arrow_type(_PCM))
 def _decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for media in batches:
-        rows = decode_all([m.as_py() for m in media])
-        yield pa.array([{"pcm": p, "offsets": o, "feature": _feature(p)} for p, o in rows], _PCM)
+        present = iter(decode_all([m.as_py() for m in media if m.is_valid]))
+        rows = [next(present) if m.is_valid else None for m in media]
+        yield pa.array([None if r is None else {"blocks": [{"sample_offset": s, "pcm": p} for s, p in r], "feature": _feature(b"".join(p for _, p in r))} for r in rows], _PCM)
 
 
 def to_flac(text: Column) -> Column:
@@ -382,27 +412,39 @@ def to_flac(text: Column) -> Column:
 
 
 def from_flac(media: Column) -> Column:
-    """struct<pcm, offsets, feature>: the samples, where each block starts, and what they sound like. A stream that
-    fails a check fails the job: it must not pass for silence."""
+    """struct<blocks: array<struct<sample_offset, pcm>>, feature>: the samples in blocks, each with the sample it starts
+    at, and what they sound like; null for null. A stream that fails a check fails the job: it must not pass for silence."""
     return _decoded(media)
 
 
+def whole(blocks: Column) -> Column:
+    """The samples of all blocks, one after the other."""
+    return F.unhex(F.array_join(F.transform(blocks, lambda b: F.hex(b["pcm"])), ""))
+
+
+def seek(blocks: Column, sample: Column) -> Column:
+    """The block that holds a sample: the last one that starts at it or before; null beyond the last start of none."""
+    return F.element_at(F.filter(blocks, lambda b: b["sample_offset"] <= sample), -1)
+
+
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id_col, n_bytes and media. Repeated rows stay repeated, null ids stay, further
     columns are not read, an empty table gives an empty one."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col), F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_bytes"), to_flac(F.col(text_col)).alias("media"))
 
 
 def blocks(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row for each PCM block: id_col, sample_offset, pcm; a block can be sought by its offset."""
+    """One row for each PCM block: id_col, sample_offset, pcm; a block can be sought by its offset. Rows with a null
+    stream, and tables without rows, give none; repeated rows give their blocks as often."""
     read = stored.select(id_col, from_flac(F.col("media")).alias("r"))
-    each = read.select(id_col, F.col("r.pcm").alias("_pcm"), F.explode("r.offsets").alias("sample_offset"))
-    return each.select(id_col, "sample_offset", F.substring(F.col("_pcm"), (F.col("sample_offset") + 1).cast("int"), F.lit(BLOCK)).alias("pcm"))
+    return read.select(id_col, F.explode("r.blocks").alias("b")).select(id_col, "b.sample_offset", "b.pcm")
 
 
 def summary(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Digests of what is read back from media, and of media."""
+    """Digests of what is read back from the PCM blocks of media, and of media."""
     read = stored.select(id_col, "n_bytes", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), from_flac(F.col("media")).alias("r"))
+    read = read.select(id_col, "n_bytes", "media_bytes", "media_sha256", whole(F.col("r.blocks")).alias("pcm"), F.col("r.feature").alias("feature"))
     return read.select(
-        id_col, "n_bytes", F.octet_length("r.pcm").cast("long").alias("payload_bytes"), F.sha2("r.pcm", 256).alias("payload_sha256"), F.crc32(F.substring("r.pcm", -PAD, PAD)).alias("tail_crc32"), "media_bytes", "media_sha256", F.col("r.feature").alias("feature")
+        id_col, "n_bytes", F.octet_length("pcm").cast("long").alias("payload_bytes"), F.sha2("pcm", 256).alias("payload_sha256"), F.crc32(F.substring("pcm", -PAD, PAD)).alias("tail_crc32"), "media_bytes", "media_sha256", "feature"
     )

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 
 from placeloom.llm import bpe, flac, queries
@@ -64,25 +65,50 @@ def test_bpe_awkward(spark, awkward, nothing):
 def test_flac_round_trips():
     rng = np.random.default_rng(3)
     payloads = [bytes([7]) * 64, rng.integers(0, 256, 4096 + 64, np.uint8).tobytes(), (128 + 100 * np.sin(np.arange(6400) / 9)).astype(np.uint8).tobytes(), b"A quick text. " * 640, bytes(range(256)) * 8, bytes(1000) + b"\xff" + bytes(23)]
-    for lpc in (None, ([3, -3, 1], 0), ([7, -2], 2)):
+    for lpc in (None, flac.TEXT_LPC, ([3, -3, 1], 0), ([7, -2], 2)):
         streams = flac.encode_all(payloads, lpc)
-        assert [p for p, _ in flac.decode_all(streams)] == payloads
-        assert flac.decode_all(streams)[1][1] == list(range(0, 4160, flac.BLOCK))
+        assert [b"".join(pcm for _, pcm in x) for x in flac.decode_all(streams)] == payloads
+        assert [s for s, _ in flac.decode_all(streams)[1]] == list(range(0, 4160, flac.BLOCK))
+
+
+def test_prose_takes_the_linear_predictor(sf):
+    """Frames with it decode to the same samples and are smaller than those of the format's own predictors."""
+    import pyarrow.parquet as pq
+
+    payloads = [flac.payload(t) for t in pq.read_table(f"{sf}/documents.parquet", columns=["text"])["text"].to_pylist()]
+    with_, without = flac.encode_all(payloads), flac.encode_all(payloads, None)
+    assert [b"".join(pcm for _, pcm in x) for x in flac.decode_all(with_)] == payloads
+    assert sum(map(len, with_)) < 0.98 * sum(map(len, without))
+    kinds = {m[at + 6 + (m[at + 2] >> 4 == 7) * 2] >> 1 for m in with_ for _, at, _ in flac._open(m)[2][:1]}
+    assert any(k >= 32 for k in kinds)
 
 
 @pytest.mark.parametrize("at", [30, 60, 200, -1, -40])
 def test_a_damaged_stream_is_found(at):
     stream = bytearray(flac.encode_all([b"some text to be stored, twice over. " * 64])[0])
     stream[at] ^= 4
-    with pytest.raises((flac.Broken, IndexError)):
-        got = flac.decode_all([bytes(stream)])
-        assert got[0][0] != b"some text to be stored, twice over. " * 64
-        raise flac.Broken
+    with pytest.raises(flac.Broken):
+        flac.decode_all([bytes(stream)])
+
+
+@pytest.mark.parametrize("length", [0, 3, 6, 40, 70, 200])
+def test_a_short_stream_is_found(length):
+    stream = flac.encode_all([b"some text to be stored, twice over. " * 64])[0]
+    with pytest.raises(flac.Broken):
+        flac.decode_all([stream[:length]])
 
 
 def test_flac_query(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    for r in queries.op5_flac(spark, sf).collect():
+    rows = queries.op5_flac(spark, sf).collect()
+    media = dict(zip(texts, flac.encode_all([flac.payload(t) for t in texts.values()]), strict=True))
+    by_text: dict = {}
+    for r in rows:
+        assert (r.media_bytes, r.media_sha256) == (len(media[r.doc_id]), hashlib.sha256(media[r.doc_id]).hexdigest())
+        x = np.frombuffer(flac.payload(texts[r.doc_id]), np.uint8).astype(int) - 128
+        assert r.feature == f"mean_square={int((x * x).sum()) // len(x)};crossings={int(np.sum((x[1:] < 0) != (x[:-1] < 0)))};peak={int(abs(x).max())}"
+        assert by_text.setdefault(texts[r.doc_id], r[1:]) == r[1:]
+    for r in rows:
         p = flac.payload(texts[r.doc_id])
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len((texts[r.doc_id] or "").encode()), len(p), hashlib.sha256(p).hexdigest())
         assert r.tail_crc32 == zlib.crc32(p[-64:])
@@ -97,3 +123,7 @@ def test_flac_awkward(awkward, nothing):
         assert len(joined.get(5, b"")) == r.sample_offset
         joined[5] = joined.get(5, b"") + bytes(r.pcm)
     assert joined[5] == b"x" * 200_000
+    read = stored.select("doc_id", flac.from_flac(F.when(F.col("doc_id") != 1, F.col("media"))).alias("r"))
+    assert read.where("doc_id = 1 and r is null").count() == 1
+    block = read.where("doc_id = 5").select(flac.seek(F.col("r.blocks"), F.lit(150_000)).alias("b")).first().b
+    assert block.sample_offset <= 150_000 < block.sample_offset + len(block.pcm)
