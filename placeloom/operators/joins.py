@@ -102,17 +102,18 @@ def change_on(df: DataFrame, keys: Sequence[str], period: str, value: str) -> Da
 def append_unlike(base: DataFrame, more: DataFrame, name: str, least: int = 5) -> DataFrame:
     """base and those rows of more whose name neither contains a name of base nor is part of one; names under `least` characters only match as a whole.
 
-    Candidates share a block of `least` characters at a word's start, so this is an equi-join: a name inside another one
-    that does not begin at a word is not looked for.
+    A name counts as part of another where it begins at a word. Candidates share a block of `least` characters there, so
+    this is an equi-join.
     """
     clean = lambda c: F.lower(F.trim(c))
     heads = lambda c: F.array_distinct(F.transform(F.filter(F.split(c, " "), lambda w: F.length(w) > 0), lambda w: F.substring(w, 1, least)))
+    inside = lambda a, b: F.concat(F.lit(" "), F.col(b)).contains(F.concat(F.lit(" "), F.col(a)))
     a = base.select(clean(F.col(name)).alias("_a")).distinct().withColumn("_h", F.explode(F.slice(heads(F.col("_a")), 1, 1)))
     whole = base.select(clean(F.col(name)).alias("_a")).distinct()
     keyed = more.withColumn("_b", clean(F.col(name)))
     b = keyed.select("_b").distinct()
-    part_of_b = a.join(b.withColumn("_h", F.explode(heads(F.col("_b")))), "_h").where(F.col("_b").contains(F.col("_a")) & (F.length("_a") >= least)).select("_b")
-    part_of_a = whole.withColumn("_h", F.explode(heads(F.col("_a")))).join(b.withColumn("_h", F.explode(F.slice(heads(F.col("_b")), 1, 1))), "_h").where(F.col("_a").contains(F.col("_b")) & (F.length("_b") >= least)).select("_b")
+    part_of_b = a.join(b.withColumn("_h", F.explode(heads(F.col("_b")))), "_h").where(inside("_a", "_b") & (F.length("_a") >= least)).select("_b")
+    part_of_a = whole.withColumn("_h", F.explode(heads(F.col("_a")))).join(b.withColumn("_h", F.explode(F.slice(heads(F.col("_b")), 1, 1))), "_h").where(inside("_b", "_a") & (F.length("_b") >= least)).select("_b")
     known = part_of_a.union(part_of_b).union(b.join(whole, b["_b"] == whole["_a"], "left_semi")).distinct()
     return base.unionByName(keyed.join(known, "_b", "left_anti").drop("_b"), allowMissingColumns=True)
 

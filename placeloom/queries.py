@@ -47,7 +47,7 @@ def e05(spark, sf_dir):
     return near.select("site_id", "category", F.col("rank").cast("long").alias("rank"), "event_id", F.round("distance_m", 3).alias("distance_m"))
 
 
-@query("e07_catchment", f"WITH {_SITES}, e AS (SELECT p_size, p_retailprice, {_at('p_partkey')} FROM part), p AS (SELECT site_id, p_size, p_retailprice, {_H} FROM s JOIN e ON abs(e.lat - s.lat) < 0.03), n AS (SELECT site_id, sum(p_size) AS total, sum(p_size * p_retailprice) / sum(p_size) AS mean FROM p WHERE {_DIST} <= 1000 GROUP BY 1) SELECT s.site_id, total::BIGINT AS total, round(mean, 4) AS mean_price FROM s LEFT JOIN n ON n.site_id = s.site_id")
+@query("e07_catchment", f"WITH {_SITES}, e AS (SELECT p_size, p_retailprice, {_at('p_partkey')} FROM part), p AS (SELECT site_id, p_size, p_retailprice, {_H} FROM s JOIN e ON abs(e.lat - s.lat) < 0.03), n AS (SELECT site_id, sum(p_size) AS total, sum(p_size * p_retailprice::DECIMAL(12, 2))::DOUBLE / sum(p_size) AS mean FROM p WHERE {_DIST} <= 1000 GROUP BY 1) SELECT s.site_id, total::BIGINT AS total, round(mean, 4) AS mean_price FROM s LEFT JOIN n ON n.site_id = s.site_id")
 def e07(spark, sf_dir):
     cells = read(spark, sf_dir, "part").select("p_size", "p_retailprice", latitude("p_partkey").alias("p_lat"), longitude("p_partkey").alias("p_lon"))
     return spatial.catchment(sites(spark, sf_dir), cells, 1000, "p_size", ["p_retailprice"]).select("site_id", "total", F.round("mean_p_retailprice", 4).alias("mean_price"))

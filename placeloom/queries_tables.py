@@ -84,7 +84,7 @@ def j12(spark, sf_dir):
     return joins.aligned([rent, c.select("e", "n", F.col("p_size").alias("population")), age], ["e", "n"]).select("e", "n", "population", "rent", "age")
 
 
-@query("j13_append_unlike", "WITH b AS (SELECT DISTINCT lower(p_name) AS x FROM part WHERE p_size <= 25 AND p_brand = 'Brand#13'), m AS (SELECT p_partkey, p_name || CASE WHEN p_partkey % 2 = 0 THEN ' large' ELSE '' END AS nm FROM part WHERE p_brand = 'Brand#5') SELECT p_partkey, p_name AS nm FROM part WHERE p_size <= 25 AND p_brand = 'Brand#13' UNION ALL SELECT p_partkey, nm FROM m WHERE NOT EXISTS (SELECT 1 FROM b WHERE contains(lower(nm), x) OR contains(x, lower(nm)))")
+@query("j13_append_unlike", "WITH b AS (SELECT DISTINCT lower(p_name) AS x FROM part WHERE p_size <= 25 AND p_brand = 'Brand#13'), m AS (SELECT p_partkey, p_name || CASE WHEN p_partkey % 2 = 0 THEN ' large' ELSE '' END AS nm FROM part WHERE p_brand = 'Brand#5') SELECT p_partkey, p_name AS nm FROM part WHERE p_size <= 25 AND p_brand = 'Brand#13' UNION ALL SELECT p_partkey, nm FROM m WHERE NOT EXISTS (SELECT 1 FROM b WHERE contains(' ' || lower(nm), ' ' || x) OR contains(' ' || x, ' ' || lower(nm)))")
 def j13_unlike(spark, sf_dir):
     p = read(spark, sf_dir, "part")
     base = p.where("p_size <= 25 and p_brand = 'Brand#13'").select("p_partkey", F.col("p_name").alias("nm"))
