@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 import tiktoken
 
-from placeloom.llm import bpe, flac, queries
+from placeloom.llm import bpe, bpe_words, flac, queries
 
 PATH = public_tokenizers.path(queries.VOCABULARY)
 
@@ -127,3 +127,12 @@ def test_flac_awkward(awkward, nothing):
     assert read.where("doc_id = 1 and r is null").count() == 1
     block = read.where("doc_id = 5").select(flac.seek(F.col("r.blocks"), F.lit(150_000)).alias("b")).first().b
     assert block.sample_offset <= 150_000 < block.sample_offset + len(block.pcm)
+
+
+def test_bpe_by_words_equals_the_fold_by_pieces(spark, sf, awkward, nothing):
+    """The fold by higher-order functions, joined back to the documents, against the Arrow one; long words, null and empty texts."""
+    path = public_tokenizers.path(queries.VOCABULARY)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 40").select("doc_id", "text").union(awkward.select("doc_id", "text"))
+    rows = lambda df: sorted(((r.doc_id or 0, r.ids, bytes(r.decoded)) for r in df.collect()))
+    assert rows(bpe_words.encode_by_words(docs, path, public_tokenizers.PATTERN)) == rows(bpe.encode_table(docs, queries.tokenizer(spark)))
+    assert bpe_words.encode_by_words(nothing, path, public_tokenizers.PATTERN).count() == 0
