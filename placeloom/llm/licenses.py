@@ -1,6 +1,9 @@
 """Licence notices: passages compared with templates by Dice over word bigrams.
 
-A passage is a line, a paragraph, or the whole text. Its words are lower-case
+A passage is the whole text, or a window of lines and sentences that begins at
+one with a word that notices hang on: of as many lengths as it takes for one to
+come near any notice that begins there, wrapped or not, with comment marks or
+not, before code or prose. Its words are lower-case
 runs of letters and digits. Two bounds, both exact, keep most passages from
 being compared: a passage whose number of bigrams is too far from a template's
 can't reach the threshold, and neither can one with none of the words that
@@ -28,11 +31,46 @@ _REDISTRIBUTION = (
     "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
     "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
 )
+_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. '
+    "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE "
+    "OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE '
+    "ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS "
+    "OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_ENDORSE = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_ISC_DISCLAIMER = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, '
+    "OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: "
+    "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. "
+    "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."
+)
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+    "for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain."
+)
+_APACHE_HEADER = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 '
+    'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
+    "See the License for the specific language governing permissions and limitations under the License."
+)
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
+    ("Apache-2.0", _APACHE_HEADER),
     ("BSD-2-Clause", _REDISTRIBUTION),
-    ("BSD-3-Clause", _REDISTRIBUTION + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", f"{_REDISTRIBUTION} {_BSD_DISCLAIMER}"),
+    ("BSD-3-Clause", f"{_REDISTRIBUTION}{_ENDORSE} {_BSD_DISCLAIMER}"),
+    ("BSD-3-Clause", _REDISTRIBUTION + _ENDORSE),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -42,15 +80,23 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", _ISC),
+    ("ISC", f"{_ISC} {_ISC_DISCLAIMER}"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", _PERMISSION),
+    ("MIT", f"{_PERMISSION} {_AS_IS}"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", _UNLICENSE),
+    ("Zlib", _ZLIB),
 )
 
 
+#: Lines or sentences in a window: each a third more than the one before, as far as the longest notice goes in short lines.
+WINDOWS = (2, 3, 4, 5, 7, 9, 12, 16, 22, 29, 39)
+
+
 def _bigrams(text: str) -> list[str]:
     words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
@@ -77,8 +123,8 @@ def _words(passage: Column) -> Column:
 
 
 def _compared(passage: Column, templates, dice: float, best_only: bool) -> Column:
-    """array<struct<dice,name>> of the templates that passage comes within dice of; or of the nearest, ties all, without
-    those that name another version than the passage does."""
+    """array<struct<dice,name,gain>> of the templates that passage comes within dice of; with best_only without those that
+    name another version than the passage does. gain: shared bigrams, less half of those that only one of the two has."""
     known = [(name, _bigrams(text)) for name, text in templates]
     least, most = min(len(b) for _, b in known) * dice / (2 - dice), max(len(b) for _, b in known) * (2 - dice) / dice
 
@@ -86,40 +132,52 @@ def _compared(passage: Column, templates, dice: float, best_only: bool) -> Colum
         n = F.size(grams)
         each = []
         for name, b in known:
-            score = 2 * F.size(F.array_intersect(grams, F.array(*map(F.lit, b)))) / (n + len(b))
+            shared = F.size(F.array_intersect(grams, F.array(*map(F.lit, b))))
             fits = (n * (2 - dice) >= len(b) * dice) & (n * dice <= len(b) * (2 - dice))
             if best_only and (version := [x for x in b if re.fullmatch(r"version \d+", x)]):
                 fits = fits & ~F.exists(grams, lambda g: g.rlike(r"^version \d+$") & ~g.isin(version))
-            each.append(F.when(fits, score).otherwise(F.lit(0.0)))
-        scored = F.array(*[F.struct(s.alias("dice"), F.lit(name).alias("name")) for s, (name, _) in zip(each, known, strict=True)])
-        if best_only:
-            return let(scored, lambda all_: F.filter(all_, lambda x: (x["dice"] >= dice) & (x["dice"] == F.array_max(all_)["dice"])))
-        return F.filter(scored, lambda x: x["dice"] >= dice)
+            each.append(F.struct(F.when(fits, shared).otherwise(0).alias("shared"), F.lit(len(b)).alias("size"), F.lit(name).alias("name")))
+        score = lambda x: F.struct((2.0 * x["shared"] / (n + x["size"])).alias("dice"), x["name"].alias("name"), (2.0 * x["shared"] - (n + x["size"]) / 2).alias("gain"))
+        return F.filter(F.transform(F.array(*each), score), lambda x: x["dice"] >= dice)
 
     def bigrams(w: Column) -> Column:
         return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda k: F.concat(F.get(w, k), F.lit(" "), F.get(w, k + 1))))
 
-    nothing = F.array().cast("array<struct<dice:double,name:string>>")
+    nothing = F.array().cast("array<struct<dice:double,name:string,gain:double>>")
     # Repeated bigrams count once, so only the upper end of a passage's words may be cut here by a lower count of bigrams.
     return let(_words(passage), lambda w: F.when(F.size(w) - 1 < least, nothing).otherwise(let(bigrams(w), lambda g: F.when((F.size(g) < least) | (F.size(g) > most), nothing).otherwise(against(g)))))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, dice: float = DICE, best_only: bool = False) -> DataFrame:
     """One row for each row of docs: id_col and notices, array<struct<dice,name>>, the best score of each licence found:
-    all that a passage comes near, or with best_only the nearest for each passage.
+    all that a passage comes near, or with best_only the best of those passages that overlap, by gain.
 
-    Notices are sorted by name. Null and empty texts have none; whole texts are read, whatever their length; repeated
-    rows stay repeated; null ids stay; further columns are not read; an empty table gives an empty one.
+    A passage is the whole text, or a window of pieces, which end at a line's or a sentence's end. Windows begin at a piece
+    with a word from anchors(), or at the one before it. Notices are sorted by name. Null and empty texts have none; whole
+    texts are read, whatever their length; repeated rows stay repeated; null ids stay; further columns are not read; an
+    empty table gives an empty one.
     """
     hint = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(anchors(templates, dice))})(?:$|[^\p{{L}}\p{{N}}])"
-    text = text_of(text_col)
-    lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(hint))
-    paragraphs = F.filter(F.split("_t", r"\n[ \t\r]*\n"), lambda x: x.contains("\n") & x.rlike(hint))
-    passages = F.array_distinct(F.concat(lines, paragraphs, F.array("_t")))
-    nothing = F.array().cast("array<struct<dice:double,name:string>>")
-    found = F.when(F.col("_t").rlike(hint), F.flatten(F.transform(passages, lambda p: _compared(p, templates, dice, best_only)))).otherwise(nothing)
-    best = let(found, lambda f: F.transform(F.array_sort(F.array_distinct(F.transform(f, lambda x: x["name"]))), lambda n: F.struct(F.array_max(F.filter(f, lambda x: x["name"] == n))["dice"].alias("dice"), n.alias("name"))))
-    return docs.select(F.col(id_col), text.alias("_t")).select(id_col, best.alias("notices"))
+    has = lambda x: x.rlike(hint)
+
+    def passages(pieces: Column) -> Column:
+        """array<struct<first,last,text>>"""
+        n, hinted = F.size(pieces), F.transform(pieces, has)
+        starts = lambda at: F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(at, i) | F.coalesce(F.get(at, i + 1), F.lit(False)))
+        window = lambda i, k: F.struct(i.alias("first"), (i + k - 1).alias("last"), F.array_join(F.slice(pieces, i + 1, k), " ").alias("text"))
+        windows = let(hinted, lambda at: F.flatten(F.transform(starts(at), lambda i: F.transform(F.filter(F.array(*map(F.lit, (1, *WINDOWS))), lambda k: i + k <= n), lambda k: window(i, k)))))
+        return F.concat(windows, F.array(F.struct(F.lit(0).alias("first"), (n - 1).alias("last"), F.col("_t").alias("text"))))
+
+    pieces = F.split("_t", r"\n|(?<=[.;:!?])[ \t]+")
+    each = lambda w: F.transform(_compared(w["text"], templates, dice, best_only), lambda x: F.struct(x["gain"].alias("gain"), w["first"].alias("first"), w["last"].alias("last"), x["dice"].alias("dice"), x["name"].alias("name")))
+    kind = "array<struct<gain:double,first:int,last:int,dice:double,name:string>>"
+    found = F.when(has(F.col("_t")), F.flatten(F.transform(let(pieces, passages), each))).otherwise(F.array().cast(kind))
+    if best_only:
+        apart = lambda a, x: ~F.exists(a, lambda y: (y["first"] <= x["last"]) & (x["first"] <= y["last"]) & ((y["gain"] > x["gain"]) | (y["name"] == x["name"])))
+        add = lambda a, x: F.when(apart(a, x), F.concat(a, F.array(x))).otherwise(a)
+        found = F.aggregate(F.sort_array(found, asc=False), F.array().cast(kind), add)
+    best = let(found, lambda f: F.transform(F.array_sort(F.array_distinct(F.transform(f, lambda x: x["name"]))), lambda n: F.struct(F.array_max(F.filter(F.transform(f, lambda x: F.struct(x["dice"].alias("dice"), x["name"].alias("name"))), lambda x: x["name"] == n))["dice"].alias("dice"), n.alias("name"))))
+    return docs.select(F.col(id_col), text_of(text_col).alias("_t")).select(id_col, best.alias("notices"))
 
 
 def summary(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -1,5 +1,7 @@
 """The operators made of Spark expressions: mixing, rules, chats, licences."""
 
+import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -149,8 +151,15 @@ def test_chats_come_back(spark):
 
 
 def brute_notices(text):
-    best = {}
-    for passage in {*(text or "").split("\n"), text or ""}:
+    """Best score of each licence over the whole text and all windows of lines and sentences that begin at, or just before, a piece with an anchor."""
+    best, anchors = {}, set(licenses.anchors())
+    pieces = re.split(r"\n|(?<=[.;:!?])[ \t]+", text or "")
+    hinted = [bool(anchors & set(re.sub(r"[^\w]|_", " ", x.lower()).split())) for x in pieces]
+    windows = {text or ""} if any(hinted) else set()
+    for i in range(len(pieces)):
+        if hinted[i] or hinted[i + 1 : i + 2] == [True]:
+            windows |= {" ".join(pieces[i : i + k]) for k in (1, *licenses.WINDOWS) if i + k <= len(pieces)}
+    for passage in windows:
         a = set(licenses._bigrams(passage))
         for name, t in licenses.TEMPLATES:
             b = set(licenses._bigrams(t))
@@ -173,7 +182,7 @@ def test_licences(spark, sf, awkward, nothing):
 
 
 def test_a_passage_has_its_nearest_licence_only(spark):
-    t = dict(enumerate(x for _, x in licenses.TEMPLATES))
+    wrapped = lambda t, n, mark="": "\n".join(mark + x for x in textwrap.wrap(t, n))
     header = next(x for n, x in licenses.TEMPLATES if n == "GPL-3.0" and "redistribute" in x)
     texts = {
         "a\nThis work is licensed under the GNU General Public License, version 3.\nb": "GPL-3.0",
@@ -181,8 +190,17 @@ def test_a_passage_has_its_nearest_licence_only(spark):
         header.replace("version 3", "version 2"): "GPL-2.0",
         header: "GPL-3.0",
         header.replace("version 3", "version 1"): "",
-        t[2]: "BSD-2-Clause",
-        t[3]: "BSD-3-Clause",
+        licenses._REDISTRIBUTION: "BSD-2-Clause",
+        licenses._REDISTRIBUTION + licenses._ENDORSE: "BSD-3-Clause",
+        # whole licences and headers, wrapped, behind comment marks, beside code; and inside a longer line
+        wrapped(f"Copyright (c) 2020 A. Name {licenses._REDISTRIBUTION}{licenses._ENDORSE} {licenses._BSD_DISCLAIMER}", 60): "BSD-3-Clause",
+        wrapped(f"{licenses._REDISTRIBUTION} {licenses._BSD_DISCLAIMER}", 75): "BSD-2-Clause",
+        "import os\n" + wrapped(licenses._APACHE_HEADER, 70, "# ") + "\ndef f(x):\n    return x": "Apache-2.0",
+        "int x;\n" + wrapped(f"{licenses._PERMISSION} {licenses._AS_IS}", 80, " * ") + "\nint main() {\n  return 0;\n}": "MIT",
+        "import os\n// Licensed under the Apache License, Version 2.0 (the \"License\");\n// you may not use this file except in compliance with the License.\n// You may obtain a copy at http://www.apache.org/licenses/LICENSE-2.0\nrun()": "Apache-2.0",
+        "Some prose comes first. This work is licensed under the GNU General Public License, version 3. More prose follows it here.": "GPL-3.0",
+        wrapped(f"{licenses._ISC} {licenses._ISC_DISCLAIMER}", 72): "ISC",
+        wrapped(licenses._ZLIB, 72): "Zlib",
         "Released under the MIT License.\nLicensed under CC BY 4.0.": "CC-BY-4.0,MIT",
     }
     docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
