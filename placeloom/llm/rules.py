@@ -26,23 +26,32 @@ BINS, CONDITIONS, RULES, PRECISION, LEAST_CAUGHT = 8, 3, 12, 0.9, 8
 TAILS, OF_BAD, OF_GOOD = (0.01, 0.9, 0.99), (0.1, 0.25, 0.5, 0.75, 0.9), (0.001, 0.999, 1.0)
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stutters")
+
+
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
     """id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_stutters (words equal to the
-    one before) of every whole text; a null text has no words."""
+    one before) of every whole text; a null text has no words.
+
+    One row for each row of docs: repeated rows are measured alike, null ids stay, an empty table gives an empty one. Only
+    the columns in keep are carried besides; they must not have a measure's name. Other columns may have any name.
+    """
+    if set(keep) & {id_col, *MEASURES}:
+        raise ValueError(f"columns to keep may not be named {sorted(set(keep) & {id_col, *MEASURES})}")
     blank = " \t\n\x0b\f\r"
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col), *keep, text.alias("_text")).withColumn("_trim", F.btrim("_text", F.lit(blank)))
+    rows = docs.select(F.col(id_col).alias("_id"), F.struct(*keep).alias("_kept") if keep else F.lit(None).alias("_kept"), text.alias("_text")).withColumn("_trim", F.btrim("_text", F.lit(blank)))
     words = F.when(F.col("_trim") == "", F.array().cast("array<string>")).otherwise(F.split("_trim", SPACE))
     n = lambda c: F.length(c).cast("long")
     lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(blank)) != "")
     return rows.select(
-        F.col(id_col),
-        *keep,
+        "_id",
+        "_kept",
         let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated(w).alias("r"), F.size(F.filter(w, lambda x, k: F.coalesce(F.get(w, k - 1) == x, F.lit(False)))).cast("long").alias("s"))).alias("_w"),
         n(F.regexp_replace("_text", SPACE, "")).alias("word_chars"),
         (n("_text") - n(F.translate("_text", "#*$%&|<>", ""))).alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select(F.col(id_col), *keep, F.col("_w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_w.r").alias("n_repeat_words"), F.col("_w.s").alias("n_stutters"))
+    ).select(F.col("_id").alias(id_col), *[F.col("_kept").getField(c).alias(c) for c in keep], F.col("_w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_w.r").alias("n_repeat_words"), F.col("_w.s").alias("n_stutters"))
 
 
 def _repeated(words: Column) -> Column:
@@ -175,6 +184,7 @@ def verdict(rules: list[Rule], cols: dict[str, Column]) -> Column:
 
 
 def judged(measured: DataFrame, rules: list[Rule]) -> DataFrame:
-    """measured with base_failed and kept, n_stutters last."""
+    """measured with base_failed and kept, n_stutters last: a row for each row, alike for rows with like measures; null ids
+    and tables without rows are fine."""
     judged_ = measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules, scaled(measured)))
     return judged_.select(*[c for c in judged_.columns if c != "n_stutters"], "n_stutters")

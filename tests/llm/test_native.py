@@ -207,3 +207,38 @@ def test_a_passage_has_its_nearest_licence_only(spark):
     found = licenses.scan(docs, best_only=True)
     assert no_python(found)
     assert [r.licences for r in licenses.summary(found).orderBy("doc_id").collect()] == [*texts.values()]
+
+
+def test_rules_query_is_what_the_learnt_list_says(spark):
+    """base_failed by brute force; kept by the learnt conditions read in Python; labels that the list gets right."""
+    sf = "/root/testdata/sf0.01"
+    rows = queries.op3_quality_rules(spark, sf).collect()
+    measured = rules.measures(spark.read.parquet(f"{sf}/documents.parquet"))
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    learnt = queries.learnt_rules(measured, labels)
+    for r in rows:
+        per = lambda x, k: x * k / r.n_words if r.n_words else 0.0
+        scaled = {"words": r.n_words, "word_length": per(r.word_chars, 1), "symbols": per(r.n_symbols, 100), "same_lines": per(r.n_dup_lines, 100), "repeated": per(r.n_repeat_words, 100), "stutters": per(r.n_stutters, 100)}
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        rejected = any(all((scaled[c.measure] > c.threshold) == c.above for c in rule) for rule in learnt)
+        assert r.kept == (not r.base_failed and not rejected)
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    judged = [r.kept == bool(quality[r.doc_id]) for r in rows if quality.get(r.doc_id) is not None]
+    assert sum(judged) >= 0.9 * len(judged)
+
+
+def test_measures_with_clashing_names(spark, awkward):
+    assert rules.measures(awkward.withColumn("_trim", F.lit(1)), keep=("_text", "_trim", "node")).columns[:4] == ["doc_id", "_text", "_trim", "node"]
+    with pytest.raises(ValueError, match="n_words"):
+        rules.measures(awkward.withColumn("n_words", F.lit(1)), keep=("n_words",))
+
+
+def test_the_mix_changes_over_training(spark, sf):
+    """The fading source's share of the first third is larger than of the last; that of the growing one smaller."""
+    mix = mixing.plan(spark.read.parquet(f"{sf}/documents.parquet"), keep=("source",))
+    rows = mix.select(F.col("_keep.source").alias("source"), "size", F.explode("positions").alias("p")).collect()
+    names = sorted({r.source for r in rows})
+    share = lambda s, low, high: sum(r.size for r in rows if r.source == s and low <= r.p < high) / max(1, sum(r.size for r in rows if low <= r.p < high))
+    assert share(names[0], 0, 1 / 3) > share(names[0], 2 / 3, 1.01)
+    assert share(names[2], 0, 1 / 3) < share(names[2], 2 / 3, 1.01)
+    assert all(0 <= r.p <= 1 for r in rows)
