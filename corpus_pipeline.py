@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeloom.llm import bpe, jaccard, mixing, pii, rules
-from placeloom.llm.common import shared_dir, stage, table
+from placeloom.llm.common import shared_dir, stage, table, unstage
 from placeloom.llm.queries import learnt_rules, tokenizer
 
 
@@ -22,21 +22,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
     measured = stage(rules.measures(rows, keep=("_row",)), "measured")
     learnt = learnt_rules(measured, table(spark, sf_dir, "labels"))
-    return rules.judged(measured, learnt).where("kept").select("_row.*")
+    out = rules.judged(measured, learnt).where("kept").select("_row.*")
+    out.reads = [measured]
+    return out
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked ones."""
+    """The document with the smallest id of each group of linked ones; rows without words all stay, repeated rows once."""
     return jaccard.deduplicated(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind."""
+    """Personal data replaced by its kind, n_chars anew; null texts stay null. Each row by itself, whatever repeats."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order."""
+    """Documents as often as the mix takes them, in training order; null ids and sources are mixed too. An empty table gives an empty one."""
     return mixing.mixed(docs)
 
 
@@ -52,9 +54,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    """The last stage's rows. Each stage is written and read again; what it read is deleted once the next one is written.
+
+    Documents may have nulls in any column, repeated rows and further columns, or be none at all: see the stages.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, function in STAGES:
         path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        out = function(spark, docs, sf_dir)
+        out.write.parquet(path)
         docs = spark.read.parquet(path)
+        docs.staged_at = path
+        unstage(*getattr(out, "reads", []), *([before] if before is not None else []))
+        before = docs
     return docs
