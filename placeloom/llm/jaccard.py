@@ -188,7 +188,17 @@ def _linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 
 def _links(some: list[tuple[int, int, np.ndarray]], members: list[tuple[int, int, np.ndarray]]) -> Iterator[tuple[int, int]]:
-    """Pairs of similar sets of different components, one of those that ask and one of a group's members: (node, component, tokens)."""
+    """Links between similar sets, one of those that ask and one of a group's members: (node, component, tokens).
+
+    Only links that join components not joined yet: as few as connect all that the pairs of both sides connect.
+    """
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.get(c, c) != c:
+            root[c] = c = root.get(root[c], root[c])
+        return c
+
     node, component = (np.array([m[k] for m in members]) for k in (0, 1))
     n = np.array([len(m[2]) for m in members])
     tokens, whose = np.concatenate([m[2] for m in members]), np.repeat(np.arange(len(members)), n)
@@ -214,7 +224,10 @@ def _links(some: list[tuple[int, int, np.ndarray]], members: list[tuple[int, int
         rows = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
         shared = np.bincount(whose[rows], minlength=len(members))
         for k in np.flatnonzero(other & (100 * shared >= PERCENT * (n + len(x) - shared))):
-            yield q, int(node[k])
+            one, two = find(c), find(int(component[k]))
+            if one != two:
+                root[one] = two
+                yield q, int(node[k])
 
 
 @F.arrow_udf(from_arrow_type(_FOUND))
