@@ -323,13 +323,13 @@ def m11(spark, sf_dir):
     return read(spark, sf_dir, "part").where("p_size <> 20").select("p_partkey", F.to_json(F.map_from_entries(ranks.top_entries(m, 1))).alias("drivers"))
 
 
-@query("m12_official_shift", "WITH d AS (SELECT c_custkey, c_nationkey AS city, c_mktsegment AS type, c_acctbal AS p FROM customer), m AS (SELECT city, type, avg(p) AS m FROM d GROUP BY 1, 2), w AS (SELECT city, avg(p) AS m FROM d GROUP BY 1) SELECT c_custkey, round(p + CASE WHEN d.city % 5 = 0 THEN 0 WHEN d.city % 3 = 0 THEN CASE WHEN d.type IN ('BUILDING', 'FURNITURE') THEN 4000 - m.m ELSE 0 END WHEN d.city % 3 = 1 THEN 5000 - w.m ELSE 0 END, 2) AS rebased FROM d JOIN m ON m.city = d.city AND m.type = d.type JOIN w ON w.city = d.city")
+@query("m12_official_shift", "WITH d AS (SELECT c_custkey, c_nationkey AS city, c_mktsegment AS type, c_acctbal AS p FROM customer), m AS (SELECT city, type, avg(p) AS m FROM d GROUP BY 1, 2), w AS (SELECT city, avg(p) AS m FROM d GROUP BY 1) SELECT c_custkey, round(p + CASE WHEN d.city % 5 = 0 THEN 0 WHEN d.city % 3 = 0 THEN CASE WHEN d.type IN ('BUILDING', 'FURNITURE') THEN 4000 - m.m ELSE 0 END WHEN d.city % 3 = 1 THEN 5000 - w.m ELSE 0 END, 9) AS rebased FROM d JOIN m ON m.city = d.city AND m.type = d.type JOIN w ON w.city = d.city")
 def m12(spark, sf_dir):
     d = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("city"), F.col("c_mktsegment").alias("type"), F.col("c_acctbal").alias("prediction"))
     n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("city"))
     typed = n.where("city % 3 = 0").select("city", F.explode(F.array(F.lit("BUILDING"), F.lit("FURNITURE"))).alias("type"), F.lit(4000.0).alias("official"))
     whole = n.where("city % 3 = 1").select("city", F.lit(None).cast("string").alias("type"), F.lit(5000.0).alias("official"))
-    return model.official_shift(d, typed.union(whole), n.where("city % 5 = 0")).select("c_custkey", F.round("rebased", 2).alias("rebased"))
+    return model.official_shift(d, typed.union(whole), n.where("city % 5 = 0")).select("c_custkey", F.round("rebased", 9).alias("rebased"))
 
 
 @query("m13_strongest", "WITH c AS (SELECT i::INT AS dim, corr(embedding[i + 1]::DOUBLE, label::DOUBLE) AS r FROM embeddings, range(64) t(i) GROUP BY 1) SELECT dim, round(r, 6) AS r FROM c ORDER BY abs(r) DESC, dim LIMIT 10")
