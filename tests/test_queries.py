@@ -46,8 +46,9 @@ def test_radius_joins_are_equi_joins(spark, sf):
 def test_ranks_have_no_window_over_all_rows(spark, sf):
     """Only one row of each range meets in one task."""
     plan = ranks.ranked(sites(spark, sf), "lat")._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line and "partition" not in line]
-    assert plan.count("SinglePartition") <= 3 and all("_range" in w for w in windows)
+    # bounds, starts and their total come together in one task: one row a range; values are dealt by range
+    assert plan.count("SinglePartition") <= 3
+    assert "hashpartitioning(_range" in plan
 
 
 def test_ridge_equals_numpy(spark, sf):
@@ -63,13 +64,13 @@ def test_ridge_equals_numpy(spark, sf):
     assert np.allclose(m.coefficients, b) and np.isclose(m.intercept, y.mean() - b @ x.mean(axis=0))
     inverse = np.linalg.inv(c.T @ c + 50 * np.eye(2))
     s2 = ((y - y.mean() - c @ b) ** 2).sum() / (len(y) - np.trace(inverse @ c.T @ c) - 1)
-    width = 1.2816 * np.sqrt(s2 * (1 + 1 / len(y) + np.einsum("ij,jk,ik->i", c, inverse, c)))
-    got = rows.select("k", m.half_width().alias("w")).toPandas().set_index("k")["w"]
-    assert np.allclose(got.loc[df["k"]], width)
+    got = rows.select("x", "z", m.half_width().alias("w")).toPandas()
+    d = got[["x", "z"]].to_numpy(float) - x.mean(axis=0)
+    assert np.allclose(got["w"], 1.2816 * np.sqrt(s2 * (1 + 1 / len(y) + np.einsum("ij,jk,ik->i", d, inverse, d))))
     lost = dict((f, r) for f, r, _ in model.partial_r2(g, ["x", "z"]))
     without = model.solve(model.gram(rows, ["x"], "y")[0], ["x"])
     assert np.isclose(lost["z"], m.r2 - without.r2)
-    few = rows.limit(4)
+    few = spark.createDataFrame(df.head(4).assign(k=range(4)))
     assert len(model.cross_validated(few, ["x"], "y", "k")) == few.count()
 
 
