@@ -1,8 +1,8 @@
 """Licence notices: passages compared with templates by Dice over word bigrams.
 
 A passage is the whole text, or a window of lines and sentences that begins at
-one with a word that notices hang on: of as many lengths as it takes for one to
-come near any notice that begins there, wrapped or not, with comment marks or
+one with a word that notices begin with: of as many lengths as it takes for one
+to come near any notice that begins there, wrapped or not, with comment marks or
 not, before code or prose. Its words are lower-case
 runs of letters and digits. Two bounds, both exact, keep most passages from
 being compared: a passage whose number of bigrams is too far from a template's
@@ -93,6 +93,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
+# Beginnings of words one of which every notice has in its first or second piece.
+STARTS = ("licen", "copyright", "redistribut", "permission", "warrant", "unencumbered", "mozilla")
 #: Lines or sentences in a window: each a third more than the one before, as far as the longest notice goes in short lines.
 WINDOWS = (2, 3, 4, 5, 7, 9, 12, 16, 22, 29, 39)
 
@@ -152,21 +154,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """One row for each row of docs: id_col and notices, array<struct<dice,name>>, the best score of each licence found:
     all that a passage comes near, or with best_only the best of those passages that overlap, by gain.
 
-    A passage is the whole text, or a window of pieces, which end at a line's or a sentence's end. Windows begin at a piece
-    with a word from anchors(), or at the one before it. Notices are sorted by name. Null and empty texts have none; whole
+    A passage is the whole text, a piece, which ends at a line's or a sentence's end and has a word from anchors(), or a
+    window of pieces that begins at one with a word that begins as in STARTS, or at the one before it. Notices are sorted by name. Null and empty texts have none; whole
     texts are read, whatever their length; repeated rows stay repeated; null ids stay; further columns are not read; an
     empty table gives an empty one.
     """
     hint = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(anchors(templates, dice))})(?:$|[^\p{{L}}\p{{N}}])"
+    starts_at = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(STARTS)})"
     has = lambda x: x.rlike(hint)
 
     def passages(pieces: Column) -> Column:
         """array<struct<first,last,text>>"""
-        n, hinted = F.size(pieces), F.transform(pieces, has)
+        n, hinted = F.size(pieces), F.transform(pieces, lambda x: x.rlike(starts_at))
         starts = lambda at: F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(at, i) | F.coalesce(F.get(at, i + 1), F.lit(False)))
         window = lambda i, k: F.struct(i.alias("first"), (i + k - 1).alias("last"), F.array_join(F.slice(pieces, i + 1, k), " ").alias("text"))
-        windows = let(hinted, lambda at: F.flatten(F.transform(starts(at), lambda i: F.transform(F.filter(F.array(*map(F.lit, (1, *WINDOWS))), lambda k: i + k <= n), lambda k: window(i, k)))))
-        return F.concat(windows, F.array(F.struct(F.lit(0).alias("first"), (n - 1).alias("last"), F.col("_t").alias("text"))))
+        windows = let(hinted, lambda at: F.flatten(F.transform(starts(at), lambda i: F.transform(F.filter(F.array(*map(F.lit, WINDOWS)), lambda k: i + k <= n), lambda k: window(i, k)))))
+        alone = F.filter(F.transform(pieces, lambda x, i: F.struct(i.alias("first"), i.alias("last"), x.alias("text"))), lambda w: has(w["text"]))
+        return F.concat(alone, windows, F.array(F.struct(F.lit(0).alias("first"), (n - 1).alias("last"), F.col("_t").alias("text"))))
 
     pieces = F.split("_t", r"\n|(?<=[.;:!?])[ \t]+")
     each = lambda w: F.transform(_compared(w["text"], templates, dice, best_only), lambda x: F.struct(x["gain"].alias("gain"), w["first"].alias("first"), w["last"].alias("last"), x["dice"].alias("dice"), x["name"].alias("name")))

@@ -151,14 +151,15 @@ def test_chats_come_back(spark):
 
 
 def brute_notices(text):
-    """Best score of each licence over the whole text and all windows of lines and sentences that begin at, or just before, a piece with an anchor."""
+    """Best score of each licence over the whole text, the pieces with an anchor, and all windows of pieces that begin at, or just before, one that notices begin with."""
     best, anchors = {}, set(licenses.anchors())
     pieces = re.split(r"\n|(?<=[.;:!?])[ \t]+", text or "")
     hinted = [bool(anchors & set(re.sub(r"[^\w]|_", " ", x.lower()).split())) for x in pieces]
-    windows = {text or ""} if any(hinted) else set()
-    for i in range(len(pieces)):
-        if hinted[i] or hinted[i + 1 : i + 2] == [True]:
-            windows |= {" ".join(pieces[i : i + k]) for k in (1, *licenses.WINDOWS) if i + k <= len(pieces)}
+    begins = [any(w.startswith(licenses.STARTS) for w in re.sub(r"[^\w]|_", " ", x.lower()).split()) for x in pieces]
+    windows = {text or ""} | {x for x, h in zip(pieces, hinted) if h} if any(hinted) else set()
+    for i in range(len(pieces) if any(hinted) else 0):
+        if begins[i] or begins[i + 1 : i + 2] == [True]:
+            windows |= {" ".join(pieces[i : i + k]) for k in licenses.WINDOWS if i + k <= len(pieces)}
     for passage in windows:
         a = set(licenses._bigrams(passage))
         for name, t in licenses.TEMPLATES:
