@@ -267,7 +267,7 @@ def _components(docs: DataFrame, signed: DataFrame, text_col: str) -> DataFrame:
     held = shared.groupBy("node").agg(F.count(F.lit(1)).alias("held"))
     sets = signed.where("set is not null").select("node", "set", "row", "key", "n").join(held, "node").where(F.col("held") >= shared_least(F.col("n")))
     sets = stage(sets.groupBy("node", "set").agg(F.min(F.struct("row", "key", "n")).alias("m")).select("node", "set", F.col("m.row").alias("v"), "m.key", "m.n"), "sets")
-    texts = docs.select(_key(F.col(text_col)).alias("key"), F.col(text_col).alias("_t")).join(sets.select("key", "v"), "key").select("v", "_t").dropDuplicates(["v"])
+    texts = docs.select(_key(F.col(text_col)).alias("key"), F.col(text_col).alias("_t")).join(sets.select("key", "v").hint("merge"), "key").select("v", "_t").dropDuplicates(["v"])
     with small_batches(spark, 2000):
         tokens = stage(texts.select("v", _tokens(F.col("_t")).alias("tokens")), "tokens")
 
@@ -277,11 +277,12 @@ def _components(docs: DataFrame, signed: DataFrame, text_col: str) -> DataFrame:
     of_near = placed.groupBy("near").agg(F.min("v").alias("head"), F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("parts"))
     placed = stage(placed.join(of_near, "near").select("v", "n", "head", F.xxhash64("near", F.pmod(F.xxhash64("v"), "parts")).alias("group")), "placed")
 
+    # Texts and tokens are joined by sorting at every size, so that a plan that holds on little data holds on much.
     # First each node and the first one near it: what this links needs no comparison any more.
     pairs = placed.where("v <> head").select("v", "head")
     left, right = tokens.select("v", F.col("tokens").alias("_l")), tokens.select(F.col("v").alias("head"), F.col("tokens").alias("_r"))
     with small_batches(spark):
-        first = stage(pairs.join(left, "v").join(right, "head").where(_linked(F.col("_l"), F.col("_r"))).select(F.col("v").alias("a"), F.col("head").alias("b")), "links")
+        first = stage(pairs.join(left.hint("merge"), "v").join(right.hint("merge"), "head").where(_linked(F.col("_l"), F.col("_r"))).select(F.col("v").alias("a"), F.col("head").alias("b")), "links")
     found = components(first, "a", "b")
 
     members = placed.join(found.withColumnRenamed("node", "v"), "v", "left").select("v", "n", "group", F.coalesce("component", "v").alias("component"))
@@ -292,10 +293,10 @@ def _components(docs: DataFrame, signed: DataFrame, text_col: str) -> DataFrame:
     asks = asks.groupBy("v", "n", "group").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= shared_least(F.col("n")))
     asks = stage(asks.select("v", "group"), "asks")
 
-    whole = members.join(tokens, "v").select("v", "n", "group", "component", "tokens")
+    whole = members.join(tokens.hint("merge"), "v").select("v", "n", "group", "component", "tokens")
     one = F.struct("v", "component", "tokens")
     held = whole.join(asks.select("group").distinct(), "group", "left_semi").groupBy("group").agg(F.collect_list(one).alias("held"))
-    asking = asks.join(whole.drop("group"), "v")
+    asking = asks.join(whole.drop("group").hint("merge"), "v")
     steps = asks.join(members.select("v", "n"), "v").groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP), F.ceil(F.sum("n") / GROUP_TOKENS)).alias("steps"))
     asking = asking.join(steps, "group").groupBy("group", F.pmod(F.xxhash64("v"), "steps").alias("step")).agg(F.collect_list(one).alias("asking"))
     with small_batches(spark, 8):

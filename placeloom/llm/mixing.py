@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeloom.llm.common import WORD, let, text_of
+from placeloom.llm.common import WORD, text_of
 
 #: Weights of the sources by name, repeating; their share of all words; how often a source or document may come.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2

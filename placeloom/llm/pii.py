@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import StringType
 
-from placeloom.llm.common import bounded_batches, spans_text, text_of
+from placeloom.llm.common import bounded_batches, spans_text
 
 KINDS = ("email", "ip", "card", "phone")
 
