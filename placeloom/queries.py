@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from placeloom.functions import scores, values
 from placeloom.operators import aggregates, conform, documents, fill, joins, model, ranks, rows, spatial, vectors
-from placeloom.registry import QUERIES, SQL, query
+from placeloom.registry import QUERIES, SQL, query  # noqa: F401
 from placeloom.plans.sites import events, latitude, longitude, read, safety, sites
 from placeloom.sources.files import read_in_box
 from placeloom.streaming.rolling import hourly

@@ -6,9 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from placeloom.operators import documents, model, ranks, rows, spatial, vectors
+from placeloom.operators import documents, model, ranks, spatial, vectors
 from placeloom.plans.sites import events, latitude, longitude, read, sites
 from placeloom.registry import query
 from placeloom.sources import files
