@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeloom.llm import bpe, chat, flac, jaccard, licenses, mixing, passages, pii, rules, secrets
+from placeloom.llm import bpe, chat, flac, jaccard, licenses, mixing, negatives, passages, pieces, pii, rules, secrets, variants
 from placeloom.llm.common import stage, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 #: What conversation -1 says, both turns: control strings as plain text.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -68,6 +69,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), best_only=True))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.select(F.col("vec_id").alias("id"), moved.alias("label"), negatives.quantised(F.col("embedding")).alias("v")), F.col("id") % 50 == 0)
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = pieces.PieceTokenizer(spark, public_tokenizers.path(PIECES))
+    return pieces.summary(pieces.encode_table(table(spark, sf_dir, "documents"), tokenizer))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,6 +102,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": op8_chat_format,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_licenses": op10_licenses,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_pieces": op12_pieces,
+        "op13_spelling": op13_spelling,
         "pipeline": pipeline,
     }
 
@@ -130,6 +149,23 @@ FROM f GROUP BY conv_id
 """
 
 
+OP11 = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+r AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INT AS rank,
+    other AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT * FROM r WHERE rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express the query; the others are tested against brute force, round trips and held-out labels."""
-    return {"op2_mixing": OP2, "op8_chat_format": OP8}
+    return {"op2_mixing": OP2, "op8_chat_format": OP8, "op11_hard_negatives": OP11}
