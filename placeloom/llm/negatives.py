@@ -61,7 +61,7 @@ class Block:
             for lo, hi in zip(low, high, strict=True):
                 may = (b >= lo) & (a <= hi)
                 sure = a[may & (a >= lo) & (b <= hi)]
-                if len(sure) > k:  # the k-th best of those surely inside: who cannot reach it is out
+                if len(sure) >= k:  # the k-th best of those surely inside: who cannot reach it is out
                     may &= b >= np.partition(sure, len(sure) - k)[len(sure) - k]
                 alive |= may
             if not alive.any():
