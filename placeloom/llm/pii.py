@@ -95,11 +95,11 @@ _DIGITS = {
 }
 _AT_NAMES, _DOT_NAMES = "at|arobase|arroba|ät", "dot|punkt|point|punto"
 _D = "(?:" + "|".join(sorted(_DIGITS, key=len, reverse=True)) + ")"
-_SEP = rf"(?:[ \t,\n-]+|[ \t]*[\[({{<]?[ \t]*(?:{_DOT_NAMES}|\.)[ \t]*[\])}}>]?[ \t]*)"
-_SPELLED = re.compile(rf"(?:{_D}|[0-9]+)(?:{_SEP}(?:{_D}|[0-9]+))+(?!\w)", re.I)
+# Runs of blanks and of figures are taken whole, so that none is looked at from each of its places.
+_SEP = rf"(?:[ \t,\n-]++|[ \t]*+(?:[\[({{<][ \t]*+)?(?:{_DOT_NAMES}|\.)[ \t]*+(?:[\])}}>][ \t]*+)?)"
+_SPELLED = re.compile(rf"(?:{_D}|(?<![0-9])[0-9]++)(?:{_SEP}(?:{_D}|[0-9]++))+(?!\w)", re.I)
 _TOKEN = re.compile(rf"(?P<d>{_D})|(?P<n>[0-9]+)|(?P<p>{_DOT_NAMES}|\.)", re.I)
 _WORDS, _BETWEEN = re.compile(r"\w+"), frozenset(_DOT_NAMES.split("|"))
-_PLUS = re.compile(r"(?:\bplus|\+)[ \t]*$", re.I)
 
 # Blanks only count from the first of a run on, so that a run of any length is looked at once.
 _OPEN, _CLOSE = r"(?<![ \t])[ \t]*+[\[({<][ \t]*+", r"[ \t]*+[\])}>][ \t]*+"
@@ -198,6 +198,16 @@ def _mails(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _plus_before(text: str, end: int) -> int:
+    """Where a plus, or the word, starts that only blanks part from `end`; -1 if there is none."""
+    while end and text[end - 1] in _BLANK:
+        end -= 1
+    if end and text[end - 1] == "+":
+        return end - 1
+    start = end - len("plus")
+    return start if start >= 0 and text[start:end].lower() == "plus" and not (start and (text[start - 1].isalnum() or text[start - 1] == "_")) else -1
+
+
 def _spelled(text: str) -> list[tuple[int, int, str]]:
     """Edits of runs of named digits: four or more, or fewer beside figures or after a plus."""
     words = _WORDS.findall(text.lower())
@@ -215,13 +225,12 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
             continue
         parts = [(t.lastgroup, t[0].lower()) for t in _TOKEN.finditer(m[0])]
         n_named = sum(g == "d" for g, _ in parts)
-        low = max(0, m.start() - 8)
-        plus = _PLUS.search(text[low : m.start()])
-        if not n_named or n_named < 4 and not plus and not any(g == "n" for g, _ in parts):
+        plus = _plus_before(text, m.start())
+        if not n_named or n_named < 4 and plus < 0 and not any(g == "n" for g, _ in parts):
             continue
         digits = "".join(_DIGITS[t] if g == "d" else t if g == "n" else "." for g, t in parts)
-        if plus:
-            out.append((low + plus.start(), m.end(), f"+{digits}"))
+        if plus >= 0:
+            out.append((plus, m.end(), f"+{digits}"))
         else:
             out.append((m.start(), m.end(), digits))
     return out

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -113,3 +114,27 @@ def test_awkward_tables(awkward, nothing):
         assert f(awkward).count() == 10
         assert f(nothing).count() == 0
     assert {r.spans for r in pii.summary(pii.detect(awkward)).collect()} == {""}
+
+
+BAD_SHAPES = ["plus one two 1" + " " * 500_000, "1" * 500_000, "one " + "," * 500_000, "one (" * 100_000, "eyJ" * 170_000, "eyJaaaaaaaa." * 42_000, "AKIA" * 125_000, "token " * 83_000, "-----BEGIN " + "PRIVATE KEY" * 45_000, "+1(" * 170_000, "a." * 250_000, "@a." * 170_000, " at " * 125_000]
+
+
+@pytest.mark.parametrize("k", range(len(BAD_SHAPES)))
+def test_scans_are_linear(k):
+    """500,000 characters of each shape within two seconds, by CPU time."""
+    start = time.process_time()
+    pii.find_spans(BAD_SHAPES[k])
+    secrets.find_spans(BAD_SHAPES[k])
+    assert time.process_time() - start < 2
+
+
+@pytest.mark.parametrize("blanks", [1, 2, 7, 8, 9, 5000])
+def test_plus_before_any_number_of_blanks(blanks):
+    text = "call plus" + " " * blanks + "four nine one seven zero five five five one two"
+    assert [text[s:e] for _, s, e, base in pii.find_spans(text) if not base] == [text[5:]]
+
+
+def test_jwt_begins_inside_a_run_and_overlapping_runs_give_one():
+    body = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3.SflKxwRJSMeKKF2QT4fw"
+    text = f"x=abc{body} aaaaaaaaaaaaaa.{body}.tail12345"
+    assert [text[s:e] for s, k, e, _ in secrets.find_spans(text) if k == 4] == [body, body]
