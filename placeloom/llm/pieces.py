@@ -26,6 +26,8 @@ from placeloom.llm.common import bounded_batches
 MARK = "▁"
 #: Words of more symbols are merged by a heap, whose time grows with n log n, since rounds may be as many as symbols.
 LONG = 512
+#: Bytes of text that are worked on at once.
+SLICE = 1 << 20
 #: A pair is one number: the left symbol above the right one. Characters that no piece has are their code point from OTHER on.
 BITS, OTHER = 22, 1 << 21
 NONE = np.int32(2**31 - 1)
@@ -243,12 +245,29 @@ def decode_batch(p: Pieces, ids: pa.Array) -> pa.Array:
         return pa.array([x.decode("utf-8", _EACH_BYTE) for x in joined.to_pylist()], pa.string())
 
 
-def _encoder(pieces):
-    @F.arrow_udf(StructType([StructField("ids", StringType()), StructField("n_tokens", LongType())]))
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in slices of about SLICE bytes, whose tables are all that a task holds at once."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+        yield texts.slice(at, to - at)
+        at = to
+
+
+def _encoder(pieces, back: bool):
+    """ids and n_tokens of texts; with `back` also what the ids decode to, so that a text goes to Python and back once."""
+    fields = [StructField("ids", StringType()), StructField("n_tokens", LongType()), *([StructField("decoded", StringType())] if back else [])]
+
+    @F.arrow_udf(StructType(fields))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            ids, n = encode_batch(pieces.value, texts)
-            yield pa.StructArray.from_arrays([ids.cast(pa.string()), pa.array(n, pa.int64())], ["ids", "n_tokens"])
+            done = []
+            for some in _slices(texts):
+                ids, n = encode_batch(pieces.value, some)
+                columns = [ids.cast(pa.string()), pa.array(n, pa.int64())] + ([decode_batch(pieces.value, ids).cast(pa.string())] if back else [])
+                done.append(pa.StructArray.from_arrays(columns, [f.name for f in fields]))
+            yield pa.concat_arrays(done)
 
     return encode
 
@@ -267,12 +286,16 @@ class PieceTokenizer:
 
     def __init__(self, spark: SparkSession, path: str):
         pieces = spark.sparkContext.broadcast(Pieces(path))
-        self._encode, self._decode = _encoder(pieces), _decoder(pieces)
+        self._encode, self._round, self._decode = _encoder(pieces, False), _encoder(pieces, True), _decoder(pieces)
 
     def encode(self, text: Column) -> Column:
         """A struct of ids, decimal and comma-joined, and n_tokens; no begin or end ids; empty for null and empty texts."""
         return self._encode(text)
 
+    def round_trip(self, text: Column) -> Column:
+        """As encode, and decoded, what decode gives for the ids."""
+        return self._round(text)
+
     def decode(self, ids: Column) -> Column:
         """The text that comma-joined ids stand for, the blank in front of the first word left out."""
         return self._decode(ids)
@@ -286,8 +309,8 @@ def encode_table(docs: DataFrame, tokenizer: PieceTokenizer, id_col: str = "doc_
     an empty table gives an empty one.
     """
     bounded_batches(docs.sparkSession)
-    encoded = docs.select(F.col(id_col), tokenizer.encode(F.col(text_col)).alias("_e")).select(id_col, "_e.n_tokens", "_e.ids")
-    return encoded.select("*", tokenizer.decode(F.col("ids")).alias("decoded"))
+    encoded = docs.select(F.col(id_col), tokenizer.round_trip(F.col(text_col)).alias("_e"))
+    return encoded.select(id_col, "_e.n_tokens", "_e.ids", "_e.decoded")
 
 
 def summary(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from placeloom.llm import pieces, queries, variants
@@ -82,6 +83,8 @@ def test_pieces_query_equals_library(spark, sf, library):
 def test_pieces_of_awkward_rows(spark, awkward, nothing, library):
     tokenizer = pieces.PieceTokenizer(spark, PATH)
     got = pieces.encode_table(awkward, tokenizer).collect()
+    apart = awkward.select(tokenizer.encode(F.col("text")).alias("e")).select("e.ids", tokenizer.decode(F.col("e.ids")).alias("decoded")).collect()
+    assert Counter(map(tuple, apart)) == Counter((r.ids, r.decoded) for r in got)
     assert Counter((r.doc_id, r.ids, r.decoded) for r in got) == Counter((r.doc_id, ",".join(map(str, ids := library.encode(r.text or ""))), library.decode(ids)) for r in awkward.collect())
     assert pieces.encode_table(nothing, tokenizer).count() == 0
 
