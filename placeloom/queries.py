@@ -252,6 +252,20 @@ def v01(spark, sf_dir):
     return vectors.top_cosine(e, e, 3, key="vec_id").select("vec_id", "neighbour", F.round("cosine", 6).alias("cosine"), F.col("rank").cast("long").alias("rank"))
 
 
+@query("v01_wide", "WITH p AS (SELECT a.vec_id, b.vec_id AS neighbour, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(c, 9) DESC, neighbour) AS rank FROM p) SELECT vec_id, max(neighbour) FILTER (rank = 1) AS similar_1, max(neighbour) FILTER (rank = 2) AS similar_2, max(neighbour) FILTER (rank = 3) AS similar_3 FROM r GROUP BY 1")
+def v01_wide(spark, sf_dir):
+    e = vectors.valid(read(spark, sf_dir, "embeddings"), "embedding", 64)
+    return vectors.wide(vectors.top_cosine(e, e, 3, key="vec_id"), 3, "vec_id")
+
+
+@query("v01_index_search")
+def v01_index(spark, sf_dir):
+    """Neighbours of every fiftieth row by the index over all rows: not all of them, so without SQL; the tests measure recall."""
+    e = vectors.valid(read(spark, sf_dir, "embeddings"), "embedding", 64)
+    found = vectors.top_cosine_indexed(e.where("vec_id % 50 = 0"), e, 3, key="vec_id")
+    return found.select("vec_id", "neighbour", F.round("cosine", 6).alias("cosine"), F.col("rank").cast("long").alias("rank"))
+
+
 @query("m02_ridge")
 def m02(spark, sf_dir):
     """Order value from line item figures, by ridge on z-scores: prediction, interval and contributions for each order."""
