@@ -45,7 +45,7 @@ _TOKENS = "WITH p AS (SELECT p_partkey, p_brand, p_name, string_split(p_name, '
 def j06(spark, sf_dir):
     p = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
     other = p.select("p_brand", F.col("p_partkey").alias("match_key"), F.col("p_name").alias("match_name"))
-    found = joins.token_match(p, other, ["p_brand"], "p_name", "match_name", "p_partkey", "match_key", 0.7, where=F.col("match_key") > F.col("p_partkey"))
+    found = joins.token_match(p, other, ["p_brand"], "p_name", "match_name", "p_partkey", "match_key", 0.7, joins.LATER)
     return found.select("p_partkey", "match_key", F.round("score", 6).alias("score"))
 
 
@@ -84,12 +84,13 @@ def j12(spark, sf_dir):
     return joins.aligned([rent, c.select("e", "n", F.col("p_size").alias("population")), age], ["e", "n"]).select("e", "n", "population", "rent", "age")
 
 
-@query("j13_append_unlike", "WITH b AS (SELECT DISTINCT lower(p_name) AS x FROM part WHERE p_size <= 25 AND p_brand = 'Brand#13'), m AS (SELECT p_partkey, p_name || CASE WHEN p_partkey % 2 = 0 THEN ' large' ELSE '' END AS nm FROM part WHERE p_brand = 'Brand#5') SELECT p_partkey, p_name AS nm FROM part WHERE p_size <= 25 AND p_brand = 'Brand#13' UNION ALL SELECT p_partkey, nm FROM m WHERE NOT EXISTS (SELECT 1 FROM b WHERE contains(' ' || lower(nm), ' ' || x) OR contains(' ' || x, ' ' || lower(nm)))")
+_OFFERED = "CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN 'Very HOT bolt ' || c_custkey WHEN 2 THEN 'late' ELSE 'ot bolt' END"
+
+
+@query("j13_append_unlike", f"WITH b AS (SELECT DISTINCT lower(p_name) AS x FROM part), m AS (SELECT c_custkey AS k, {_OFFERED} AS nm FROM customer), d AS (SELECT DISTINCT lower(nm) AS y FROM m), w AS (SELECT DISTINCT y FROM d JOIN b ON x = y OR (length(x) >= 5 AND contains(y, x)) OR (length(y) >= 5 AND contains(x, y))) SELECT p_partkey AS k, p_name AS nm FROM part UNION ALL SELECT k, nm FROM m WHERE lower(nm) NOT IN (SELECT y FROM w)")
 def j13_unlike(spark, sf_dir):
-    p = read(spark, sf_dir, "part")
-    base = p.where("p_size <= 25 and p_brand = 'Brand#13'").select("p_partkey", F.col("p_name").alias("nm"))
-    more = p.where("p_brand = 'Brand#5'").select("p_partkey", F.concat("p_name", F.when(F.col("p_partkey") % 2 == 0, " large").otherwise("")).alias("nm"))
-    return joins.append_unlike(base, more, "nm")
+    base = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("nm"))
+    return joins.append_unlike(base, read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.expr(_OFFERED).alias("nm")), "nm")
 
 
 @query("j14_same_period_before", "WITH y AS (SELECT c_nationkey AS region, year(o_orderdate) AS y, count(*) AS v FROM orders JOIN customer ON o_custkey = c_custkey WHERE (c_nationkey + year(o_orderdate)) % 7 <> 0 GROUP BY 1, 2) SELECT a.region, a.y::INT AS y, a.v - b.v AS change, CASE WHEN b.v > 0 THEN round((a.v - b.v) / b.v::DOUBLE * 100, 6) END AS change_pct FROM y a LEFT JOIN y b ON a.region = b.region AND a.y = b.y + 1")
