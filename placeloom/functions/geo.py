@@ -17,18 +17,21 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return 2 * RADIUS_M * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
-def band(lat: Column, radius_m: float) -> Column:
+def band(lat: Column, radius_m: float | Column) -> Column:
     """The number of the band of latitude, which is as high as the radius."""
     return F.floor((lat + 90) / (radius_m / DEGREE_M)).cast("int")
 
 
-def cells_in_band(i: Column, radius_m: float) -> Column:
+def cells_in_band(i: Column, radius_m: float | Column) -> Column:
     """How many cells a band's circle has: points within the radius of each other, in this band and the next ones, are in
     one cell or in neighbouring ones, at any latitude and across the date line."""
     d = radius_m / DEGREE_M
     # the most polar latitude that the band and its neighbours reach
     polar = F.least(F.greatest(F.abs((i - 1) * d - 90), F.abs((i + 2) * d - 90)), F.lit(90.0))
-    reach = math.sin(min(math.pi, radius_m / RADIUS_M) / 2) * (1 + 1e-9)
+    if isinstance(radius_m, Column):
+        reach = F.sin(F.least(F.lit(math.pi), radius_m / RADIUS_M) / 2) * (1 + 1e-9)
+    else:
+        reach = math.sin(min(math.pi, radius_m / RADIUS_M) / 2) * (1 + 1e-9)
     widest = F.degrees(2 * F.asin(F.least(F.lit(1.0), reach / F.greatest(F.cos(F.radians(polar)), F.lit(1e-12)))))
     return F.greatest(F.lit(1), F.floor(F.lit(360.0) / widest)).cast("int")
 

@@ -227,9 +227,18 @@ def e08_supply(spark, sf_dir):
     return spatial.competition(s, 5000, population="people").select("site_id", "competitors", "population_per_site", "supply_ratio")
 
 
-@query("e09_nearest_per_type", f"WITH {_SUPPLIERS}, e AS (SELECT c_custkey AS place_id, c_mktsegment AS kind, {_at('c_custkey')} FROM customer WHERE c_custkey % 11 = 0), p AS (SELECT site_id, kind, place_id, {_H} AS h FROM s, e), r AS (SELECT *, {_M} AS m, row_number() OVER (PARTITION BY site_id, kind ORDER BY {_M}, place_id) AS n FROM p) SELECT s.site_id, a.place_id AS \"BUILDING_id\", round(a.m, 3) AS \"BUILDING_m\", b.place_id AS \"MACHINERY_id\", round(b.m, 3) AS \"MACHINERY_m\" FROM s LEFT JOIN (SELECT * FROM r WHERE kind = 'BUILDING' AND n = 1) a ON a.site_id = s.site_id LEFT JOIN (SELECT * FROM r WHERE kind = 'MACHINERY' AND n = 1) b ON b.site_id = s.site_id")
+@query("e05_uncapped_by_mode", f"WITH {_SUPPLIERS}, {_STOPS.replace('% 400', '% 90')}, p AS (SELECT site_id, e.mode, e.name, {_H} AS h FROM s, e), d AS (SELECT site_id, mode, name, min({_M}) AS m FROM p GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY site_id, mode ORDER BY m, name) AS rank FROM d) SELECT site_id, mode, rank, name, round(m, 3) AS distance_m FROM r WHERE rank <= 3")
+def e05_uncapped(spark, sf_dir):
+    """The three nearest stops of different names of each mode, however far."""
+    k = F.col("o_orderkey")
+    stops = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("mode"), F.concat(F.lit("stop "), k % 90).alias("stop"), latitude("o_orderkey").alias("p_lat"), longitude("o_orderkey").alias("p_lon"))
+    found = spatial.nearest_uncapped(_suppliers(spark, sf_dir).select("site_id", "lat", "lon"), stops, 3, 250, "stop", category="mode", name="stop")
+    return found.select("site_id", "mode", F.col("rank").cast("long").alias("rank"), F.col("stop").alias("name"), F.round("distance_m", 3).alias("distance_m"))
+
+
+@query("e09_nearest_per_type", f"WITH {_SUPPLIERS}, e AS (SELECT c_custkey AS place_id, c_mktsegment AS kind, {_at('c_custkey')} FROM customer), p AS (SELECT site_id, kind, place_id, {_H} AS h FROM s, e), r AS (SELECT *, {_M} AS m, row_number() OVER (PARTITION BY site_id, kind ORDER BY {_M}, place_id) AS n FROM p) SELECT s.site_id, a.place_id AS \"BUILDING_id\", round(a.m, 3) AS \"BUILDING_m\", b.place_id AS \"MACHINERY_id\", round(b.m, 3) AS \"MACHINERY_m\" FROM s LEFT JOIN (SELECT * FROM r WHERE kind = 'BUILDING' AND n = 1) a ON a.site_id = s.site_id LEFT JOIN (SELECT * FROM r WHERE kind = 'MACHINERY' AND n = 1) b ON b.site_id = s.site_id")
 def e09(spark, sf_dir):
-    places = read(spark, sf_dir, "customer").where("c_custkey % 11 = 0").select(F.col("c_custkey").alias("place_id"), F.col("c_mktsegment").alias("kind"), latitude("c_custkey").alias("p_lat"), longitude("c_custkey").alias("p_lon"))
+    places = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("place_id"), F.col("c_mktsegment").alias("kind"), latitude("c_custkey").alias("p_lat"), longitude("c_custkey").alias("p_lon"))
     found = spatial.nearest_per_type(_suppliers(spark, sf_dir).select("site_id", "lat", "lon"), places, ["BUILDING", "MACHINERY"], "kind", "place_id", 2000)
     return found.select("site_id", "BUILDING_id", F.round("BUILDING_m", 3).alias("BUILDING_m"), "MACHINERY_id", F.round("MACHINERY_m", 3).alias("MACHINERY_m"))
 
