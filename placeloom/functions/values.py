@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,14 +22,15 @@ def blank_to_null(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
 def parse_number(c: Column, comma: bool = True) -> Column:
     """A double from text, null for null tokens, suppression marks and what is no number.
 
-    Blanks, apostrophes and a per cent sign go. If comma, a comma is the decimal mark and dots group digits; where both
-    come, the last of the two is the decimal mark and the other groups digits.
+    Blanks, apostrophes and a per cent sign go. If comma, a comma is the decimal mark; where dots come too, the last of the
+    two is the decimal mark and the other groups digits. Dots alone group digits if there are several, each before three
+    digits; a single one is a decimal mark.
     """
     text = F.regexp_replace(blank_to_null(c, NULL_TOKENS + SUPPRESSED), "[\\s\u00a0'%]", "")
     if comma:
         dot, mark = F.lit("."), F.lit(",")
         english = text.contains(",") & text.contains(".") & (F.length(text) - F.locate(".", F.reverse(text)) > F.length(text) - F.locate(",", F.reverse(text)))
-        text = F.when(english, F.replace(text, mark, F.lit(""))).when(text.contains(","), F.replace(F.replace(text, dot, F.lit("")), mark, dot)).otherwise(text)
+        text = F.when(english, F.replace(text, mark, F.lit(""))).when(text.contains(","), F.replace(F.replace(text, dot, F.lit("")), mark, dot)).when(text.rlike(r"^[+-]?[0-9]{1,3}(\.[0-9]{3}){2,}$"), F.replace(text, dot, F.lit(""))).otherwise(text)
     return text.try_cast("double")
 
 
@@ -63,10 +65,10 @@ def postcode(c: Column) -> Column:
 
 
 def clean_url(c: Column) -> Column:
-    """https, no citation marks, no trailing slash or punctuation; null tokens are null."""
+    """https, whatever the case of the scheme; no citation marks, no trailing slash or punctuation; null tokens are null."""
     url = F.regexp_replace(blank_to_null(c), r"\[[0-9]+\]", "")
     url = F.regexp_replace(url, r"[.,;)\s/]+$", "")
-    return F.when(url.startswith("http://"), F.concat(F.lit("https://"), F.substr(url, F.lit(8)))).when(url.startswith("https://"), url).otherwise(F.concat(F.lit("https://"), url))
+    return F.concat(F.lit("https://"), F.regexp_replace(url, r"(?i)^https?://", ""))
 
 
 def join_parts(*parts: Column, sep: str = " ") -> Column:
@@ -174,9 +176,24 @@ def pattern_score(c: Column, rules: Sequence[tuple[str, float]]) -> Column:
     return sum((F.when(F.lower(c).rlike(p), F.lit(float(w))).otherwise(0.0) for p, w in rules), F.lit(0.0))
 
 
-def coming_days(days: Column, today: Column, kind: str = "date") -> Column:
-    """Structs with a well-formed date that is not past, by date."""
+def _or_default(field: str, value: str, d: Column) -> Column:
+    return d.withField(field, F.coalesce(F.nullif(F.trim(d[field]), F.lit("")), F.lit(value)))
+
+
+def _with_value(field: str, value: str, d: Column) -> Column:
+    return d.withField(field, F.lit(value))
+
+
+def coming_days(days: Column, today: Column, kind: str = "date", defaults: dict[str, str] | None = None, lacking: dict[str, str] | None = None) -> Column:
+    """Structs with a well-formed date that is not past, by date.
+
+    defaults: values of fields where they are null or blank; lacking: fields that the structs do not have, with their value.
+    """
     good = F.filter(days, lambda d: F.try_to_date(d[kind]) >= today)
+    for field, value in (defaults or {}).items():
+        good = F.transform(good, partial(_or_default, field, value))
+    for field, value in (lacking or {}).items():
+        good = F.transform(good, partial(_with_value, field, value))
     return F.array_sort(good, lambda a, b: F.when(a[kind] < b[kind], -1).when(a[kind] > b[kind], 1).otherwise(0))
 
 

@@ -11,24 +11,42 @@ from placeloom.functions.scores import bands
 
 
 # Named characters of HTML; the ampersand last, so that nothing is read twice.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"), ("&euro;", "€"), ("&amp;", "&"))
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"), ("&euro;", "€"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
 
 def unescaped(text: Column) -> Column:
-    """Numbers up to 255 and the named characters in ENTITIES as themselves."""
-    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{1,3});"), F.lit(1)))
-    small = F.filter(numbers, lambda n: n.cast("int").between(32, 255) & (n.cast("int") != 38))
-    text = F.aggregate(small, text, lambda t, n: F.replace(t, F.concat(F.lit("&#"), n, F.lit(";")), F.char(n.cast("int"))))
-    for name, c in (("&#38;", "&amp;"), *ENTITIES):
+    """Character references as what they stand for: numbers of any size, decimal or hexadecimal, and the names in ENTITIES.
+
+    0, surrogates and what is beyond Unicode give U+FFFD. What one reference gives is not read as part of another.
+    """
+    parts = F.split(text, "&#")
+
+    def number(part: Column) -> Column:
+        dec, hexa = F.regexp_extract(part, r"^0*([0-9]{1,7});", 1), F.regexp_extract(part, r"^[xX]0*([0-9A-Fa-f]{1,6});", 1)
+        code = F.when(dec != "", dec.cast("int")).when(hexa != "", F.conv(hexa, 16, 10).cast("int"))
+        some = part.rlike(r"^([0-9]+|[xX][0-9A-Fa-f]+);")
+        good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        found = F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        # an ampersand of its own waits for the names to be read
+        found = F.when(code == 38, F.lit("&amp;")).otherwise(found)
+        return F.when(some, F.concat(found, F.regexp_replace(part, r"^([0-9]+|[xX][0-9A-Fa-f]+);", ""))).otherwise(F.concat(F.lit("&#"), part))
+
+    text = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), number), ""))
+    for name, c in ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(c))
     return text
 
 
+#: A tag; quoted values may hold ">". What has an odd quote ends at its first ">".
+_TAG = r"""<[A-Za-z/!?](?:[^'">]++|"[^"]*+"|'[^']*+')*+>"""
+
+
 def html_to_text(html: Column, most: int | None = None) -> Column:
-    """Without comments, scripts, styles and tags, entities read, single spaces, at most so many characters if the sink asks for it."""
+    """Without comments, scripts, styles and tags, references read, single spaces, at most so many characters if the sink asks for it."""
     text = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
     text = F.regexp_replace(text, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>", " ")
-    text = F.trim(F.regexp_replace(unescaped(F.regexp_replace(text, r"(?s)<[^>]*>", " ")), r"[\s\u00a0]+", " "))
+    text = F.regexp_replace(F.regexp_replace(text, _TAG, " "), r"(?s)<[A-Za-z/!?][^>]*>", " ")
+    text = F.trim(F.regexp_replace(unescaped(text), r"[\s\u00a0]+", " "))
     return F.substring(text, 1, most) if most else text
 
 
@@ -76,9 +94,19 @@ def ratio_sentence(name: Column, pupils: Column, teachers: Column) -> Column:
     return F.when(has != "", F.concat(name, F.lit(" has "), has, F.coalesce(both, F.lit("")), F.lit(".")))
 
 
+# A street's name: capitalised words and abbreviations, with small words and ordinal numbers between them.
+_NAME = r"(?:[A-ZÄÖÜ][A-Za-zÄÖÜäöüß-]*str\.|(?:Str|St|Dr|Prof)\.|[A-ZÄÖÜ][A-Za-zÄÖÜäöüß-]*+(?!\.))"
+_SMALL = r"(?:de[rsmn]|a[mn]|auf|i[mn]|zu[mr]?|vo[nrm]|und|unter|[0-9]{1,2}\.)"
+_STREET = rf"{_NAME}(?: {_NAME}| {_SMALL})*"
+
+
 def address_of(text: Column) -> Column:
-    """The first "Street 12a, 12345 Town" of a page's text, else the first postcode with the word after it."""
-    full = F.regexp_extract(text, r"([A-ZÄÖÜ][A-Za-zäöüß.-]+ [0-9]+[a-z]?, [0-9]{5} [A-ZÄÖÜ][A-Za-zäöüß-]+)", 1)
+    """The first "Street 12a, 12345 Town" of a page's text, else the first postcode with the word after it.
+
+    A street may have several words, such as "Am Alten Markt" or "Straße des 17. Juni"; capitalised words right before it
+    count as part of it, since nothing tells them apart. Numbers may be "12", "12a", "12 a" or "12-14".
+    """
+    full = F.regexp_extract(text, rf"(?<![A-Za-zÄÖÜäöüß-])({_STREET} [0-9]+ ?[a-z]?(?:-[0-9]+[a-z]?)?, [0-9]{{5}} [A-ZÄÖÜ][A-Za-zäöüß-]+)", 1)
     short = F.regexp_extract(text, r"\b([0-9]{5} [A-ZÄÖÜ][A-Za-zäöüß-]+)", 1)
     return F.coalesce(F.nullif(full, F.lit("")), F.nullif(short, F.lit("")))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeloom.functions.values import NULL_TOKENS
+from placeloom.functions.values import NULL_TOKENS, parsed_json
 
 
 def is_empty(c: Column) -> Column:
@@ -76,10 +76,33 @@ def upsert_plan(target: DataFrame, local: DataFrame, key: str, fields: Sequence[
 
 def newest_pass(cache: DataFrame, key: str, passes: Sequence[str], schema: str) -> DataFrame:
     """The fields of the last pass (JSON text) that can be read."""
-    parsed = F.coalesce(*[F.from_json(F.nullif(F.trim(F.col(p)), F.lit("")), schema) for p in reversed(passes)])
+    parsed = F.coalesce(*[parsed_json(F.col(p), schema, F.lit(None)) for p in reversed(passes)])
     return cache.select(key, parsed.alias("_p")).select(key, "_p.*")
 
 
+def apply_cache(table: DataFrame, cache: DataFrame, key: str, passes: Sequence[str], schema: str) -> DataFrame:
+    """table with its empty cells filled from the newest readable pass of its row in the cache, typed by the schema.
+
+    Fields of the schema that table lacks are added. What table has is never changed; rows without a cache stay as they are.
+    Of cache rows that repeat a key the first by the passes counts; columns of the cache other than the passes are not read.
+    """
+    one = one_row(cache.select(key, *passes), key, list(passes)).select(key, *[F.col(f"_{p}").alias(p) for p in passes])
+    found = newest_pass(one, key, passes, schema)
+    fields = [c for c in found.columns if c != key]
+    right = found.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in fields])
+    kinds = dict(table.dtypes)
+    value = lambda c: F.when(is_empty(F.col(c)), F.col(f"_new_{c}").cast(kinds[c])).otherwise(F.col(c)) if c in kinds else F.col(f"_new_{c}")
+    joined = table.join(right, table[key] == F.col("_key"), "left")
+    return joined.select(*[(value(c) if c in fields else F.col(c)).alias(c) for c in table.columns], *[value(c).alias(c) for c in fields if c not in kinds])
+
+
+def planned_counts(plan: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """field, n: how many cells of each field a change set fills, 0 where none."""
+    counts = plan.groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+    every = plan.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, fields))).alias("field"))
+    return every.join(counts, "field", "left").select("field", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def untouched(target: DataFrame, local: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """Whole-record variant: local rows for targets that have no value in any of the fields."""
     none = F.lit(True)

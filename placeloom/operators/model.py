@@ -12,40 +12,113 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Values of a column that the driver looks through at once, and ranges into which one pass cuts a column.
+FEW, RANGES = 10_000, 1024
+
+
+def exact_medians(rows: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """The median of each column as SQL gives it, null where a column has no value; NaN and infinities count as numbers do in order.
+
+    Each pass counts the values of all columns by ranges and goes on in the range that holds the middle one, until that
+    has FEW values or one distinct value: some three passes, whatever the number of rows, and no task or driver sees a whole column.
+    """
+    cast = rows.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    first = cast.agg(*[f(f"c{i}").alias(f"{n}{i}") for i in range(len(columns)) for n, f in (("n", F.count), ("a", F.min), ("b", F.max))]).first()
+    # (column, rank from 0): the range it lies in, how many values it has and how many come before it
+    found: dict[tuple[int, int], float] = {}
+    open_: dict[tuple[int, int], tuple[float, float, int, int]] = {}
+    for i in range(len(columns)):
+        if n := first[f"n{i}"]:
+            for rank in {(n - 1) // 2, n // 2}:
+                open_[i, rank] = first[f"a{i}"], first[f"b{i}"], n, 0
+    while open_:
+        for at, (lo, hi, n, before) in list(open_.items()):
+            if lo == hi or n <= FEW:
+                c = F.col(f"c{at[0]}")
+                found[at] = lo if lo == hi else sorted(r[0] for r in cast.where((c >= lo) & (c <= hi)).select(c).collect())[at[1] - before]
+                del open_[at]
+        if not open_:
+            break
+        asks = sorted(set((i, lo, hi) for (i, _), (lo, hi, _, _) in open_.items()))
+        number = lambda i, lo, hi: F.floor((F.col(f"c{i}") / 2 - lo / 2) / (hi / 2 - lo / 2) * RANGES)
+        each = F.array(*[F.when((F.col(f"c{i}") >= lo) & (F.col(f"c{i}") <= hi), F.struct(F.lit(j).alias("j"), F.least(F.coalesce(number(i, lo, hi), F.lit(RANGES - 1)), F.lit(RANGES - 1)).alias("r"), F.col(f"c{i}").alias("v"))) for j, (i, lo, hi) in enumerate(asks)])
+        counts = cast.select(F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).groupBy("x.j", "x.r").agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi")).collect()
+        by_ask: dict[int, list] = {}
+        for r in sorted(counts, key=lambda r: (r.j, r.lo)):
+            by_ask.setdefault(r.j, []).append(r)
+        for at, (lo, hi, _, before) in list(open_.items()):
+            for r in by_ask[asks.index((at[0], lo, hi))]:
+                if at[1] < before + r.n:
+                    open_[at] = r.lo, r.hi, r.n, before
+                    break
+                before += r.n
+    return {c: (found[i, (n - 1) // 2] + found[i, n // 2]) / 2 if (n := first[f"n{i}"]) else None for i, c in enumerate(columns)}
+
+
 def standardised(df: DataFrame, features: Sequence[str], least: int = 5, reference: Column | None = None) -> tuple[DataFrame, list[str]]:
     """Features with at least `least` values and some spread: gaps get the median, then z-scores within 10.
 
-    What holds for all is worked out over the reference rows (all, unless a condition is given). The median is an
-    approximate one, within a ten-thousandth of the ranks: an exact one would hold all distinct values at once.
+    What holds for all is worked out over the reference rows (all, unless a condition is given). The median is the exact
+    one, and only looked for where a feature has gaps.
     """
-    median = lambda c: F.percentile_approx(c, 0.5, 10_000)
     rows = df if reference is None else df.where(reference)
-    s = rows.agg(*[f(F.col(c)).alias(f"{n}_{c}") for c in features for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop), ("q", median))]).first()
+    s = rows.agg(*[f(F.col(c)).alias(f"{n}_{c}") for c in features for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop))]).first()
     used = [c for c in features if s[f"n_{c}"] >= least and (s[f"s_{c}"] or 0) >= 1e-9]
-    z = {c: F.greatest(F.least((F.coalesce(F.col(c), F.lit(s[f"q_{c}"])) - s[f"m_{c}"]) / s[f"s_{c}"], F.lit(10.0)), F.lit(-10.0)) for c in used}
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in used]).first() if used else {}
+    middle = exact_medians(rows, open_) if (open_ := [c for c in used if gaps[c]]) else {}
+    z = {c: F.greatest(F.least((F.coalesce(F.col(c), F.lit(middle.get(c))) - s[f"m_{c}"]) / s[f"s_{c}"], F.lit(10.0)), F.lit(-10.0)) for c in used}
     return df.withColumns(z), used
 
 
+#: Features in a block of the matrix of sums, and parts into which the tasks' sums of one block are dealt first.
+BLOCK, PARTS = 64, 32
+
+
+def _added(d: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({**{c: d[c].iloc[:1] for c in d.columns if c != "g"}, "g": [np.sum(np.stack(d["g"]), axis=0)]})
+
+
 def gram(df: DataFrame, features: Sequence[str], label: str, fold: Column | None = None) -> dict[int, np.ndarray]:
-    """For each fold the sums of products of (1, features, label): p x p numbers, whatever the number of rows."""
+    """For each fold the sums of products of (1, features, label), gaps as 0.
+
+    A task holds the sums of one fold at a time, p x p doubles, as its rows are in order of fold, and gives them out as
+    blocks of BLOCK x BLOCK. The tasks' blocks are added by parts and then as a whole, so no row is as wide as the matrix and
+    no task gets more than a part of the blocks of one place. The driver gets p x p doubles for each fold.
+    """
     names = ["_one", *features, label]
+    p = len(names)
+    starts = range(0, p, BLOCK)
     rows = df.where(F.col(label).isNotNull()).withColumn("_one", F.lit(1.0)).withColumn("_fold", F.lit(0) if fold is None else fold)
-    fields = ", ".join(f"{c} double" for c in ("_fold", *(f"g{i}" for i in range(len(names) ** 2))))
+    value = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names])
+
+    def blocks(fold: int, g: np.ndarray, part: int) -> pd.DataFrame:
+        places = [(i, j) for i in starts for j in starts if i <= j]
+        return pd.DataFrame({"f": fold, "i": [x for x, _ in places], "j": [x for _, x in places], "part": part, "g": [g[i : i + BLOCK, j : j + BLOCK].ravel() for i, j in places]})
 
     def sums(batches):
-        """Of each task: the products of its rows' matrix with itself, by fold."""
-        total: dict = {}
+        at, total, part = None, None, 0
         for b in batches:
-            x = b[names].to_numpy(float)
-            for f in np.unique(b["_fold"]):
-                part = x[b["_fold"] == f]
-                total[f] = total.get(f, 0) + part.T @ part
-        if total:
-            yield pd.DataFrame([[f, *g.ravel()] for f, g in total.items()], columns=fields.replace(" double", "").split(", "))
-
-    cast = rows.select(F.col("_fold").cast("double").alias("_fold"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names])
-    parts = cast.mapInPandas(sums, fields).groupBy("_fold").agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(len(names) ** 2)])
-    return {int(r["_fold"]): np.array(r[1:], float).reshape(len(names), -1) for r in parts.collect()}
+            for f, d in b.groupby("f", sort=True):
+                if f != at:
+                    if total is not None:
+                        yield blocks(at, total, part)
+                    at, total = f, np.zeros((p, p))
+                x = np.stack(d["x"])
+                total += x.T @ x
+                part = int(d["part"].iloc[0])
+        if total is not None:
+            yield blocks(at, total, part)
+
+    cast = rows.select(F.col("_fold").cast("long").alias("f"), F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("part"), value.alias("x")).sortWithinPartitions("f")
+    schema = "f long, i int, j int, part int, g array<double>"
+    each = cast.mapInPandas(sums, schema).groupBy("f", "i", "j", "part").applyInPandas(_added, schema)
+    found: dict[int, np.ndarray] = {}
+    for r in each.groupBy("f", "i", "j").applyInPandas(_added, schema).collect():
+        g = found.setdefault(int(r.f), np.zeros((p, p)))
+        block = np.array(r.g).reshape(min(BLOCK, p - r.i), min(BLOCK, p - r.j))
+        g[r.i : r.i + BLOCK, r.j : r.j + BLOCK] = block
+        g[r.j : r.j + BLOCK, r.i : r.i + BLOCK] = block.T
+    return found
 
 
 @dataclass
@@ -88,22 +161,32 @@ def solve(g: np.ndarray, features: Sequence[str], alpha: float = 50.0) -> Ridge:
     return Ridge([*features], b, my - b @ mean, 1 - rss / yy if yy else 0.0, float(np.sqrt(max(rss, 0) / n)), int(n), inverse, float(np.trace(inverse @ xx)) + 1, mean)
 
 
-def cross_validated(df: DataFrame, features: Sequence[str], label: str, key: str, k: int = 5, alpha: float = 50.0) -> list[tuple[int, float, float]]:
-    """(fold, R2, RMSE) from the folds' sums alone: what trains on the others is the total less the fold.
+def cross_validated(df: DataFrame, features: Sequence[str], label: str, key: str, k: int = 5, alpha: float = 50.0, fold: Column | None = None) -> list[tuple[int, float, float, float]]:
+    """(fold, R2, RMSE, MAE): what trains on the others is the total of the folds' sums less the fold.
 
-    With fewer than k rows each is a fold of its own.
+    R2 and RMSE follow from the sums alone; MAE takes one pass more, with the folds' k models at hand. With fewer than k
+    rows each is a fold of its own; a fold given as a column is taken instead.
     """
-    n = df.where(F.col(label).isNotNull()).count()
-    fold = F.pmod(F.xxhash64(key), F.lit(k)) if n >= k else F.dense_rank().over(Window.orderBy(key))
-    grams = gram(df.where(F.col(label).isNotNull()).withColumn("_k", fold), features, label, F.col("_k"))
-    total, out, p = sum(grams.values()), [], len(features)
+    if fold is None:
+        few = df.where(F.col(label).isNotNull()).limit(k).count() < k
+        fold = F.dense_rank().over(Window.orderBy(key)) if few else F.pmod(F.xxhash64(key), F.lit(k))
+    rows = df.where(F.col(label).isNotNull()).withColumn("_k", fold)
+    grams = gram(rows, features, label, F.col("_k"))
+    total, out, p, models = sum(grams.values()), [], len(features), {}
     for f, g in sorted(grams.items()):
         m = solve(total - g, features, alpha)
         w = np.concatenate([[m.intercept], m.coefficients, [-1.0]])
         rss, n = float(w @ g @ w), g[0, 0]
         tss = g[p + 1, p + 1] - g[0, p + 1] ** 2 / n
         out.append((f, float(1 - rss / tss) if tss > 0 else 0.0, float(np.sqrt(max(rss, 0) / n))))
-    return out
+        models[f] = F.array(*[F.lit(float(x)) for x in w[:-1]])
+    if not out:
+        return []
+    x = F.array(F.lit(1.0), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
+    weights = F.element_at(F.create_map(*[y for f, m in models.items() for y in (F.lit(f).cast("long"), m)]), F.col("_k").cast("long"))
+    prediction = F.aggregate(F.zip_with(x, weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    mae = {r["_k"]: r.mae for r in rows.groupBy("_k").agg(F.avg(F.abs(F.col(label).cast("double") - prediction)).alias("mae")).collect()}
+    return [(f, r2, rmse, float(mae[f])) for f, r2, rmse in out]
 
 
 def importance(m: Ridge, g: np.ndarray) -> list[tuple[str, float]]:
@@ -167,7 +250,7 @@ def fit_figures(df: DataFrame, label: str, prediction: str, n_features: int) ->
     return sums.select("n", r2.alias("r2"), F.when(free > 0, 1 - (1 - r2) * (F.col("n") - 1) / free).alias("adjusted_r2"), F.sqrt(F.col("rss") / F.col("n")).alias("rmse"), "mae")
 
 
-def is_reliable(folds: Sequence[tuple[int, float, float]]) -> bool:
+def is_reliable(folds: Sequence[tuple]) -> bool:
     """Whether the folds' R2 is above 0.3 on average and deviates by less than 0.3."""
     r2 = np.array([f[1] for f in folds])
     return bool(len(r2) and r2.mean() > 0.3 and r2.std() < 0.3)

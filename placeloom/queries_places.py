@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
+from placeloom.functions.values import first_valid
 from placeloom.operators import documents, model, ranks, spatial, vectors
+from placeloom.plans import features
 from placeloom.plans.sites import events, latitude, longitude, read, sites
 from placeloom.registry import query
 from placeloom.sources import files
+from placeloom.sources.scratch import shared_folder
 from placeloom.streaming import rolling
 
 
 def scratch(spark) -> str:
     """A new folder for a round trip through files, in the one that driver and executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-files-")
-    return f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
 def _named(df, path: str, names, column: str, **options):
@@ -243,6 +244,13 @@ def e09(spark, sf_dir):
     return found.select("site_id", "BUILDING_id", F.round("BUILDING_m", 3).alias("BUILDING_m"), "MACHINERY_id", F.round("MACHINERY_m", 3).alias("MACHINERY_m"))
 
 
+@query("a02_by_family", f"WITH {_SUPPLIERS}, e AS (SELECT p_brand AS family, p_size::DOUBLE AS cars, {_at('p_partkey')} FROM part), p AS (SELECT site_id, e.*, {_H} AS h FROM s JOIN e ON abs(e.lat - s.lat) < 0.06), n AS (SELECT site_id, round(avg(cars) FILTER (family = 'Brand#1'), 6) AS a, count(*) FILTER (family = 'Brand#1') AS b, round(min({_M}) FILTER (family = 'Brand#1'), 3) AS c, round(avg(cars) FILTER (family = 'Brand#2'), 6) AS d, count(*) FILTER (family = 'Brand#2') AS f, count(*) AS k FROM p WHERE {_M} <= 3000 GROUP BY 1) SELECT s.site_id, a AS first_mean, coalesce(b, 0) AS first_n, c AS first_nearest, d AS second_mean, coalesce(f, 0) AS second_n, coalesce(k, 0) AS n_sensors FROM s LEFT JOIN n ON n.site_id = s.site_id")
+def a02_by_family(spark, sf_dir):
+    sensors = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("sensor_id"), F.col("p_brand").alias("family"), F.col("p_size").cast("double").alias("cars"), latitude("p_partkey").alias("p_lat"), longitude("p_partkey").alias("p_lon"))
+    found = spatial.sensor_means(_suppliers(spark, sf_dir).select("site_id", "lat", "lon"), sensors, 3000, ["cars"], "family", split=["Brand#1", "Brand#2"])
+    return found.select("site_id", F.round("mean_cars_Brand#1", 6).alias("first_mean"), F.col("n_sensors_Brand#1").alias("first_n"), F.round("nearest_m_Brand#1", 3).alias("first_nearest"), F.round("mean_cars_Brand#2", 6).alias("second_mean"), F.col("n_sensors_Brand#2").alias("second_n"), "n_sensors")
+
+
 @query("a02_sensor_means", f"WITH {_SUPPLIERS}, e AS (SELECT p_partkey AS sensor_id, p_brand AS family, p_size::DOUBLE AS cars, CASE WHEN p_partkey % 3 <> 0 THEN p_retailprice END AS bikes, {_at('p_partkey')} FROM part), p AS (SELECT site_id, e.*, {_H} AS h FROM s JOIN e ON abs(e.lat - s.lat) < 0.06), n AS (SELECT site_id, avg(cars) AS c, avg(bikes) AS b, count(*) AS k, min({_M}) AS m, string_agg(DISTINCT family, ',' ORDER BY family) AS f FROM p WHERE {_M} <= 3000 GROUP BY 1) SELECT s.site_id, round(c, 6) AS mean_cars, round(b, 6) AS mean_bikes, coalesce(k, 0) AS n_sensors, round(m, 3) AS nearest_m, f AS families FROM s LEFT JOIN n ON n.site_id = s.site_id")
 def a02(spark, sf_dir):
     sensors = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("sensor_id"), F.col("p_brand").alias("family"), F.col("p_size").cast("double").alias("cars"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_retailprice")).alias("bikes"), latitude("p_partkey").alias("p_lat"), longitude("p_partkey").alias("p_lon"))
@@ -265,12 +273,39 @@ def m00(spark, sf_dir):
     return model.feature_rows(tables, ["balance", "area"])
 
 
+@query("m00_whole_build", f"""WITH {_SUPPLIERS}, w AS (SELECT s.*, s.site_id * 1.5 AS own, CASE WHEN s_acctbal BETWEEN 1 AND 3000 THEN s_acctbal WHEN site_id % 3 = 0 THEN 2.5 END AS label FROM s JOIN supplier ON s_suppkey = site_id),
+e AS (SELECT p_size, {_at('p_partkey')} FROM part),
+p AS (SELECT site_id, p_size, {_H} AS h FROM s JOIN e ON abs(e.lat - s.lat) < 0.03), c AS (SELECT site_id, sum(p_size)::DOUBLE AS v FROM p WHERE {_M} <= 1000 GROUP BY 1),
+q AS (SELECT s.site_id, {_H} AS h FROM s JOIN s e ON s.s_nationkey % 5 = e.s_nationkey % 5 AND s.site_id <> e.site_id AND abs(e.lat - s.lat) < 0.06), r AS (SELECT site_id, count(*) AS n, min({_M}) AS m FROM q WHERE {_M} <= 5000 GROUP BY 1),
+i AS (SELECT c_nationkey, round(avg(c_acctbal), 6) AS v FROM customer WHERE c_nationkey % 4 <> 0 GROUP BY 1)
+SELECT w.site_id AS id, own::DOUBLE AS own, c.v AS catchment, round(c.v / 3.141592653589793::DOUBLE, 4) AS density, coalesce(r.n, 0) AS competitors, round(r.m, 3) AS nearest_m, i.v AS area_index, label::DOUBLE AS label
+FROM w LEFT JOIN c ON c.site_id = w.site_id LEFT JOIN r ON r.site_id = w.site_id LEFT JOIN i ON i.c_nationkey = w.s_nationkey""")
+def m00_whole(spark, sf_dir):
+    """Own figures, catchment, competition, area index by postcode and label of each site, in one job."""
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    s = _suppliers(spark, sf_dir).join(s, F.col("s_suppkey") == F.col("site_id"))
+    s = s.select(F.col("site_id").alias("id"), (F.col("s_nationkey") % 5).alias("type"), (F.col("s_nationkey") + 10000).alias("postcode"), "lat", "lon", "s_acctbal")
+    cells = read(spark, sf_dir, "part").select("p_size", latitude("p_partkey").alias("p_lat"), longitude("p_partkey").alias("p_lon"))
+    areas = read(spark, sf_dir, "customer").where("c_nationkey % 4 <> 0").groupBy((F.col("c_nationkey") + 10000).alias("postcode")).agg(F.round(F.avg("c_acctbal"), 6).alias("area_index"))
+    label = first_valid([F.col("s_acctbal"), F.when(F.col("id") % 3 == 0, F.lit(2.5))], 1, 3000)
+    found = features.built(s, cells, areas, {"own": F.col("id") * 1.5}, label, "p_size", 1000, 5000)
+    return found.withColumn("density", F.round("density", 4)).withColumn("nearest_m", F.round("nearest_m", 3))
+
+
 @query("m01_standardised", "WITH r AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS s FROM customer WHERE c_custkey % 2 = 0) SELECT c_custkey, round(greatest(least((c_acctbal - m) / s, 10), -10), 6)::DOUBLE AS z FROM customer, r")
 def m01(spark, sf_dir):
     c = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("z"), F.lit(1.0).alias("flat"))
     return model.standardised(c, ["z", "flat"], reference=F.col("c_custkey") % 2 == 0)[0].select("c_custkey", F.round("z", 6).alias("z"))
 
 
+@query("m01_gaps", "WITH g AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS x, CASE WHEN o_orderkey % 5 <> 0 THEN (o_orderkey % 3)::DOUBLE END AS y FROM orders), r AS (SELECT avg(x) AS mx, stddev_pop(x) AS sx, median(x) AS qx, avg(y) AS my, stddev_pop(y) AS sy, median(y) AS qy FROM g) SELECT o_orderkey, round(greatest(least((coalesce(x, qx) - mx) / sx, 10), -10), 6)::DOUBLE AS x, round(greatest(least((coalesce(y, qy) - my) / sy, 10), -10), 6)::DOUBLE AS y FROM g, r")
+def m01_gaps(spark, sf_dir):
+    """Gaps take the exact median, of a column of distinct values and of one with three."""
+    k = F.col("o_orderkey")
+    o = read(spark, sf_dir, "orders").select(k, F.when(k % 7 != 0, F.col("o_totalprice")).alias("x"), F.when(k % 5 != 0, (k % 3).cast("double")).alias("y"))
+    return model.standardised(o, ["x", "y"])[0].select("o_orderkey", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
 _ONE = "WITH r AS (SELECT count(*) AS n, avg(p_size) AS mx, avg(p_retailprice) AS my, var_pop(p_size) * count(*) AS sxx, covar_pop(p_retailprice, p_size) * count(*) AS sxy FROM part), b AS (SELECT *, sxy / (sxx + 50) AS b FROM r)"
 
 
@@ -297,7 +332,18 @@ def m04(spark, sf_dir):
 @query("m05_folds")
 def m05(spark, sf_dir):
     folds = model.cross_validated(_orders(spark, sf_dir), ["quantity", "discount", "n_lines"], "o_totalprice", "o_orderkey")
-    return spark.createDataFrame(folds, "fold int, r2 double, rmse double")
+    return spark.createDataFrame(folds, "fold int, r2 double, rmse double, mae double")
+
+
+_FOLD_ONE = "WITH e AS (SELECT *, p_partkey % 4 AS f FROM part), t AS (SELECT a.f, count(*) AS n, avg(b.p_size) AS mx, avg(b.p_retailprice) AS my, var_pop(b.p_size) * count(*) AS sxx, covar_pop(b.p_retailprice, b.p_size) * count(*) AS sxy FROM (SELECT DISTINCT f FROM e) a JOIN e b ON a.f <> b.f GROUP BY 1), m AS (SELECT f, sxy / (sxx + 50) AS b, my - mx * sxy / (sxx + 50) AS a FROM t)"
+
+
+@query("m05_fold_errors", _FOLD_ONE + " SELECT e.f::INT AS fold, round(1 - sum((p_retailprice - a - b * p_size) ** 2) / (var_pop(p_retailprice) * count(*)), 6)::DOUBLE AS r2, round(sqrt(avg((p_retailprice - a - b * p_size) ** 2)), 4)::DOUBLE AS rmse, round(avg(abs(p_retailprice - a - b * p_size)), 4)::DOUBLE AS mae FROM e JOIN m ON e.f = m.f GROUP BY 1")
+def m05_errors(spark, sf_dir):
+    """Folds given as a column, so that SQL can make the same ones."""
+    p = read(spark, sf_dir, "part").withColumn("f", F.col("p_partkey") % 4)
+    folds = model.cross_validated(p, ["p_size"], "p_retailprice", "p_partkey", fold=F.col("f"))
+    return spark.createDataFrame([(f, round(r2, 6), round(rmse, 4), round(mae, 4)) for f, r2, rmse, mae in folds], "fold int, r2 double, rmse double, mae double")
 
 
 @query("m07_confidence", "WITH r AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS s, avg(c_nationkey) AS mn, stddev_pop(c_nationkey) AS sn FROM customer) SELECT c_custkey, round(greatest(0, least(1, 1 - (abs((c_acctbal - m) / s) + abs((c_nationkey - mn) / sn)) / 2 / 5)), 6)::DOUBLE AS confidence FROM customer, r")
@@ -379,6 +425,23 @@ def d01_edges(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", documents.html_to_text(html).alias("text"))
 
 
+@query("d01_references", "SELECT page_id, 'ä€😀 &#x; �&#y7; &amp; & <b> ' || page_id || ' x' AS text FROM pages")
+def d01_references(spark, sf_dir):
+    """References of any size and base, those that are none, and tags whose attributes hold a closing mark."""
+    html = F.concat(F.lit("<a title=\"x > y\" href='>'>&#228;&#x20AC;&#x1F600; &#x; &#55296;&#y7; &#38;amp; &#x26; &lt;b&gt; </a >"), F.col("page_id").cast("string"), F.lit("<p class='a>b'\n>&#160;x</p>"))
+    return read(spark, sf_dir, "pages").select("page_id", documents.html_to_text(html).alias("text"))
+
+
+_REFERENCES = r"""replace(replace(replace(replace(replace(replace(x, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·')"""
+
+
+@query("d01_whole_pages", rf"""WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'), '(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>', ' ', 'g'), '(?s)<[A-Za-z/!?](?:[^''">]|"[^"]*"|''[^'']*'')*>', ' ', 'g') AS x FROM pages)
+SELECT page_id, trim(regexp_replace(replace({_REFERENCES}, '&amp;', '&'), '[\s\x{{00a0}}]+', ' ', 'g')) AS text FROM t""")
+def d01_whole(spark, sf_dir):
+    """The whole text of each page."""
+    return read(spark, sf_dir, "pages").select("page_id", documents.html_to_text(F.col("html")).alias("text"))
+
+
 @query("d01_pages_as_text", r"SELECT page_id, length(replace(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'), '(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '[\s\x{00a0}]+', ' ', 'g')), '&', '')) > 0 AS has_text FROM pages")
 def d01_pages(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", (F.length(documents.html_to_text(F.col("html"))) > 0).alias("has_text"))
@@ -433,12 +496,14 @@ def d08(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", record.alias("r")).select("o_orderkey", "r.fee", "r.currency")
 
 
-@query("d09_addresses", "SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Langer Weg ' || c_custkey || 'a, 10115 Berlin' WHEN 1 THEN '28195 Bremen' END AS address, CASE c_custkey % 3 WHEN 0 THEN 'https://x.org/a-b/' WHEN 1 THEN 'www.y.de/z' END AS website FROM customer")
+_STREETS = "CASE c_custkey % 4 WHEN 0 THEN 'Langer Weg' WHEN 1 THEN 'Am Alten Markt' WHEN 2 THEN 'Straße des 17. Juni' ELSE 'Berliner Str.' END || ' ' || c_custkey || CASE WHEN c_custkey % 5 = 0 THEN 'a' ELSE '' END || ', 10115 Berlin'"
+
+
+@query("d09_addresses", f"SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN {_STREETS} WHEN 1 THEN '28195 Bremen' END AS address, CASE c_custkey % 3 WHEN 0 THEN 'https://x.org/a-b/' WHEN 1 THEN 'www.y.de/z' END AS website FROM customer")
 def d09(spark, sf_dir):
     k = F.col("c_custkey")
-    text = F.when(k % 3 == 0, F.concat(F.lit("Kita. Langer Weg "), k, F.lit("a, 10115 Berlin, see www.no.de or https://x.org/a-b/."))).when(k % 3 == 1, "in 28195 Bremen, www.y.de/z, 12 rooms").otherwise("nothing 123")
-    c = read(spark, sf_dir, "customer").select("c_custkey", documents.address_of(text).alias("address"), documents.website_of(text).alias("website"))
-    return c.withColumn("address", F.when(F.col("address").startswith("Weg "), F.concat(F.lit("Langer "), "address")).otherwise(F.col("address")))
+    text = F.when(k % 3 == 0, F.concat(F.lit("Kita. "), F.expr(_STREETS), F.lit(", see www.no.de or https://x.org/a-b/."))).when(k % 3 == 1, "in 28195 Bremen, www.y.de/z, 12 rooms").otherwise("nothing 123")
+    return read(spark, sf_dir, "customer").select("c_custkey", documents.address_of(text).alias("address"), documents.website_of(text).alias("website"))
 
 
 @query("d10_ranked_lists", "SELECT s_suppkey, unnest([1, 3]) AS rank, unnest(['Alpha Schule', 'Beta']) AS name, unnest([1.9, 2.25])::DOUBLE AS grade FROM supplier")
@@ -461,6 +526,23 @@ def r01_stream(spark, sf_dir):
     return spark.table(name).select(F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", F.round("mean_value", 6).alias("mean_value"), "n")
 
 
+@query("r01_append", "WITH b AS (SELECT max(ts) AS last FROM events), h AS (SELECT date_trunc('hour', ts) AS hour, event_type, round(avg(value), 6) AS mean_value, count(*) AS n FROM events GROUP BY 1, 2) SELECT h.* FROM h, b WHERE hour + INTERVAL 1 HOUR <= last - INTERVAL 2 HOUR")
+def r01_append(spark, sf_dir):
+    """Three files, one batch each: the first half of the events; the second; the first day's again, with other values, by then too
+    late. Hours go to a folder of files once the watermark has passed them, and their state with them."""
+    path = scratch(spark)
+    e = read(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    ends = e.agg(F.min("ts").alias("_a"), F.timestamp_seconds((F.min("ts").cast("double") + F.max("ts").cast("double")) / 2).alias("_m"))
+    e = e.join(F.broadcast(ends))
+    early = e.where(F.col("ts") < F.col("_a") + F.expr("interval 1 day")).withColumn("value", F.col("value") + 1000)
+    for part in (e.where("ts < _m"), e.where("ts >= _m"), early):
+        part.select("ts", "event_type", "value").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema("ts timestamp, event_type string, value double").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    rolling.hourly_stream(rolling.hourly(stream, "ts", "event_type", "value"), f"{path}/out", f"{path}/c", once=True).awaitTermination()
+    out = spark.read.schema("hour timestamp, event_type string, mean_value double, n bigint").parquet(f"{path}/out")
+    return out.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", F.round("mean_value", 6).alias("mean_value"), "n")
+
+
 @query("r02_upsert_stream", "SELECT c_custkey, 'c_name' AS field, CASE WHEN c_custkey % 2 = 0 THEN 'first' ELSE 'second' END AS value FROM customer WHERE c_custkey % 3 = 0")
 def r02(spark, sf_dir):
     """Two files, one batch each: the first fills the even keys, the second would fill all, but only odd ones are still empty."""

@@ -280,3 +280,26 @@ def x07(spark, sf_dir):
 @query("x08_small_area", "SELECT p_partkey, round(150.0::DOUBLE * (p_size / 25.0::DOUBLE) * (p_partkey * 1000) / 100000.0::DOUBLE) AS expected FROM part")
 def x08(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", scores.small_area(F.lit(150.0), F.col("p_size") / F.lit(25.0), F.col("p_partkey") * 1000).alias("expected"))
+
+
+@query("p22_default_fields", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'open day' ELSE 'visit' END AS title, CASE WHEN o_orderkey % 2 = 0 THEN '10:00' ELSE 'all day' END AS at, '' AS place FROM orders")
+def p22_defaults(spark, sf_dir):
+    """Fields that are null or blank, and one that the structs lack, take their defaults."""
+    k = F.col("o_orderkey")
+    day = F.struct(F.lit("2030-01-02").alias("date"), F.when(k % 3 != 0, "visit").alias("title"), F.when(k % 2 == 0, "10:00").otherwise(" ").alias("at"))
+    days = values.coming_days(F.array(day, day.withField("date", F.lit("2001-01-01"))), F.lit("2029-01-01").cast("date"), defaults={"title": "open day", "at": "all day"}, lacking={"place": ""})
+    return read(spark, sf_dir, "orders").select("o_orderkey", F.explode(days).alias("d")).select("o_orderkey", "d.title", "d.at", "d.place")
+
+
+@query("p06_schemes", "SELECT page_id, 'https://A.de/' || page_id AS url FROM pages")
+def p06_schemes(spark, sf_dir):
+    k = F.col("page_id")
+    url = F.concat(F.when(k % 4 == 0, "HTTP://").when(k % 4 == 1, "Https://").when(k % 4 == 2, "http://").otherwise(""), F.lit("A.de/"), k.cast("string"), F.lit("/."))
+    return read(spark, sf_dir, "pages").select("page_id", values.clean_url(url).alias("url"))
+
+
+@query("p01_grouped", "SELECT c_custkey, (1000000 + c_custkey)::DOUBLE AS several, 1.5::DOUBLE AS single FROM customer")
+def p01_grouped(spark, sf_dir):
+    """Several dots group digits, a single one is a decimal mark."""
+    n = F.format_number(1_000_000 + F.col("c_custkey"), 0)
+    return read(spark, sf_dir, "customer").select("c_custkey", values.parse_number(F.replace(n, F.lit(","), F.lit("."))).alias("several"), values.parse_number(F.lit("1.500")).alias("single"))

@@ -23,10 +23,13 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 def read_year(spark: SparkSession, paths: str, year: int, **options: str) -> DataFrame:
     """The files whose name has the year, or else the latest year before it that there is; all columns as text."""
-    raw = spark.read.options(header=True, inferSchema=False, **options).csv(paths)
-    named = raw.withColumn("file_year", F.regexp_extract(F.col("_metadata.file_name"), r"((?:19|20)[0-9]{2})", 1).cast("int")).where(F.col("file_year") <= year)
-    newest = named.agg(F.max("file_year").alias("file_year"))
-    return named.join(F.broadcast(newest), "file_year", "left_semi")
+    # names only: the column of the contents is not read
+    listed = spark.read.format("binaryFile").load(paths).select("path", F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"((?:19|20)[0-9]{2})", 1).try_cast("int").alias("y")).where(F.col("y") <= year)
+    newest = listed.groupBy("y").agg(F.collect_list("path").alias("paths")).orderBy(F.desc("y")).first()
+    reader = spark.read.options(header=True, inferSchema=False, **options)
+    if newest is None:
+        return reader.csv(paths).limit(0).withColumn("file_year", F.lit(None).cast("int"))
+    return reader.csv(newest.paths).withColumn("file_year", F.lit(newest.y))
 
 
 def read_events(spark: SparkSession, paths: Sequence[str], regions: Sequence[str], columns: dict[str, str], sep: str = ";") -> DataFrame:

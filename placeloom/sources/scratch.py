@@ -5,18 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """df as Parquet in spark.checkpoint.dir; where that is unset, a temporary folder if Spark runs in one process, else an error."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where that is unset, a temporary folder if Spark runs in one process, else an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df written as Parquet into the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

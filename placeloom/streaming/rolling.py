@@ -17,6 +17,15 @@ def hourly(events: DataFrame, ts: str, key: str, value: str, late: str = "2 hour
     return rows.groupBy(F.window(ts, "1 hour").alias("w"), key).agg(F.avg(value).alias("mean_value"), F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("hour"), key, "mean_value", "n")
 
 
+def hourly_stream(means: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Appends each hour to Parquet files once the watermark has passed it: its state goes then, and later rows for it are dropped.
+
+    once: all that is there, then the stream ends; hours that the watermark has not passed stay in the checkpoint.
+    """
+    writer = means.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def upsert_stream(updates: DataFrame, target: DataFrame, key: str, fields: Sequence[str], path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Writes each batch's change set under its number: a batch that runs again replaces what it wrote.
 
