@@ -164,29 +164,36 @@ def test_shared_passages_are_found(spark):
     assert got[6, 5].percent >= 75
 
 
-def test_passages_against_all_pairs(spark):
-    """Near copies alone, in a group, and beside a phrase that all of them have: of whom comparing all pairs finds a partner for, few have none.
+def partners(texts):
+    """Which texts have a partner by comparing all pairs."""
+    lists = shingles.shingle_lists([t.encode() for t in texts])
+    return {x for i in range(len(texts)) for j in range(i) if passages.matched(lists[j], lists[i]) for x in (i, j)}
 
-    278 of 300 when this was written; of the group, whose members mostly fail the comparison with one another, 18 stay without."""
-    rng = random.Random(5)
+
+def vocabulary(rng):
     text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    return text, lambda words, *at: [f"c{rng.randrange(10**9)}" if k in at else w for k, w in enumerate(words)]
 
-    def changed(words, *at):
-        return [f"c{rng.randrange(10**9)}" if k in at else w for k, w in enumerate(words)]
 
+@pytest.mark.parametrize("kind", ["alone", "beside a phrase that all have", "group of 60", "group of 200"])
+def test_passages_against_all_pairs(spark, kind):
+    """Of each kind of near copies: nine of ten that have a partner by all pairs get a row. In the groups, whose members differ by
+    one word each, most fail the comparison with one another."""
+    rng = random.Random(5)
+    text, changed = vocabulary(rng)
     docs, phrase, base = [], text(30), text(58)
-    for _ in range(60):
-        lone, beside = text(74), phrase + text(28)
-        docs += [text(30) + lone + text(30), text(20) + changed(lone, 24, 49) + text(40), text(40) + beside + text(20), text(10) + changed(beside, 40) + text(30)]
-    docs += [text(20) + changed(base, rng.randrange(10, 48)) + text(30) for _ in range(60)]
-    rows = [(i, " ".join(t)) for i, t in enumerate(docs)]
-    lists = shingles.shingle_lists([t.encode() for _, t in rows])
-    want = {x for i in range(len(docs)) for j in range(i) if passages.matched(lists[j], lists[i]) for x in (i, j)}
-    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    if kind.startswith("group"):
+        docs = [text(20) + changed(base, rng.randrange(10, 48)) + text(30) for _ in range(int(kind.split()[-1]))]
+    else:
+        for _ in range(60):
+            core, at = (text(74), (24, 49)) if kind == "alone" else (phrase + text(28), (40,))
+            docs += [text(30) + core + text(30), text(20) + changed(core, *at) + text(40)]
+    texts = [" ".join(t) for t in docs]
+    want = partners(texts)
+    found = passages.shared_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     got = {r.doc_id for r in found}
-    assert len(want) > 250
-    assert all(r.percent >= 75 for r in found)
-    assert len(want & got) >= 0.92 * len(want)
+    assert len(want) >= 50 and all(r.percent >= 75 for r in found)
+    assert len(want & got) >= 0.9 * len(want) and not got - want
 
 
 def test_exact_passages_are_found_in_every_document(spark):
