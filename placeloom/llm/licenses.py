@@ -63,25 +63,52 @@ _APACHE_HEADER = (
     'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
     "See the License for the specific language governing permissions and limitations under the License."
 )
+_GNU = "This work is licensed under the GNU {} License, version {}."
+_GNU_HEADER = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_GNU_TITLE = "GNU {} LICENSE Version {} Copyright (C) Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+_CREATIVE = "This work is licensed under a Creative Commons {} License."
 TEMPLATES: tuple[tuple[str, str], ...] = (
+    ("AGPL-3.0", _GNU.format("Affero General Public", "3")),
+    ("AGPL-3.0", _GNU_HEADER.format("program", "Affero General Public", "3")),
+    ("AGPL-3.0", _GNU_TITLE.format("AFFERO GENERAL PUBLIC", "3, 19 November 2007")),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
     ("Apache-2.0", _APACHE_HEADER),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
     ("BSD-2-Clause", _REDISTRIBUTION),
     ("BSD-2-Clause", f"{_REDISTRIBUTION} {_BSD_DISCLAIMER}"),
     ("BSD-3-Clause", f"{_REDISTRIBUTION}{_ENDORSE} {_BSD_DISCLAIMER}"),
     ("BSD-3-Clause", _REDISTRIBUTION + _ENDORSE),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-3.0", _CREATIVE.format("Attribution 3.0 Unported")),
+    ("CC-BY-4.0", _CREATIVE.format("Attribution 4.0 International")),
+    ("CC-BY-NC-4.0", _CREATIVE.format("Attribution-NonCommercial 4.0 International")),
+    ("CC-BY-NC-ND-4.0", _CREATIVE.format("Attribution-NonCommercial-NoDerivatives 4.0 International")),
+    ("CC-BY-NC-SA-4.0", _CREATIVE.format("Attribution-NonCommercial-ShareAlike 4.0 International")),
+    ("CC-BY-ND-4.0", _CREATIVE.format("Attribution-NoDerivatives 4.0 International")),
+    ("CC-BY-SA-3.0", _CREATIVE.format("Attribution-ShareAlike 3.0 Unported")),
+    ("CC-BY-SA-4.0", _CREATIVE.format("Attribution-ShareAlike 4.0 International")),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("GPL-2.0", _GNU.format("General Public", "2")),
+    ("GPL-2.0", _GNU_TITLE.format("GENERAL PUBLIC", "2, June 1991")),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", _GNU.format("General Public", "3")),
+    ("GPL-3.0", _GNU_TITLE.format("GENERAL PUBLIC", "3, 29 June 2007")),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("ISC", _ISC),
     ("ISC", f"{_ISC} {_ISC_DISCLAIMER}"),
+    ("LGPL-2.1", _GNU.format("Lesser General Public", "2.1")),
+    ("LGPL-2.1", _GNU_HEADER.format("library", "Lesser General Public", "2.1")),
+    ("LGPL-2.1", _GNU_TITLE.format("LESSER GENERAL PUBLIC", "2.1, February 1999")),
+    ("LGPL-3.0", _GNU.format("Lesser General Public", "3")),
+    ("LGPL-3.0", _GNU_HEADER.format("library", "Lesser General Public", "3")),
+    ("LGPL-3.0", _GNU_TITLE.format("LESSER GENERAL PUBLIC", "3, 29 June 2007")),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", _PERMISSION),
@@ -95,6 +122,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 
 # Beginnings of words one of which every notice has in its first or second piece.
 STARTS = ("licen", "copyright", "redistribut", "permission", "warrant", "unencumbered", "mozilla")
+# Words that tell licences of one family apart; the first of each line names the family.
+FAMILIES = (("gnu", "affero", "lesser"), ("creative", "sharealike", "noncommercial", "noderivatives"), ("cc", "sa", "nc", "nd"))
 #: Lines or sentences in a window: each a third more than the one before, as far as the longest notice goes in short lines.
 WINDOWS = (2, 3, 4, 5, 7, 9, 12, 16, 22, 29, 39)
 
@@ -120,24 +149,56 @@ def anchors(templates=TEMPLATES, dice: float = DICE) -> list[str]:
     return sorted(out)
 
 
+def telling(text: str) -> tuple[set[str], set[str], set[str]]:
+    """Of a template: the family's words that a passage must have, those that it must not, and the versions that it may name.
+
+    A version is "version n", or two figures that stand together, such as 2.1 or 4.0.
+    """
+    words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+    needed = {w for family in FAMILIES if family[0] in words for w in family[1:]}
+    return needed & set(words), needed - set(words), {b for b in _bigrams(text) if re.fullmatch(VERSION, b)}
+
+
+#: Bigrams that name a version.
+VERSION = r"version \d+|\d \d"
+
+
 def _words(passage: Column) -> Column:
     return F.split(F.btrim(F.regexp_replace(F.lower(passage), r"[^\p{L}\p{N}]+", " ")), " ")
 
 
 def _compared(passage: Column, templates, dice: float, best_only: bool) -> Column:
     """array<struct<dice,name,gain>> of the templates that passage comes within dice of; with best_only without those that
-    name another version than the passage does. gain: shared bigrams, less half of those that only one of the two has."""
-    known = [(name, _bigrams(text)) for name, text in templates]
-    least, most = min(len(b) for _, b in known) * dice / (2 - dice), max(len(b) for _, b in known) * (2 - dice) / dice
+    another word or version tells apart from it. gain: shared bigrams, less half of those that only one of the two has.
+
+    The passage's bigrams are first cut down to those of any template: most passages end there.
+    """
+    known = [(name, text, _bigrams(text)) for name, text in templates]
+    share = dice / (2 - dice)
+    least, most = min(len(b) for *_, b in known) * share, max(len(b) for *_, b in known) / share
+    every = F.array(*map(F.lit, sorted({g for *_, b in known for g in b})))
+
+    def against(words: Column, grams: Column, some: Column) -> Column:
+        return let(F.filter(grams, lambda g: g.rlike(f"^({VERSION})$")), lambda versions: matches(words, grams, some, versions))
 
-    def against(grams: Column) -> Column:
-        n = F.size(grams)
+    def matches(words: Column, grams: Column, some: Column, versions: Column) -> Column:
+        n, m = F.size(grams), F.size(some)
+        plain = F.filter(versions, lambda g: ~g.rlike(r"^\d 0$"))
         each = []
-        for name, b in known:
-            shared = F.size(F.array_intersect(grams, F.array(*map(F.lit, b))))
-            fits = (n * (2 - dice) >= len(b) * dice) & (n * dice <= len(b) * (2 - dice))
-            if best_only and (version := [x for x in b if re.fullmatch(r"version \d+", x)]):
-                fits = fits & ~F.exists(grams, lambda g: g.rlike(r"^version \d+$") & ~g.isin(version))
+        for name, text, b in known:
+            # what is shared is at least a share of either: a passage with fewer known bigrams is not compared
+            fits = (n >= len(b) * share) & (n * share <= len(b)) & (m >= len(b) * share) & (m >= n * share)
+            shared = F.size(F.array_intersect(some, F.array(*map(F.lit, b))))
+            if best_only:
+                needed, barred, own = telling(text)
+                for w in sorted(needed):
+                    fits = fits & F.array_contains(words, w)
+                for w in sorted(barred):
+                    fits = fits & ~F.array_contains(words, w)
+                if own:
+                    # "2.0" is no other version than "2"
+                    pairs = any(re.fullmatch(r"\d \d", v) for v in own)
+                    fits = fits & (F.size(F.array_except(versions if pairs else plain, F.array(*map(F.lit, sorted(own))))) == 0)
             each.append(F.struct(F.when(fits, shared).otherwise(0).alias("shared"), F.lit(len(b)).alias("size"), F.lit(name).alias("name")))
         score = lambda x: F.struct((2.0 * x["shared"] / (n + x["size"])).alias("dice"), x["name"].alias("name"), (2.0 * x["shared"] - (n + x["size"]) / 2).alias("gain"))
         return F.filter(F.transform(F.array(*each), score), lambda x: x["dice"] >= dice)
@@ -147,7 +208,7 @@ def _compared(passage: Column, templates, dice: float, best_only: bool) -> Colum
 
     nothing = F.array().cast("array<struct<dice:double,name:string,gain:double>>")
     # Repeated bigrams count once, so only the upper end of a passage's words may be cut here by a lower count of bigrams.
-    return let(_words(passage), lambda w: F.when(F.size(w) - 1 < least, nothing).otherwise(let(bigrams(w), lambda g: F.when((F.size(g) < least) | (F.size(g) > most), nothing).otherwise(against(g)))))
+    return let(_words(passage), lambda w: F.when(F.size(w) - 1 < least, nothing).otherwise(let(bigrams(w), lambda g: F.when((F.size(g) < least) | (F.size(g) > most), nothing).otherwise(let(F.array_intersect(g, every), lambda x: F.when((F.size(x) < least) | (F.size(x) < F.size(g) * share), nothing).otherwise(against(w, g, x)))))))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, dice: float = DICE, best_only: bool = False) -> DataFrame:

@@ -150,23 +150,52 @@ def test_chats_come_back(spark):
     assert chat.summary(chat.format_chats(df.limit(0))).count() == 0
 
 
-def brute_notices(text):
-    """Best score of each licence over the whole text, the pieces with an anchor, and all windows of pieces that begin at, or just before, one that notices begin with."""
-    best, anchors = {}, set(licenses.anchors())
+def brute_found(text, best_only=False):
+    """(gain, first, last, dice, name) over the whole text, the pieces with an anchor, and all windows of pieces that begin at, or just before, one that notices begin with."""
+    found, anchors = [], set(licenses.anchors())
+    words = lambda x: re.sub(r"[^\w]|_", " ", x.lower()).split()
     pieces = re.split(r"\n|(?<=[.;:!?])[ \t]+", text or "")
-    hinted = [bool(anchors & set(re.sub(r"[^\w]|_", " ", x.lower()).split())) for x in pieces]
-    begins = [any(w.startswith(licenses.STARTS) for w in re.sub(r"[^\w]|_", " ", x.lower()).split()) for x in pieces]
-    windows = {text or ""} | {x for x, h in zip(pieces, hinted) if h} if any(hinted) else set()
-    for i in range(len(pieces) if any(hinted) else 0):
+    hinted = [bool(anchors & set(words(x))) for x in pieces]
+    begins = [any(w.startswith(licenses.STARTS) for w in words(x)) for x in pieces]
+    if not any(hinted):
+        return []
+    windows = [(0, len(pieces) - 1, text)] + [(i, i, x) for i, x in enumerate(pieces) if hinted[i]]
+    for i in range(len(pieces)):
         if begins[i] or begins[i + 1 : i + 2] == [True]:
-            windows |= {" ".join(pieces[i : i + k]) for k in licenses.WINDOWS if i + k <= len(pieces)}
-    for passage in windows:
-        a = set(licenses._bigrams(passage))
+            windows += [(i, i + k - 1, " ".join(pieces[i : i + k])) for k in licenses.WINDOWS if i + k <= len(pieces)]
+    for first, last, passage in windows:
+        a, w = set(licenses._bigrams(passage)), set(words(passage))
+        versions = {g for g in a if re.fullmatch(licenses.VERSION, g)}
         for name, t in licenses.TEMPLATES:
             b = set(licenses._bigrams(t))
-            if a and (score := 2 * len(a & b) / (len(a) + len(b))) >= licenses.DICE:
-                best[name] = max(best.get(name, 0), score)
-    return {k: round(v, 6) for k, v in best.items()}
+            if not a or 2 * len(a & b) / (len(a) + len(b)) < licenses.DICE:
+                continue
+            if best_only:
+                needed, barred, own = licenses.telling(t)
+                odd = {v for v in versions - own if any(re.fullmatch(r"\d \d", o) for o in own) or not re.fullmatch(r"\d 0", v)}
+                if needed - w or barred & w or own and odd:
+                    continue
+            found.append((2 * len(a & b) - (len(a) + len(b)) / 2, first, last, 2 * len(a & b) / (len(a) + len(b)), name))
+    return found
+
+
+def brute_notices(text):
+    best = {}
+    for *_, dice, name in brute_found(text):
+        best[name] = max(best.get(name, 0), round(dice, 6))
+    return best
+
+
+def brute_best(text):
+    """Of passages that overlap the one of the greatest gain, equal ones of other names too."""
+    kept = []
+    for gain, first, last, dice, name in sorted(brute_found(text, True), reverse=True):
+        if not any(f <= last and first <= t and (g > gain or n == name) for g, f, t, _, n in kept):
+            kept.append((gain, first, last, dice, name))
+    best = {}
+    for *_, dice, name in kept:
+        best[name] = max(best.get(name, 0), round(dice, 6))
+    return best
 
 
 def test_licences(spark, sf, awkward, nothing):
@@ -177,6 +206,8 @@ def test_licences(spark, sf, awkward, nothing):
     assert len(rows) == len(texts)
     for r in rows:
         assert {x.name: round(x.dice, 6) for x in r.notices} == brute_notices(texts[r.doc_id])
+    for r in licenses.scan(docs, best_only=True).collect():
+        assert {x.name: round(x.dice, 6) for x in r.notices} == brute_best(texts[r.doc_id])
     assert no_python(licenses.scan(awkward))
     assert licenses.summary(licenses.scan(awkward)).count() == 10
     assert licenses.summary(licenses.scan(nothing)).count() == 0
@@ -203,7 +234,18 @@ def test_a_passage_has_its_nearest_licence_only(spark):
         wrapped(f"{licenses._ISC} {licenses._ISC_DISCLAIMER}", 72): "ISC",
         wrapped(licenses._ZLIB, 72): "Zlib",
         "Released under the MIT License.\nLicensed under CC BY 4.0.": "CC-BY-4.0,MIT",
+        # siblings, as they are usually written
+        "This work is licensed under the GNU General Public License, version 2.0 or later.": "GPL-2.0",
+        header.replace("General", "Affero General"): "AGPL-3.0",
+        header.replace("General", "Lesser General"): "LGPL-3.0",
+        header.replace("General", "Lesser General").replace("version 3", "version 2.1").replace("program", "library"): "LGPL-2.1",
+        wrapped(header.replace("General", "Lesser General").replace("version 3", "version 2.1").replace("software:", "software;"), 64, "# "): "LGPL-2.1",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "This work is licensed under the Creative Commons Attribution 3.0 Unported License.": "CC-BY-3.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0",
     }
+    # each template is itself, alone and wrapped
+    texts |= {x: n for n, x in licenses.TEMPLATES} | {"int x;\n" + wrapped(x, 72, "// ") + "\nrun();": n for n, x in licenses.TEMPLATES}
     docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
     found = licenses.scan(docs, best_only=True)
     assert no_python(found)
