@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeloom.llm.common import stage
+from placeloom.llm.common import stage, unstage
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -24,13 +24,16 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """node, component: the least node that each node of an edge reaches; nodes without an edge are absent.
 
     Large and small stars by turns, until nothing changes: a number of rounds that grows with the logarithm of the
-    longest path. Each round is a table in the shared folder. A node with very many edges is grouped by partial sums
+    longest path. Each round is a table in the shared folder, and goes once the next one is written. A node with very many edges is grouped by partial sums
     and joined where skewed partitions are split. Loops, repeated edges and null ends go; no edges give no rows.
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct()
-    before = None
+    before, last = None, None
     while True:
         now = stage(_star(_star(now, True), False), "star")
+        if last is not None:
+            unstage(last)
+        last = now
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == before:
             break

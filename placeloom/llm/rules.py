@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeloom.llm.common import SPACE, let, text_of
+from placeloom.llm.common import SPACE, let, stage, text_of, unstage
 
 #: Words in a window that may repeat; what a text must have, and may repeat, to pass the base rules.
 WINDOW, LEAST_WORDS, MOST_REPEATED = 5, 10, 20
@@ -26,6 +26,8 @@ BINS, CONDITIONS, RULES, PRECISION, LEAST_CAUGHT = 8, 3, 12, 0.9, 8
 TAILS, OF_BAD, OF_GOOD = (0.01, 0.9, 0.99), (0.1, 0.25, 0.5, 0.75, 0.9), (0.001, 0.999, 1.0)
 
 
+#: Rows of counts that the driver learns from, at most.
+VECTORS = 200_000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stutters")
 
 
@@ -98,18 +100,26 @@ Rule = tuple[Condition, ...]
 def statistics(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", bins: int = BINS) -> tuple[dict[str, list[float]], list[tuple]]:
     """Thresholds of each measure, and (vector of bins, held out?, bad rows, good rows) of what the base rules let pass.
 
-    Thresholds are quantiles of all rows, of the bad ones, and the ends of the good ones. At most 2 * (thresholds + 1) ** measures rows
-    come to the driver, whatever the number of labelled rows.
+    Thresholds are quantiles of all rows, of the bad ones, and the ends of the good ones. Where they part the labelled rows
+    into more than VECTORS different vectors, each measure keeps every other threshold, until they do not: so at most
+    VECTORS rows come to the driver, and each labelled row counts in one of them.
     """
     cols = scaled(measured)
-    labelled = measured.where(~base_failed()).join(labels.where(F.col(label_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("_label")), id_col).select(*[c.alias(k) for k, c in cols.items()], "_label", (F.pmod(F.xxhash64(id_col), F.lit(3)) == 0).alias("_held"))
+    labelled = stage(measured.where(~base_failed()).join(labels.where(F.col(label_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("_label")), id_col).select(*[c.alias(k) for k, c in cols.items()], "_label", (F.pmod(F.xxhash64(id_col), F.lit(3)) == 0).alias("_held")), "labelled")
+    cols = {k: F.col(k) for k in cols}
     at = sorted({*(i / bins for i in range(1, bins)), *TAILS})
     shares = {"": (F.lit(True), at), "bad_": (F.col("_label") == 0, list(OF_BAD)), "good_": (F.col("_label") != 0, list(OF_GOOD))}
     cuts = labelled.agg(*[F.percentile_approx(F.when(of, F.col(k)), q, 10_000).alias(p + k) for p, (of, q) in shares.items() for k in cols]).first()
     thresholds = {k: sorted({x for p in shares for x in cuts[p + k] or []}) for k in cols}
-    number = lambda k: sum(((F.col(k) > t).cast("int") for t in thresholds[k]), F.lit(0))
-    counted = labelled.groupBy(*[number(k).alias(f"b_{k}") for k in cols], "_held").agg(F.count_if(F.col("_label") == 0).alias("bad"), F.count_if(F.col("_label") != 0).alias("good"))
-    return thresholds, sorted((tuple(r[f"b_{k}"] for k in cols), r["_held"], r["bad"], r["good"]) for r in counted.collect())
+
+    def counted() -> DataFrame:
+        bins = [sum(((F.col(k) > t).cast("int") for t in thresholds[k]), F.lit(0)) for k in cols]
+        return labelled.groupBy(*[b.alias(f"b_{k}") for b, k in zip(bins, cols, strict=True)], "_held").agg(F.count_if(F.col("_label") == 0).alias("bad"), F.count_if(F.col("_label") != 0).alias("good"))
+
+    while len(rows := counted().limit(VECTORS + 1).collect()) > VECTORS:
+        thresholds = {k: t[1::2] for k, t in thresholds.items()}
+    unstage(labelled)
+    return thresholds, sorted((tuple(r[f"b_{k}"] for k in cols), r["_held"], r["bad"], r["good"]) for r in rows)
 
 
 def learn(thresholds: dict[str, list[float]], counts: list[tuple], conditions: int = CONDITIONS, rules: int = RULES, precision: float = PRECISION, least: int = LEAST_CAUGHT) -> list[Rule]:

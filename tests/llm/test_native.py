@@ -270,6 +270,18 @@ def test_rules_query_is_what_the_learnt_list_says(spark):
     assert sum(judged) >= 0.9 * len(judged)
 
 
+def test_few_vectors_come_to_the_driver(spark, monkeypatch):
+    """Every labelled row that the base rules let pass is counted in one of them."""
+    sf = "/root/testdata/sf0.01"
+    measured, labels = rules.measures(spark.read.parquet(f"{sf}/documents.parquet")), spark.read.parquet(f"{sf}/labels.parquet")
+    every = rules.statistics(measured, labels)[1]
+    monkeypatch.setattr(rules, "VECTORS", 30)
+    thresholds, few = rules.statistics(measured, labels)
+    assert len(few) <= 30 < len(every)
+    assert sum(r[2] + r[3] for r in few) == sum(r[2] + r[3] for r in every)
+    assert isinstance(rules.learn(thresholds, few), list)
+
+
 def test_measures_with_clashing_names(spark, awkward):
     assert rules.measures(awkward.withColumn("_trim", F.lit(1)), keep=("_text", "_trim", "node")).columns[:4] == ["doc_id", "_text", "_trim", "node"]
     with pytest.raises(ValueError, match="n_words"):
