@@ -17,6 +17,17 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return 2 * RADIUS_M * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
+def on_sphere(lat: Column, lon: Column) -> list[Column]:
+    """The place as a point of the unit sphere: distances between such points need no trigonometry."""
+    a, b = F.radians(lat), F.radians(lon)
+    return [F.cos(a) * F.cos(b), F.cos(a) * F.sin(b), F.sin(a)]
+
+
+def chord_square(radius_m: float) -> float:
+    """The square of the straight distance of places as far apart, on the unit sphere, and a hair more than that."""
+    return (2 * math.sin(min(math.pi, radius_m / RADIUS_M) / 2)) ** 2 * (1 + 1e-9) + 1e-18
+
+
 def band(lat: Column, radius_m: float | Column) -> Column:
     """The number of the band of latitude, which is as high as the radius."""
     return F.floor((lat + 90) / (radius_m / DEGREE_M)).cast("int")
