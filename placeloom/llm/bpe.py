@@ -1,7 +1,7 @@
 """Byte-level BPE by a table of ranks: texts to ids and back.
 
-A text is split into pieces by the tokenizer's pattern. Each distinct piece of a
-task is folded once: the neighbouring parts with the lowest rank merge until
+A text is split into pieces by the tokenizer's pattern. Each distinct word of a
+task is split and folded once: the neighbouring parts with the lowest rank merge until
 none has a rank. Ids go out as decimal numbers joined by spaces; decoding
 concatenates the byte strings that they stand for.
 """
@@ -11,19 +11,21 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from placeloom.llm.common import bounded_batches
+from placeloom.llm.merges import Pairs, merge
+from placeloom.llm.words import Remembered, between_visible, distinct, joined, nowhere, slices
 
-#: Distinct pieces that a task remembers, twice: beyond it those not seen again since the last time are forgotten, which costs time only.
-REMEMBERED = 64_000
 #: Pieces over as many bytes are merged by a heap instead of by looking through all pairs.
 LONG = 64
 #: Characters of the White_Space property.
@@ -95,55 +97,100 @@ def _fold_long(parts: list, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-class _Known(dict):
-    """piece: its ids as text, worked out at first sight."""
+def _learner(vocabulary: Vocabulary, pieces) -> Callable[[list[str]], list[str]]:
+    """A function that gives words the ids of their pieces; pieces that are no token are merged in rounds, all together."""
+    ranks = vocabulary.ranks
+
+    def learn(words: list[str]) -> list[str]:
+        parts = [[p.encode() for p in pieces(w)] for w in words]
+        known = {p: str(ranks[p]) if p in ranks else "" for ps in parts for p in ps}
+        if other := [p for p, x in known.items() if not x]:
+            symbols, sizes = merge(vocabulary.pairs, vocabulary.single[np.frombuffer(b"".join(other), np.uint8)], np.array([len(p) for p in other]))
+            known |= zip(other, joined(sizes, pa.array(symbols).cast(pa.large_string()), " ").to_pylist(), strict=True)
+        return [" ".join(map(known.__getitem__, ps)) for ps in parts]
+
+    return learn
+
+
+def _encoded(known: Remembered, texts: pa.Array, starts) -> pa.Array:
+    words, counts = distinct(texts.cast(pa.large_string()).fill_null(""), starts)
+    return joined(counts, pa.array(known.all_of(words.dictionary.to_pylist()), pa.large_string()).take(words.indices), " ")
+
+
+def _decoded(table: dict[str, bytes], ids: pa.Array) -> pa.Array:
+    lists = pc.split_pattern(ids.cast(pa.large_string()), " ")
+    flat = lists.flatten().dictionary_encode()
+    pieces = pa.array([table[x] if x else b"" for x in flat.dictionary.to_pylist()], pa.large_binary()).take(flat.indices)
+    return joined(pc.list_value_length(lists).to_numpy(zero_copy_only=False), pieces, b"")
+
+
+class Vocabulary:
+    """The ranks, and the rank of each pair of tokens that makes a token; of fixed size."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks, self.before = ranks, {}
+        self.ranks = ranks
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.pairs = Pairs((ranks[a], ranks[b], r, r) for t, r in ranks.items() for k in range(1, len(t)) if (a := t[:k]) in ranks and (b := t[k:]) in ranks)
 
-    def __missing__(self, piece: str) -> str:
-        if len(self) >= REMEMBERED:
-            self.before = dict(self)
-            self.clear()
-        ids = self.before.get(piece)
-        if ids is None:
-            ids = " ".join(map(str, fold(piece.encode(), self.ranks)))
-        self[piece] = ids
-        return ids
 
+def _table(ranks: dict[bytes, int]) -> dict[str, bytes]:
+    return {str(r): p for p, r in ranks.items()}
 
-def _encoder(ranks, pattern: str):
+
+def _encoder(vocabulary, pattern: str, starts):
     @F.arrow_udf(StringType())
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, pieces = _Known(ranks.value), splitter(pattern)
+        known = Remembered(_learner(vocabulary.value, splitter(pattern)))
         for texts in batches:
-            yield pa.array([" ".join(map(known.__getitem__, pieces(t))) if (t := x.as_py()) else "" for x in texts], pa.large_string()).cast(pa.string())
+            yield pa.concat_arrays([_encoded(known, some, starts).cast(pa.string()) for some in slices(texts)])
 
     return encode
 
 
-def _decoder(ranks):
+def _round(vocabulary, pattern: str, starts):
+    @F.arrow_udf(StructType([StructField("ids", StringType()), StructField("decoded", BinaryType())]))
+    def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known, table = Remembered(_learner(vocabulary.value, splitter(pattern))), _table(vocabulary.value.ranks)
+        for texts in batches:
+            done = []
+            for some in slices(texts):
+                ids = _encoded(known, some, starts)
+                done.append(pa.StructArray.from_arrays([ids.cast(pa.string()), _decoded(table, ids).cast(pa.binary())], ["ids", "decoded"]))
+            yield pa.concat_arrays(done)
+
+    return there_and_back
+
+
+def _decoder(vocabulary):
     @F.arrow_udf(BinaryType())
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        piece = {str(r): p for p, r in ranks.value.items()}.__getitem__
+        table = _table(vocabulary.value.ranks)
         for ids in batches:
-            yield pa.array([b"".join(map(piece, t.split(" "))) if (t := x.as_py()) else b"" for x in ids], pa.binary())
+            yield pa.concat_arrays([_decoded(table, some.fill_null("")).cast(pa.binary()) for some in slices(ids)])
 
     return decode
 
 
 class Tokenizer:
-    """Column functions for one vocabulary. The ranks, of fixed size, reach the executors once, as a broadcast."""
+    """Column functions for one vocabulary. The ranks, of fixed size, reach the executors once, as a broadcast.
+
+    blanks_part: whether the pattern never lets a piece go over the place before a blank that stands between two visible
+    ASCII characters; words begin there then, each split and folded once while it is remembered. Else a text is one word.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str):
-        ranks = spark.sparkContext.broadcast(load_ranks(path))
-        self._encode, self._decode = _encoder(ranks, pattern), _decoder(ranks)
+    def __init__(self, spark: SparkSession, path: str, pattern: str, blanks_part: bool = False):
+        vocabulary = spark.sparkContext.broadcast(Vocabulary(load_ranks(path)))
+        starts = between_visible if blanks_part else nowhere
+        self._encode, self._both, self._decode = _encoder(vocabulary, pattern, starts), _round(vocabulary, pattern, starts), _decoder(vocabulary)
 
     def encode(self, text: Column) -> Column:
         """Decimal ids joined by one space; for null and empty texts the empty string. Special tokens are plain text."""
         return self._encode(text)
 
+    def round_trip(self, text: Column) -> Column:
+        """A struct of ids, as encode gives them, and decoded, what decode gives for them."""
+        return self._both(text)
+
     def decode(self, ids: Column) -> Column:
         """The bytes that ids stand for."""
         return self._decode(ids)
@@ -161,8 +208,7 @@ def encode_table(docs: DataFrame, tokenizer: Tokenizer, id_col: str = "doc_id",
     empty one.
     """
     bounded_batches(docs.sparkSession)
-    encoded = docs.select(F.col(id_col), tokenizer.encode(F.col(text_col)).alias("ids"))
-    return encoded.select(id_col, "ids", tokenizer.decode(F.col("ids")).alias("decoded"))
+    return docs.select(F.col(id_col), tokenizer.round_trip(F.col(text_col)).alias("_e")).select(id_col, "_e.ids", "_e.decoded")
 
 
 def summary(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -1,7 +1,7 @@
 """BPE over pieces with byte fallback (SentencePiece models): texts to ids and back.
 
-White space becomes a mark in front of the next word, and no piece goes on beyond a word, so each distinct word of an
-Arrow batch is merged once. The symbols of all its words lie in one flat array. A round finds each word's least rank
+White space becomes a mark in front of the next word, and no piece goes on beyond a word, so each distinct word of a
+task is merged once while it is remembered. The symbols of all its words lie in one flat array. A round finds each word's least rank
 of neighbouring pairs and merges its leftmost pairs of that rank in all words at once; words without a pair left are
 taken out, until none remains.
 """
@@ -9,8 +9,7 @@ taken out, until none remains.
 from __future__ import annotations
 
 import codecs
-import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,22 +20,19 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from sentencepiece import SentencePieceProcessor
 
 from placeloom.llm.common import bounded_batches
+from placeloom.llm.merges import Pairs, merge
+from placeloom.llm.words import Remembered, at_blanks, distinct, joined, slices
 
 #: The mark that stands for a blank inside pieces.
 MARK = "▁"
-#: Words of more symbols are merged by a heap, whose time grows with n log n, since rounds may be as many as symbols.
-LONG = 512
-#: Bytes of text that are worked on at once.
-SLICE = 1 << 20
-#: A pair is one number: the left symbol above the right one. Characters that no piece has are their code point from OTHER on.
-BITS, OTHER = 22, 1 << 21
-NONE = np.int32(2**31 - 1)
+#: Characters that no piece has are their code point from here on.
+OTHER = 1 << 21
 
 _EACH_BYTE = "placeloom_each_byte"
 codecs.register_error(_EACH_BYTE, lambda e: ("�", e.start + 1))
 
 
-class Pieces:
+class Pieces(Pairs):
     """The tables of one model, of fixed size: the symbol of each character, the rank and result of each pair, the bytes of each id."""
 
     def __init__(self, path: str):
@@ -50,11 +46,8 @@ class Pieces:
             symbol[c] = len(names) + len(symbol)
         scores = sorted({model.get_score(i) for i in plain}, reverse=True)
         rank = dict(zip(scores, range(len(scores)), strict=True))
-        pairs = sorted(
-            (symbol[a] << BITS | symbol[b], rank[model.get_score(i)], i)
-            for i in plain for k in range(1, len(names[i])) if (a := names[i][:k]) in symbol and (b := names[i][k:]) in symbol
-        )
-        self.keys, self.ranks, self.made = (np.array(x, t) for x, t in zip(zip(*pairs, strict=True), (np.int64, np.int32, np.int64), strict=True))
+        pairs = ((symbol[a], symbol[b], rank[model.get_score(i)], i) for i in plain for k in range(1, len(names[i])) if (a := names[i][:k]) in symbol and (b := names[i][k:]) in symbol)
+        super().__init__(pairs)
         self.characters = np.arange(0x110000, dtype=np.int64) + OTHER
         for c, i in symbol.items():
             if len(c) == 1:
@@ -70,111 +63,6 @@ class Pieces:
         self.marked[[i for i in plain if names[i].startswith(MARK)]] = True
         self.control = np.array([model.is_control(i) for i in range(len(names))])
 
-    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and result of each pair, NONE and anything where it has none."""
-        key = left << BITS | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], NONE), self.made[at]
-
-
-def merge(p: Pieces, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of words of the given lengths, all merged: their symbols one after another, and how many each has.
-
-    What is merged at once is what one pair after another would give: of a word's pairs of the least rank those that
-    do not overlap, from the left, up to the first whose result makes a pair of that rank or a lesser one.
-    """
-    n = len(lengths)
-    word = np.repeat(np.arange(n), lengths)
-    ends = np.cumsum(lengths)
-    done = [(word[(rows := np.repeat(lengths > LONG, lengths))][:0], symbols[:0])]
-    for k in np.flatnonzero(lengths > LONG):
-        found = np.array(merge_long(p, symbols[ends[k] - lengths[k] : ends[k]]), np.int64)
-        done.append((np.full(len(found), k), found))
-    word, sym = word[~rows], symbols[~rows].astype(np.int64)
-
-    def pairs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ranks, made = p.look_up(sym[at], sym[np.minimum(at + 1, len(sym) - 1)])
-        last = at + 1 == len(sym)
-        ranks[last | (word[np.where(last, at, at + 1)] != word[at])] = NONE
-        return ranks, made
-
-    rank, made = pairs(np.arange(len(sym))) if len(sym) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
-    while len(sym):
-        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        size = np.diff(np.r_[first, len(sym)])
-        least = np.minimum.reduceat(rank, first)
-        if (least == NONE).any():
-            over = np.repeat(least == NONE, size)
-            done.append((word[over], sym[over]))
-            word, sym, rank, made = word[~over], sym[~over], rank[~over], made[~over]
-            first, size, least = None, size[least != NONE], least[least != NONE]
-            if not len(sym):
-                break
-            first = np.cumsum(size) - size
-        low = np.repeat(least, size)
-        at = np.flatnonzero(rank == low)
-        # of pairs that overlap every other one, from the first of their run
-        run = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (word[at[1:]] != word[at[:-1]])])
-        at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0]
-        result, here = made[at], word[at]
-        # the pairs that each result makes with its neighbours, when those on its left are merged and those on its right are not
-        left, right = np.maximum(at - 1, 0), np.minimum(at + 2, len(sym) - 1)
-        beside = np.r_[False, at[1:] == at[:-1] + 2]
-        before = np.where(beside, np.r_[np.int64(0), result[:-1]], sym[left])
-        new_left, new_right = p.look_up(before, result)[0], p.look_up(result, sym[right])[0]
-        new_left[(at == 0) | (word[left] != here)] = NONE
-        new_right[(at + 2 >= len(sym)) | (word[right] != here)] = NONE
-        stop = np.minimum(new_left, new_right) <= low[at]
-        if stop.any():
-            so_far = np.cumsum(stop) - stop
-            at_word = np.flatnonzero(np.r_[True, here[1:] != here[:-1]])
-            keep = so_far == np.repeat(so_far[at_word], np.diff(np.r_[at_word, len(at)]))
-            at, result = at[keep], result[keep]
-        sym[at] = result
-        stay = np.ones(len(sym), bool)
-        stay[at + 1] = False
-        place = np.cumsum(stay) - 1
-        word, sym, rank, made = word[stay], sym[stay], rank[stay], made[stay]
-        changed = place[at]
-        changed = np.r_[changed, np.maximum(changed - 1, 0)]
-        rank[changed], made[changed] = pairs(changed)
-    words, symbols = (np.concatenate(x) for x in zip(*done, strict=True))
-    order = np.argsort(words, kind="stable")
-    return symbols[order], np.bincount(words, minlength=n)
-
-
-def merge_long(p: Pieces, symbols: np.ndarray) -> list[int]:
-    """One long word, pair after pair."""
-    parts, n = symbols.tolist(), len(symbols)
-    after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-    ranks, made = p.look_up(symbols[:-1], symbols[1:])
-    heap = [(r, i, parts[i], parts[i + 1], m) for i, (r, m) in enumerate(zip(ranks.tolist(), made.tolist(), strict=True)) if r != NONE]
-    heapq.heapify(heap)
-    known: dict[tuple[int, int], tuple[int, int]] = {}
-
-    def push(i: int, j: int) -> None:
-        pair = parts[i], parts[j]
-        if pair not in known:
-            r, m = p.look_up(np.array(pair[:1]), np.array(pair[1:]))
-            known[pair] = int(r[0]), int(m[0])
-        r, m = known[pair]
-        if r != NONE:
-            heapq.heappush(heap, (r, i, *pair, m))
-
-    while heap:
-        _, i, a, b, m = heapq.heappop(heap)
-        j = after[i]
-        if j < 0 or parts[i] != a or parts[j] != b:
-            continue  # one of the two has merged meanwhile
-        parts[i], parts[j], after[i] = m, -1, after[j]
-        if after[j] >= 0:
-            before[after[j]] = i
-            push(i, after[j])
-        if before[i] >= 0:
-            push(before[i], i)
-        after[j] = -1
-    return [x for x in parts if x >= 0]
-
 
 def ids_of(p: Pieces, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of merged words and how many each has: characters that are no piece become the ids of their UTF-8 bytes."""
@@ -192,35 +80,26 @@ def ids_of(p: Pieces, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndar
     return out, np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=size, minlength=len(lengths)).astype(np.int64)
 
 
-def _joined(sizes: np.ndarray, values: pa.Array, by: str | bytes) -> pa.Array:
-    """The values, so many at a time, joined."""
-    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values), pa.scalar(by, values.type))
+def learner(p: Pieces) -> Callable[[list[str]], list[str]]:
+    """A function that gives words their ids, comma-joined."""
 
+    def learn(words: list[str]) -> list[str]:
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        ids, sizes = ids_of(p, *merge(p, p.characters[letters], np.array(list(map(len, words)))))
+        return joined(sizes, pa.array(ids).cast(pa.large_string()), ",").to_pylist()
 
-def encode_batch(p: Pieces, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    return learn
+
+
+def encode_batch(known: Remembered, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """For each text its ids, comma-joined, and how many they are."""
     texts = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), MARK, " ")
     none, blank = (pa.scalar(x, pa.large_string()) for x in ("", " "))
     empty = pc.equal(texts, none)
     texts = pc.if_else(empty, texts, pc.binary_join_element_wise(blank, texts, none))
-    if pc.all(empty).as_py():
-        return texts, np.zeros(len(texts), np.int64)
-    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0] : at[-1]]
-    at = at - at[0]
-    blank = data == 32
-    starts = blank & ~np.r_[False, blank[:-1]]
-    starts[at[:-1][at[:-1] < at[1:]]] = True
-    begins = np.flatnonzero(starts)
-    words = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.r_[begins, len(data)]), pa.py_buffer(data)).dictionary_encode()
-    letters = np.frombuffer("".join(words.dictionary.to_pylist()).encode("utf-32-le"), np.uint32)
-    ids, sizes = ids_of(p, *merge(p, p.characters[letters], pc.utf8_length(words.dictionary).to_numpy()))
-    spelt = _joined(sizes, pa.array(ids).cast(pa.large_string()), ",")
-    index = words.indices.to_numpy()
-    counts = np.diff(np.searchsorted(begins, at))
-    total = np.r_[0, np.cumsum(sizes[index])]
-    ends = np.r_[0, np.cumsum(counts)]
-    return _joined(counts, spelt.take(words.indices), ","), total[ends[1:]] - total[ends[:-1]]
+    words, counts = distinct(texts, at_blanks)
+    ids = joined(counts, pa.array(known.all_of(words.dictionary.to_pylist()), pa.large_string()).take(words.indices), ",")
+    return ids, np.where(pc.equal(ids, none).to_numpy(zero_copy_only=False), 0, pc.count_substring(ids, ",").to_numpy() + 1)
 
 
 def decode_batch(p: Pieces, ids: pa.Array) -> pa.Array:
@@ -231,28 +110,18 @@ def decode_batch(p: Pieces, ids: pa.Array) -> pa.Array:
     numbers = known[flat.indices.to_numpy()]
     sizes = pc.list_value_length(lists).to_numpy()
     pieces = pa.array([b"" if not x else p.text[i] for x, i in zip(flat.dictionary.to_pylist(), known.tolist(), strict=True)], pa.large_binary()).take(flat.indices)
-    joined = _joined(sizes, pieces, b"")
+    whole = joined(sizes, pieces, b"")
     # the first piece that is no control piece loses the mark that stands for no blank of the text
     of = np.repeat(np.arange(len(sizes)), sizes)
     real = np.flatnonzero(~p.control[numbers])
     which, first = np.unique(of[real], return_index=True)
     lead = np.zeros(len(sizes), bool)
     lead[which] = p.marked[numbers[real[first]]]
-    joined = pc.if_else(pa.array(lead), pc.binary_replace_slice(joined, 0, 1, b""), joined)
+    whole = pc.if_else(pa.array(lead), pc.binary_replace_slice(whole, 0, 1, b""), whole)
     try:
-        return joined.cast(pa.string())
+        return whole.cast(pa.string())
     except pa.ArrowInvalid:
-        return pa.array([x.decode("utf-8", _EACH_BYTE) for x in joined.to_pylist()], pa.string())
-
-
-def _slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """The texts in slices of about SLICE bytes, whose tables are all that a task holds at once."""
-    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
-        yield texts.slice(at, to - at)
-        at = to
+        return pa.array([x.decode("utf-8", _EACH_BYTE) for x in whole.to_pylist()], pa.string())
 
 
 def _encoder(pieces, back: bool):
@@ -261,10 +130,11 @@ def _encoder(pieces, back: bool):
 
     @F.arrow_udf(StructType(fields))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Remembered(learner(pieces.value))
         for texts in batches:
             done = []
-            for some in _slices(texts):
-                ids, n = encode_batch(pieces.value, some)
+            for some in slices(texts):
+                ids, n = encode_batch(known, some)
                 columns = [ids.cast(pa.string()), pa.array(n, pa.int64())] + ([decode_batch(pieces.value, ids).cast(pa.string())] if back else [])
                 done.append(pa.StructArray.from_arrays(columns, [f.name for f in fields]))
             yield pa.concat_arrays(done)

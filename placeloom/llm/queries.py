@@ -36,7 +36,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
-    return bpe.Tokenizer(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return bpe.Tokenizer(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, blanks_part=True)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

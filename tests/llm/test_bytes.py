@@ -7,11 +7,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 import tiktoken
 
-from placeloom.llm import bpe, bpe_words, flac, queries
+from placeloom.llm import bpe, bpe_words, flac, queries, words
 
 PATH = public_tokenizers.path(queries.VOCABULARY)
 
@@ -46,6 +47,16 @@ def test_every_character(ranks, library):
     assert len(odd) == 0, [hex(ord(c)) for c in odd[:50]]
 
 
+def test_words_parted_at_blanks_equal_the_library(ranks, library):
+    """Texts as one word each, and parted where a blank stands between two visible characters."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(a, k=rng.randrange(60))) for a in ["ab c'l 1!\n\t", "ab \xa0é 中\u2003x", "a  b   \r\n c"] for _ in range(400)] + ["", " ", "  ", " a", "a ", "x" * 500 + " y", "".join(rng.choices("abehlst", k=3000)), "".join(rng.choices("абв中🎉", k=400))]
+    for starts in (words.between_visible, words.nowhere):
+        got = bpe._encoded(words.Remembered(bpe._learner(bpe.Vocabulary(ranks), bpe.splitter(public_tokenizers.PATTERN))), pa.array(texts), starts)
+        assert got.to_pylist() == [" ".join(map(str, library.encode_ordinary(t))) for t in texts]
+        assert bpe._decoded(bpe._table(ranks), got).to_pylist() == [t.encode() for t in texts]
+
+
 def test_query_equals_the_library(spark, sf, library):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in queries.op4_byte_bpe(spark, sf).collect():

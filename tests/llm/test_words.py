@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from placeloom.llm import pieces, queries, variants
+from placeloom.llm import merges, pieces, queries, variants, words
 
 PATH = public_tokenizers.path(queries.PIECES)
 
@@ -32,7 +32,7 @@ def sha(text):
 
 
 def assert_as_library(tables, library, texts):
-    ids, n = pieces.encode_batch(tables, pa.array(texts, pa.string()))
+    ids, n = pieces.encode_batch(words.Remembered(pieces.learner(tables)), pa.array(texts, pa.string()))
     want = [library.encode(t or "") for t in texts]
     assert ids.to_pylist() == [",".join(map(str, w)) for w in want]
     assert n.tolist() == list(map(len, want))
@@ -57,11 +57,19 @@ def test_words_of_any_length(tables, library, word):
 
 def test_long_words_by_heap_equal_rounds(tables, monkeypatch):
     rnd = random.Random(2)
-    words = ["".join(rnd.choice("aehlostn") for _ in range(rnd.randint(1, 300))) for _ in range(50)]
-    texts = pa.array([" ".join(words)])
-    by_rounds = pieces.encode_batch(tables, texts)[0].to_pylist()
-    monkeypatch.setattr(pieces, "LONG", 3)
-    assert pieces.encode_batch(tables, texts)[0].to_pylist() == by_rounds
+    texts = pa.array([" ".join("".join(rnd.choice("aehlostn") for _ in range(rnd.randint(1, 300))) for _ in range(50))])
+    by_rounds = pieces.encode_batch(words.Remembered(pieces.learner(tables)), texts)[0].to_pylist()
+    monkeypatch.setattr(merges, "LONG", 3)
+    assert pieces.encode_batch(words.Remembered(pieces.learner(tables)), texts)[0].to_pylist() == by_rounds
+
+
+def test_words_forgotten_and_seen_again(tables, library, monkeypatch):
+    monkeypatch.setattr(words, "REMEMBERED", 20)
+    known, rnd = words.Remembered(pieces.learner(tables)), random.Random(4)
+    for _ in range(60):
+        text = " ".join(f"w{rnd.randint(0, 60)}" for _ in range(30))
+        assert pieces.encode_batch(known, pa.array([text]))[0].to_pylist() == [",".join(map(str, library.encode(text)))]
+        assert len(known) + len(known.before) <= 80
 
 
 def test_decoding_of_ids_that_are_no_text(tables, library):
