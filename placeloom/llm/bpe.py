@@ -98,16 +98,40 @@ def _fold_long(parts: list, ranks: dict[bytes, int]) -> list[int]:
 
 
 def _learner(vocabulary: Vocabulary, pieces) -> Callable[[list[str]], list[str]]:
-    """A function that gives words the ids of their pieces; pieces that are no token are merged in rounds, all together."""
-    ranks = vocabulary.ranks
+    """A function that gives words the ids of their pieces; pieces that are no token are merged in rounds, all together.
+
+    A word of letters only, behind a blank or not, is one piece of any pattern for which blanks part words.
+    """
+    names = {t: str(r) for t, r in vocabulary.ranks.items()}
+
+    def merged(some: list[bytes]) -> list[str]:
+        if not some:
+            return []
+        symbols, sizes = merge(vocabulary.pairs, vocabulary.single[np.frombuffer(b"".join(some), np.uint8)], np.array(list(map(len, some))))
+        return joined(sizes, pa.array(symbols).cast(pa.large_string()), " ").to_pylist()
 
     def learn(words: list[str]) -> list[str]:
-        parts = [[p.encode() for p in pieces(w)] for w in words]
-        known = {p: str(ranks[p]) if p in ranks else "" for ps in parts for p in ps}
-        if other := [p for p, x in known.items() if not x]:
-            symbols, sizes = merge(vocabulary.pairs, vocabulary.single[np.frombuffer(b"".join(other), np.uint8)], np.array([len(p) for p in other]))
-            known |= zip(other, joined(sizes, pa.array(symbols).cast(pa.large_string()), " ").to_pylist(), strict=True)
-        return [" ".join(map(known.__getitem__, ps)) for ps in parts]
+        out: list = [None] * len(words)
+        alone, at, several, unknown = [], [], [], {}
+        for i, w in enumerate(words):
+            if (w[1:] if w[:1] == " " else w).isalpha():
+                one = w.encode()
+                if (x := names.get(one)) is None:
+                    at.append(i)
+                    alone.append(one)
+                else:
+                    out[i] = x
+            else:
+                ps = [p.encode() for p in pieces(w)]
+                several.append((i, ps))
+                unknown.update((p, "") for p in ps if p not in names)
+        found = merged([*alone, *unknown])
+        for i, x in zip(at, found, strict=False):
+            out[i] = x
+        unknown = dict(zip(unknown, found[len(alone) :], strict=True))
+        for i, ps in several:
+            out[i] = " ".join([names.get(p) or unknown[p] for p in ps])
+        return out
 
     return learn
 

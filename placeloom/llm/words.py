@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Distinct words that a task remembers, twice, and the characters of the longest: beyond it those not seen again since the last time are forgotten, which costs time only.
 REMEMBERED, LONGEST = 64_000, 64
 
@@ -22,13 +22,23 @@ class Remembered(dict):
         self.learn, self.before = learn, {}
 
     def all_of(self, words: list[str]) -> list[str]:
-        new = [w for w in words if w not in self and w not in self.before]
-        learnt = dict(zip(new, self.learn(new), strict=True)) if new else {}
-        out = [learnt[w] if w in learnt else self[w] if w in self else self.before[w] for w in words]
-        if len(self) + len(words) > REMEMBERED:
+        out = list(map(self.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
+        lacking = []
+        for i in missing:
+            x = self.before.get(words[i])
+            if x is None:
+                lacking.append(i)
+            out[i] = x
+        if lacking:
+            for i, x in zip(lacking, self.learn([words[i] for i in lacking]), strict=True):
+                out[i] = x
+        if len(self) + len(missing) > REMEMBERED:
             self.before = dict(self)
             self.clear()
-        self.update((w, x) for w, x in zip(words, out, strict=True) if len(w) <= LONGEST)
+        for i in missing:
+            if len(words[i]) <= LONGEST:
+                self[words[i]] = out[i]
         return out
 
 
@@ -42,6 +52,8 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
         yield texts.slice(at, to - at)
         at = to
+    # what the slices took goes back, so that a task that is done does not hold it
+    pa.default_memory_pool().release_unused()
 
 
 def joined(sizes: np.ndarray, values: pa.Array, by: str | bytes) -> pa.Array:
