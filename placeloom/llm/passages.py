@@ -2,11 +2,12 @@
 
 For a hash function, the stretches of a text that have the same minimal shingle
 form one compact window: from just after the smaller one on the left to just
-before the smaller one on the right, as in the text's Cartesian tree. Windows of
-several texts belong to one class if their minimal shingles are the same and the
-least shingles just before, or just after, or both, are too. The members of a
-class are compared exactly with its earliest document, and those that are not
-like it with the next earliest of them.
+before the smaller one on the right, as in the text's Cartesian tree. Texts that
+have the minimal shingles of two neighbouring windows in common belong to one
+class. The members of a class are compared exactly with its earliest document;
+places that no passage covers after that go on, two by two, with the other
+members, the earliest first, and at last with all that no chain of passages
+links with them yet.
 """
 
 from __future__ import annotations
@@ -21,33 +22,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 
 from placeloom.llm.common import small_batches, stage, unstage
+from placeloom.llm.graph import components
 from placeloom.llm.shingles import WIDTH, chunks, mix, shingle_lists
 
-#: Words that a passage must have; the Jaccard similarity of its shingles, in per cent; hash functions, and how many of them must agree.
-#: One function is enough where the shingles on both sides of a window agree too. An exact passage shares a window by every function.
-LEAST, PERCENT, HASHES, AGREE = 50, 75, 4, 2
+#: Words that a passage must have; the Jaccard similarity of its shingles, in per cent.
+LEAST, PERCENT = 50, 75
 #: Shingles in the shortest passage, and the unmatched ones that may stand inside one.
 SPAN = LEAST - WIDTH + 1
 GAP = SPAN // 2
-#: Shingles before and after a window's least one whose least values tell classes of one key apart.
-NEAR = SPAN // 6
-#: Heads of a class in the second round, when only members are left that are not like the earliest; in each later one four times as many.
-HEADS = 16
-#: The per cent of a passage's shingles that make a pair nearly alike.
-NEARLY = 65
+#: Shingles in the least window. A similar passage has 16 shingles in a row in common: each changed word takes 5 of them on
+#: both sides, so one that has e changes has 30 e or more in common. In 16 the least of each 8 are two, next to each other in both texts.
+BAND = 8
+#: Places of a text that no passage covers are taken two by two, this far from each other and with so many of those that follow:
+#: two documents that have but a common line of fewer words do not meet.
+NEXT, FAR, FOLLOWING = 12, 64, 3
+#: How many members of a class the others have been compared with after each round: for places, and for links between classes that
+#: are still apart, in the last round of which all members meet that are not linked yet.
+HEADS, LINKED = (1, 4, 16), (64, None)
 #: Windows looked at together in a task, and the parts into which those of a frequent key are dealt.
 BLOCK, LANES = 1 << 20, 64
 
 
-def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]:
-    """(least, first, last) of the compact windows of at least span values.
-
-    Only values that are the least of some stretch of span can have one, and so have their nearest smaller neighbours:
-    a stack over those values finds them all. Of equal values the leftmost counts as least.
-    """
+def leasts(values: np.ndarray, span: int) -> np.ndarray:
+    """Places, in order, of the values that are the least of some stretch of span: those of the compact windows so long. Of equal values the leftmost counts as least."""
     n = len(values)
     if n < span:
-        return []
+        return np.zeros(0, np.int64)
     # least of each stretch, from running minima of blocks: key holds the value's high bits and the position
     bits = np.uint64(max(1, int(n - 1).bit_length()))
     key = ((values >> bits) << bits) | np.arange(n, dtype=np.uint64)
@@ -55,8 +55,19 @@ def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]
     head = np.minimum.accumulate(padded, axis=1).ravel()
     tail = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(tail[: n - span + 1], head[span - 1 : n])
-    chosen = np.sort(np.unique(least) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    keys, out, stack = key[chosen].tolist(), [], []
+    # a value that is the least of several stretches is so of neighbouring ones
+    return (least[np.flatnonzero(np.append(True, least[1:] != least[:-1]))] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
+def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]:
+    """(least, first, last) of the compact windows of at least span values.
+
+    Only values that are the least of some stretch of span can have one, and so have their nearest smaller neighbours:
+    a stack over those values finds them all.
+    """
+    n, chosen = len(values), leasts(values, span)
+    bits = np.uint64(max(1, int(n - 1).bit_length())) if n else np.uint64(1)
+    keys, out, stack = (((values[chosen] >> bits) << bits) | chosen.astype(np.uint64)).tolist(), [], []
     for at, k in zip([*chosen.tolist(), n], [*keys, -1], strict=True):
         while stack and stack[-1][1] > k:
             c, _, first = stack.pop()
@@ -66,41 +77,33 @@ def compact_windows(values: np.ndarray, span: int) -> list[tuple[int, int, int]]
     return out
 
 
-def _found(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(keys, (least, first, last) of the windows) by each hash function."""
-    for h in range(HASHES if len(tokens) >= SPAN else 0):
-        seed = np.uint64((h + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        windows = np.array(compact_windows(mix(tokens ^ seed), SPAN), np.int64).reshape(-1, 3)
-        # the key names the hash function too: the low bits of a token are as good as any
-        yield mix(tokens[windows[:, 0]] + seed).view(np.int64), windows
-
-
-def _sketches(tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least values among the NEAR shingles that end and that start at each place: one of the two lies in any passage around it."""
-    half = NEAR
-    values = (mix(tokens ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(33)).astype(np.int32)
-    most = np.full(half - 1, np.iinfo(np.int32).max, np.int32)
-    least = np.lib.stride_tricks.sliding_window_view(np.concatenate([most, values, most]), half)
-    return least[at].min(axis=1), least[at + half - 1].min(axis=1)
+def _found(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places) of the least shingles of windows, each with the next one; a key that is there twice counts at the first place."""
+    if len(tokens) < SPAN:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    at = leasts(mix(tokens), BAND)
+    two = tokens[at]
+    keys, first = np.unique(mix(two[:-1] * np.uint64(0x9E3779B97F4A7C15) + two[1:]), return_index=True)
+    return keys.view(np.int64), at[first].astype(np.int32)
 
 
 def _windower(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For batches of (id, text): rows of key, h (the hash function), lane, known, id, before, after, one for each window.
+    """For batches of (id, text): rows of class (the key), lane, known, id, at, one for each window.
 
     A key that two documents of a block have is known to be shared. One row of it stays in lane -1, for documents of
     other blocks to see; the others are dealt into lanes, so that a frequent key does not meet in one task.
     """
 
-    def rows(ids: list, parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    def rows(ids: list, parts: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         whose = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
-        keys, function, before, after = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3, 4))
+        keys, places = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
         _, first, at = np.unique(keys, return_index=True, return_inverse=True)
         one = whose[first][at] == whose
         several = np.zeros(len(first), bool)
         several[at[~one]] = True
         lane = np.where(several[at] & ~one, whose % LANES, -1).astype(np.int8)
         each = pa.array(ids, schema.field("id").type).take(pa.array(whose))
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(function), pa.array(lane), pa.array(several[at]), each, pa.array(before), pa.array(after)], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(lane), pa.array(several[at]), each, pa.array(places)], schema=schema)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list = []
@@ -110,10 +113,10 @@ def _windower(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterato
             names, k = batch.column(0).to_pylist(), 0
             for some in chunks(batch.column(1)):
                 for tokens in shingle_lists(some):
-                    for h, (keys, w) in enumerate(_found(tokens)):
-                        if len(keys):
-                            parts.append((len(ids), keys, np.full(len(keys), h, np.int8), *_sketches(tokens, w[:, 0])))
-                            held += len(keys)
+                    keys, places = _found(tokens)
+                    if len(keys):
+                        parts.append((len(ids), keys, places))
+                        held += len(keys)
                     ids.append(names[k])
                     k += 1
                 if held >= BLOCK:
@@ -162,16 +165,8 @@ def matched(a: np.ndarray, b: np.ndarray, gaps: tuple[int, ...] = (GAP, WIDTH, 0
     return found
 
 
-def nearly(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether some SPAN shingles of b in a row are mostly, to NEARLY per cent, in a: then others like b may be like a's fellows."""
-    hits = np.cumsum(np.concatenate([[0], np.isin(b, a)]))
-    return len(b) >= SPAN and 100 * int((hits[SPAN:] - hits[:-SPAN]).max()) >= NEARLY * SPAN
-
-
 _NAMES = ("a_first", "a_last", "b_first", "b_last", "percent")
 _MATCH = pa.list_(pa.struct([(n, pa.int32()) for n in _NAMES]))
-#: What stands for a pair without a common passage that is nearly alike.
-_MISS = dict.fromkeys(_NAMES, -1)
 
 
 @F.arrow_udf(from_arrow_type(_MATCH))
@@ -184,13 +179,12 @@ def _compared(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array
         out = []
         for i, j in zip(index[:n], index[n:], strict=True):
             # words, end exclusive, of shingles from first to last
-            found = [dict(zip(_NAMES, (a, b + WIDTH, c, d + WIDTH, p), strict=True)) for a, b, c, d, p in sorted(set(matched(lists[i], lists[j])))]
-            out.append(found or ([_MISS] if nearly(lists[i], lists[j]) else []))
+            out.append([dict(zip(_NAMES, (a, b + WIDTH, c, d + WIDTH, p), strict=True)) for a, b, c, d, p in sorted(set(matched(lists[i], lists[j])))])
         yield pa.array(out, _MATCH)
 
 
 def _compare(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """id, other and the passages of pairs that have some, or _MISS for those that are nearly alike, written down."""
+    """id, other and the passages of pairs that have some, written down."""
     # Texts are joined by sorting at every size, so that a plan that holds on little data holds on much.
     wanted = pairs.select("id").union(pairs.select("other")).distinct()
     n_words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("n")
@@ -210,56 +204,125 @@ def _compare(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return both
 
 
+def _uncovered(places: DataFrame, passages: DataFrame) -> DataFrame:
+    """places (id, at and more) with open: whether none of the passages of id covers the shingle at at."""
+    sides = passages.select("id", "first_word", "end_word").union(passages.select("other", "other_first", "other_end"))
+    # by the words where they begin: no more than the text has, however many documents share them
+    longest = sides.groupBy("id", "first_word").agg(F.max("end_word").alias("end_word"))
+    each = longest.groupBy("id").agg(F.collect_list(F.struct("first_word", "end_word")).alias("_s"))
+    covers = lambda s: (s["first_word"] <= F.col("at")) & (F.col("at") + WIDTH <= s["end_word"])
+    return places.join(each.hint("merge"), "id", "left").withColumn("open", ~F.coalesce(F.exists("_s", covers), F.lit(False))).drop("_s")
+
+
+def _two_by_two(places: DataFrame) -> DataFrame:
+    """class, id, at: classes of two places each, at one that is open, of classes that more documents have. places: class, id, at, open."""
+    live = places.join(places.where("open").select("class").distinct().hint("merge"), "class")
+    ahead = Window.partitionBy("id").orderBy("at").rangeBetween(NEXT, FAR - 1)
+    several = live.withColumn("_n", F.slice(F.collect_list(F.struct("class", "at", "open")).over(ahead), 1, FOLLOWING))
+    both = several.select("id", "class", "at", "open", F.explode("_n").alias("n"))
+    both = both.select(F.xxhash64("class", "n.class").alias("class"), "id", F.when(F.col("open"), F.col("at")).otherwise(F.col("n.at")).alias("at"), (F.col("open") | F.col("n.open")).alias("open"))
+    both = stage(both, "two")
+    wanted = both.groupBy("class").agg(F.min("id").alias("_a"), F.max("id").alias("_b"), F.bool_or("open").alias("_o")).where("_o and _a <> _b").select("class")
+    out = stage(both.join(wanted.hint("merge"), "class"), "two")
+    unstage(both)
+    return out
+
+
+def _named(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """rows (class, id and more) with component, of those classes that have several. links: node, component."""
+    named = rows.join(links.select(F.col("node").alias("id"), "component").hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = stage(named, "named")
+    several = named.groupBy("class").agg(F.min("component").alias("main"), F.max("component").alias("_b")).where("main <> _b").select("class", "main")
+    out = stage(named.join(several.hint("merge"), "class"), "named")
+    unstage(named)
+    return out
+
+
+def _apart(members: DataFrame, links: DataFrame, most: int | None) -> DataFrame:
+    """id, other: pairs of members (class, id, n) that links do not join yet, one of them among the first of their class.
+
+    Members of a class's first component meet only those of the others, so that a large one makes no pairs with itself.
+    """
+    named = _named(members, links)
+    others = named.select("class", F.col("id").alias("other"), F.col("n").alias("_n"), F.col("component").alias("_c"))
+    met = named.where("component <> main").join(others.hint("merge"), "class").where("component <> _c" + (f" and (n <= {most} or _n <= {most})" if most else ""))
+    pairs = stage(met.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct(), "apart")
+    unstage(named)
+    return pairs
+
+
 def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Passages of at least LEAST words that a document shares with another: one row for each document and passage.
 
     id_col, first_word, end_word (exclusive): the passage; other_id, other_first, other_end: where else it is; percent:
-    the Jaccard similarity of their shingles; class_id: the earliest document that it was compared with and is similar to,
-    itself where it is the earliest. Every member of a class of windows meets the earliest of the class; those that are not
-    like it go on as a class without it, round by round until none is left; pairs of all members are not made. The earliest has a row of its own. Texts that are equal share all of them, without
-    comparison. Null and short texts have no passages. Rows that repeat an id are one document, and those with a null
-    id take no part. Further columns are not read; no rows give no rows.
+    the Jaccard similarity of their shingles; class_id: the earliest document that it is linked with by shared passages, of
+    its own or of those that it is linked with; itself where it is the earliest. Every member of a class of windows meets the
+    earliest of the class. Members with a place that no passage covers meet the next HEADS of those that have two such places
+    in common with them. At last all members that have two places in common and are not linked yet meet: two documents that are
+    known to have the same class_id are not compared any more, so a further place that only they share may have no row, but no
+    link between two classes is left out. The earliest has a row of its own.
+    Texts that are equal share all of them, without comparison: the earliest stands for the others, which have one row for the
+    whole text. Null and short texts have no passages. Rows that repeat an id are one document, and those with a null id take
+    no part. Further columns are not read; no rows give no rows.
     """
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType
-    schema = pa.schema([("key", pa.int64()), ("h", pa.int8()), ("lane", pa.int8()), ("known", pa.bool_()), ("id", to_arrow_type(kind)), ("before", pa.int32()), ("after", pa.int32())])
-    windows = rows.mapInArrow(_windower(schema), f"key bigint, h tinyint, lane tinyint, known boolean, id {kind.simpleString()}, before int, after int")
+    keyed = rows.withColumn("key", F.md5("text"))
+    firsts = keyed.groupBy("key").agg(F.min("id").alias("other"), F.max("id").alias("_most"))
+    copies = stage(keyed.select("id", "key").join(firsts.where("other <> _most").hint("merge"), "key").where("id <> other").select("id", "other", "key").distinct(), "copies")
+    distinct = keyed.join(copies.select("id", "key").hint("merge"), ["id", "key"], "left_anti").select("id", "text")
+    schema = pa.schema([("class", pa.int64()), ("lane", pa.int8()), ("known", pa.bool_()), ("id", to_arrow_type(kind)), ("at", pa.int32())])
+    windows = distinct.mapInArrow(_windower(schema), f"class bigint, lane tinyint, known boolean, id {kind.simpleString()}, at int")
     # A window matters if another document has its key too: next to it, in the order of ids.
-    by = Window.partitionBy("key", "lane").orderBy("id")
+    by = Window.partitionBy("class", "lane").orderBy("id")
     near = windows.withColumn("p", F.lag("id").over(by)).withColumn("n", F.lead("id").over(by)).where("known or p <> id or n <> id")
-    classes = near.select("id", "h", F.posexplode(F.array(F.xxhash64("key", F.lit(0), "before"), F.xxhash64("key", F.lit(1), "after"), F.xxhash64("key", F.lit(2), "before", "after"))).alias("side", "class"))
-    classes = classes.select("id", "class", (F.col("h") + F.when(F.col("side") == 2, 16).otherwise(0)).cast("byte").alias("h"))
-    classes = stage(classes, "classes")
+    classes = stage(near.select("class", "id", "at"), "classes")
 
     # Heads are written down, so that the join shuffles both sides as they are and a class of very many can be split.
     heads = stage(classes.groupBy("class").agg(F.min("id").alias("other"), F.max("id").alias("_most")).where("other <> _most").select("class", "other"), "heads")
-    agree = F.expr("bit_or(shiftleft(1, int(h)))")
-    pairs = stage(classes.join(heads.hint("merge"), "class").where("id <> other").groupBy("id", "other").agg(agree.alias("agree")).where(f"agree >= {1 << 16} or bit_count(agree) >= {AGREE}").select("id", "other"), "pairs")
-    unstage(classes, heads)
-    rounds, seen, most = [_compare(rows, pairs)], [pairs], HEADS
-    alike = lambda r: r.where("percent > 0").select("id").distinct()
-    # Documents that nearly agree with a head and are yet like none go on together, with the next earliest of them as heads.
-    left = stage(rounds[0].where("percent < 0").join(alike(rounds[0]), "id", "left_anti").select(F.col("other").alias("class"), "id"), "left")
-    while True:
-        several = left.groupBy("class").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select("class")
-        ranked = left.join(several, "class").withColumn("_n", F.row_number().over(Window.partitionBy("class").orderBy("id")))
-        heads = stage(ranked.where(F.col("_n") <= most).select("class", F.col("id").alias("other")), "heads")
-        if heads.isEmpty():
-            unstage(left, heads)
+    pairs = classes.join(heads.hint("merge"), "class").where("id <> other").select("id", "other").union(copies.select("id", "other"))
+    seen = [stage(pairs.distinct(), "pairs")]
+    rounds = [_compare(rows, seen[0])]
+    unstage(heads)
+    places = stage(_uncovered(classes, rounds[0]), "places")
+    left = _two_by_two(places)
+    unstage(classes)
+    # Members are numbered within their class by id: in each round, those that are open meet the next of them.
+    numbered = lambda r: stage(r.select("class", "id").distinct().withColumn("n", F.row_number().over(Window.partitionBy("class").orderBy("id"))), "members")
+    members = numbered(left)
+    sizes = members.groupBy("class").agg(F.max("n").alias("k"))
+    left, first = stage(left.where("open").select("class", "id", "at").join(sizes.hint("merge"), "class"), "left"), 0
+    new = lambda p: stage(p.join(reduce(DataFrame.union, seen).hint("merge"), ["id", "other"], "left_anti"), "pairs")
+    for most in HEADS:
+        if left.isEmpty():
             break
-        pairs = left.join(heads.hint("merge"), "class").where("other < id").select("id", "other").distinct()
-        for s in seen:
-            pairs = pairs.join(s, ["id", "other"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        rounds.append(_compare(rows, pairs))
+        heads = members.where(F.col("n").between(first + 1, most)).select("class", F.col("id").alias("other"))
+        pairs = left.select("class", "id").join(heads.hint("merge"), "class").where("id <> other").select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other"))
+        seen.append(new(pairs.distinct()))
+        rounds.append(_compare(rows, seen[-1]))
+        rest = stage(_uncovered(left.where(F.col("k") > most), rounds[-1]).where("open").drop("open"), "left")
+        unstage(left)
+        left, first = rest, most
+    unstage(left, members)
+    # Classes that have members of several components, covered or not: no link between components is left out.
+    links = components(reduce(DataFrame.union, [r.select("id", "other") for r in rounds]), "id", "other")
+    mixed = _named(places.select("class", "id", "at"), links)
+    two = _two_by_two(mixed.select("class", "id", "at", F.lit(True).alias("open")))
+    members = numbered(two)
+    unstage(places, mixed, two)
+    for most in LINKED:
+        apart = _apart(members, links, most)
+        pairs = new(apart)
+        unstage(apart)
         seen.append(pairs)
-        rest = stage(left.join(alike(rounds[-1]), "id", "left_anti").join(heads.withColumnRenamed("other", "id"), ["class", "id"], "left_anti"), "left")
-        unstage(left, heads)
-        left, most = rest, most * 4
-    unstage(*seen)
-    both = reduce(DataFrame.union, rounds).where("percent > 0")
+        if not pairs.isEmpty():
+            rounds.append(_compare(rows, pairs))
+            links = components(links.union(rounds[-1].select("id", "other")), "node", "component")
+    unstage(members, copies, *seen)
+    linked = links.select(F.col("node").alias("id"), F.col("component").alias("class_id"))
+    both = reduce(DataFrame.union, rounds)
     # Both sides have the passage; of several documents that a passage was compared with, the earliest is named.
     sides = both.select("id", "first_word", "end_word", F.struct(F.col("other").alias("other_id"), "other_first", "other_end", "percent").alias("o"))
     sides = sides.union(both.select("other", "other_first", "other_end", F.struct("id", "first_word", "end_word", "percent")))
     named = sides.groupBy("id", "first_word", "end_word").agg(F.min("o").alias("o")).select("id", "first_word", "end_word", "o.*")
-    return named.withColumn("class_id", F.least("id", "other_id")).withColumnRenamed("id", id_col)
+    return named.join(linked.hint("merge"), "id").withColumnRenamed("id", id_col)

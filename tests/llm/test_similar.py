@@ -229,3 +229,38 @@ def test_awkward(awkward, nothing):
     long = passages.shared_passages(awkward).collect()
     assert {r.doc_id for r in long} <= {4}
     assert passages.shared_passages(nothing).count() == 0
+
+
+def test_links_past_the_head_of_a_class(spark):
+    """Documents that are like a later member of their class, but not like the earliest, or that the earliest is no fellow of at all."""
+    rng = random.Random(11)
+    text, changed = vocabulary(rng)
+    docs = []
+    for _ in range(12):
+        # a chain: the third is like the second only, which is like the first
+        base, lead = text(64), text(30)
+        second = changed(base, 24)
+        docs += [text(20) + base + text(30), text(20) + second + text(30), text(20) + changed(second, 40) + text(30)]
+        # a head that has a part of the passage and no more, and two that share the passage and other passages with the head of another class
+        shared, mine, other = lead + text(30), text(60), text(60)
+        docs += [text(20) + lead[:22] + text(60) + shared[38:], mine + text(30), other + text(30)]
+        docs += [text(10) + mine + text(20) + shared, text(10) + other + text(20) + changed(shared, 8)]
+    texts = [" ".join(t) for t in docs]
+    lists = shingles.shingle_lists([t.encode() for t in texts])
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if passages.matched(lists[j], lists[i])]
+    found = passages.shared_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    classes = {r.doc_id: r.class_id for r in found}
+    assert len(links) >= 12 * 5 and all(classes.get(i, i) == classes.get(j, -1) for i, j in links)
+
+
+def test_similar_stretches_have_two_places_in_common():
+    """Two neighbouring leasts of windows are there for every stretch that has as many changed words as a passage may have."""
+    rng = random.Random(12)
+    text, changed = vocabulary(rng)
+    for _ in range(300):
+        n = rng.choice([1, 2, 3])
+        base = text(30 * n + 5 * n + 4 + rng.randrange(8) + 6)
+        one, two = text(20) + base + text(20), text(33) + changed(base, *rng.sample(range(5, len(base) - 5), n)) + text(9)
+        a, b = shingles.shingle_lists([" ".join(t).encode() for t in (one, two)])
+        if passages.matched(a, b):
+            assert len(np.intersect1d(passages._found(a)[0], passages._found(b)[0])) >= 1
