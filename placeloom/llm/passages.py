@@ -259,8 +259,8 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     its own or of those that it is linked with; itself where it is the earliest. Every member of a class of windows meets the
     earliest of the class. Members with a place that no passage covers meet the next HEADS of those that have two such places
     in common with them. At last all members that have two places in common and are not linked yet meet: two documents that are
-    known to have the same class_id are not compared any more, so a further place that only they share may have no row, but no
-    link between two classes is left out. The earliest has a row of its own.
+    known to have the same class_id are not compared any more, so a further place that only they share may have no row; nor are
+    those that share one such place only, unless one of them is the earliest of its class. The earliest has a row of its own.
     Texts that are equal share all of them, without comparison: the earliest stands for the others, which have one row for the
     whole text. Null and short texts have no passages. Rows that repeat an id are one document, and those with a null id take
     no part. Further columns are not read; no rows give no rows.
@@ -304,7 +304,7 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         unstage(left)
         left, first = rest, most
     unstage(left, members)
-    # Classes that have members of several components, covered or not: no link between components is left out.
+    # Classes that have members of several components, covered or not.
     links = components(reduce(DataFrame.union, [r.select("id", "other") for r in rounds]), "id", "other")
     mixed = _named(places.select("class", "id", "at"), links)
     two = _two_by_two(mixed.select("class", "id", "at", F.lit(True).alias("open")))
