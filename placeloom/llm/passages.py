@@ -7,7 +7,8 @@ have the minimal shingles of two neighbouring windows in common belong to one
 class. The members of a class are compared exactly with its earliest document;
 places that no passage covers after that go on, two by two, with the other
 members, the earliest first, and at last with all that no chain of passages
-links with them yet.
+links with them yet: in a small class by pairs, in a large one by blocks of
+members, whose texts meet in one task and are told apart there by bits.
 """
 
 from __future__ import annotations
@@ -36,9 +37,12 @@ BAND = 8
 #: Places of a text that no passage covers are taken two by two, this far from each other and with so many of those that follow:
 #: two documents that have but a common line of fewer words do not meet.
 NEXT, FAR, FOLLOWING = 12, 64, 3
-#: How many members of a class the others have been compared with after each round: for places, and for links between classes that
-#: are still apart, in the last round of which all members meet that are not linked yet.
-HEADS, LINKED = (1, 4, 16), (64, None)
+#: How many members of a class the others have been compared with after each round.
+HEADS = (1, 4, 16)
+#: Members of a class that meet by pairs if they are not linked yet; the members of one block of a larger class, about.
+PAIRED, BLOCKED = 32, 48
+#: Bytes of text shingled at once, and shingles that a task keeps between batches.
+PIECE, KEPT = 256 << 10, 2 << 20
 #: Windows looked at together in a task, and the parts into which those of a frequent key are dealt.
 BLOCK, LANES = 1 << 20, 64
 
@@ -48,13 +52,12 @@ def leasts(values: np.ndarray, span: int) -> np.ndarray:
     n = len(values)
     if n < span:
         return np.zeros(0, np.int64)
-    # least of each stretch, from running minima of blocks: key holds the value's high bits and the position
+    # least of each stretch, from those of stretches half as long: key holds the value's high bits and the position
     bits = np.uint64(max(1, int(n - 1).bit_length()))
-    key = ((values >> bits) << bits) | np.arange(n, dtype=np.uint64)
-    padded = np.concatenate([key, np.full(-n % span, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, span)
-    head = np.minimum.accumulate(padded, axis=1).ravel()
-    tail = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(tail[: n - span + 1], head[span - 1 : n])
+    least, width = ((values >> bits) << bits) | np.arange(n, dtype=np.uint64), 1
+    while width < span:
+        step = min(width, span - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
     # a value that is the least of several stretches is so of neighbouring ones
     return (least[np.flatnonzero(np.append(True, least[1:] != least[:-1]))] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
@@ -111,7 +114,7 @@ def _windower(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         held = 0
         for batch in batches:
             names, k = batch.column(0).to_pylist(), 0
-            for some in chunks(batch.column(1)):
+            for some in chunks(batch.column(1), PIECE):
                 for tokens in shingle_lists(some):
                     keys, places = _found(tokens)
                     if len(keys):
@@ -131,55 +134,111 @@ def _windower(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 def _stretches(hit: np.ndarray, gap: int) -> list[tuple[int, int]]:
     """(first, last) of the runs of hits with at most gap others between two, SPAN long at least."""
     at = np.flatnonzero(hit)
-    if not len(at):
+    if not len(at) or at[-1] - at[0] + 1 < SPAN:
         return []
-    cuts = np.flatnonzero(np.diff(at) > gap + 1)
+    cuts = np.flatnonzero(at[1:] - at[:-1] > gap + 1)
     return [(int(a), int(b)) for a, b in zip(at[np.append(0, cuts + 1)], at[np.append(cuts, len(at) - 1)], strict=True) if b - a + 1 >= SPAN]
 
 
-def _percent(x: np.ndarray, y: np.ndarray) -> int:
+def _coded(lists: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """The lists with small numbers in place of their shingles, and how many those are."""
+    coded = pa.array(np.concatenate([np.zeros(0, np.uint64), *lists])).dictionary_encode()
+    return np.split(coded.indices.to_numpy(), np.cumsum([len(x) for x in lists])[:-1]), len(coded.dictionary)
+
+
+def _within(x: np.ndarray, y: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Which of the numbers of x are in y. mark: a False for each number; is so again afterwards."""
+    mark[y] = True
+    found = mark[x]
+    mark[y] = False
+    return found
+
+
+def _percent(x: np.ndarray, y: np.ndarray, mark: np.ndarray) -> int:
     x, y = np.unique(x), np.unique(y)
-    shared = len(np.intersect1d(x, y, assume_unique=True))
+    shared = int(np.count_nonzero(_within(x, y, mark)))
     return 100 * shared // (len(x) + len(y) - shared)
 
 
-def matched(a: np.ndarray, b: np.ndarray, gaps: tuple[int, ...] = (GAP, WIDTH, 0)) -> list[tuple[int, int, int, int, int]]:
-    """(first and last in a, first and last in b, per cent) of the similar stretches of two lists of shingles.
-
-    A stretch of b goes on while its shingles are anywhere in a, with few others between; its counterparts in a are
-    stretches of its shingles, whatever their order, so a passage of repeated lines is one. What is not similar
-    enough as a whole is tried again with fewer others between.
-    """
+def _similar(a: np.ndarray, b: np.ndarray, mark: np.ndarray, gaps: tuple[int, ...] = (GAP, WIDTH, 0)) -> list[tuple[int, int, int, int, int]]:
+    """matched() for lists of numbers."""
     found = []
-    for b0, b1 in _stretches(np.isin(b, a), gaps[0]):
+    for b0, b1 in _stretches(_within(b, a, mark), gaps[0]):
         part, mine = b[b0 : b1 + 1], []
-        for a0, a1 in _stretches(np.isin(a, part), gaps[0]):
+        for a0, a1 in _stretches(_within(a, part, mark), gaps[0]):
             other = a[a0 : a1 + 1]
-            for c0, c1 in _stretches(np.isin(part, other), gaps[0]):
-                percent = _percent(other, part[c0 : c1 + 1])
+            for c0, c1 in _stretches(_within(part, other, mark), gaps[0]):
+                percent = _percent(other, part[c0 : c1 + 1], mark)
                 if percent >= PERCENT:
                     mine.append((a0, a1, b0 + c0, b0 + c1, percent))
         if not mine and len(gaps) > 1:
-            mine = [(c, d, b0 + e, b0 + f, p) for c, d, e, f, p in matched(a, part, gaps[1:])]
+            mine = [(c, d, b0 + e, b0 + f, p) for c, d, e, f, p in _similar(a, part, mark, gaps[1:])]
         found += mine
     return found
 
 
+def matched(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """(first and last in a, first and last in b, per cent) of the similar stretches of two lists of shingles.
+
+    A stretch of b goes on while its shingles are anywhere in a, with few others between; its counterparts in a are
+    stretches of its shingles, whatever their order, so a passage of repeated lines is one. What is not similar
+    enough as a whole is tried again with fewer others between.
+    """
+    (x, y), n = _coded([a, b])
+    return _similar(x, y, np.zeros(n, bool))
+
+
+def _dense(lists: list[np.ndarray], others: list[np.ndarray], n: int) -> np.ndarray:
+    """For each list and each of the others, of numbers below n: may they be similar, by what the list has of the other.
+
+    Two stretches with s shingles in common are similar if both together have s / 3 more at most, so one of them has s / 6 more
+    at most. Hence lists that match have, one or the other, a stretch of SPAN or longer where 6 is lost for each
+    shingle that the other list lacks, 1 is won for each that it has, and the sum is not below 0. What is lacking and repeats
+    counts nothing, since it may be one shingle many times.
+    """
+    out = np.zeros((len(lists), len(others)), bool)
+    for first in range(0, len(others), 64):
+        some = others[first : first + 64]
+        bits = np.zeros(n, np.uint64)
+        for k, y in enumerate(some):
+            bits[y] |= np.uint64(1 << k)
+        for i, x in enumerate(lists):
+            if len(x) < SPAN:
+                continue
+            has = np.unpackbits(bits[x].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, count=len(some), bitorder="little")
+            _, place, times = np.unique(x, return_inverse=True, return_counts=True)
+            lost = np.where(times[place] == 1, PERCENT * 2 // (100 - PERCENT), 0).astype(np.int32)[:, None]
+            sums = np.zeros((len(x) + 1, len(some)), np.int32)
+            np.cumsum(has * (lost + 1) - lost, axis=0, out=sums[1:])
+            out[i, first : first + 64] = (sums[SPAN:] >= np.minimum.accumulate(sums[:-SPAN], axis=0)).any(axis=0)
+    return out
+
+
 _NAMES = ("a_first", "a_last", "b_first", "b_last", "percent")
 _MATCH = pa.list_(pa.struct([(n, pa.int32()) for n in _NAMES]))
 
 
+def _shingled(texts: list[str], kept: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """The shingles of texts: those in kept as they are, new ones are kept, KEPT shingles in all beside these texts at most."""
+    if sum(map(len, kept.values())) > KEPT:
+        kept.clear()
+    new = [x for x in dict.fromkeys(texts) if x not in kept]
+    lists = (x for some in chunks(pa.array(new, pa.string()), PIECE) for x in shingle_lists(some))
+    kept.update(zip(new, lists, strict=True))
+    return [kept[x] for x in texts]
+
+
 @F.arrow_udf(from_arrow_type(_MATCH))
 def _compared(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    kept: dict[str, np.ndarray] = {}
     for left, right in batches:
-        coded = pa.chunked_array([left, right]).combine_chunks().dictionary_encode()
-        index, n, lists = coded.indices.to_pylist(), len(left), []
-        for some in chunks(coded.dictionary):
-            lists += shingle_lists(some)
-        out = []
+        texts = pa.chunked_array([left, right]).combine_chunks().dictionary_encode()
+        index, n = texts.indices.to_pylist(), len(left)
+        lists, size = _coded(_shingled(texts.dictionary.to_pylist(), kept))
+        mark, out = np.zeros(size, bool), []
         for i, j in zip(index[:n], index[n:], strict=True):
             # words, end exclusive, of shingles from first to last
-            out.append([dict(zip(_NAMES, (a, b + WIDTH, c, d + WIDTH, p), strict=True)) for a, b, c, d, p in sorted(set(matched(lists[i], lists[j])))])
+            out.append([dict(zip(_NAMES, (a, b + WIDTH, c, d + WIDTH, p), strict=True)) for a, b, c, d, p in sorted(set(_similar(lists[i], lists[j], mark)))])
         yield pa.array(out, _MATCH)
 
 
@@ -228,6 +287,45 @@ def _two_by_two(places: DataFrame) -> DataFrame:
     return out
 
 
+def _blocks_met(schema: pa.Schema) -> Callable[[pa.Table], pa.Table]:
+    """For the members (second, id, component, text) of two blocks: the passages of pairs between them that link components.
+
+    Components that a pair of these blocks has linked count as one from then on. A block that meets itself is there twice.
+    """
+
+    def met(table: pa.Table) -> pa.Table:
+        ids, components_of, second, texts = (table.column(x).to_pylist() for x in ("id", "component", "second", "text"))
+        lists, n = _coded(_shingled(texts, {}))
+        one, two = ([k for k, s in enumerate(second) if s is want] for want in (False, True))
+        mine, other = ([lists[k] for k in side] for side in (one, two))
+        may = _dense(mine, other, n) | _dense(other, mine, n).T
+        up = {c: c for c in components_of}
+
+        def top(c):
+            while up[c] != c:
+                up[c] = up[up[c]]
+                c = up[c]
+            return c
+
+        itself = table.column("left")[0] == table.column("right")[0] if len(table) else False
+        out, mark = [], np.zeros(n, bool)
+        for i, j in np.argwhere(may).tolist():
+            x, y = one[i], two[j]
+            if ids[x] == ids[y] or itself and ids[x] < ids[y]:
+                continue
+            a, b = top(components_of[x]), top(components_of[y])
+            if a == b:
+                continue
+            x, y = (x, y) if ids[x] > ids[y] else (y, x)
+            found = sorted(set(_similar(lists[y], lists[x], mark)))
+            if found:
+                up[max(a, b)] = min(a, b)
+                out += [(ids[x], ids[y], e, f + WIDTH, c, d + WIDTH, p) for c, d, e, f, p in found]
+        return pa.Table.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    return met
+
+
 def _named(rows: DataFrame, links: DataFrame) -> DataFrame:
     """rows (class, id and more) with component, of those classes that have several. links: node, component."""
     named = rows.join(links.select(F.col("node").alias("id"), "component").hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -238,19 +336,50 @@ def _named(rows: DataFrame, links: DataFrame) -> DataFrame:
     return out
 
 
-def _apart(members: DataFrame, links: DataFrame, most: int | None) -> DataFrame:
-    """id, other: pairs of members (class, id, n) that links do not join yet, one of them among the first of their class.
+def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
+    """id, other: pairs of members (class, id) that links do not join yet.
 
     Members of a class's first component meet only those of the others, so that a large one makes no pairs with itself.
     """
     named = _named(members, links)
-    others = named.select("class", F.col("id").alias("other"), F.col("n").alias("_n"), F.col("component").alias("_c"))
-    met = named.where("component <> main").join(others.hint("merge"), "class").where("component <> _c" + (f" and (n <= {most} or _n <= {most})" if most else ""))
+    others = named.select("class", F.col("id").alias("other"), F.col("component").alias("_c"))
+    met = named.where("component <> main").join(others.hint("merge"), "class").where("component <> _c")
     pairs = stage(met.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other")).distinct(), "apart")
     unstage(named)
     return pairs
 
 
+def _by_blocks(rows: DataFrame, members: DataFrame, links: DataFrame) -> DataFrame:
+    """The passages that link members (class, id) of large classes which links do not join yet: as from _compare, of at least one pair
+    for any two components of two blocks.
+
+    A document has its block, by a hash, among those of its largest class; those outside the first component have their own. Blocks
+    that have members of one class meet if members of one of them are outside the class's first component. However many classes
+    two blocks have in common, they meet once.
+    """
+    named = _named(members, links)
+    odd = F.col("component") != F.col("main")
+    sizes = named.groupBy("class").agg(F.count(F.lit(1)).alias("_k"))
+    home = named.join(sizes.hint("merge"), "class").groupBy("id", "component").agg(F.max(F.struct("_k", "class", odd.alias("odd"))).alias("h"))
+    home = stage(home.select("id", "component", F.col("h.class").alias("home"), F.col("h.odd").alias("odd")), "home")
+    parts = home.groupBy("home", "odd").agg(F.ceil(F.count(F.lit(1)) / BLOCKED).alias("_p"))
+    block = F.xxhash64("home", "odd", F.pmod(F.xxhash64("id"), F.col("_p"))).alias("block")
+    dealt = stage(home.join(parts.hint("merge"), ["home", "odd"]).select("id", "component", block), "dealt")
+    there = stage(named.join(dealt.select("id", "block").hint("merge"), "id").groupBy("class", "block").agg(F.bool_or(odd).alias("odd")), "there")
+    pairs = there.where("odd").select("class", F.col("block").alias("_b")).join(there.hint("merge"), "class")
+    pairs = stage(pairs.select(F.least("_b", "block").alias("left"), F.greatest("_b", "block").alias("right")).distinct(), "pairs")
+    texts = stage(rows.join(dealt.hint("merge"), "id").select("id", "component", "block", "text"), "texts")
+    sides = [pairs.join(texts.withColumnRenamed("block", side).hint("merge"), side).select("left", "right", F.lit(side == "right").alias("second"), "id", "component", "text") for side in ("left", "right")]
+    kind = to_arrow_type(rows.schema["id"].dataType)
+    names = ("first_word", "end_word", "other_first", "other_end", "percent")
+    schema = pa.schema([("id", kind), ("other", kind), *((x, pa.int32()) for x in names)])
+    sql = rows.schema["id"].dataType.simpleString()
+    found = sides[0].union(sides[1]).groupBy("left", "right").applyInArrow(_blocks_met(schema), f"id {sql}, other {sql}, " + ", ".join(f"{x} int" for x in names))
+    found = stage(found, "passages")
+    unstage(named, home, dealt, there, pairs, texts)
+    return found
+
+
 def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Passages of at least LEAST words that a document shares with another: one row for each document and passage.
 
@@ -296,8 +425,11 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for most in HEADS:
         if left.isEmpty():
             break
-        heads = members.where(F.col("n").between(first + 1, most)).select("class", F.col("id").alias("other"))
-        pairs = left.select("class", "id").join(heads.hint("merge"), "class").where("id <> other").select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other"))
+        # A document meets the heads of all its classes, most of which are the same: each head once.
+        heads = members.where(F.col("n").between(first + 1, most)).groupBy("class").agg(F.sort_array(F.collect_list("id")).alias("_h"))
+        each = left.select("class", "id").join(heads.hint("merge"), "class").groupBy("id").agg(F.collect_set("_h").alias("_h"))
+        met = each.select("id", F.explode(F.array_distinct(F.flatten("_h"))).alias("other")).where("id <> other")
+        pairs = met.select(F.greatest("id", "other").alias("id"), F.least("id", "other").alias("other"))
         seen.append(new(pairs.distinct()))
         rounds.append(_compare(rows, seen[-1]))
         rest = stage(_uncovered(left.where(F.col("k") > most), rounds[-1]).where("open").drop("open"), "left")
@@ -308,16 +440,19 @@ def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = components(reduce(DataFrame.union, [r.select("id", "other") for r in rounds]), "id", "other")
     mixed = _named(places.select("class", "id", "at"), links)
     two = _two_by_two(mixed.select("class", "id", "at", F.lit(True).alias("open")))
-    members = numbered(two)
+    members = stage(two.select("class", "id").distinct(), "members")
     unstage(places, mixed, two)
-    for most in LINKED:
-        apart = _apart(members, links, most)
-        pairs = new(apart)
-        unstage(apart)
-        seen.append(pairs)
-        if not pairs.isEmpty():
-            rounds.append(_compare(rows, pairs))
-            links = components(links.union(rounds[-1].select("id", "other")), "node", "component")
+    sizes = stage(members.groupBy("class").agg(F.count(F.lit(1)).alias("k")), "sizes")
+    few, many = (members.join(sizes.where(x).select("class").hint("merge"), "class") for x in (f"k <= {PAIRED}", f"k > {PAIRED}"))
+    apart = _apart(few, links)
+    seen.append(new(apart))
+    if not seen[-1].isEmpty():
+        rounds.append(_compare(rows, seen[-1]))
+        links = components(links.union(rounds[-1].select("id", "other")), "node", "component")
+    if not many.isEmpty():
+        rounds.append(_by_blocks(rows, many, links))
+        links = components(links.union(rounds[-1].select("id", "other")), "node", "component")
+    unstage(apart, sizes)
     unstage(members, copies, *seen)
     linked = links.select(F.col("node").alias("id"), F.col("component").alias("class_id"))
     both = reduce(DataFrame.union, rounds)

@@ -79,12 +79,12 @@ def shingle_lists(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     return out
 
 
-def chunks(texts: pa.Array) -> Iterator[list[bytes]]:
-    """The UTF-8 of an Arrow array's texts, null ones empty, some at a time."""
+def chunks(texts: pa.Array, most: int = CHUNK) -> Iterator[list[bytes]]:
+    """The UTF-8 of an Arrow array's texts, null ones empty, some at a time: most bytes of them, or one."""
     now, size = [], 0
     for x in texts.cast(pa.large_binary()).to_pylist():
         x = x or b""
-        if now and size + len(x) > CHUNK:
+        if now and size + len(x) > most:
             yield now
             now, size = [], 0
         now.append(x)
