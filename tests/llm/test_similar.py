@@ -264,3 +264,38 @@ def test_similar_stretches_have_two_places_in_common():
         a, b = shingles.shingle_lists([" ".join(t).encode() for t in (one, two)])
         if passages.matched(a, b):
             assert len(np.intersect1d(passages._found(a)[0], passages._found(b)[0])) >= 1
+
+
+def edited(rng):
+    """150 texts that differ by a word in 24 at nearly the same places, so that all share places and none are similar; five near copies of some."""
+    text, changed = vocabulary(rng)
+    base, docs = text(140), []
+    for _ in range(150):
+        docs.append(text(8) + changed(base, *range(rng.randrange(5), 140, 24)) + text(8))
+    return [" ".join(d) for d in docs + [text(8) + changed(docs[k][8:148], 70) + text(8) for k in range(20, 120, 20)]]
+
+
+def test_unlinked_members_of_a_large_class_make_no_pairs(spark, monkeypatch):
+    """They meet by blocks: links are those of all pairs, and the last pairs compared one by one stay in proportion to the members."""
+    texts = edited(random.Random(13))
+    counts, compare = [], passages._compare
+    monkeypatch.setattr(passages, "_compare", lambda rows, pairs: counts.append(pairs.count()) or compare(rows, pairs))
+    found = passages.shared_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.class_id) for r in found} == {(x, 20 * k) for k in range(1, 6) for x in (20 * k, 149 + k)}
+    # what comes after the earliest of each class and the rounds of heads
+    assert sum(counts[len(passages.HEADS) + 1 :]) < 5 * len(texts)
+
+
+def test_dense_keeps_all_that_match():
+    """What bits tell apart does not match, with repeated lines and short texts too."""
+    rng = random.Random(14)
+    text, changed = vocabulary(rng)
+    base, line, docs = text(120), text(9), [text(20), text(51)]
+    for rate in (0.0, 0.01, 0.02, 0.03, 0.05) * 14:
+        docs.append(text(rng.randrange(30)) + changed(base, *(k for k in range(120) if rng.random() < rate)) + text(30))
+        docs.append(text(9) + (line * 7 + text(40) + changed(line * 7, *(k for k in range(63) if rng.random() < rate))) + text(9))
+    lists, n = passages._coded(shingles.shingle_lists([" ".join(d).encode() for d in docs]))
+    may = passages._dense(lists, lists, n)
+    want = {(i, j) for i in range(len(lists)) for j in range(len(lists)) if i != j and passages.matched(lists[i].astype("u8"), lists[j].astype("u8"))}
+    assert len(want) > 1000 and all(may[i, j] or may[j, i] for i, j in want)
+    assert may.sum() < may.size
