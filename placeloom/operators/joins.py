@@ -195,7 +195,7 @@ def near_names(left: DataFrame, right: DataFrame, block: Sequence[str], percent:
     lengths = F.sequence(F.ceil(la * percent / 100 - 1e-9).cast("int"), F.floor(la * 100 / F.lit(percent) + 1e-9).cast("int"))
     asking = left.where(la > 0).withColumn("_n", F.explode(lengths)).where("_n > 0").withColumn("_k", F.explode(F.flatten(F.transform(segments(F.col("_n")), probes))))
     known = right.where(lb > 0).withColumn("_s", F.explode(segments(lb))).select(*block, "_b", F.col("_s.n").alias("n"), F.col("_s.i").alias("i"), F.substring(F.col("_b"), F.col("_s.at") + 1, F.col("_s.size")).alias("x"))
-    pairs = asking.select(*block, "_a", "_k.*").join(known, [*block, "n", "i", "x"]).select(*block, "_a", "_b").distinct()
+    pairs = asking.select(*block, "_a", "_k.*").join(_merged(known), [*block, "n", "i", "x"]).select(*block, "_a", "_b").distinct()
     return pairs.where(similarity(F.col("_a"), F.col("_b")) >= percent / 100 - 1e-12)
 
 
@@ -239,6 +239,11 @@ def best_match(left: DataFrame, right: DataFrame, block: Sequence[str], a: str,
     return chosen.join(right, [*block, tie])
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """df to be joined by sorting: exploded texts are many times what their size on disk promises, so they must not go through the driver."""
+    return df.hint("merge")
+
+
 def gram_pairs(wholes: DataFrame, parts: DataFrame, block: Sequence[str], size: int = 5) -> DataFrame:
     """(block, _whole, _part) of wholes(block, _whole) and parts(block, _part), both distinct, where the whole contains the part.
 
@@ -252,9 +257,9 @@ def gram_pairs(wholes: DataFrame, parts: DataFrame, block: Sequence[str], size:
     own = F.when(F.length("_part") < size, F.array("_part")).otherwise(F.array_distinct(stretches("_part", size)))
     counts = grams.groupBy(*block, "_g").agg(F.count(F.lit(1)).alias("_n"))
     # a stretch that no whole has rules the part out
-    rare = asked.withColumn("_g", F.explode(own)).join(counts, [*block, "_g"], "left").groupBy(*block, "_part").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_g").alias("g"))).alias("_r"))
+    rare = asked.withColumn("_g", F.explode(own)).join(_merged(counts), [*block, "_g"], "left").groupBy(*block, "_part").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_g").alias("g"))).alias("_r"))
     rare = rare.where("_r.n > 0").select(*block, "_part", F.col("_r.g").alias("_g"))
-    return grams.join(rare, [*block, "_g"]).where(F.contains(F.col("_whole"), F.col("_part"))).select(*block, "_whole", "_part")
+    return grams.join(_merged(rare), [*block, "_g"]).where(F.contains(F.col("_whole"), F.col("_part"))).select(*block, "_whole", "_part")
 
 
 def _shared_words(short: DataFrame, long: DataFrame, block: Sequence[str], x: str, y: str, least: float) -> DataFrame:
@@ -265,11 +270,11 @@ def _shared_words(short: DataFrame, long: DataFrame, block: Sequence[str], x: st
     words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
     theirs = long.withColumn("_w", F.explode(words(y)))
     counts = theirs.groupBy(*block, "_w").agg(F.count(F.lit(1)).alias("_n"))
-    mine = short.withColumn("_size", F.size(words(x))).withColumn("_w", F.explode(words(x))).join(counts, [*block, "_w"], "left")
+    mine = short.withColumn("_size", F.size(words(x))).withColumn("_w", F.explode(words(x))).join(_merged(counts), [*block, "_w"], "left")
     ordered = mine.groupBy(*block, x, "_size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_w").alias("w")))).alias("_o"))
     may_lack = F.col("_size") - F.ceil(F.col("_size") * F.lit(least) - 1e-9).cast("int")
     asked = ordered.withColumn("_w", F.explode(F.transform(F.slice("_o", 1, may_lack + 1), lambda o: o["w"]))).select(*block, x, "_size", "_w")
-    return asked.join(theirs, [*block, "_w"]).where(F.size(words(y)) >= F.col("_size")).select(*block, x, y).distinct()
+    return asked.join(_merged(theirs), [*block, "_w"]).where(F.size(words(y)) >= F.col("_size")).select(*block, x, y).distinct()
 
 
 def matching_names(left: DataFrame, right: DataFrame, block: Sequence[str], least: float = 0.7) -> DataFrame:
@@ -299,21 +304,21 @@ def token_match(left: DataFrame, right: DataFrame, block: Sequence[str], a: str,
     rows = left.where(F.col(a).isNotNull()).select(*block, F.col(a).alias("_a"), F.col(key).alias("_key"))
     if which == LATER:
         # the rows of both names in order of key: of each row of left the next one of right
-        mine = rows.join(names, [*block, "_a"]).select(*block, "_a", "_b", "score", F.col("_key").alias("_k"), F.lit(None).cast(right.schema[tie].dataType).alias("_t"))
-        others = right.where(F.col(b).isNotNull()).select(*block, F.col(b).alias("_b"), F.col(tie).alias("_t")).join(names, [*block, "_b"])
+        mine = rows.join(_merged(names), [*block, "_a"]).select(*block, "_a", "_b", "score", F.col("_key").alias("_k"), F.lit(None).cast(right.schema[tie].dataType).alias("_t"))
+        others = right.where(F.col(b).isNotNull()).select(*block, F.col(b).alias("_b"), F.col(tie).alias("_t")).join(_merged(names), [*block, "_b"])
         both = mine.unionByName(others.select(*block, "_a", "_b", "score", F.col("_t").alias("_k"), "_t"))
         after = Window.partitionBy(*block, "_a", "_b").orderBy(F.desc("_k")).rangeBetween(Window.unboundedPreceding, -1)
         found = both.withColumn("_next", F.min("_t").over(after)).where("_t is null and _next is not null").select(*block, F.col("_k").alias("_key"), F.col("_next").alias("_t"), "score")
     else:
-        found = rows.join(names.join(_by_name(right, block, b, tie), [*block, "_b"]), [*block, "_a"])
+        found = rows.join(_merged(names.join(_merged(_by_name(right, block, b, tie)), [*block, "_b"])), [*block, "_a"])
         own = F.when(F.col("_t1") == F.col("_key"), F.col("_t2")).otherwise(F.col("_t1")) if which == OTHER else F.col("_t1")
         found = found.select(*block, "_key", own.alias("_t"), "score").where("_t is not null")
     best = found.groupBy(*block, "_key").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("_t").alias("t"))).alias("_m"))
     best = best.select(*block, "_key", F.col("_m.t").alias("_t"), (-F.col("_m.s")).alias("score"), F.lit(1).alias("rule"))
     if prefix:
         best = staged(best)
-        best = best.unionByName(_by_prefix(rows.join(best.select("_key"), "_key", "left_anti"), right, block, b, tie, prefix))
-    return left.join(best.withColumnRenamed("_key", key), [*block, key]).withColumnRenamed("_t", tie).join(right, [*block, tie])
+        best = best.unionByName(_by_prefix(rows.join(_merged(best.select("_key")), "_key", "left_anti"), right, block, b, tie, prefix))
+    return left.join(_merged(best.withColumnRenamed("_key", key)), [*block, key]).withColumnRenamed("_t", tie).join(_merged(right), [*block, tie])
 
 
 def _by_prefix(rows: DataFrame, right: DataFrame, block: Sequence[str], b: str, tie: str, prefix: int) -> DataFrame:
@@ -322,13 +327,13 @@ def _by_prefix(rows: DataFrame, right: DataFrame, block: Sequence[str], b: str,
     theirs = right.where((F.col(b).isNotNull()) & (F.col(b) != "")).select(*block, F.col(b).alias("_b"), F.col(tie).alias("_t"))
     named = theirs.groupBy(*block, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t"))
     inside = gram_pairs(named.select(*block, F.col("_b").alias("_whole")), asked.select(*block, F.col("_p").alias("_part")).distinct(), block)
-    single = inside.withColumnRenamed("_whole", "_b").join(named, [*block, "_b"]).groupBy(*block, F.col("_part").alias("_p")).agg(F.sum("_n").alias("_n"), F.min("_t").alias("_t"))
-    first = asked.join(single, [*block, "_p"], "left")
+    single = inside.withColumnRenamed("_whole", "_b").join(_merged(named), [*block, "_b"]).groupBy(*block, F.col("_part").alias("_p")).agg(F.sum("_n").alias("_n"), F.min("_t").alias("_t"))
+    first = asked.join(_merged(single), [*block, "_p"], "left")
     heads = theirs.groupBy(*block, F.substring("_b", 1, prefix).alias("_h")).agg(F.min("_t").alias("_t"))
     left_over = first.where("_n is null").select(*block, "_a", "_key")
     back = gram_pairs(left_over.select(*block, F.col("_a").alias("_whole")).distinct(), heads.select(*block, F.col("_h").alias("_part")), block)
-    back = back.withColumnRenamed("_part", "_h").join(heads, [*block, "_h"]).groupBy(*block, F.col("_whole").alias("_a")).agg(F.min("_t").alias("_t"))
-    found = first.where("_n = 1").select(*block, "_key", "_t").unionByName(left_over.join(back, [*block, "_a"]).select(*block, "_key", "_t"))
+    back = back.withColumnRenamed("_part", "_h").join(_merged(heads), [*block, "_h"]).groupBy(*block, F.col("_whole").alias("_a")).agg(F.min("_t").alias("_t"))
+    found = first.where("_n = 1").select(*block, "_key", "_t").unionByName(left_over.join(_merged(back), [*block, "_a"]).select(*block, "_key", "_t"))
     return found.select("*", F.lit(None).cast("double").alias("score"), F.lit(2).alias("rule"))
 
 

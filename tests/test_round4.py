@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from placeloom.operators import joins
 from placeloom.queries import QUERIES, SQL
 
 
@@ -31,3 +32,12 @@ def same(spark, folder, con, name):
 
 def test_postcodes_of_keys_of_five_figures(spark, tables):
     same(spark, *tables(customer="SELECT i AS c_custkey FROM range(9990, 10020) r(i)"), "p05_postcodes")
+
+
+def test_names_are_not_joined_through_the_driver(spark):
+    """Exploded texts are small on disk and large in memory: no join by their stretches or words may be a broadcast."""
+    a = spark.createDataFrame([(1, "abcdefgh ij"), (1, "xy")], "block int, _a string")
+    b = a.withColumnRenamed("_a", "_b")
+    found = joins.matching_names(a, b, ["block"])
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 2
