@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placeloom.operators import discs, spatial
+from placeloom.queries import QUERIES
 
 PLACES = {"city": (52.5, 13.4, 0.03, 1000), "pole": (89.6, 0, None, 60_000), "date line": (1, 180, 0.8, 60_000), "globe": (0, 0, 60, 2e6), "yard": (10, 10, 1e-5, 0.5)}
 
@@ -91,3 +92,29 @@ def test_no_row_for_each_pair(spark):
     for df in (spatial.radius_counts(s, p, 500, {}), spatial.nearest_k(s, p, 2, 500, "kind", "point_id")):
         assert "FlatMapCoGroupsInArrow" in df._jdf.queryExecution().executedPlan().toString()
     assert [(r["rank"], r.point_id) for r in spatial.nearest_k(s.limit(1), p, 2, 500, "kind", "point_id").collect()] == [(1, 0), (2, 1)]
+
+
+@pytest.mark.parametrize("name", ["e05_stops_around", "e06_places_around", "a02_sensor_means", "a02_by_family", "e07_catchment", "m00_whole_build", "e03_accidents", "e03_site_safety", "e04_two_radii", "x02_access_by_density"])
+def test_queries_go_by_discs(spark, sf, name):
+    assert "FlatMapCoGroupsInArrow" in QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_crowded_cells_are_dealt(spark, monkeypatch):
+    """Pairs of one cell go to several tasks, which few bytes do not put together, and each pair comes once."""
+    monkeypatch.setattr(spatial, "SITES", 30)
+    monkeypatch.setattr(spatial, "POINTS", 20)
+    s = spark.range(100).select(F.col("id").alias("site_id"), F.lit(89.9).alias("lat"), F.lit(180.0).alias("lon"))
+    p = spark.range(150).select(F.col("id").alias("point_id"), F.lit(89.9).alias("p_lat"), F.lit(-180.0).alias("p_lon"))
+    near = spatial.radius_join(s, p, 1000)
+    found = near.select("site_id", "point_id", F.spark_partition_id().alias("task"), "distance_m").collect()
+    assert len(found) == 15_000 == len({(r.site_id, r.point_id) for r in found}) and max(r.distance_m for r in found) < 1e-6
+    assert len({r.task for r in found}) > 2
+
+
+def test_names_of_the_site_go_in_whole_tiles(spark):
+    """Places of one spot and other names stand before the k-th that counts."""
+    s = spark.createDataFrame([(1, 10.0, 10.0, "Oak")], "site_id long, lat double, lon double, name string")
+    at = [(i, 10.001, 10.0, f"The oak {i}", "a") for i in range(30)] + [(30 + i, 10.001, 10.0, f"Elm {i}", "a") for i in range(9)] + [(50, 10.0, 10.0, "x", "a"), (51, 10.0, 10.0, "x", "b")]
+    p = spark.createDataFrame(at, "place_id long, p_lat double, p_lon double, place string, kind string")
+    got = spatial.places_around(s, p, 500, 3, "kind", "place", "place_id", own=["a"]).collect()
+    assert sorted((r.kind, r["rank"], r.place_id, r.n_around) for r in got) == [("a", 1, 30, 9), ("a", 2, 31, 9), ("a", 3, 32, 9), ("b", 1, 51, 1)]
