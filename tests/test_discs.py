@@ -103,8 +103,8 @@ def test_pairs_of_crowded_cells_are_dealt(spark, monkeypatch):
     """Pairs of one cell go to several tasks, which few bytes do not put together, and each pair comes once."""
     monkeypatch.setattr(spatial, "SITES", 30)
     monkeypatch.setattr(spatial, "POINTS", 20)
-    s = spark.range(100).select(F.col("id").alias("site_id"), F.lit(89.9).alias("lat"), F.lit(180.0).alias("lon"))
-    p = spark.range(150).select(F.col("id").alias("point_id"), F.lit(89.9).alias("p_lat"), F.lit(-180.0).alias("p_lon"))
+    s = spark.range(100).select(F.col("id").alias("site_id"), (89.9 + F.col("id") * 0.0).alias("lat"), (180.0 + F.col("id") * 0.0).alias("lon"))
+    p = spark.range(150).select(F.col("id").alias("point_id"), (89.9 + F.col("id") * 0.0).alias("p_lat"), (-180.0 + F.col("id") * 0.0).alias("p_lon"))
     near = spatial.radius_join(s, p, 1000)
     found = near.select("site_id", "point_id", F.spark_partition_id().alias("task"), "distance_m").collect()
     assert len(found) == 15_000 == len({(r.site_id, r.point_id) for r in found}) and max(r.distance_m for r in found) < 1e-6
