@@ -24,4 +24,13 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def unstaged(df: DataFrame) -> None:
+    """Deletes the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
